@@ -41,6 +41,8 @@ PROCESS_SOURCE_COLUMNS = [
     "escalated",
     "sla_met",
 ]
+# Fixed value: interpretation note attached to bottlenecks of observed logs.
+OBSERVED_BOUNDARY = "Observed waiting time; concentration signal, not causal root cause."
 CASE_CONTEXT = ["assigned_team", "category", "priority", "customer_segment", "status"]
 EVENTS = "__events"
 
@@ -193,7 +195,10 @@ def derived_pairs(valid: DataFrame) -> DataFrame:
         ),
     )
     return arr.select(F.explode(steps).alias("s")).select(
-        "s.source_activity", "s.target_activity", micros_to_minutes(F.col("s.wait_us")).alias("wait_minutes")
+        "s.source_activity",
+        "s.target_activity",
+        F.col("s.wait_us"),
+        micros_to_minutes(F.col("s.wait_us")).alias("wait_minutes"),
     )
 
 
@@ -220,10 +225,12 @@ def successor_pairs(
     )
     cond = [numbered["__r"] == successor["__r"]] + [numbered[c] == successor[f"__next_{c}"] for c in case_cols]
     joined = numbered.join(successor, cond, "inner")
+    wait_us = F.unix_micros("__next_t") - F.unix_micros("__t")
     return joined.select(
         F.col("__a").alias("source_activity"),
         "target_activity",
-        micros_to_minutes(F.unix_micros("__next_t") - F.unix_micros("__t")).alias("wait_minutes"),
+        wait_us.alias("wait_us"),
+        micros_to_minutes(wait_us).alias("wait_minutes"),
     )
 
 
@@ -256,26 +263,32 @@ def observed_cases(
 
 def transition_performance(pairs: DataFrame) -> DataFrame:
     """Per (source, target): occurrences (named ``case_count``), mean,
-    median and 90th percentile wait, rounded half-even to 2 decimals."""
+    median and 90th percentile wait, rounded half-even to 2 decimals.  The
+    mean is taken from the exact integer sum of microsecond waits, so it
+    does not depend on summation order."""
     stats = exact_quantiles(
         pairs,
         ["source_activity", "target_activity"],
         "wait_minutes",
         {"__median": 0.5, "__p90": 0.9},
         count_name="case_count",
-        mean_name="__mean",
+        sum_of="wait_us",
+        sum_name="__sum_us",
     )
+    mean = micros_to_minutes(F.col("__sum_us").cast("double") / F.col("case_count"))
     return stats.select(
         "source_activity",
         "target_activity",
         "case_count",
-        kpi_round(F.col("__mean"), 2).alias("average_wait_minutes"),
+        kpi_round(mean, 2).alias("average_wait_minutes"),
         kpi_round(F.col("__median"), 2).alias("median_wait_minutes"),
         kpi_round(F.col("__p90"), 2).alias("p90_wait_minutes"),
     ).orderBy(F.col("case_count").desc(), "source_activity", "target_activity")
 
 
-def bottlenecks(transitions: DataFrame, min_cases: int = MIN_BOTTLENECK_CASES) -> DataFrame:
+def bottlenecks(
+    transitions: DataFrame, min_cases: int = MIN_BOTTLENECK_CASES, boundary: str = BOTTLENECK_BOUNDARY
+) -> DataFrame:
     """Transitions with enough support ranked by mean wait.  The ranked table
     has one row per activity pair, so its one-partition window is bounded
     by the squared number of activities."""
@@ -292,7 +305,7 @@ def bottlenecks(transitions: DataFrame, min_cases: int = MIN_BOTTLENECK_CASES) -
             "average_wait_minutes",
             "median_wait_minutes",
             "p90_wait_minutes",
-            F.lit(BOTTLENECK_BOUNDARY).alias("interpretation_boundary"),
+            F.lit(boundary).alias("interpretation_boundary"),
         )
         .orderBy("bottleneck_rank")
     )
@@ -338,21 +351,23 @@ def variants(case_table: DataFrame) -> DataFrame:
 
 def observed_variants(case_table: DataFrame) -> DataFrame:
     """Variant table of an observed log: cases, share, events per case and
-    mean span."""
+    mean span (from the exact integer sum of microsecond spans)."""
     total = _total(case_table)
     return (
         case_table.groupBy("process_variant")
         .agg(
             F.count(F.lit(1)).alias("case_count"),
             F.max("event_count").alias("event_count"),
-            F.avg("observed_span_minutes").alias("__span"),
+            F.sum(F.unix_micros("last_event_at") - F.unix_micros("first_event_at")).alias("__span_us"),
         )
         .select(
             "process_variant",
             "case_count",
             safe_rate(F.col("case_count"), F.lit(total)).alias("case_share"),
             "event_count",
-            kpi_round(F.col("__span"), 2).alias("average_span_minutes"),
+            kpi_round(micros_to_minutes(F.col("__span_us").cast("double") / F.col("case_count")), 2).alias(
+                "average_span_minutes"
+            ),
         )
         .orderBy(F.col("case_count").desc(), "process_variant")
     )

@@ -26,23 +26,30 @@ def exact_quantiles(
     value: str,
     probabilities: dict[str, float],
     count_name: str | None = None,
-    mean_name: str | None = None,
+    sum_of: str | None = None,
+    sum_name: str | None = None,
 ) -> DataFrame:
     """One row per group with one column per requested probability, and
-    optionally the row count and the mean of ``value``."""
+    optionally the row count and the (exact, integer) sum of ``sum_of``."""
     keys = list(keys)
-    counted = df.where(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count(F.lit(1)).alias("__c"))
+    partial = [F.count(F.lit(1)).alias("__c")]
+    if sum_of:
+        partial.append(F.sum(sum_of).alias("__s"))
+    counted = df.where(F.col(value).isNotNull()).groupBy(*keys, value).agg(*partial)
     group = Window.partitionBy(*keys) if keys else Window.partitionBy(F.lit(0))
     running = group.orderBy(value).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     ranked = counted.select(
         *keys,
         value,
         "__c",
+        *(["__s"] if sum_of else []),
         (F.sum("__c").over(running) - F.col("__c")).alias("__start"),
         F.sum("__c").over(running).alias("__end"),
         F.sum("__c").over(group).alias("__n"),
     )
-    picks = [F.max("__n").alias("__n"), F.sum(F.col(value) * F.col("__c")).alias("__sum")]
+    picks = [F.max("__n").alias("__n")]
+    if sum_of:
+        picks.append(F.sum("__s").alias("__sum"))
     for name, p in probabilities.items():
         h = (F.col("__n") - 1).cast("double") * F.lit(float(p))
         lo, hi = F.floor(h), F.ceil(h)
@@ -55,8 +62,8 @@ def exact_quantiles(
     out = [F.col(k) for k in keys]
     if count_name:
         out.append(F.col("__n").cast("long").alias(count_name))
-    if mean_name:
-        out.append((F.col("__sum") / F.col("__n")).alias(mean_name))
+    if sum_of and sum_name:
+        out.append(F.col("__sum").alias(sum_name))
     for name in probabilities:
         lo_v, hi_v, d = F.col(f"__{name}_lo"), F.col(f"__{name}_hi"), F.col(f"__{name}_d")
         out.append((lo_v + (hi_v - lo_v) * d).alias(name))

@@ -9,11 +9,8 @@ from typing import Any
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from slaflow.contract import column_spec, java_timestamp_pattern
-from slaflow.functions.numeric import parse_number
-from slaflow.functions.temporal import parse_timestamp
-from slaflow.functions.text import text, trimmed
-from slaflow.operators.validation import ISSUES
+from slaflow.contract import column_spec
+from slaflow.operators.validation import ISSUES, helper, issue_codes, parsed_columns
 
 SILVER_METADATA = ["source_file", "ingestion_batch_id", "ingested_at_utc"]
 
@@ -22,10 +19,10 @@ def accepted(annotated: DataFrame) -> DataFrame:
     return annotated.where(F.size(ISSUES) == 0).drop(ISSUES)
 
 
-def rejected(annotated: DataFrame, columns: list[str]) -> DataFrame:
+def rejected(annotated: DataFrame, columns: list[str], contract: dict[str, Any]) -> DataFrame:
     """Rejected rows keep their raw text, plus the sorted distinct issue codes
     joined by ``|`` and the number of issues (not of distinct codes)."""
-    codes = F.transform(F.col(ISSUES), lambda x: x["issue_code"])
+    codes = issue_codes(contract)
     return annotated.where(F.size(ISSUES) > 0).select(
         *columns,
         F.array_join(F.array_sort(F.array_distinct(codes)), "|").alias("rejection_reasons"),
@@ -38,19 +35,20 @@ def type_accepted(valid: DataFrame, contract: dict[str, Any], status_col: str =
     text trimmed; ``sla_met`` = resolution <= target for closed rows, NULL
     for open ones."""
     spec = column_spec(contract)
-    pattern = java_timestamp_pattern(contract["timestamp_format"])
+    if not all(helper("t", name) in valid.columns for name in spec):
+        valid = valid.select("*", *parsed_columns(contract))
     out = [F.col("source_row").cast("long").alias("source_row")]
     for name, definition in spec.items():
         kind = definition.get("type")
+        t = F.col(helper("t", name))
         if kind == "datetime":
-            source = text(name) if not definition.get("nullable", True) else trimmed(name)
-            out.append(F.when(trimmed(name) != "", parse_timestamp(source, pattern)).alias(name))
+            out.append(F.col(helper("ts", name)).alias(name))
         elif kind == "integer":
-            out.append(parse_number(trimmed(name)).cast("long").alias(name))
+            out.append(F.col(helper("n", name)).cast("long").alias(name))
         elif kind == "boolean":
-            out.append(F.when(trimmed(name) != "", F.lower(trimmed(name)) == "true").alias(name))
+            out.append(F.when(t != "", F.lower(t) == "true").alias(name))
         else:
-            out.append(trimmed(name).alias(name))
+            out.append(t.alias(name))
     extra = [c for c in SILVER_METADATA if c in valid.columns]
     typed = valid.select(*out, *extra)
     closed = F.col(status_col) == "closed"

@@ -66,25 +66,46 @@ def _message(code: str, default: str) -> str:
     return FIXED_MESSAGES.get(code, default)
 
 
+def helper(kind: str, name: str) -> str:
+    """Name of a per-row helper column (trimmed text, number, timestamp)."""
+    return f"__{kind}_{name}"
+
+
+def parsed_columns(contract: dict[str, Any]) -> list[Column]:
+    """Each source column trimmed once, each integer/datetime parsed once.
+
+    Rules and typing refer to these columns, which keeps the rule
+    projection small (fast planning, no repeated parsing per row).
+    """
+    spec = column_spec(contract)
+    pattern = java_timestamp_pattern(contract["timestamp_format"])
+    out = [trimmed(name).alias(helper("t", name)) for name in spec]
+    for name, definition in spec.items():
+        t = trimmed(name)
+        if definition.get("type") == "integer":
+            out.append(parse_number(t).alias(helper("n", name)))
+        elif definition.get("type") == "datetime":
+            # Required datetimes are parsed exactly as supplied, optional ones
+            # after trimming (a padded required timestamp is a format error).
+            source = t if definition.get("nullable", True) else text(name)
+            out.append(F.when(t != "", parse_timestamp(source, pattern)).alias(helper("ts", name)))
+    return out
+
+
 class _Parsed:
-    """Column expressions shared by the rules (trimmed text, numbers, times)."""
+    """Accessors for the helper columns of ``parsed_columns``."""
 
     def __init__(self, contract: dict[str, Any]):
         self.spec = column_spec(contract)
-        self.pattern = java_timestamp_pattern(contract["timestamp_format"])
 
     def t(self, name: str) -> Column:
-        return trimmed(name)
+        return F.col(helper("t", name))
 
     def number(self, name: str) -> Column:
-        return parse_number(self.t(name))
+        return F.col(helper("n", name))
 
     def timestamp(self, name: str) -> Column:
-        # Required datetimes are parsed exactly as supplied, optional ones
-        # after trimming (a padded required timestamp is a format error).
-        nullable = self.spec[name].get("nullable", True)
-        source = self.t(name) if nullable else text(name)
-        return F.when(self.t(name) != "", parse_timestamp(source, self.pattern))
+        return F.col(helper("ts", name))
 
 
 def rules(contract: dict[str, Any], duplicate_flag: Column | None = None) -> list[Rule]:
@@ -210,44 +231,73 @@ def duplicate_keys(df: DataFrame, key_cols: list[str], flag: str = "__duplicate"
 
 
 def annotate(df: DataFrame, contract: dict[str, Any]) -> DataFrame:
-    """Add the ``issues`` array (empty for a valid row)."""
+    """Add ``issues``: the numbers (1-based, in rule order) of the rules the
+    row violates - empty for a valid row - and the per-row helper columns
+    (``__t_*``, ``__n_*``, ``__ts_*``) later layers reuse.
+
+    The array holds small integers only; code, field, message and observed
+    value are looked up from the rule catalogue for the (few) violating rows,
+    which keeps the per-row generated code small.
+    """
     names = [c["name"] for c in contract["columns"]]
     require_columns(df, names)
     pk = contract.get("primary_key", [])
     flagged = duplicate_keys(df, pk) if pk else df
+    flagged = flagged.select("*", *parsed_columns(contract))
     dup = F.col("__duplicate") if pk else None
-    entries = [
-        F.when(
-            F.coalesce(rule.condition, F.lit(False)),
-            F.struct(
-                F.lit(rule.code).alias("issue_code"),
-                F.lit(rule.field).alias("field"),
-                text(rule.field).alias("observed_value"),
-                F.lit(rule.message).alias("message"),
-            ),
-        )
-        for rule in rules(contract, dup)
+    numbered = [
+        F.when(F.coalesce(rule.condition, F.lit(False)), F.lit(i))
+        for i, rule in enumerate(rules(contract, dup), start=1)
     ]
-    issues = F.filter(F.array(*entries), lambda x: x.isNotNull())
-    out = flagged.withColumn(ISSUES, issues)
+    out = flagged.withColumn(ISSUES, F.filter(F.array(*numbered), lambda x: x.isNotNull()))
     return out.drop("__duplicate") if pk else out
 
 
-def issue_table(annotated: DataFrame, row_col: str = "source_row", key_col: str = "ticket_id") -> DataFrame:
-    """One row per (source row, violated rule); ``issue_position`` keeps rule
-    order for equal (source_row, issue_code)."""
-    return annotated.where(F.size(ISSUES) > 0).select(
+def rule_catalogue(contract: dict[str, Any]) -> list[Rule]:
+    """The rules in numbering order (conditions are not evaluated)."""
+    return rules(contract, F.lit(False) if contract.get("primary_key") else None)
+
+
+def _lookup(values: list[str], number: Column) -> Column:
+    return F.element_at(F.array(*[F.lit(v) for v in values]), number)
+
+
+def issue_codes(contract: dict[str, Any]) -> Column:
+    """``issues`` mapped to their issue codes."""
+    codes = [r.code for r in rule_catalogue(contract)]
+    arr = F.array(*[F.lit(c) for c in codes])
+    return F.transform(F.col(ISSUES), lambda i: F.element_at(arr, i))
+
+
+def issue_table(
+    annotated: DataFrame,
+    contract: dict[str, Any],
+    row_col: str = "source_row",
+    key_col: str = "ticket_id",
+) -> DataFrame:
+    """One row per (source row, violated rule).  ``issue_position`` is the
+    rule's place in evaluation order: the tie-break for equal
+    (source_row, issue_code).  The raw (untrimmed) id and field value are
+    reported."""
+    catalogue = rule_catalogue(contract)
+    fields = list(dict.fromkeys(r.field for r in catalogue))
+    field_no = [fields.index(r.field) + 1 for r in catalogue]
+    exploded = annotated.select(
         F.col(row_col).cast("long").alias("source_row"),
         text(key_col).alias("ticket_id"),
-        F.posexplode(ISSUES).alias("issue_position", "issue"),
-    ).select(
+        F.array(*[text(f) for f in fields]).alias("__values"),
+        F.explode(ISSUES).alias("issue_position"),
+    )
+    rule = F.col("issue_position")
+    field_index = F.element_at(F.array(*[F.lit(n) for n in field_no]), rule)
+    return exploded.select(
         "source_row",
         "ticket_id",
-        "issue.issue_code",
-        "issue.field",
-        "issue.observed_value",
-        "issue.message",
-        "issue_position",
+        _lookup([r.code for r in catalogue], rule).alias("issue_code"),
+        _lookup([r.field for r in catalogue], rule).alias("field"),
+        F.element_at(F.col("__values"), field_index).alias("observed_value"),
+        _lookup([r.message for r in catalogue], rule).alias("message"),
+        rule.cast("int").alias("issue_position"),
     )
 
 
@@ -267,11 +317,11 @@ def row_totals(annotated: DataFrame) -> DataFrame:
     )
 
 
-def validation_report(annotated: DataFrame) -> dict[str, Any]:
+def validation_report(annotated: DataFrame, contract: dict[str, Any]) -> dict[str, Any]:
     """The validation summary as a dict (one collected row + the code counts,
     both bounded: one row and one row per issue code)."""
     totals = row_totals(annotated).first().asDict()
-    counts = issue_counts(issue_table(annotated)).collect()
+    counts = issue_counts(issue_table(annotated, contract)).collect()
     totals["issue_counts"] = {r["issue_code"]: int(r["issue_count"]) for r in sorted(counts, key=lambda r: r["issue_code"])}
     return totals
 

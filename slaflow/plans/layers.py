@@ -10,14 +10,20 @@ from __future__ import annotations
 from functools import cached_property
 from typing import Any
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
 
 from slaflow.contract import default_contract
-from slaflow.operators import metrics, process, quarantine, star, validation
+from slaflow.functions.numeric import safe_rate
+from slaflow.operators import controls, metrics, process, quarantine, star, validation
+from slaflow.operators.ordinal import materialize
 from slaflow.sources.bronze import bronze_columns, bronze_requests
 from slaflow.sources.tables import read_table
 
 
+_SESSION_LAYERS: dict[tuple[str, str], "MedallionLayers"] = {}
+
+
 class MedallionLayers:
     def __init__(self, bronze: DataFrame, contract: dict[str, Any] | None = None):
         self.bronze = bronze
@@ -25,16 +31,24 @@ class MedallionLayers:
 
     @classmethod
     def for_requests(cls, spark: SparkSession, sf_dir: str) -> MedallionLayers:
-        return cls(bronze_requests(spark, sf_dir))
+        """The layers of the request source of ``sf_dir``, shared by every
+        query of the session (Bronze and Silver are materialised once)."""
+        slot = (spark.sparkContext.applicationId, sf_dir)
+        if slot not in _SESSION_LAYERS:
+            _SESSION_LAYERS[slot] = cls(bronze_requests(spark, sf_dir))
+        return _SESSION_LAYERS[slot]
 
     # ----------------------------------------------------------------- silver
     @cached_property
     def annotated(self) -> DataFrame:
-        return validation.annotate(self.bronze, self.contract)
+        """Bronze + issue numbers + parsed helper columns, materialised: the
+        Silver boundary every later layer reads (three consumers: accepted,
+        rejected, issues)."""
+        return materialize(validation.annotate(self.bronze, self.contract))
 
     @cached_property
     def issues(self) -> DataFrame:
-        return validation.issue_table(self.annotated)
+        return validation.issue_table(self.annotated, self.contract)
 
     @cached_property
     def silver_valid(self) -> DataFrame:
@@ -42,7 +56,7 @@ class MedallionLayers:
 
     @cached_property
     def silver_rejected(self) -> DataFrame:
-        return quarantine.rejected(self.annotated, [c for c in bronze_columns() if c in self.bronze.columns])
+        return quarantine.rejected(self.annotated, [c for c in bronze_columns() if c in self.bronze.columns], self.contract)
 
     # ----------------------------------------------------------------- gold
     @cached_property
@@ -135,13 +149,132 @@ class ObservedLog:
         return process.transition_performance(self.pairs())
 
     def bottlenecks(self) -> DataFrame:
-        return process.bottlenecks(self.transitions())
+        return process.bottlenecks(self.transitions(), boundary=process.OBSERVED_BOUNDARY)
 
     def daily_cases(self) -> DataFrame:
-        from pyspark.sql import functions as F
-
         by_day = self.events.withColumn("activity_date", F.to_date("ts"))
         return process.observed_cases(by_day, ["user_id", "activity_date"], ["ts", "event_id"], "event_type", "ts")
 
     def variants(self) -> DataFrame:
         return process.observed_variants(self.daily_cases())
+
+
+# --------------------------------------------------------------------------- controls
+
+
+def medallion_controls(L: MedallionLayers) -> DataFrame:
+    m = controls.measures(
+        {
+            "bronze": (L.bronze, controls.one()),
+            "valid": (L.silver_valid, controls.one()),
+            "rejected": (L.silver_rejected, controls.one()),
+            "fact": (L.fact, controls.one()),
+            "fk_violations": (L.fk_violations, F.col("violations")),
+        }
+    )
+    c = F.col
+    return controls.rows(
+        m,
+        [
+            ("bronze_equals_valid_plus_rejected", c("valid") + c("rejected"), c("bronze")),
+            ("valid_equals_fact", c("fact"), c("valid")),
+            ("foreign_keys_complete", c("fk_violations"), F.lit(0.0)),
+        ],
+    )
+
+
+def analytics_controls(L: MedallionLayers) -> DataFrame:
+    breaches = L.mart("sla_breach_details")
+    closed = F.col("closed_requests")
+    m = controls.measures(
+        {
+            "enriched": (L.enriched, controls.one()),
+            "fact": (L.fact, controls.one()),
+            "breach_rows": (breaches, controls.one()),
+            "kpi_total": (L.kpis, F.col("total_requests")),
+            "kpi_closed": (L.kpis, closed),
+            "kpi_met": (L.kpis, F.col("sla_met_requests")),
+            "kpi_rate": (L.kpis, F.col("sla_compliance_rate")),
+            "team_closed": (L.mart("sla_by_team"), closed),
+            "team_met": (L.mart("sla_by_team"), F.col("sla_met_requests")),
+            "category_closed": (L.mart("sla_by_category"), closed),
+            "priority_closed": (L.mart("sla_by_priority"), closed),
+            "team_category_closed": (L.mart("sla_by_team_category"), closed),
+            "daily_total": (L.mart("daily_service_operations"), F.col("total_requests")),
+            "breach_not_closed": (breaches, controls.flag(F.col("status") != "closed")),
+            "breach_not_positive": (breaches, controls.flag(F.col("resolution_overrun_minutes") <= 0)),
+        }
+    )
+    c = F.col
+    return controls.rows(
+        m,
+        [
+            ("enriched_equals_gold_fact", c("enriched"), c("fact")),
+            ("breach_details_equals_global_breaches", c("breach_rows"), c("kpi_closed") - c("kpi_met")),
+            ("team_closed_reconciles", c("team_closed"), c("kpi_closed")),
+            ("category_closed_reconciles", c("category_closed"), c("kpi_closed")),
+            ("priority_closed_reconciles", c("priority_closed"), c("kpi_closed")),
+            ("team_category_closed_reconciles", c("team_category_closed"), c("kpi_closed")),
+            ("daily_requests_reconcile", c("daily_total"), c("kpi_total")),
+            ("weighted_team_sla_equals_global", safe_rate(c("team_met"), c("team_closed")), c("kpi_rate")),
+            ("all_breach_rows_are_closed", c("breach_not_closed"), F.lit(0.0)),
+            ("all_breach_overruns_are_positive", c("breach_not_positive"), F.lit(0.0)),
+        ],
+    )
+
+
+def process_controls(L: MedallionLayers) -> DataFrame:
+    log = L.event_log
+    case_window = Window.partitionBy("case_id")
+    ordered = case_window.orderBy("event_index")
+    per_event = log.select(
+        "case_id",
+        "status",
+        "event_index",
+        "activity",
+        (F.col("event_timestamp") < F.lag("event_timestamp").over(ordered)).alias("__backwards"),
+        F.max("event_index").over(case_window).alias("__max"),
+        F.min("event_index").over(case_window).alias("__min"),
+        F.count(F.lit(1)).over(case_window).alias("__n"),
+        F.size(F.collect_set("event_index").over(case_window)).alias("__distinct"),
+    )
+    last = F.col("event_index") == F.col("__max")
+    non_contiguous = (F.col("__min") != 1) | (F.col("__max") != F.col("__n")) | (F.col("__distinct") != F.col("__n"))
+    repeated_ids = log.groupBy("event_id").agg(F.count(F.lit(1)).alias("__k")).where(F.col("__k") > 1)
+    closed_cases = L.cases.where(F.col("status") == "closed").select("case_id", "throughput_minutes")
+    source = L.silver_valid.select(F.col("ticket_id").alias("case_id"), F.col("resolution_minutes").cast("double").alias("__res"))
+    throughput = closed_cases.join(source, "case_id", "left")
+    m = controls.measures(
+        {
+            "cases": (L.cases, controls.one()),
+            "valid": (L.silver_valid, controls.one()),
+            "extra_event_ids": (repeated_ids, F.col("__k") - 1),
+            "non_contiguous": (per_event.where(last), controls.flag(non_contiguous)),
+            "backwards": (per_event, controls.flag(F.col("__backwards"))),
+            "first_not_created": (per_event.where(F.col("event_index") == 1), controls.flag(F.col("activity") != "ticket_created")),
+            "closed_bad_end": (per_event.where(last & (F.col("status") == "closed")), controls.flag(F.col("activity") != "ticket_closed")),
+            "open_bad_end": (per_event.where(last & (F.col("status") == "open")), controls.flag(F.col("activity") == "ticket_closed")),
+            "reopened_events": (log, controls.flag(F.col("activity") == "reopened")),
+            "reopened_source": (L.silver_valid, F.col("reopened_count")),
+            "escalated_events": (log, controls.flag(F.col("activity") == "escalated")),
+            "escalated_source": (L.silver_valid, controls.flag(F.col("escalated"))),
+            "throughput_mismatch": (throughput, controls.flag(~F.col("throughput_minutes").eqNullSafe(F.col("__res")))),
+        }
+    )
+    c = F.col
+    zero = F.lit(0.0)
+    return controls.rows(
+        m,
+        [
+            ("case_count_matches_valid_source", c("cases"), c("valid")),
+            ("event_ids_unique", c("extra_event_ids"), zero),
+            ("event_indexes_contiguous", c("non_contiguous"), zero),
+            ("event_timestamps_monotonic", c("backwards"), zero),
+            ("first_activity_is_ticket_created", c("first_not_created"), zero),
+            ("closed_cases_end_with_ticket_closed", c("closed_bad_end"), zero),
+            ("open_cases_do_not_end_with_ticket_closed", c("open_bad_end"), zero),
+            ("reopened_events_reconcile", c("reopened_events"), c("reopened_source")),
+            ("escalation_events_reconcile", c("escalated_events"), c("escalated_source")),
+            ("closed_throughput_matches_source", c("throughput_mismatch"), zero),
+        ],
+    )
