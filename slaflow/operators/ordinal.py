@@ -12,6 +12,7 @@ into offsets and broadcast back.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -24,10 +25,16 @@ _POS = "__pos"
 _OFFSET = "__offset"
 
 
-def materialize(df: DataFrame) -> DataFrame:
-    """Cut lineage by a reliable checkpoint into the session's checkpoint dir."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+def materialize(df: DataFrame, name: str = "layer") -> DataFrame:
+    """Cut lineage: write the frame as Parquet under the session's checkpoint
+    directory (the shared folder named by ``spark.checkpoint.dir``) and read
+    it back.  Unlike an RDD checkpoint the copy is columnar, so later scans
+    prune columns and push filters; a lost executor re-reads the files
+    instead of recomputing the lineage."""
+    base = ensure_checkpoint_dir(df.sparkSession).rstrip("/")
+    path = f"{base}/slaflow-{name}-{uuid.uuid4().hex}"
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.parquet(path)
 
 
 def with_ordinal(
@@ -46,7 +53,7 @@ def with_ordinal(
     ranged = ranged.withColumn(_PART, part).withColumn(
         _POS, F.monotonically_increasing_id() - F.shiftleft(part.cast("long"), 33)
     )
-    frozen = materialize(ranged)
+    frozen = materialize(ranged, f"ordinal-{name}")
     sizes = frozen.groupBy(_PART).agg(F.count(F.lit(1)).alias("__rows"))
     before = Window.orderBy(_PART).rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select(_PART, F.coalesce(F.sum("__rows").over(before), F.lit(0)).alias(_OFFSET))

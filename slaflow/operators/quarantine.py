@@ -1,6 +1,6 @@
 """Silver: split validated rows into typed accepted rows and auditable
 rejections.  Both come from the same issue-annotated DataFrame
-(``size(issues) = 0`` vs ``> 0``), so the split needs no join."""
+(``issue_mask = 0`` vs ``<> 0``), so the split needs no join."""
 
 from __future__ import annotations
 
@@ -10,23 +10,23 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from slaflow.contract import column_spec
-from slaflow.operators.validation import ISSUES, helper, issue_codes, parsed_columns
+from slaflow.operators.validation import ISSUES, helper, is_valid, issue_codes, parsed_columns
 
 SILVER_METADATA = ["source_file", "ingestion_batch_id", "ingested_at_utc"]
 
 
 def accepted(annotated: DataFrame) -> DataFrame:
-    return annotated.where(F.size(ISSUES) == 0).drop(ISSUES)
+    return annotated.where(is_valid()).drop(ISSUES)
 
 
 def rejected(annotated: DataFrame, columns: list[str], contract: dict[str, Any]) -> DataFrame:
     """Rejected rows keep their raw text, plus the sorted distinct issue codes
     joined by ``|`` and the number of issues (not of distinct codes)."""
     codes = issue_codes(contract)
-    return annotated.where(F.size(ISSUES) > 0).select(
+    return annotated.where(~is_valid()).select(
         *columns,
         F.array_join(F.array_sort(F.array_distinct(codes)), "|").alias("rejection_reasons"),
-        F.size(ISSUES).cast("long").alias("issue_count"),
+        F.bit_count(F.col(ISSUES)).cast("long").alias("issue_count"),
     )
 
 

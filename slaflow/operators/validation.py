@@ -1,9 +1,11 @@
 """Contract-driven row validation.
 
-One projection evaluates every rule and keeps the violated ones as an
-``array<struct<issue_code, field, observed_value, message>>`` in rule
-order, so a row can carry many issues and the array position is the
-stable tie-break of the issue table.  The only shuffle is the uniqueness
+One projection evaluates every rule and records the violated ones as a
+bitmask (bit i-1 set = rule i violated), built from plain ``CASE`` and
+bitwise-or expressions so the whole projection stays in generated code.
+Rules do not short-circuit: a row can carry many issues.  Only rejected
+rows expand the mask into rule numbers (rule order is the stable
+tie-break of the issue table).  The only shuffle is the uniqueness
 rule: ids are aggregated (map-side combined; blank ids never leave the
 scan) and only ids seen more than once are joined back - AQE broadcasts
 that side when it turns out small and splits skewed partitions when not.
@@ -23,7 +25,8 @@ from slaflow.functions.temporal import parse_timestamp
 from slaflow.functions.text import full_match, text, trimmed
 from slaflow.sources.tables import require_columns
 
-ISSUES = "issues"
+ISSUES = "issue_mask"
+MAX_RULES = 62
 ISSUE_FIELDS = ["issue_code", "field", "observed_value", "message"]
 
 # ---------------------------------------------------------------------------
@@ -231,28 +234,37 @@ def duplicate_keys(df: DataFrame, key_cols: list[str], flag: str = "__duplicate"
 
 
 def annotate(df: DataFrame, contract: dict[str, Any]) -> DataFrame:
-    """Add ``issues``: the numbers (1-based, in rule order) of the rules the
-    row violates - empty for a valid row - and the per-row helper columns
-    (``__t_*``, ``__n_*``, ``__ts_*``) later layers reuse.
-
-    The array holds small integers only; code, field, message and observed
-    value are looked up from the rule catalogue for the (few) violating rows,
-    which keeps the per-row generated code small.
-    """
+    """Add ``issue_mask`` (0 for a valid row) and the per-row helper columns
+    (``__t_*``, ``__n_*``, ``__ts_*``) later layers reuse."""
     names = [c["name"] for c in contract["columns"]]
     require_columns(df, names)
     pk = contract.get("primary_key", [])
     flagged = duplicate_keys(df, pk) if pk else df
     flagged = flagged.select("*", *parsed_columns(contract))
     dup = F.col("__duplicate") if pk else None
-    numbered = [
-        F.when(F.coalesce(rule.condition, F.lit(False)), F.lit(i))
-        for i, rule in enumerate(rules(contract, dup), start=1)
-    ]
-    out = flagged.withColumn(ISSUES, F.filter(F.array(*numbered), lambda x: x.isNotNull()))
+    catalogue = rules(contract, dup)
+    if len(catalogue) > MAX_RULES:
+        raise ValueError(f"At most {MAX_RULES} rules fit the issue mask, got {len(catalogue)}")
+    mask = F.lit(0).cast("long")
+    for i, rule in enumerate(catalogue):
+        mask = mask.bitwiseOR(F.when(F.coalesce(rule.condition, F.lit(False)), F.lit(1 << i)).otherwise(F.lit(0)).cast("long"))
+    out = flagged.withColumn(ISSUES, mask)
     return out.drop("__duplicate") if pk else out
 
 
+def is_valid() -> Column:
+    return F.col(ISSUES) == 0
+
+
+def issue_numbers(contract: dict[str, Any]) -> Column:
+    """The violated rule numbers (1-based, rule order) of a row's mask."""
+    n = len(rule_catalogue(contract))
+    return F.filter(
+        F.sequence(F.lit(1), F.lit(n)),
+        lambda i: F.col(ISSUES).bitwiseAND(F.pow(F.lit(2.0), i - 1).cast("long")) != 0,
+    )
+
+
 def rule_catalogue(contract: dict[str, Any]) -> list[Rule]:
     """The rules in numbering order (conditions are not evaluated)."""
     return rules(contract, F.lit(False) if contract.get("primary_key") else None)
@@ -263,10 +275,10 @@ def _lookup(values: list[str], number: Column) -> Column:
 
 
 def issue_codes(contract: dict[str, Any]) -> Column:
-    """``issues`` mapped to their issue codes."""
+    """A row's violated rules mapped to their issue codes."""
     codes = [r.code for r in rule_catalogue(contract)]
     arr = F.array(*[F.lit(c) for c in codes])
-    return F.transform(F.col(ISSUES), lambda i: F.element_at(arr, i))
+    return F.transform(issue_numbers(contract), lambda i: F.element_at(arr, i))
 
 
 def issue_table(
@@ -282,11 +294,11 @@ def issue_table(
     catalogue = rule_catalogue(contract)
     fields = list(dict.fromkeys(r.field for r in catalogue))
     field_no = [fields.index(r.field) + 1 for r in catalogue]
-    exploded = annotated.select(
+    exploded = annotated.where(~is_valid()).select(
         F.col(row_col).cast("long").alias("source_row"),
         text(key_col).alias("ticket_id"),
         F.array(*[text(f) for f in fields]).alias("__values"),
-        F.explode(ISSUES).alias("issue_position"),
+        F.explode(issue_numbers(contract)).alias("issue_position"),
     )
     rule = F.col("issue_position")
     field_index = F.element_at(F.array(*[F.lit(n) for n in field_no]), rule)
@@ -308,7 +320,7 @@ def issue_counts(issues: DataFrame) -> DataFrame:
 def row_totals(annotated: DataFrame) -> DataFrame:
     """total / valid / invalid rows and valid_rate (half-even, 0.0 on no rows)."""
     total = F.count(F.lit(1))
-    invalid = F.count_if(F.size(ISSUES) > 0)
+    invalid = F.count_if(~is_valid())
     return annotated.agg(total.alias("total_rows"), invalid.alias("invalid_rows")).select(
         "total_rows",
         (F.col("total_rows") - F.col("invalid_rows")).alias("valid_rows"),

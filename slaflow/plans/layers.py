@@ -44,7 +44,7 @@ class MedallionLayers:
         """Bronze + issue numbers + parsed helper columns, materialised: the
         Silver boundary every later layer reads (three consumers: accepted,
         rejected, issues)."""
-        return materialize(validation.annotate(self.bronze, self.contract))
+        return materialize(validation.annotate(self.bronze, self.contract), "silver-annotated")
 
     @cached_property
     def issues(self) -> DataFrame:
@@ -77,7 +77,8 @@ class MedallionLayers:
 
     @cached_property
     def fact(self) -> DataFrame:
-        return star.fact_table(self.silver_valid, self.dim_team, self.dim_category, self.dim_priority)
+        """Gold fact, materialised (read by the marts, controls and FK checks)."""
+        return materialize(star.fact_table(self.silver_valid, self.dim_team, self.dim_category, self.dim_priority), "gold-fact")
 
     @cached_property
     def kpis(self) -> DataFrame:
@@ -90,7 +91,12 @@ class MedallionLayers:
     # ----------------------------------------------------------------- analytics
     @cached_property
     def enriched(self) -> DataFrame:
-        return metrics.enriched(self.fact, self.dim_date, self.dim_team, self.dim_category, self.dim_priority)
+        """Denormalised fact, materialised once: seven marts and the analytics
+        controls read it."""
+        return materialize(
+            metrics.enriched(self.fact, self.dim_date, self.dim_team, self.dim_category, self.dim_priority),
+            "gold-enriched",
+        )
 
     def mart(self, name: str) -> DataFrame:
         keys = {
@@ -114,7 +120,7 @@ class MedallionLayers:
     @cached_property
     def event_log(self) -> DataFrame:
         process.check_process_source(self.silver_valid)
-        return process.event_log(self.silver_valid)
+        return materialize(process.event_log(self.silver_valid), "event-log")
 
     @cached_property
     def cases(self) -> DataFrame:

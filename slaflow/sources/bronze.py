@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from slaflow.contract import DEFAULT_INGESTED_AT
-from slaflow.operators.ordinal import with_ordinal
+from slaflow.operators.ordinal import materialize, with_ordinal
 from slaflow.sources.requests import REQUEST_COLUMNS, request_metadata, request_rows
 from slaflow.sources.tables import require_columns
 
@@ -42,11 +42,12 @@ def bronze_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
         rows = request_rows(spark, sf_dir)
         numbered = with_ordinal(rows, ["request_key"], name="source_row", start=2)
         meta = request_metadata()
-        return numbered.select(
+        bronze = numbered.select(
             F.col("source_row").cast("long").alias("source_row"),
             *REQUEST_COLUMNS,
             *[F.lit(meta[c]).alias(c) for c in BRONZE_METADATA],
         )
+        return materialize(bronze, "bronze")
 
     return _cached(spark, sf_dir, "bronze_requests", build)
 
