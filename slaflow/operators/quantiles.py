@@ -2,14 +2,20 @@
 ``quantile_cont`` / pandas ``quantile``), built from ordinary aggregates.
 
 Spark's ``percentile`` keeps a value->count map per group in memory, so a
-group with many distinct values must fit in one task's heap.  Here the
-values are first counted per (group, value) - a map-side-combined
-aggregate, so a hot group is spread over all tasks - and the quantile is
-read off the running count of the distinct values in value order.  The
-running sum is a window over the *distinct* values of a group, which
-Spark sorts and spills to disk when it does not fit in memory; the final
-per-group aggregate reuses the window's hash partitioning (no new
-exchange).
+group with many distinct values must fit in one task's heap, and a window
+over the group would sort all of them in one task.  Here:
+
+1. values are counted per (group, value) - map-side combined, so a hot
+   group is pre-reduced in every task;
+2. the counted table is range-partitioned on (group, value), so a group
+   with many distinct values spans many partitions, and frozen with its
+   partition ids (materialised, so both later uses see the same split);
+3. running counts are computed per (partition, group) slice, each bounded
+   by one partition;
+4. per-group offsets come from a table with one row per slice (bounded
+   by partitions + groups) and turn slice ranks into group ranks;
+5. the rows holding the two ranks around (n-1)p are picked by a
+   map-side-combined aggregate.
 """
 
 from __future__ import annotations
@@ -19,6 +25,10 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from slaflow.operators.ordinal import materialize
+
+_PART = "__qpart"
+
 
 def exact_quantiles(
     df: DataFrame,
@@ -36,17 +46,32 @@ def exact_quantiles(
     if sum_of:
         partial.append(F.sum(sum_of).alias("__s"))
     counted = df.where(F.col(value).isNotNull()).groupBy(*keys, value).agg(*partial)
+    frozen = materialize(
+        counted.repartitionByRange(*[F.col(k) for k in keys], F.col(value)).withColumn(_PART, F.spark_partition_id()),
+        "quantile-slices",
+    )
+
+    in_slice = Window.partitionBy(_PART, *keys).orderBy(value).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    local = frozen.withColumn("__local_end", F.sum("__c").over(in_slice))
+
+    slices = frozen.groupBy(_PART, *keys).agg(F.sum("__c").alias("__slice"))
     group = Window.partitionBy(*keys) if keys else Window.partitionBy(F.lit(0))
-    running = group.orderBy(value).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    ranked = counted.select(
+    before = group.orderBy(_PART).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = slices.select(
+        _PART,
+        *keys,
+        F.coalesce(F.sum("__slice").over(before), F.lit(0)).alias("__offset"),
+        F.sum("__slice").over(group).alias("__n"),
+    )
+    ranked = local.join(offsets, [_PART, *keys]).select(
         *keys,
         value,
-        "__c",
         *(["__s"] if sum_of else []),
-        (F.sum("__c").over(running) - F.col("__c")).alias("__start"),
-        F.sum("__c").over(running).alias("__end"),
-        F.sum("__c").over(group).alias("__n"),
+        (F.col("__offset") + F.col("__local_end") - F.col("__c")).alias("__start"),
+        (F.col("__offset") + F.col("__local_end")).alias("__end"),
+        "__n",
     )
+
     picks = [F.max("__n").alias("__n")]
     if sum_of:
         picks.append(F.sum("__s").alias("__sum"))

@@ -78,6 +78,7 @@ QUERIES: dict[str, Query] = {
     "fact_requests": _on_layers(lambda L: L.fact),
     "fk_violations": _on_layers(lambda L: L.fk_violations),
     "kpis": _on_layers(lambda L: L.kpis),
+    "kpi_design_ranges": _on_layers(lambda L: metrics.kpi_range_violations(L.kpis, L.contract["scenario"]["kpi_design_ranges"])),
     # analytics marts
     "requests_enriched": _on_layers(lambda L: L.mart("service_requests_enriched")),
     "sla_by_team": _on_layers(lambda L: L.mart("sla_by_team")),

@@ -573,6 +573,12 @@ CONTROLS_PROCESS = _controls(
     ]
 )
 
+KPI_RANGES_SQL = "\nUNION ALL ".join(
+    f"SELECT {q(name)} AS kpi, CAST({name} AS DOUBLE) AS value, CAST({lo} AS DOUBLE) AS lower_bound, "
+    f"CAST({hi} AS DOUBLE) AS upper_bound, CAST({name} AS DOUBLE) BETWEEN CAST({lo} AS DOUBLE) AND CAST({hi} AS DOUBLE) AS inside FROM kpis"
+    for name, (lo, hi) in C["scenario"]["kpi_design_ranges"].items()
+)
+
 GROUPING_SETS_SQL = f"""SELECT CASE WHEN grouping(assigned_team) = 0 AND grouping(category) = 1 THEN 'sla_by_team'
             WHEN grouping(category) = 0 AND grouping(assigned_team) = 1 THEN 'sla_by_category'
             WHEN grouping(priority) = 0 THEN 'sla_by_priority'
@@ -606,6 +612,7 @@ FROM (SELECT CAST((SELECT count(*) FROM bronze) AS BIGINT) AS total_rows,
     "fact_requests": f"{PIPELINE}\nSELECT * FROM fact",
     "fk_violations": f"{PIPELINE}\nSELECT * FROM fk_violations",
     "kpis": f"{PIPELINE}\nSELECT * FROM kpis",
+    "kpi_design_ranges": f"{PIPELINE}\n{KPI_RANGES_SQL}",
     "requests_enriched": f"{PIPELINE}\nSELECT * FROM enriched",
     "sla_by_team": f"{PIPELINE}\nSELECT * FROM sla_by_team",
     "sla_by_category": f"{PIPELINE}\nSELECT * FROM sla_by_category",
