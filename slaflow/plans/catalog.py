@@ -33,7 +33,7 @@ def _layers(spark: SparkSession, sf_dir: str) -> MedallionLayers:
 
 def _observed(spark: SparkSession, sf_dir: str) -> ObservedLog:
     prepare_session(spark)
-    return ObservedLog(spark, sf_dir)
+    return ObservedLog.for_events(spark, sf_dir)
 
 
 def _on_layers(build: Callable[[MedallionLayers], DataFrame]) -> Query:
@@ -100,7 +100,7 @@ QUERIES: dict[str, Query] = {
     "controls_analytics": _on_layers(analytics_controls),
     "controls_process": _on_layers(process_controls),
     # process operators on the observed events table
-    "observed_transitions": lambda spark, sf: _observed(spark, sf).transitions(),
+    "observed_transitions": lambda spark, sf: _observed(spark, sf).transitions,
     "observed_bottlenecks": lambda spark, sf: _observed(spark, sf).bottlenecks(),
     "observed_variants": lambda spark, sf: _observed(spark, sf).variants(),
     # generic integrity operators on other tables

@@ -141,6 +141,9 @@ class MedallionLayers:
         return process.exception_paths(self.cases)
 
 
+_SESSION_LOGS: dict[tuple[str, str], "ObservedLog"] = {}
+
+
 class ObservedLog:
     """The ``events`` table read as a process log: one case per user (or per
     user and day), activity = event type, ordered by (ts, event_id)."""
@@ -148,14 +151,27 @@ class ObservedLog:
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.events = read_table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type")
 
+    @classmethod
+    def for_events(cls, spark: SparkSession, sf_dir: str) -> ObservedLog:
+        """Shared by the queries of a session (the successor pairs are
+        numbered and materialised once)."""
+        slot = (spark.sparkContext.applicationId, sf_dir)
+        if slot not in _SESSION_LOGS:
+            _SESSION_LOGS[slot] = cls(spark, sf_dir)
+        return _SESSION_LOGS[slot]
+
+    @cached_property
     def pairs(self) -> DataFrame:
-        return process.successor_pairs(self.events, ["user_id"], ["ts", "event_id"], "event_type", "ts")
+        return materialize(
+            process.successor_pairs(self.events, ["user_id"], ["ts", "event_id"], "event_type", "ts"), "observed-pairs"
+        )
 
+    @cached_property
     def transitions(self) -> DataFrame:
-        return process.transition_performance(self.pairs())
+        return process.transition_performance(self.pairs)
 
     def bottlenecks(self) -> DataFrame:
-        return process.bottlenecks(self.transitions(), boundary=process.OBSERVED_BOUNDARY)
+        return process.bottlenecks(self.transitions, boundary=process.OBSERVED_BOUNDARY)
 
     def daily_cases(self) -> DataFrame:
         by_day = self.events.withColumn("activity_date", F.to_date("ts"))
@@ -191,6 +207,7 @@ def medallion_controls(L: MedallionLayers) -> DataFrame:
 
 def analytics_controls(L: MedallionLayers) -> DataFrame:
     breaches = L.mart("sla_breach_details")
+    team = L.mart("sla_by_team")
     closed = F.col("closed_requests")
     m = controls.measures(
         {
@@ -201,8 +218,8 @@ def analytics_controls(L: MedallionLayers) -> DataFrame:
             "kpi_closed": (L.kpis, closed),
             "kpi_met": (L.kpis, F.col("sla_met_requests")),
             "kpi_rate": (L.kpis, F.col("sla_compliance_rate")),
-            "team_closed": (L.mart("sla_by_team"), closed),
-            "team_met": (L.mart("sla_by_team"), F.col("sla_met_requests")),
+            "team_closed": (team, closed),
+            "team_met": (team, F.col("sla_met_requests")),
             "category_closed": (L.mart("sla_by_category"), closed),
             "priority_closed": (L.mart("sla_by_priority"), closed),
             "team_category_closed": (L.mart("sla_by_team_category"), closed),
@@ -250,20 +267,22 @@ def process_controls(L: MedallionLayers) -> DataFrame:
     closed_cases = L.cases.where(F.col("status") == "closed").select("case_id", "throughput_minutes")
     source = L.silver_valid.select(F.col("ticket_id").alias("case_id"), F.col("resolution_minutes").cast("double").alias("__res"))
     throughput = closed_cases.join(source, "case_id", "left")
+    is_closed, is_open = F.col("status") == "closed", F.col("status") == "open"
     m = controls.measures(
         {
             "cases": (L.cases, controls.one()),
             "valid": (L.silver_valid, controls.one()),
-            "extra_event_ids": (repeated_ids, F.col("__k") - 1),
-            "non_contiguous": (per_event.where(last), controls.flag(non_contiguous)),
-            "backwards": (per_event, controls.flag(F.col("__backwards"))),
-            "first_not_created": (per_event.where(F.col("event_index") == 1), controls.flag(F.col("activity") != "ticket_created")),
-            "closed_bad_end": (per_event.where(last & (F.col("status") == "closed")), controls.flag(F.col("activity") != "ticket_closed")),
-            "open_bad_end": (per_event.where(last & (F.col("status") == "open")), controls.flag(F.col("activity") == "ticket_closed")),
-            "reopened_events": (log, controls.flag(F.col("activity") == "reopened")),
             "reopened_source": (L.silver_valid, F.col("reopened_count")),
-            "escalated_events": (log, controls.flag(F.col("activity") == "escalated")),
             "escalated_source": (L.silver_valid, controls.flag(F.col("escalated"))),
+            "extra_event_ids": (repeated_ids, F.col("__k") - 1),
+            # one pass over the windowed event log for every per-event check
+            "non_contiguous": (per_event, controls.flag(last & non_contiguous)),
+            "backwards": (per_event, controls.flag(F.col("__backwards"))),
+            "first_not_created": (per_event, controls.flag((F.col("event_index") == 1) & (F.col("activity") != "ticket_created"))),
+            "closed_bad_end": (per_event, controls.flag(last & is_closed & (F.col("activity") != "ticket_closed"))),
+            "open_bad_end": (per_event, controls.flag(last & is_open & (F.col("activity") == "ticket_closed"))),
+            "reopened_events": (per_event, controls.flag(F.col("activity") == "reopened")),
+            "escalated_events": (per_event, controls.flag(F.col("activity") == "escalated")),
             "throughput_mismatch": (throughput, controls.flag(~F.col("throughput_minutes").eqNullSafe(F.col("__res")))),
         }
     )
