@@ -3,7 +3,9 @@
 New CSV drops in a folder are appended to a Bronze Parquet table, one
 micro-batch at a time: all values as text, the fixed column subset, the
 file name, a content fingerprint of the batch's files and a contiguous
-``source_row`` continuing from the rows already landed.  Validation stays
+``source_row`` continuing from the rows already landed.  Each epoch writes
+its own ``batch_epoch=<id>`` folder in overwrite mode, so a retried epoch
+(after a lost executor or driver restart) is idempotent.  Validation stays
 a batch job over the landed table (the uniqueness rule needs all rows).
 """
 
@@ -32,11 +34,14 @@ def _batch_fingerprint(spark: SparkSession, paths: list[str]) -> str:
     return hashlib.sha256("".join(r["d"] for r in digests).encode()).hexdigest()[:16]
 
 
-def _landed_rows(spark: SparkSession, table_dir: str) -> int:
+def _landed_rows(spark: SparkSession, table_dir: str, before_epoch: int) -> int:
+    """Highest ``source_row`` landed by earlier epochs (1 when none), so a
+    retried epoch numbers its rows exactly as the first attempt did."""
     try:
-        row = spark.read.parquet(table_dir).agg(F.max("source_row").alias("m")).first()
-    except Exception:  # nothing landed yet
+        landed = spark.read.parquet(table_dir)
+    except Exception:  # nothing landed yet (path does not exist)
         return 1
+    row = landed.where(F.col("batch_epoch") < before_epoch).agg(F.max("source_row").alias("m")).first()
     return int(row["m"]) if row and row["m"] is not None else 1
 
 
@@ -71,7 +76,7 @@ def land_bronze_stream(
         files = [r["__file"] for r in positioned.select("__file").distinct().collect()]  # <= max_files_per_trigger
         if not files:
             return
-        start = _landed_rows(session, table_dir) + 1
+        start = _landed_rows(session, table_dir, epoch_id) + 1
         numbered = with_ordinal(positioned, ["__file", "__block", "__record"], name="source_row", start=start)
         out = numbered.select(
             F.col("source_row").cast("long").alias("source_row"),
@@ -80,7 +85,9 @@ def land_bronze_stream(
             F.lit(_batch_fingerprint(session, files)).alias("ingestion_batch_id"),
             F.lit(DEFAULT_INGESTED_AT).alias("ingested_at_utc"),
         )
-        out.write.mode("append").parquet(table_dir)
+        # one folder per epoch, overwritten on retry: a re-run batch replaces
+        # its own partial output instead of appending duplicates
+        out.write.mode("overwrite").parquet(f"{table_dir.rstrip('/')}/batch_epoch={epoch_id}")
 
     writer = stream.writeStream.foreachBatch(land).option("checkpointLocation", checkpoint_location)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")
