@@ -5,7 +5,7 @@ Three rounding families exist and are kept apart on purpose:
 * ``kpi_round`` / ``safe_rate`` - half-even (the KPI row and the process
   tables);
 * ``sql_round`` / ``sql_ratio`` - half away from zero (the SQL marts);
-* ``half_even_int`` - integer half-even used by minute clamps, Spark ``rint``.
+* minute clamps round to an integer half-even with Spark ``rint``.
 
 Both decimal families scale by 10^d, round the binary product to an
 integer and scale back (``rint`` / ``round(.., 0)``).  Spark's
@@ -61,10 +61,6 @@ def sql_ratio(numerator: Column, denominator: Column, digits: int = 4) -> Column
     return sql_round(ratio, digits)
 
 
-def half_even_int(value: Column) -> Column:
-    return F.rint(value)
-
-
 def clamp(value: Column, low: float, high: float) -> Column:
     return F.least(F.lit(high), F.greatest(F.lit(low), value))
 

@@ -13,26 +13,21 @@ def parse_timestamp(text_col: Column, java_pattern: str) -> Column:
     return F.try_to_timestamp(text_col, F.lit(java_pattern))
 
 
-def format_timestamp(ts: Column, java_pattern: str) -> Column:
-    return F.date_format(ts, java_pattern)
-
-
-def epoch_micros(ts: Column) -> Column:
-    return F.unix_micros(ts.cast("timestamp"))
-
-
-def minutes_between(start: Column, end: Column) -> Column:
-    """Fractional minutes from start to end."""
-    return (epoch_micros(end) - epoch_micros(start)) / F.lit(float(MICROS_PER_MINUTE))
+def micros_to_minutes(micros: Column) -> Column:
+    """Fractional minutes of a microsecond duration (seconds first, then /60)."""
+    return (micros.cast("double") / F.lit(1_000_000.0)) / F.lit(60.0)
 
 
 def add_minutes_micros(start_micros: Column, minutes: Column) -> Column:
+    """start + a whole number of minutes, in epoch microseconds."""
     return start_micros + minutes.cast("long") * F.lit(MICROS_PER_MINUTE)
 
 
-def fraction_micros(start_micros: Column, duration_micros: Column, percent: int) -> Column:
-    """start + percent% of the duration, exact integer arithmetic in microseconds."""
-    return start_micros + F.floor(duration_micros * F.lit(percent) / F.lit(100)).cast("long")
+def fraction_micros(start_micros: Column, duration_micros: Column, percent: Column | int) -> Column:
+    """start + percent % of the duration, exact integer arithmetic in
+    microseconds (durations are non-negative)."""
+    pct = percent if isinstance(percent, Column) else F.lit(percent)
+    return start_micros + F.floor(duration_micros * pct / F.lit(100)).cast("long")
 
 
 def date_key(ts: Column) -> Column:

@@ -20,8 +20,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from slaflow.contract import BOTTLENECK_BOUNDARY, EVENT_ORIGIN, MIN_BOTTLENECK_CASES
-from slaflow.functions.numeric import count_when, kpi_round, safe_rate
-from slaflow.functions.temporal import MICROS_PER_MINUTE
+from slaflow.functions.numeric import clamp, count_when, kpi_round, safe_rate
+from slaflow.functions.temporal import add_minutes_micros, fraction_micros, micros_to_minutes
 from slaflow.operators.ordinal import with_ordinal
 from slaflow.operators.quantiles import exact_quantiles
 from slaflow.sources.tables import require_columns
@@ -47,11 +47,6 @@ CASE_CONTEXT = ["assigned_team", "category", "priority", "customer_segment", "st
 EVENTS = "__events"
 
 
-def micros_to_minutes(micros: Column) -> Column:
-    """Fractional minutes of a microsecond duration (seconds first, then /60)."""
-    return (micros.cast("double") / F.lit(1_000_000.0)) / F.lit(60.0)
-
-
 # --------------------------------------------------------------------------- derived log (G1-G9)
 
 
@@ -80,18 +75,16 @@ def lifecycle_events() -> Column:
     reopened = F.col("reopened_count")
     sla = F.col("sla_target_minutes").cast("double")
 
-    closed_minutes = (duration.cast("double") / F.lit(1_000_000.0)) / F.lit(60.0)
-    assigned_closed = F.least(F.lit(15.0), F.greatest(F.lit(1.0), F.rint(closed_minutes * F.lit(0.05))))
-    assigned_open = F.least(F.lit(15.0), F.greatest(F.lit(1.0), F.rint(sla * F.lit(0.05))))
+    assigned_closed = clamp(F.rint(micros_to_minutes(duration) * F.lit(0.05)), 1.0, 15.0)
+    assigned_open = clamp(F.rint(sla * F.lit(0.05)), 1.0, 15.0)
     assigned = F.when(is_closed, assigned_closed).otherwise(assigned_open).cast("long")
     escalation_open = F.greatest(assigned + 1, F.rint(sla * F.lit(0.75)).cast("long"))
 
     def at(percent: Column | int) -> Column:
-        pct = percent if isinstance(percent, Column) else F.lit(percent)
-        return created + F.floor(duration * pct / F.lit(100)).cast("long")
+        return fraction_micros(created, duration, percent)
 
     def minutes_after(minutes: Column) -> Column:
-        return created + minutes * F.lit(MICROS_PER_MINUTE)
+        return add_minutes_micros(created, minutes)
 
     one, two = is_closed & (reopened == 1), is_closed & (reopened == 2)
     events = [

@@ -27,7 +27,6 @@ from slaflow.sources.tables import require_columns
 
 ISSUES = "issue_mask"
 MAX_RULES = 62
-ISSUE_FIELDS = ["issue_code", "field", "observed_value", "message"]
 
 # ---------------------------------------------------------------------------
 # Issue codes and messages of rules whose wording is not

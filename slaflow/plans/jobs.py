@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 from slaflow.contract import EVENT_ORIGIN, default_contract
 from slaflow.operators import controls as ctl
 from slaflow.operators import metrics, process, validation
+from slaflow.operators.ordinal import materialize
 from slaflow.plans.layers import (
     MedallionLayers,
     analytics_controls,
@@ -29,6 +30,7 @@ from slaflow.plans.layers import (
 )
 from slaflow.session import prepare_session
 from slaflow.sources.bronze import bronze_from_csv
+from slaflow.sources.tables import require_rows
 
 PIPELINE_VERSION = "0.2.1"
 ANALYTICS_VERSION = "0.1.0"
@@ -48,25 +50,41 @@ GOLD_TABLES = ["fact_service_requests", "dim_date", "dim_team", "dim_category",
 # --------------------------------------------------------------------------- sinks
 
 
-def write_parquet(df: DataFrame, path: str | Path) -> None:
-    df.write.mode("overwrite").parquet(str(path))
+def join_path(base: str | Path, *parts: str) -> str:
+    """Join storage paths as text (keeps ``scheme://`` URIs intact)."""
+    return "/".join([str(base).rstrip("/"), *[p.strip("/") for p in parts]])
 
 
-def write_small_csv(df: DataFrame, path: str | Path) -> None:
+def _is_local(path: str) -> bool:
+    return "://" not in path or path.startswith("file://")
+
+
+def write_parquet(df: DataFrame, path: str) -> None:
+    df.write.mode("overwrite").parquet(path)
+
+
+def write_small_csv(df: DataFrame, path: str) -> None:
     """CSV for small reviewable tables (KPI row, marts): one part file."""
-    df.coalesce(1).write.mode("overwrite").option("header", True).csv(str(path))
+    df.coalesce(1).write.mode("overwrite").option("header", True).csv(path)
 
 
-def write_csv(df: DataFrame, path: str | Path) -> None:
+def write_csv(df: DataFrame, path: str) -> None:
     """CSV for tables that grow with the data: one part file per partition."""
-    df.write.mode("overwrite").option("header", True).csv(str(path))
+    df.write.mode("overwrite").option("header", True).csv(path)
 
 
-def write_manifest(manifest: dict[str, Any], path: str | Path) -> Path:
-    destination = Path(path)
-    destination.parent.mkdir(parents=True, exist_ok=True)
-    destination.write_text(json.dumps(manifest, indent=2, sort_keys=True, default=str) + "\n", encoding="utf-8")
-    return destination
+def write_manifest(manifest: dict[str, Any], path: str | Path, spark: SparkSession | None = None) -> str:
+    """Sorted-key JSON; written directly on a local path, through Spark (one
+    small text part file) on cluster storage."""
+    text = json.dumps(manifest, indent=2, sort_keys=True, default=str) + "\n"
+    path = str(path)
+    if _is_local(path) or spark is None:
+        destination = Path(path.removeprefix("file://"))
+        destination.parent.mkdir(parents=True, exist_ok=True)
+        destination.write_text(text, encoding="utf-8")
+        return str(destination)
+    spark.createDataFrame([(text,)], "value string").coalesce(1).write.mode("overwrite").text(path)
+    return path
 
 
 def one_row(df: DataFrame) -> dict[str, Any]:
@@ -94,8 +112,8 @@ def validate_source(bronze: DataFrame, contract: dict[str, Any] | None = None) -
     return validation.validation_report(annotated, contract)
 
 
-def write_report(report: dict[str, Any], path: str | Path) -> Path:
-    return write_manifest(report, path)
+def write_report(report: dict[str, Any], path: str | Path, spark: SparkSession | None = None) -> str:
+    return write_manifest(report, path, spark)
 
 
 def validate_file(spark: SparkSession, input_path: str, contract: dict[str, Any] | None = None) -> dict[str, Any]:
@@ -145,24 +163,24 @@ def build_medallion(layers: MedallionLayers) -> MedallionRun:
     return MedallionRun(layers, manifest["controls"], manifest)
 
 
-def write_medallion(run: MedallionRun, output_dir: str | Path) -> Path:
-    out = Path(output_dir)
+def write_medallion(run: MedallionRun, output_dir: str | Path) -> str:
+    out = str(output_dir)
     L = run.layers
-    write_parquet(L.bronze, out / "bronze" / "service_requests")
-    write_parquet(L.silver_valid, out / "silver" / "service_requests_valid")
-    write_parquet(L.silver_rejected, out / "silver" / "service_requests_rejected")
-    write_parquet(L.issues.drop("issue_position"), out / "silver" / "service_request_issues")
-    write_parquet(L.fact, out / "gold" / "fact_service_requests")
-    write_parquet(L.dim_date, out / "gold" / "dim_date")
-    write_parquet(L.dim_team, out / "gold" / "dim_team")
-    write_parquet(L.dim_category, out / "gold" / "dim_category")
-    write_parquet(L.dim_priority, out / "gold" / "dim_priority")
-    write_parquet(L.kpis, out / "gold" / "service_operations_kpis")
-    write_small_csv(L.kpis, out / "gold" / "service_operations_kpis_csv")
-    return write_manifest(run.manifest, out / "medallion_manifest.json")
-
-
-def run_medallion(spark: SparkSession, input_path: str, output_dir: str, contract: dict[str, Any] | None = None) -> Path:
+    write_parquet(L.bronze, join_path(out, "bronze", "service_requests"))
+    write_parquet(L.silver_valid, join_path(out, "silver", "service_requests_valid"))
+    write_parquet(L.silver_rejected, join_path(out, "silver", "service_requests_rejected"))
+    write_parquet(L.issues.drop("issue_position"), join_path(out, "silver", "service_request_issues"))
+    write_parquet(L.fact, join_path(out, "gold", "fact_service_requests"))
+    write_parquet(L.dim_date, join_path(out, "gold", "dim_date"))
+    write_parquet(L.dim_team, join_path(out, "gold", "dim_team"))
+    write_parquet(L.dim_category, join_path(out, "gold", "dim_category"))
+    write_parquet(L.dim_priority, join_path(out, "gold", "dim_priority"))
+    write_parquet(L.kpis, join_path(out, "gold", "service_operations_kpis"))
+    write_small_csv(L.kpis, join_path(out, "gold", "service_operations_kpis_csv"))
+    return write_manifest(run.manifest, join_path(out, "medallion_manifest.json"), L.bronze.sparkSession)
+
+
+def run_medallion(spark: SparkSession, input_path: str, output_dir: str, contract: dict[str, Any] | None = None) -> str:
     prepare_session(spark)
     layers = MedallionLayers(bronze_from_csv(spark, input_path), contract)
     return write_medallion(build_medallion(layers), output_dir)
@@ -175,16 +193,15 @@ class GoldTables:
     """Gold tables read back from a medallion output folder."""
 
     def __init__(self, spark: SparkSession, medallion_dir: str | Path):
-        base = Path(medallion_dir) / "gold"
-        read = lambda name: spark.read.parquet(str(base / name))  # noqa: E731 - a tiny reader
+        def read(name: str) -> DataFrame:
+            return spark.read.parquet(join_path(medallion_dir, "gold", name))
+
         self.fact = read("fact_service_requests")
         self.dim_date = read("dim_date")
         self.dim_team = read("dim_team")
         self.dim_category = read("dim_category")
         self.dim_priority = read("dim_priority")
         self.kpis = read("service_operations_kpis")
-        from slaflow.operators.ordinal import materialize
-
         self.enriched = materialize(
             metrics.enriched(self.fact, self.dim_date, self.dim_team, self.dim_category, self.dim_priority), "analytics-enriched"
         )
@@ -231,13 +248,14 @@ def build_analytics(spark: SparkSession, medallion_dir: str | Path) -> Analytics
     return AnalyticsRun(tables, manifest["controls"], manifest)
 
 
-def write_analytics(run: AnalyticsRun, output_dir: str | Path) -> Path:
-    out = Path(output_dir)
+def write_analytics(run: AnalyticsRun, output_dir: str | Path) -> str:
+    out = str(output_dir)
     for name, df in run.tables.items():
-        write_parquet(df, out / name)
+        write_parquet(df, join_path(out, name))
     for name in ["sla_by_team", "sla_by_category", "sla_by_priority"]:
-        write_small_csv(run.tables[name], out / f"{name}_csv")
-    return write_manifest(run.manifest, out / "analytics_manifest.json")
+        write_small_csv(run.tables[name], join_path(out, f"{name}_csv"))
+    spark = next(iter(run.tables.values())).sparkSession
+    return write_manifest(run.manifest, join_path(out, "analytics_manifest.json"), spark)
 
 
 # --------------------------------------------------------------------------- process intelligence (B6)
@@ -253,8 +271,7 @@ class ProcessRun:
 def build_process_intelligence(layers: MedallionLayers) -> ProcessRun:
     valid = layers.silver_valid
     process.check_process_source(valid)
-    if valid.isEmpty():
-        raise ValueError("Process-intelligence source must contain at least one valid case.")
+    require_rows(valid, "Process-intelligence source must contain at least one valid case.")
     controls_df = process_controls(layers)
     ctl.gate(controls_df, "Process-intelligence")
     tables = {
@@ -293,12 +310,13 @@ def build_process_intelligence(layers: MedallionLayers) -> ProcessRun:
     return ProcessRun(tables, manifest["controls"], manifest)
 
 
-def write_process_intelligence(run: ProcessRun, output_dir: str | Path) -> Path:
-    out = Path(output_dir)
+def write_process_intelligence(run: ProcessRun, output_dir: str | Path) -> str:
+    out = str(output_dir)
     for name, df in run.tables.items():
-        write_parquet(df, out / name)
+        write_parquet(df, join_path(out, name))
         if name in ("event_log", "process_cases"):
-            write_csv(df, out / f"{name}_csv")
+            write_csv(df, join_path(out, f"{name}_csv"))
         else:
-            write_small_csv(df, out / f"{name}_csv")
-    return write_manifest(run.manifest, out / "process_intelligence_manifest.json")
+            write_small_csv(df, join_path(out, f"{name}_csv"))
+    spark = next(iter(run.tables.values())).sparkSession
+    return write_manifest(run.manifest, join_path(out, "process_intelligence_manifest.json"), spark)

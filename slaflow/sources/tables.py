@@ -21,11 +21,6 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(table_path(sf_dir, name))
 
 
-def read_parquet_layer(spark: SparkSession, path: str) -> DataFrame:
-    """Read a persisted layer; a missing path surfaces as PATH_NOT_FOUND."""
-    return spark.read.parquet(path)
-
-
 def require_columns(df: DataFrame, required: Iterable[str], what: str = "Source data") -> None:
     """Fail before any job runs when a required column is absent (no Spark job)."""
     present = set(df.columns)

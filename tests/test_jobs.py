@@ -24,7 +24,7 @@ def test_csv_bronze_and_validation(spark, source_csv):
 
 def test_medallion_analytics_process_jobs(spark, source_csv, tmp_path):
     manifest_path = jobs.run_medallion(spark, source_csv, str(tmp_path / "medallion"))
-    manifest = json.loads(manifest_path.read_text())
+    manifest = json.loads(open(manifest_path).read())
     assert all(manifest["controls"].values())
     rc = manifest["row_counts"]
     assert rc["bronze"] == rc["silver_valid"] + rc["silver_rejected"] == 1500
