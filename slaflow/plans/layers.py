@@ -17,6 +17,7 @@ from slaflow.contract import default_contract
 from slaflow.functions.numeric import safe_rate
 from slaflow.operators import controls, metrics, process, quarantine, star, validation
 from slaflow.operators.ordinal import materialize
+from slaflow.session import session_key
 from slaflow.sources.bronze import bronze_columns, bronze_requests
 from slaflow.sources.tables import read_table
 
@@ -33,7 +34,7 @@ class MedallionLayers:
     def for_requests(cls, spark: SparkSession, sf_dir: str) -> MedallionLayers:
         """The layers of the request source of ``sf_dir``, shared by every
         query of the session (Bronze and Silver are materialised once)."""
-        slot = (spark.sparkContext.applicationId, sf_dir)
+        slot = (session_key(spark), sf_dir)
         if slot not in _SESSION_LAYERS:
             _SESSION_LAYERS[slot] = cls(bronze_requests(spark, sf_dir))
         return _SESSION_LAYERS[slot]
@@ -155,7 +156,7 @@ class ObservedLog:
     def for_events(cls, spark: SparkSession, sf_dir: str) -> ObservedLog:
         """Shared by the queries of a session (the successor pairs are
         numbered and materialised once)."""
-        slot = (spark.sparkContext.applicationId, sf_dir)
+        slot = (session_key(spark), sf_dir)
         if slot not in _SESSION_LOGS:
             _SESSION_LOGS[slot] = cls(spark, sf_dir)
         return _SESSION_LOGS[slot]

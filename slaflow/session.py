@@ -48,14 +48,31 @@ def prepare_session(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def session_key(spark: SparkSession) -> str:
+    """Identity of the running application (layer caches are per session)."""
+    try:
+        return spark.sparkContext.applicationId
+    except Exception:  # Spark Connect: no SparkContext on the client
+        return str(getattr(spark, "session_id", id(spark)))
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    sc = spark.sparkContext
-    current = sc.getCheckpointDir()
-    if current:
-        return current
-    configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
+    """The shared folder for lineage cuts: the SparkContext's checkpoint dir,
+    else ``spark.checkpoint.dir``, else (tests, local runs) a private folder."""
+    try:
+        sc = spark.sparkContext
+    except Exception:  # Spark Connect
+        sc = None
+    if sc is not None and sc.getCheckpointDir():
+        return sc.getCheckpointDir()
+    configured = spark.conf.get("spark.checkpoint.dir", None)
+    if not configured and sc is not None:
+        configured = sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
         # Only reached when the deployment names no shared folder (tests).
         configured = tempfile.mkdtemp(prefix="slaflow-ckpt-", dir=os.environ.get("SLAFLOW_LOCAL_TMP", "/tmp"))
+        spark.conf.set("spark.checkpoint.dir", configured)
+    if sc is None:
+        return configured
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured

@@ -17,6 +17,7 @@ from pyspark.sql import types as T
 
 from slaflow.contract import DEFAULT_INGESTED_AT
 from slaflow.operators.ordinal import materialize, with_ordinal
+from slaflow.session import session_key
 from slaflow.sources.requests import REQUEST_COLUMNS, request_metadata, request_rows
 from slaflow.sources.tables import require_columns
 
@@ -29,7 +30,7 @@ def bronze_columns(columns: Sequence[str] = REQUEST_COLUMNS) -> list[str]:
 
 
 def _cached(spark: SparkSession, key: str, name: str, build) -> DataFrame:
-    slot = (spark.sparkContext.applicationId, key, name)
+    slot = (session_key(spark), key, name)
     if slot not in _LAYERS:
         _LAYERS[slot] = build()
     return _LAYERS[slot]
