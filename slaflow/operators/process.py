@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from slaflow.contract import BOTTLENECK_BOUNDARY, EVENT_ORIGIN, MIN_BOTTLENECK_CASES
 from slaflow.functions.numeric import clamp, count_when, kpi_round, safe_rate
 from slaflow.functions.temporal import add_minutes_micros, fraction_micros, micros_to_minutes
-from slaflow.operators.ordinal import with_ordinal
+from slaflow.operators.ordinal import materialize, with_ordinal
 from slaflow.operators.quantiles import exact_quantiles
 from slaflow.sources.tables import require_columns
 
@@ -198,25 +198,42 @@ def derived_pairs(valid: DataFrame) -> DataFrame:
 # --------------------------------------------------------------------------- observed logs
 
 
-def successor_pairs(
+RANK = "__r"
+PIECE_EVENTS = 10_000
+
+
+def number_events(
     log: DataFrame,
     case_cols: Sequence[str],
     order_cols: Sequence[str],
     activity_col: str,
     ts_col: str,
 ) -> DataFrame:
-    """(source, target, wait) of consecutive events of each case of an
-    observed log, ordered by ``order_cols`` within the case."""
+    """Events of an observed log with a global rank in (case, order) order:
+    ranks are contiguous inside each case.  Materialised, so every consumer
+    sees the same numbering."""
     case_cols, order_cols = list(case_cols), list(order_cols)
-    base = log.select(*case_cols, *[c for c in order_cols if c not in case_cols], F.col(activity_col).alias("__a"), F.col(ts_col).cast("timestamp").alias("__t"))
-    numbered = with_ordinal(base, [*case_cols, *order_cols], name="__r")
+    base = log.select(
+        *case_cols,
+        *[c for c in order_cols if c not in case_cols],
+        F.col(activity_col).alias("__a"),
+        F.col(ts_col).cast("timestamp").alias("__t"),
+    )
+    return materialize(with_ordinal(base, [*case_cols, *order_cols], name=RANK), "numbered-events")
+
+
+def pairs_of_numbered(numbered: DataFrame, case_cols: Sequence[str]) -> DataFrame:
+    """(source, target, wait) of consecutive events: each event joined to
+    rank + 1 of the same case - an equi-join on a unique key, so no case,
+    however large, is gathered into one task."""
+    case_cols = list(case_cols)
     successor = numbered.select(
-        (F.col("__r") - 1).alias("__r"),
+        (F.col(RANK) - 1).alias(RANK),
         *[F.col(c).alias(f"__next_{c}") for c in case_cols],
         F.col("__a").alias("target_activity"),
         F.col("__t").alias("__next_t"),
     )
-    cond = [numbered["__r"] == successor["__r"]] + [numbered[c] == successor[f"__next_{c}"] for c in case_cols]
+    cond = [numbered[RANK] == successor[RANK]] + [numbered[c] == successor[f"__next_{c}"] for c in case_cols]
     joined = numbered.join(successor, cond, "inner")
     wait_us = F.unix_micros("__next_t") - F.unix_micros("__t")
     return joined.select(
@@ -227,26 +244,52 @@ def successor_pairs(
     )
 
 
-def observed_cases(
+def successor_pairs(
     log: DataFrame,
     case_cols: Sequence[str],
     order_cols: Sequence[str],
     activity_col: str,
     ts_col: str,
 ) -> DataFrame:
-    """Per case of an observed log: event count, first/last time, span and
-    the ordered activity sequence.  The sequence is the case's own output
-    value, so a case's events are gathered into its row (partial
-    aggregation still combines them per map task first)."""
-    ev = F.struct(F.col(ts_col).cast("timestamp").alias("t"), *[F.col(c) for c in order_cols if c != ts_col], F.col(activity_col).alias("activity"))
-    grouped = log.groupBy(*case_cols).agg(F.array_sort(F.collect_list(ev)).alias("__seq"))
-    first, last = F.col("__seq")[0]["t"], F.element_at(F.col("__seq"), -1)["t"]
-    return grouped.select(
+    """(source, target, wait) of consecutive events of each case of an
+    observed log, ordered by ``order_cols`` within the case."""
+    return pairs_of_numbered(number_events(log, case_cols, order_cols, activity_col, ts_col), case_cols)
+
+
+def observed_cases(numbered: DataFrame, case_cols: Sequence[str], piece_events: int = PIECE_EVENTS) -> DataFrame:
+    """Per case of a numbered observed log: event count, first/last time,
+    span and the ordered activity sequence (its variant).
+
+    The sequence is assembled in pieces of at most ``piece_events``
+    consecutive ranks - built in parallel, each bounded - and a case only
+    concatenates its piece strings, so no task sorts or holds a hot case's
+    events; the variant string itself is the case's output value.
+    """
+    case_cols = list(case_cols)
+    pieces = numbered.groupBy(*case_cols, F.floor(F.col(RANK) / F.lit(piece_events)).alias("__piece")).agg(
+        F.min(RANK).alias("__from"),
+        F.count(F.lit(1)).alias("__n"),
+        F.min("__t").alias("__first"),
+        F.max("__t").alias("__last"),
+        F.array_join(
+            F.transform(F.array_sort(F.collect_list(F.struct(F.col(RANK), F.col("__a")))), lambda e: e["__a"]), " > "
+        ).alias("__text"),
+    )
+    cases = pieces.groupBy(*case_cols).agg(
+        F.sum("__n").alias("event_count"),
+        F.min("__first").alias("first_event_at"),
+        F.max("__last").alias("last_event_at"),
+        F.array_join(
+            F.transform(F.array_sort(F.collect_list(F.struct("__from", "__text"))), lambda p: p["__text"]), " > "
+        ).alias("process_variant"),
+    )
+    first, last = F.col("first_event_at"), F.col("last_event_at")
+    return cases.select(
         *case_cols,
-        F.size("__seq").cast("long").alias("event_count"),
-        first.alias("first_event_at"),
-        last.alias("last_event_at"),
-        variant_of(F.col("__seq")).alias("process_variant"),
+        F.col("event_count").cast("long").alias("event_count"),
+        first,
+        last,
+        "process_variant",
         kpi_round(micros_to_minutes(F.unix_micros(last) - F.unix_micros(first)), 2).alias("observed_span_minutes"),
     )
 

@@ -161,11 +161,15 @@ class ObservedLog:
             _SESSION_LOGS[slot] = cls(spark, sf_dir)
         return _SESSION_LOGS[slot]
 
+    @cached_property
+    def numbered(self) -> DataFrame:
+        """Events with a global rank in (user, ts, event_id) order - shared by
+        the successor pairs and the per-day cases (the day follows ts)."""
+        return process.number_events(self.events, ["user_id"], ["ts", "event_id"], "event_type", "ts")
+
     @cached_property
     def pairs(self) -> DataFrame:
-        return materialize(
-            process.successor_pairs(self.events, ["user_id"], ["ts", "event_id"], "event_type", "ts"), "observed-pairs"
-        )
+        return materialize(process.pairs_of_numbered(self.numbered, ["user_id"]), "observed-pairs")
 
     @cached_property
     def transitions(self) -> DataFrame:
@@ -175,8 +179,8 @@ class ObservedLog:
         return process.bottlenecks(self.transitions, boundary=process.OBSERVED_BOUNDARY)
 
     def daily_cases(self) -> DataFrame:
-        by_day = self.events.withColumn("activity_date", F.to_date("ts"))
-        return process.observed_cases(by_day, ["user_id", "activity_date"], ["ts", "event_id"], "event_type", "ts")
+        by_day = self.numbered.withColumn("activity_date", F.to_date("__t"))
+        return process.observed_cases(by_day, ["user_id", "activity_date"])
 
     def variants(self) -> DataFrame:
         return process.observed_variants(self.daily_cases())

@@ -134,3 +134,23 @@ def test_exact_quantiles_match_numpy(spark):
         assert out[g]["n"] == len(arr)
         assert out[g]["med"] == pytest.approx(np.quantile(arr, 0.5), abs=1e-9)
         assert out[g]["p90"] == pytest.approx(np.quantile(arr, 0.9), abs=1e-9)
+
+
+def test_observed_cases_assemble_pieces_like_brute_force(spark):
+    rows = []
+    for i in range(240):
+        user = 0 if i % 3 == 0 else i % 5  # user 0 holds a third of the events
+        rows.append((i, dt.datetime(2024, 1, 1) + dt.timedelta(minutes=(i * 53) % 4000), user, ["a", "b", "c", "d"][i * 7 % 4]))
+    events = spark.createDataFrame(rows, "event_id long, ts timestamp, user_id long, event_type string")
+    numbered = process.number_events(events, ["user_id"], ["ts", "event_id"], "event_type", "ts")
+    by_day = numbered.withColumn("activity_date", F.to_date("__t"))
+    got = {
+        (r["user_id"], r["activity_date"]): (r["event_count"], r["process_variant"])
+        for r in process.observed_cases(by_day, ["user_id", "activity_date"], piece_events=3).collect()
+    }
+    expected = {}
+    for user in {r[2] for r in rows}:
+        for day in {r[1].date() for r in rows if r[2] == user}:
+            seq = sorted((r for r in rows if r[2] == user and r[1].date() == day), key=lambda r: (r[1], r[0]))
+            expected[(user, day)] = (len(seq), " > ".join(r[3] for r in seq))
+    assert got == expected
