@@ -43,3 +43,15 @@ def test_medallion_analytics_process_jobs(spark, source_csv, tmp_path):
     assert run.manifest["row_counts"]["cases"] == rc["silver_valid"]
     jobs.write_process_intelligence(run, str(tmp_path / "process"))
     assert (tmp_path / "process" / "process_intelligence_manifest.json").is_file()
+
+
+def test_command_line_jobs(spark, source_csv, tmp_path):
+    from slaflow.__main__ import main
+
+    assert main(["validate", "--input", source_csv, "--report", str(tmp_path / "report.json"), "--expected-rows", "1500", "--expected-invalid", "30"], spark) == 0
+    assert json.loads(open(tmp_path / "report.json").read())["invalid_rows"] == 30
+    assert main(["validate", "--input", source_csv], spark) == 1  # invalid rows present, no expectations given
+    assert main(["build-medallion", "--input", source_csv, "--output", str(tmp_path / "m")], spark) == 0
+    assert main(["build-analytics", "--medallion", str(tmp_path / "m"), "--output", str(tmp_path / "a")], spark) == 0
+    assert main(["build-process-intelligence", "--input", source_csv, "--output", str(tmp_path / "p")], spark) == 0
+    assert (tmp_path / "p" / "process_intelligence_manifest.json").is_file()
