@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from slaflow.contract import BOTTLENECK_BOUNDARY, EVENT_ORIGIN, MIN_BOTTLENECK_CASES
 from slaflow.functions.numeric import clamp, count_when, kpi_round, safe_rate
 from slaflow.functions.temporal import add_minutes_micros, fraction_micros, micros_to_minutes
-from slaflow.operators.ordinal import materialize, with_ordinal
+from slaflow.operators.ordinal import with_ordinal
 from slaflow.operators.quantiles import exact_quantiles
 from slaflow.sources.tables import require_columns
 
@@ -210,8 +210,8 @@ def number_events(
     ts_col: str,
 ) -> DataFrame:
     """Events of an observed log with a global rank in (case, order) order:
-    ranks are contiguous inside each case.  Materialised, so every consumer
-    sees the same numbering."""
+    ranks are contiguous inside each case.  The ordinal's snapshot is
+    materialised, so every consumer sees the same numbering."""
     case_cols, order_cols = list(case_cols), list(order_cols)
     base = log.select(
         *case_cols,
@@ -219,7 +219,7 @@ def number_events(
         F.col(activity_col).alias("__a"),
         F.col(ts_col).cast("timestamp").alias("__t"),
     )
-    return materialize(with_ordinal(base, [*case_cols, *order_cols], name=RANK), "numbered-events")
+    return with_ordinal(base, [*case_cols, *order_cols], name=RANK)
 
 
 def pairs_of_numbered(numbered: DataFrame, case_cols: Sequence[str]) -> DataFrame:

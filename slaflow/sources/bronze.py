@@ -1,9 +1,9 @@
 """Bronze: source records as text plus ingestion metadata.
 
 ``source_row`` is the record ordinal + 1 (first data record = 2), assigned
-by the distributed ordinal operator; the Bronze table is therefore
-materialised once (checkpoint) and reused by every downstream layer of
-the session, the way a written Bronze table would be.
+by the distributed ordinal operator, whose frozen snapshot (written once
+to the checkpoint folder) is the Bronze copy every downstream layer of the
+session reads, the way a written Bronze table would be.
 """
 
 from __future__ import annotations
@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from slaflow.contract import DEFAULT_INGESTED_AT
-from slaflow.operators.ordinal import materialize, with_ordinal
+from slaflow.operators.ordinal import with_ordinal
 from slaflow.session import session_key
 from slaflow.sources.requests import REQUEST_COLUMNS, request_metadata, request_rows
 from slaflow.sources.tables import require_columns
@@ -43,12 +43,13 @@ def bronze_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
         rows = request_rows(spark, sf_dir)
         numbered = with_ordinal(rows, ["request_key"], name="source_row", start=2)
         meta = request_metadata()
-        bronze = numbered.select(
+        # the ordinal's frozen snapshot is the Bronze copy on shared storage;
+        # source_row = snapshot position + a broadcast per-partition offset
+        return numbered.select(
             F.col("source_row").cast("long").alias("source_row"),
             *REQUEST_COLUMNS,
             *[F.lit(meta[c]).alias(c) for c in BRONZE_METADATA],
         )
-        return materialize(bronze, "bronze")
 
     return _cached(spark, sf_dir, "bronze_requests", build)
 
