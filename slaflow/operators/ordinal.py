@@ -5,7 +5,7 @@ single-partition window.
 Here the rows are range-partitioned on the order columns (balanced by
 sampling, so a hot value spreads over several partitions), each row gets
 its partition id and position inside the sorted partition, and the
-result is checkpointed so both are frozen.  The per-partition row counts
+result is materialised so both are frozen.  The per-partition row counts
 (one row per partition, so bounded by the partition count) are turned
 into offsets and broadcast back.
 """
@@ -15,7 +15,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from slaflow.session import ensure_checkpoint_dir
@@ -54,9 +54,15 @@ def with_ordinal(
         _POS, F.monotonically_increasing_id() - F.shiftleft(part.cast("long"), 33)
     )
     frozen = materialize(ranged, f"ordinal-{name}")
-    sizes = frozen.groupBy(_PART).agg(F.count(F.lit(1)).alias("__rows"))
-    before = Window.orderBy(_PART).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.select(_PART, F.coalesce(F.sum("__rows").over(before), F.lit(0)).alias(_OFFSET))
+    # One row per partition (bounded by the partition count, not the data):
+    # counted once, turned into offsets on the driver and broadcast back as a
+    # local relation, so later reads of the numbered frame run no extra job.
+    sizes = sorted((r[_PART], r["__rows"]) for r in frozen.groupBy(_PART).agg(F.count(F.lit(1)).alias("__rows")).collect())
+    running, rows = 0, []
+    for part, n in sizes:
+        rows.append((part, running))
+        running += n
+    offsets = df.sparkSession.createDataFrame(rows, f"{_PART} int, {_OFFSET} long")
     return (
         frozen.join(F.broadcast(offsets), _PART)
         .withColumn(name, F.col(_OFFSET) + F.col(_POS) + F.lit(start))
