@@ -60,21 +60,23 @@ class MedallionLayers:
         return quarantine.rejected(self.annotated, [c for c in bronze_columns() if c in self.bronze.columns], self.contract)
 
     # ----------------------------------------------------------------- gold
+    # Dimensions are small (contract domains, observed days) but read by the
+    # fact, the enriched view, the FK checks and the controls: written once.
     @cached_property
     def dim_team(self) -> DataFrame:
-        return star.string_dimension(self.silver_valid, "assigned_team", "team_key")
+        return materialize(star.string_dimension(self.silver_valid, "assigned_team", "team_key"), "gold-dim-team")
 
     @cached_property
     def dim_category(self) -> DataFrame:
-        return star.string_dimension(self.silver_valid, "category", "category_key")
+        return materialize(star.string_dimension(self.silver_valid, "category", "category_key"), "gold-dim-category")
 
     @cached_property
     def dim_priority(self) -> DataFrame:
-        return star.priority_dimension(self.silver_valid)
+        return materialize(star.priority_dimension(self.silver_valid), "gold-dim-priority")
 
     @cached_property
     def dim_date(self) -> DataFrame:
-        return star.date_dimension(self.silver_valid)
+        return materialize(star.date_dimension(self.silver_valid), "gold-dim-date")
 
     @cached_property
     def fact(self) -> DataFrame:
