@@ -41,8 +41,23 @@ PROCESS_SOURCE_COLUMNS = [
     "escalated",
     "sla_met",
 ]
-# Fixed value: interpretation note attached to bottlenecks of observed logs.
+# ---------------------------------------------------------------------------
+# Lifecycle derivation of a service request.  Percentages are
+# of the closed duration (closed_at - created_at); shares are of the
+# duration in minutes (closed) or of the SLA target (open).
+# ---------------------------------------------------------------------------
+ASSIGNMENT_SHARE = 0.05
+ASSIGNMENT_MIN_MINUTES = 1.0
+ASSIGNMENT_MAX_MINUTES = 15.0
+ESCALATION_PERCENT = 45
+ESCALATION_PERCENT_WHEN_REOPENED = 30
+OPEN_ESCALATION_SHARE = 0.75
+ONE_REOPEN_PERCENTS = (58, 68)  # resolution recorded, reopened
+TWO_REOPEN_PERCENTS = (38, 47, 68, 76)  # resolution, reopened, resolution, reopened
+FINAL_RESOLUTION_PERCENT = 90
+# Interpretation note attached to bottlenecks of observed logs (our wording).
 OBSERVED_BOUNDARY = "Observed waiting time; concentration signal, not causal root cause."
+# --------------------------------------------------------------------------- end of fixed values
 CASE_CONTEXT = ["assigned_team", "category", "priority", "customer_segment", "status"]
 EVENTS = "__events"
 
@@ -75,10 +90,11 @@ def lifecycle_events() -> Column:
     reopened = F.col("reopened_count")
     sla = F.col("sla_target_minutes").cast("double")
 
-    assigned_closed = clamp(F.rint(micros_to_minutes(duration) * F.lit(0.05)), 1.0, 15.0)
-    assigned_open = clamp(F.rint(sla * F.lit(0.05)), 1.0, 15.0)
+    lo, hi = ASSIGNMENT_MIN_MINUTES, ASSIGNMENT_MAX_MINUTES
+    assigned_closed = clamp(F.rint(micros_to_minutes(duration) * F.lit(ASSIGNMENT_SHARE)), lo, hi)
+    assigned_open = clamp(F.rint(sla * F.lit(ASSIGNMENT_SHARE)), lo, hi)
     assigned = F.when(is_closed, assigned_closed).otherwise(assigned_open).cast("long")
-    escalation_open = F.greatest(assigned + 1, F.rint(sla * F.lit(0.75)).cast("long"))
+    escalation_open = F.greatest(assigned + 1, F.rint(sla * F.lit(OPEN_ESCALATION_SHARE)).cast("long"))
 
     def at(percent: Column | int) -> Column:
         return fraction_micros(created, duration, percent)
@@ -87,18 +103,21 @@ def lifecycle_events() -> Column:
         return add_minutes_micros(created, minutes)
 
     one, two = is_closed & (reopened == 1), is_closed & (reopened == 2)
+    escalation_pct = F.when(reopened != 0, F.lit(ESCALATION_PERCENT_WHEN_REOPENED)).otherwise(F.lit(ESCALATION_PERCENT))
+    r1_res, r1_reo = ONE_REOPEN_PERCENTS
+    r2_res1, r2_reo1, r2_res2, r2_reo2 = TWO_REOPEN_PERCENTS
     events = [
         _event(None, created, 0, "ticket_created"),
         _event(None, minutes_after(assigned), 1, "team_assigned"),
-        _event(is_closed & escalated, at(F.when(reopened != 0, F.lit(30)).otherwise(F.lit(45))), 2, "escalated"),
+        _event(is_closed & escalated, at(escalation_pct), 2, "escalated"),
         _event(~is_closed & escalated, minutes_after(escalation_open), 2, "escalated"),
-        _event(one, at(58), 3, "resolution_recorded"),
-        _event(one, at(68), 4, "reopened"),
-        _event(two, at(38), 3, "resolution_recorded"),
-        _event(two, at(47), 4, "reopened"),
-        _event(two, at(68), 5, "resolution_recorded"),
-        _event(two, at(76), 6, "reopened"),
-        _event(is_closed, at(90), 7, "resolution_recorded"),
+        _event(one, at(r1_res), 3, "resolution_recorded"),
+        _event(one, at(r1_reo), 4, "reopened"),
+        _event(two, at(r2_res1), 3, "resolution_recorded"),
+        _event(two, at(r2_reo1), 4, "reopened"),
+        _event(two, at(r2_res2), 5, "resolution_recorded"),
+        _event(two, at(r2_reo2), 6, "reopened"),
+        _event(is_closed, at(FINAL_RESOLUTION_PERCENT), 7, "resolution_recorded"),
         _event(is_closed, closed_ts, 8, "ticket_closed"),
     ]
     return F.array_sort(F.filter(F.array(*events), lambda e: e.isNotNull()))

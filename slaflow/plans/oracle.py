@@ -20,6 +20,7 @@ from slaflow.contract import (
     SERVICE_REQUEST_CONTRACT,
 )
 from slaflow.functions.text import UNICODE_WHITESPACE
+from slaflow.operators import process as P
 from slaflow.operators.process import OBSERVED_BOUNDARY
 from slaflow.operators.validation import FIXED_MESSAGES, RANGE_CODES
 from slaflow.sources.requests import REQUEST_COLUMNS, REQUEST_SOURCE_FILE, request_batch_id
@@ -354,18 +355,22 @@ def _event_selects() -> str:
     """One SELECT per lifecycle event kind of the derived event log."""
     at = "created_us + (dur * {p}) // 100"
     after = "created_us + {m} * 60000000"
+    r1_res, r1_reo = P.ONE_REOPEN_PERCENTS
+    r2_res1, r2_reo1, r2_res2, r2_reo2 = P.TWO_REOPEN_PERCENTS
+    escalation_pct = f"(CASE WHEN reopened_count <> 0 THEN {P.ESCALATION_PERCENT_WHEN_REOPENED} ELSE {P.ESCALATION_PERCENT} END)"
+    open_escalation = f"greatest(assigned + 1, CAST(round_even(sla * CAST({P.OPEN_ESCALATION_SHARE} AS DOUBLE), 0) AS BIGINT))"
     rows = [
         ("TRUE", "created_us", 0, "ticket_created"),
         ("TRUE", after.format(m="assigned"), 1, "team_assigned"),
-        ("is_closed AND esc", at.format(p="(CASE WHEN reopened_count <> 0 THEN 30 ELSE 45 END)"), 2, "escalated"),
-        ("NOT is_closed AND esc", after.format(m="greatest(assigned + 1, CAST(round_even(sla * CAST(0.75 AS DOUBLE), 0) AS BIGINT))"), 2, "escalated"),
-        ("is_closed AND reopened_count = 1", at.format(p=58), 3, "resolution_recorded"),
-        ("is_closed AND reopened_count = 1", at.format(p=68), 4, "reopened"),
-        ("is_closed AND reopened_count = 2", at.format(p=38), 3, "resolution_recorded"),
-        ("is_closed AND reopened_count = 2", at.format(p=47), 4, "reopened"),
-        ("is_closed AND reopened_count = 2", at.format(p=68), 5, "resolution_recorded"),
-        ("is_closed AND reopened_count = 2", at.format(p=76), 6, "reopened"),
-        ("is_closed", at.format(p=90), 7, "resolution_recorded"),
+        ("is_closed AND esc", at.format(p=escalation_pct), 2, "escalated"),
+        ("NOT is_closed AND esc", after.format(m=open_escalation), 2, "escalated"),
+        ("is_closed AND reopened_count = 1", at.format(p=r1_res), 3, "resolution_recorded"),
+        ("is_closed AND reopened_count = 1", at.format(p=r1_reo), 4, "reopened"),
+        ("is_closed AND reopened_count = 2", at.format(p=r2_res1), 3, "resolution_recorded"),
+        ("is_closed AND reopened_count = 2", at.format(p=r2_reo1), 4, "reopened"),
+        ("is_closed AND reopened_count = 2", at.format(p=r2_res2), 5, "resolution_recorded"),
+        ("is_closed AND reopened_count = 2", at.format(p=r2_reo2), 6, "reopened"),
+        ("is_closed", at.format(p=P.FINAL_RESOLUTION_PERCENT), 7, "resolution_recorded"),
         ("is_closed", "closed_us", 8, "ticket_closed"),
     ]
     return "\n  UNION ALL ".join(
@@ -383,8 +388,10 @@ ev_base AS (
 ),
 ev_src AS (
   SELECT *, CAST(CASE WHEN is_closed
-      THEN least(15.0, greatest(1.0, round_even(((CAST(dur AS DOUBLE) / CAST(1000000 AS DOUBLE)) / CAST(60 AS DOUBLE)) * CAST(0.05 AS DOUBLE), 0)))
-      ELSE least(15.0, greatest(1.0, round_even(sla * CAST(0.05 AS DOUBLE), 0))) END AS BIGINT) AS assigned
+      THEN least({P.ASSIGNMENT_MAX_MINUTES}, greatest({P.ASSIGNMENT_MIN_MINUTES},
+           round_even(((CAST(dur AS DOUBLE) / CAST(1000000 AS DOUBLE)) / CAST(60 AS DOUBLE)) * CAST({P.ASSIGNMENT_SHARE} AS DOUBLE), 0)))
+      ELSE least({P.ASSIGNMENT_MAX_MINUTES}, greatest({P.ASSIGNMENT_MIN_MINUTES},
+           round_even(sla * CAST({P.ASSIGNMENT_SHARE} AS DOUBLE), 0))) END AS BIGINT) AS assigned
   FROM ev_base
 ),
 ev_raw AS (
