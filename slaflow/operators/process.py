@@ -65,9 +65,9 @@ EVENTS = "__events"
 # --------------------------------------------------------------------------- derived log (G1-G9)
 
 
-def _event(condition: Column | None, ts_micros: Column, seq: int, activity: str) -> Column:
+def _event(condition: Column | None, ts_micros: Column, seq: int, activity: str) -> tuple[Column | None, Column]:
     value = F.struct(ts_micros.cast("long").alias("ts"), F.lit(seq).alias("seq"), F.lit(activity).alias("activity"))
-    return value if condition is None else F.when(condition, value)
+    return condition, (value if condition is None else F.when(condition, value))
 
 
 def lifecycle_events() -> Column:
@@ -81,6 +81,10 @@ def lifecycle_events() -> Column:
     requests: created, team assigned after clamp(1..15, 5 % of the SLA
     target) minutes, and an escalation at max(assigned + 1, 75 % of the
     target) minutes.  Events are ordered by (timestamp, sequence).
+
+    Built from codegen-capable expressions only: absent events are NULL,
+    ``sort_array`` puts NULLs first, and ``slice`` skips exactly as many as
+    the event conditions say are absent (no lambda functions per row).
     """
     created = F.unix_micros(F.col("created_at"))
     closed_ts = F.unix_micros(F.col("closed_at"))
@@ -120,7 +124,12 @@ def lifecycle_events() -> Column:
         _event(is_closed, at(FINAL_RESOLUTION_PERCENT), 7, "resolution_recorded"),
         _event(is_closed, closed_ts, 8, "ticket_closed"),
     ]
-    return F.array_sort(F.filter(F.array(*events), lambda e: e.isNotNull()))
+    absent = F.lit(0)
+    for condition, _ in events:
+        if condition is not None:
+            absent = absent + F.when(condition, F.lit(0)).otherwise(F.lit(1))
+    ordered = F.sort_array(F.array(*[value for _, value in events]), asc=True)
+    return F.slice(ordered, absent + 1, F.lit(len(events)) - absent)
 
 
 def check_process_source(valid: DataFrame) -> None:
@@ -167,7 +176,7 @@ def exception_type(escalated: Column, reopened: Column) -> Column:
 
 
 def variant_of(events: Column) -> Column:
-    return F.array_join(F.transform(events, lambda e: e["activity"]), " > ")
+    return F.array_join(events["activity"], " > ")
 
 
 def cases(valid: DataFrame) -> DataFrame:
@@ -197,20 +206,20 @@ def derived_pairs(valid: DataFrame) -> DataFrame:
     """(source, target, wait) of consecutive derived events, from the row's
     own sorted array."""
     arr = with_lifecycle(valid)
-    n = F.size(EVENTS)
-    steps = F.transform(
-        F.slice(F.col(EVENTS), F.lit(1), n - 1),
-        lambda e, i: F.struct(
-            e["activity"].alias("source_activity"),
-            F.element_at(F.col(EVENTS), i + 2)["activity"].alias("target_activity"),
-            (F.element_at(F.col(EVENTS), i + 2)["ts"] - e["ts"]).alias("wait_us"),
-        ),
+    n = F.size(EVENTS) - 1
+    ts, act = F.col(EVENTS)["ts"], F.col(EVENTS)["activity"]
+    steps = F.arrays_zip(
+        F.slice(act, 1, n).alias("source_activity"),
+        F.slice(act, 2, n).alias("target_activity"),
+        F.slice(ts, 1, n).alias("source_ts"),
+        F.slice(ts, 2, n).alias("target_ts"),
     )
+    wait_us = F.col("s.target_ts") - F.col("s.source_ts")
     return arr.select(F.explode(steps).alias("s")).select(
         "s.source_activity",
         "s.target_activity",
-        F.col("s.wait_us"),
-        micros_to_minutes(F.col("s.wait_us")).alias("wait_minutes"),
+        wait_us.alias("wait_us"),
+        micros_to_minutes(wait_us).alias("wait_minutes"),
     )
 
 
