@@ -299,17 +299,13 @@ def observed_cases(numbered: DataFrame, case_cols: Sequence[str], piece_events:
         F.count(F.lit(1)).alias("__n"),
         F.min("__t").alias("__first"),
         F.max("__t").alias("__last"),
-        F.array_join(
-            F.transform(F.array_sort(F.collect_list(F.struct(F.col(RANK), F.col("__a")))), lambda e: e["__a"]), " > "
-        ).alias("__text"),
+        F.array_join(F.sort_array(F.collect_list(F.struct(F.col(RANK), F.col("__a"))))["__a"], " > ").alias("__text"),
     )
     cases = pieces.groupBy(*case_cols).agg(
         F.sum("__n").alias("event_count"),
         F.min("__first").alias("first_event_at"),
         F.max("__last").alias("last_event_at"),
-        F.array_join(
-            F.transform(F.array_sort(F.collect_list(F.struct("__from", "__text"))), lambda p: p["__text"]), " > "
-        ).alias("process_variant"),
+        F.array_join(F.sort_array(F.collect_list(F.struct("__from", "__text")))["__text"], " > ").alias("process_variant"),
     )
     first, last = F.col("first_event_at"), F.col("last_event_at")
     return cases.select(
