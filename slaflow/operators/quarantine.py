@@ -6,11 +6,11 @@ from __future__ import annotations
 
 from typing import Any
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from slaflow.contract import column_spec
-from slaflow.operators.validation import ISSUES, helper, is_valid, issue_codes, parsed_columns
+from slaflow.operators.validation import ISSUES, helper, is_valid, issue_codes, parsed_column_map
 
 SILVER_METADATA = ["source_file", "ingestion_batch_id", "ingested_at_utc"]
 
@@ -33,22 +33,28 @@ def rejected(annotated: DataFrame, columns: list[str], contract: dict[str, Any])
 def type_accepted(valid: DataFrame, contract: dict[str, Any], status_col: str = "status") -> DataFrame:
     """Type accepted text rows: timestamps (UTC), integers, booleans; domain
     text trimmed; ``sla_met`` = resolution <= target for closed rows, NULL
-    for open ones."""
+    for open ones.  Helper columns already on the frame (parsed numbers and
+    timestamps of the annotated Silver snapshot) are reused; missing ones,
+    such as the trimmed text the snapshot does not store, are computed."""
     spec = column_spec(contract)
-    if not all(helper("t", name) in valid.columns for name in spec):
-        valid = valid.select("*", *parsed_columns(contract))
+    helpers = parsed_column_map(contract)
+
+    def h(kind: str, name: str) -> Column:
+        col = helper(kind, name)
+        return F.col(col) if col in valid.columns else helpers[col]
+
     out = [F.col("source_row").cast("long").alias("source_row")]
     for name, definition in spec.items():
         kind = definition.get("type")
-        t = F.col(helper("t", name))
         if kind == "datetime":
-            out.append(F.col(helper("ts", name)).alias(name))
+            out.append(h("ts", name).alias(name))
         elif kind == "integer":
-            out.append(F.col(helper("n", name)).cast("long").alias(name))
+            out.append(h("n", name).cast("long").alias(name))
         elif kind == "boolean":
+            t = h("t", name)
             out.append(F.when(t != "", F.lower(t) == "true").alias(name))
         else:
-            out.append(t.alias(name))
+            out.append(h("t", name).alias(name))
     extra = [c for c in SILVER_METADATA if c in valid.columns]
     typed = valid.select(*out, *extra)
     closed = F.col(status_col) == "closed"

@@ -73,27 +73,38 @@ def helper(kind: str, name: str) -> str:
     return f"__{kind}_{name}"
 
 
-def parsed_columns(contract: dict[str, Any]) -> list[Column]:
-    """Each source column trimmed once, each integer/datetime parsed once.
-
-    Rules and typing refer to these columns, which keeps the rule
-    projection small (fast planning, no repeated parsing per row).
-    """
+def parsed_column_map(contract: dict[str, Any]) -> dict[str, Column]:
+    """Helper column name -> expression: each source column trimmed once,
+    each integer/datetime parsed once."""
     spec = column_spec(contract)
     pattern = java_timestamp_pattern(contract["timestamp_format"])
-    out = [trimmed(name).alias(helper("t", name)) for name in spec]
+    out = {helper("t", name): trimmed(name) for name in spec}
     for name, definition in spec.items():
         t = trimmed(name)
         if definition.get("type") == "integer":
-            out.append(parse_number(t).alias(helper("n", name)))
+            out[helper("n", name)] = parse_number(t)
         elif definition.get("type") == "datetime":
             # Required datetimes are parsed exactly as supplied, optional ones
             # after trimming (a padded required timestamp is a format error).
             source = t if definition.get("nullable", True) else text(name)
-            out.append(F.when(t != "", parse_timestamp(source, pattern)).alias(helper("ts", name)))
+            out[helper("ts", name)] = F.when(t != "", parse_timestamp(source, pattern))
     return out
 
 
+def parsed_columns(contract: dict[str, Any]) -> list[Column]:
+    """The helper columns of ``parsed_column_map``, aliased.
+
+    Rules and typing refer to these columns, which keeps the rule
+    projection small (fast planning, no repeated parsing per row).
+    """
+    return [expr.alias(name) for name, expr in parsed_column_map(contract).items()]
+
+
+def trimmed_helpers(contract: dict[str, Any]) -> list[str]:
+    """Names of the trimmed-text helpers (cheap to recompute, so not stored)."""
+    return [helper("t", name) for name in column_spec(contract)]
+
+
 class _Parsed:
     """Accessors for the helper columns of ``parsed_columns``."""
 

@@ -45,7 +45,10 @@ class MedallionLayers:
         """Bronze + issue numbers + parsed helper columns, materialised: the
         Silver boundary every later layer reads (three consumers: accepted,
         rejected, issues)."""
-        return materialize(validation.annotate(self.bronze, self.contract), "silver-annotated")
+        annotated = validation.annotate(self.bronze, self.contract)
+        # raw text + issue mask + parsed numbers/timestamps; trimmed copies of
+        # the text are recomputed on read rather than written twice
+        return materialize(annotated.drop(*validation.trimmed_helpers(self.contract)), "silver-annotated")
 
     @cached_property
     def issues(self) -> DataFrame:
