@@ -11,7 +11,6 @@ a batch job over the landed table (the uniqueness rule needs all rows).
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -22,18 +21,10 @@ from pyspark.sql.streaming import StreamingQuery
 from slaflow.contract import DEFAULT_INGESTED_AT
 from slaflow.operators.ordinal import with_ordinal
 from slaflow.session import prepare_session
+from slaflow.sources.bronze import file_fingerprint
 from slaflow.sources.requests import REQUEST_COLUMNS
 
 
-def _batch_fingerprint(spark: SparkSession, paths: list[str]) -> str:
-    digests = (
-        spark.read.format("binaryFile").load(paths).select("path", F.sha2("content", 256).alias("d")).orderBy("path").collect()
-    )
-    if len(digests) == 1:
-        return digests[0]["d"][:16]
-    return hashlib.sha256("".join(r["d"] for r in digests).encode()).hexdigest()[:16]
-
-
 def _landed_rows(spark: SparkSession, table_dir: str, before_epoch: int) -> int:
     """Highest ``source_row`` landed by earlier epochs (1 when none), so a
     retried epoch numbers its rows exactly as the first attempt did."""
@@ -82,7 +73,7 @@ def land_bronze_stream(
             F.col("source_row").cast("long").alias("source_row"),
             *columns,
             "source_file",
-            F.lit(_batch_fingerprint(session, files)).alias("ingestion_batch_id"),
+            F.lit(file_fingerprint(session, files)).alias("ingestion_batch_id"),
             F.lit(DEFAULT_INGESTED_AT).alias("ingested_at_utc"),
         )
         # one folder per epoch, overwritten on retry: a re-run batch replaces

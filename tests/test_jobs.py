@@ -55,3 +55,16 @@ def test_command_line_jobs(spark, source_csv, tmp_path):
     assert main(["build-analytics", "--medallion", str(tmp_path / "m"), "--output", str(tmp_path / "a")], spark) == 0
     assert main(["build-process-intelligence", "--input", source_csv, "--output", str(tmp_path / "p")], spark) == 0
     assert (tmp_path / "p" / "process_intelligence_manifest.json").is_file()
+
+
+def test_fingerprint_whole_file_and_content_paths(spark, source_csv, monkeypatch):
+    import hashlib
+    import pathlib
+
+    from slaflow.sources import bronze
+
+    part = next(pathlib.Path(source_csv).glob("*.csv"))
+    assert bronze.file_fingerprint(spark, str(part)) == hashlib.sha256(part.read_bytes()).hexdigest()[:16]
+    monkeypatch.setattr(bronze, "WHOLE_FILE_LIMIT", 0)  # force the content fingerprint
+    first = bronze.file_fingerprint(spark, source_csv)
+    assert len(first) == 16 and first == bronze.file_fingerprint(spark, source_csv)
