@@ -1,4 +1,4 @@
-"""slaflow: service-operations analytics on Spark.
+"""slaflow: SLA, data-quality and process analytics on Spark.
 
 Public entry points (imported lazily so that ``import slaflow`` needs no
 Spark session):
