@@ -1,8 +1,10 @@
 """Lazy wiring of the layers for one request source.
 
-``MedallionLayers`` holds the DataFrames of one run; every attribute is a
-lazy plan on top of the materialised Bronze table, built once and shared,
-so jobs and the query catalog compose the same plans.
+``MedallionLayers`` holds the DataFrames of one run, built once and shared
+so jobs and the query catalog compose the same plans.  Layer boundaries
+read by several consumers (Bronze snapshot, annotated Silver, dimensions,
+fact, enriched view, event log) are materialised once; everything else is
+a lazy plan on top of them.
 """
 
 from __future__ import annotations
@@ -42,7 +44,7 @@ class MedallionLayers:
     # ----------------------------------------------------------------- silver
     @cached_property
     def annotated(self) -> DataFrame:
-        """Bronze + issue numbers + parsed helper columns, materialised: the
+        """Bronze + issue mask + parsed numbers/timestamps, materialised: the
         Silver boundary every later layer reads (three consumers: accepted,
         rejected, issues)."""
         annotated = validation.annotate(self.bronze, self.contract)
