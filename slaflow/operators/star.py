@@ -102,7 +102,11 @@ def foreign_key_violations(
     fact: DataFrame, dim_date: DataFrame, dim_team: DataFrame, dim_category: DataFrame, dim_priority: DataFrame
 ) -> DataFrame:
     """One row per foreign key: fact rows whose key is absent from its
-    dimension (a NULL closed-date key is exempt; other NULL keys count)."""
+    dimension (a NULL closed-date key is exempt; other NULL keys count).
+
+    One scan of the fact's key columns, left-joined to each (bounded,
+    broadcast) dimension's key set, and one aggregate counting misses.
+    """
     checks: list[tuple[str, str, DataFrame, str]] = [
         ("created_date_key", "date_key", dim_date, "dim_date"),
         ("closed_date_key", "date_key", dim_date, "dim_date"),
@@ -110,19 +114,19 @@ def foreign_key_violations(
         ("category_key", "category_key", dim_category, "dim_category"),
         ("priority_key", "priority_key", dim_priority, "dim_priority"),
     ]
-    parts: list[DataFrame] = []
-    for fact_col, dim_col, dim, dim_name in checks:
-        keys = F.broadcast(dim.select(F.col(dim_col).alias("__dim_key")).distinct())
-        candidates = fact.select(F.col(fact_col).alias("__key"))
+    keys = fact.select(*[c for c, _, _, _ in checks])
+    misses = []
+    for i, (fact_col, dim_col, dim, _) in enumerate(checks):
+        found = f"__found{i}"
+        members = F.broadcast(dim.select(F.col(dim_col).alias(f"__k{i}")).distinct().withColumn(found, F.lit(True)))
+        keys = keys.join(members, F.col(fact_col) == F.col(f"__k{i}"), "left").drop(f"__k{i}")
+        missing = F.col(found).isNull()
         if fact_col == "closed_date_key":
-            candidates = candidates.where(F.col("__key").isNotNull())
-        missing = candidates.join(keys, F.col("__key") == F.col("__dim_key"), "left_anti")
-        parts.append(
-            missing.agg(F.count(F.lit(1)).alias("violations")).select(
-                F.lit(fact_col).alias("foreign_key"), F.lit(dim_name).alias("dimension"), "violations"
-            )
-        )
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.unionByName(part)
-    return out
+            missing = missing & F.col(fact_col).isNotNull()
+        misses.append(F.count_if(missing).alias(f"__miss{i}"))
+    counted = keys.agg(*misses)
+    rows = [
+        F.struct(F.lit(fact_col).alias("foreign_key"), F.lit(dim_name).alias("dimension"), F.col(f"__miss{i}").alias("violations"))
+        for i, (fact_col, _, _, dim_name) in enumerate(checks)
+    ]
+    return counted.select(F.explode(F.array(*rows)).alias("r")).select("r.*")
