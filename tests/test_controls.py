@@ -46,3 +46,22 @@ def test_breach_list_drift_fails_analytics_gate(spark):
     L.__dict__["enriched"] = L.enriched.where(F.col("ticket_id") != "SR-000003")
     failed = {r["control"] for r in analytics_controls(L).collect() if not r["passed"]}
     assert {"enriched_equals_gold_fact", "breach_details_equals_global_breaches"} <= failed
+
+
+def test_grouping_sets_equal_individual_marts_and_weighted_rate(spark):
+    from slaflow.operators import metrics
+
+    rows = ROWS + [
+        VALID_CLOSED | {"ticket_id": "SR-000004", "assigned_team": "workplace", "category": "network", "priority": "P3", "sla_target_minutes": "1440", "resolution_minutes": "2000", "closed_at": "2026-05-02T17:20:00Z"},
+        VALID_CLOSED | {"ticket_id": "SR-000005", "assigned_team": "workplace", "escalated": "true", "reopened_count": "1"},
+    ]
+    L = MedallionLayers(bronze_rows(spark, rows))
+    sets = metrics.sla_grouping_sets(L.enriched, [["assigned_team"], ["category"], ["priority"], ["assigned_team", "category"]])
+    for mart, keys in [("sla_by_team", ["assigned_team"]), ("sla_by_category", ["category"]), ("sla_by_priority", ["priority"])]:
+        single = {tuple(r[k] for k in keys): r.asDict() for r in L.mart(mart).collect()}
+        grouped = {tuple(r[k] for k in keys): r.asDict() for r in sets.where(F.col("mart") == mart).collect()}
+        assert single.keys() == grouped.keys()
+        for key, row in single.items():
+            assert {c: grouped[key][c] for c in row} == row
+    rate = metrics.weighted_rate(L.mart("sla_by_team"), "sla_met_requests", "closed_requests").first()["weighted_rate"]
+    assert rate == L.kpis.first()["sla_compliance_rate"]
