@@ -68,3 +68,23 @@ def test_fingerprint_whole_file_and_content_paths(spark, source_csv, monkeypatch
     monkeypatch.setattr(bronze, "WHOLE_FILE_LIMIT", 0)  # force the content fingerprint
     first = bronze.file_fingerprint(spark, source_csv)
     assert len(first) == 16 and first == bronze.file_fingerprint(spark, source_csv)
+
+
+def test_csv_text_scan_keeps_text_exactly(spark, tmp_path):
+    from slaflow.sources.bronze import bronze_from_csv
+
+    header = ",".join(REQUEST_COLUMNS) + ",extra_column"
+    lines = [
+        header,
+        'SR-000001,2026-05-01T08:00:00Z,,P2,access,service_desk,open,480,,0,false,smb,service_portal,x',
+        'NA,"2026-05-01T09:00:00Z",,P2,"access, hardware",service_desk,open,480,,0,false,smb,service_portal,y',
+    ]
+    path = tmp_path / "drop"
+    path.mkdir()
+    (path / "requests.csv").write_text("\n".join(lines) + "\n")
+    rows = {r["source_row"]: r for r in bronze_from_csv(spark, str(path)).collect()}
+    assert sorted(rows) == [2, 3]
+    assert rows[2]["closed_at"] == "" and rows[2]["resolution_minutes"] == ""
+    assert rows[3]["ticket_id"] == "NA" and rows[3]["category"] == "access, hardware"
+    assert "extra_column" not in bronze_from_csv(spark, str(path)).columns
+    assert rows[2]["source_file"] == "requests.csv"
