@@ -1,6 +1,36 @@
 """DuckDB SQL for the queries that SQL can express."""
 
 ORACLE_SQL = {
+    "op2_decontamination": r"""
+WITH doc AS (
+    SELECT doc_id, regexp_extract_all(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents
+), item AS (
+    SELECT item_id, regexp_extract_all(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark
+), win AS (
+    SELECT DISTINCT item_id, size, array_to_string(w[p:p + size - 1], ' ') AS words
+    FROM (SELECT item_id, w, least(len(w), 10) AS size,
+                 unnest(generate_series(1, len(w) - least(len(w), 10) + 1)) AS p
+          FROM item WHERE len(w) > 0)
+), sizes AS (SELECT DISTINCT size FROM win
+), run AS (
+    SELECT doc_id, p, size, array_to_string(w[p:p + size - 1], ' ') AS words
+    FROM (SELECT doc_id, w, size, unnest(generate_series(1, len(w) - size + 1)) AS p FROM doc, sizes WHERE len(w) >= size)
+), hit AS (SELECT doc_id, p, size, item_id FROM run JOIN win USING (size, words)
+), covered AS (
+    SELECT doc_id, count(*) AS n_hit FROM (
+        SELECT DISTINCT doc_id, unnest(generate_series(p, p + size - 1)) AS pos FROM hit) GROUP BY doc_id
+), found AS (
+    SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
+    FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM hit) GROUP BY doc_id
+)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM doc LEFT JOIN covered USING (doc_id) LEFT JOIN found USING (doc_id)
+""",
     "op6_line_dedup": r"""
 WITH split AS (
     SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS parts FROM documents
