@@ -8,10 +8,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from slaflow.llm import decontamination, fingerprints, line_dedup, quality, secret_scan, sharding, token_counts
+from slaflow.llm import decontamination, fingerprints, line_dedup, ngram_join, quality, secret_scan, sharding, token_counts
 from slaflow.llm.common import documents, table
 
 
+def op1_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.ngram_join(documents(spark, sf_dir))
+
+
 def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir).select("doc_id", "text")
     found = decontamination.find_matches(docs, table(spark, sf_dir, "benchmark"))
@@ -65,6 +69,7 @@ def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_ngram_join": op1_ngram_join,
     "op2_decontamination": op2_decontamination,
     "op3_quality": op3_quality,
     "op4_secret_scan": op4_secret_scan,
