@@ -8,8 +8,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from slaflow.llm import decontamination, fingerprints, line_dedup, ngram_join, quality, secret_scan, sharding, token_counts
-from slaflow.llm.common import documents, table
+from slaflow.llm import decontamination, fingerprints, line_dedup, ngram_join, quality, secret_scan, sentencepiece_scan, sharding, token_counts, training_order
+from slaflow.llm.common import documents, table, text_or_empty
 
 
 def op1_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -57,6 +57,24 @@ def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_training_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    return training_order.write_training_order(
+        documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.tiktoken")
+    )
+
+
+def op8_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    model = public_tokenizers.path("piece_bpe_32k.model")
+    encoded = sentencepiece_scan.encode(documents(spark, sf_dir).select("doc_id", "text"), model)
+    return sentencepiece_scan.decode(encoded, model).select(
+        "doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids", (F.col("decoded") == text_or_empty()).alias("round_trip")
+    )
+
+
 def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(documents(spark, sf_dir).select("doc_id", "text"), n_shards=16).select(
         "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
@@ -75,6 +93,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_secret_scan": op4_secret_scan,
     "op5_token_counts": op5_token_counts,
     "op6_line_dedup": op6_line_dedup,
+    "op7_training_order": op7_training_order,
+    "op8_sentencepiece": op8_sentencepiece,
     "op9_sharding": op9_sharding,
     "op10_fingerprints": op10_fingerprints,
 }
