@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from slaflow.operators.ordinal import materialize
 from slaflow.session import ensure_checkpoint_dir
 
-__all__ = ["documents", "materialize", "shared_path", "split_batch", "string_buffers", "text_or_empty", "utf8_bytes"]
+__all__ = ["documents", "materialize", "shared_path", "split_batch", "string_buffers", "table", "text_or_empty", "utf8_bytes", "without"]
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
@@ -48,6 +48,12 @@ def ascii_lower(column: Column) -> Column:
     return F.when(ascii_only, F.lower(column)).otherwise(F.translate(column, UPPER, UPPER.lower()))
 
 
+def without(df: DataFrame, *names: str) -> DataFrame:
+    """The frame without the columns of these names, in whatever case."""
+    gone = {n.lower() for n in names}
+    return df.select(*[F.col(f"`{c}`") for c in df.columns if c.lower() not in gone])
+
+
 def string_buffers(column: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
     """UTF-8 bytes of a string column (null: empty) and the n + 1 offsets."""
     if isinstance(column, pa.ChunkedArray):

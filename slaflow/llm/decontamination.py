@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from slaflow.llm.common import split_batch, string_buffers, text_or_empty
+from slaflow.llm.common import split_batch, string_buffers, text_or_empty, without
 from slaflow.llm.words import words
 
 WINDOW = 10
@@ -217,8 +217,8 @@ def find_matches(
 ) -> DataFrame:
     """``docs`` with ``n_words``, ``spans`` (first and last word, longest
     match), ``items`` (sorted ids) and ``n_hit`` (words in spans)."""
-    own = [c for c in docs.columns if c not in ADDED]
-    out = docs.select(*[F.col(f"`{c}`") for c in own])
+    out = without(docs, *ADDED)
+    own = out.columns
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in out.schema.fields) + ", " + _MATCH_SCHEMA
     for f, t in zip(ADDED, ("long", "array<struct<first:long,last:long,longest:long>>", "array<string>", "long")):
         out = out.withColumn(f, F.lit(0).cast(t) if t == "long" else F.array().cast(t))
@@ -283,13 +283,13 @@ def decontaminate(
     ``max_coverage`` of the words stand in spans are dropped, from all others
     the spans are removed.  Removal joins what stood around a span; a later
     round looks at the texts again."""
-    columns = docs.columns
-    out = docs
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
+    out = docs.select(row, F.col(f"`{text_col}`").alias("text"))
     for _ in range(rounds):
-        judged = find_matches(out, benchmark, window, text_col)
+        judged = find_matches(out, benchmark, window)
         kept = judged.where(F.col("n_hit") <= F.lit(max_coverage) * F.col("n_words"))
-        out = kept.mapInArrow(_cleaner(text_col), kept.schema).select(*[F.col(f"`{c}`") for c in columns])
-    return out
+        out = kept.mapInArrow(_cleaner("text"), kept.schema).select("row", "text")
+    return out.select(*[F.col("text").alias(c) if c == text_col else F.col(f"row.`{c}`") for c in docs.columns])
 
 
 def _cleaner(text_col: str):

@@ -26,7 +26,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
-from slaflow.llm.common import ascii_lower, materialize, text_or_empty
+from slaflow.llm.common import ascii_lower, materialize, text_or_empty, without
 
 #: ASCII white space: 0x20 and 0x09 to 0x0D.
 BLANKS = " \t\n\x0b\x0c\r"
@@ -112,7 +112,9 @@ def kept_lines(lines: Column, drop_runs: Column) -> Column:
 def dedup_lines(
     docs: DataFrame, min_chars: int = 40, min_docs: int = 5, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
-    """``docs`` with ``n_lines``, ``n_dropped`` and ``kept_text`` added."""
+    """``docs`` with ``n_lines``, ``n_dropped`` and ``kept_text`` added;
+    columns of these names are replaced."""
+    docs = without(docs, "n_lines", "n_dropped", "kept_text")
     bitmaps = keep_bitmaps(docs, min_chars, min_docs, id_col, text_col).select(
         F.col("doc").alias("__doc"), F.col("row_key").alias("__row"), F.col("drop_runs").alias("__runs")
     )

@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
-from slaflow.llm.common import split_batch, string_buffers, text_or_empty
+from slaflow.llm.common import split_batch, string_buffers, text_or_empty, without
 from slaflow.llm.words import words
 
 MAX_POSITIVE = 6000
@@ -215,7 +215,7 @@ def train(
 
 def score(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
     """``docs`` with a column ``score``; a column of that name is replaced."""
-    own = docs.select(*[F.col(f"`{c}`") for c in docs.columns if c != "score"])
+    own = without(docs, "score")
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in own.schema.fields) + ", score double"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -38,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from slaflow.llm.common import materialize, text_or_empty
+from slaflow.llm.common import materialize, text_or_empty, without
 from slaflow.llm.ngram_join import grouped
 
 CHUNK_CHARS = 16_384
@@ -273,7 +273,7 @@ def _encode_short(path: str, text_at: int):
 
 def encode(docs: DataFrame, model_path: str, chunk_chars: int = CHUNK_CHARS, text_col: str = "text") -> DataFrame:
     """``docs`` with the column ``ids``."""
-    own = docs.select(*[F.col(f"`{c}`") for c in docs.columns if c != "ids"])
+    own = without(docs, "ids")
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in own.schema.fields)
     giant = F.char_length(text_or_empty(text_col)) > chunk_chars
     at = own.columns.index(text_col)
@@ -300,7 +300,7 @@ def encode(docs: DataFrame, model_path: str, chunk_chars: int = CHUNK_CHARS, tex
 
 def decode(encoded: DataFrame, model_path: str, ids_col: str = "ids", out_col: str = "decoded") -> DataFrame:
     """The rows with the text of their ids (null: null) in ``out_col``."""
-    own = encoded.select(*[F.col(f"`{c}`") for c in encoded.columns if c != out_col])
+    own = without(encoded, out_col)
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in own.schema.fields)
     at = own.columns.index(ids_col)
 

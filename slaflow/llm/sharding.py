@@ -64,7 +64,9 @@ def rebalance(
     """The old map edited: slots without a shard (or of one that is gone) are
     dealt out, then slots move from the fullest shard to the emptiest while
     that brings the two closer and they differ by more than ``tolerance`` of
-    the mean.  A new shard so takes slots only into itself."""
+    the mean.  If there are new shards, slots move only into those."""
+    fresh = [s for s in range(n_shards) if s not in set(old.values())]
+    targets = fresh if old and fresh else range(n_shards)
     out = {slot: shard for slot, shard in old.items() if slot in sizes and shard < n_shards}
     load = [0] * n_shards
     held: list[list[tuple[int, int]]] = [[] for _ in range(n_shards)]
@@ -78,7 +80,7 @@ def rebalance(
         held[shard].append((sizes[slot][0], slot))
     slack = tolerance * sum(load) / max(n_shards, 1)
     while True:
-        full, empty = max(range(n_shards), key=lambda s: load[s]), min(range(n_shards), key=lambda s: load[s])
+        full, empty = max(range(n_shards), key=lambda s: load[s]), min(targets, key=lambda s: load[s])
         gap = load[full] - load[empty]
         fits = [x for x in held[full] if 0 < x[0] < gap]
         if gap <= slack or not fits:

@@ -1,0 +1,86 @@
+import hashlib
+import random
+from collections import defaultdict
+
+from slaflow.llm import line_dedup
+from slaflow.llm.queries import QUERIES
+
+UPPER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+
+
+def brute(rows, min_chars=40, min_docs=5):
+    """(kept text, dropped lines) of each row."""
+    holders = defaultdict(set)
+    key = lambda line: line.strip(" \t\n\x0b\x0c\r").translate(UPPER)
+    for i, text in rows:
+        for line in (text or "").split("\n"):
+            if i is not None and len(key(line)) >= min_chars:
+                holders[key(line)].add(i)
+    out = []
+    for i, text in rows:
+        lines = (text or "").split("\n")
+        kept = [x for x in lines if i is None or len(holders[key(x)]) < min_docs or i >= max(holders[key(x)])]
+        out.append((i, len(lines), len(lines) - len(kept), "\n".join(kept)))
+    return out
+
+
+def rows_of(df):
+    return [(r["doc_id"], r["n_lines"], r["n_dropped"], r["kept_text"]) for r in df.collect()]
+
+
+def same(a, b):
+    assert sorted(a, key=repr) == sorted(b, key=repr)
+
+
+def test_against_brute_force(make_docs):
+    rng = random.Random(5)
+    pool = [f"{'shared line number ' * 3}{k}" for k in range(12)] + ["", "short", "É" * 40, "  " + "z" * 41]
+    rows = []
+    for i in range(120):
+        lines = [rng.choice(pool) if rng.random() < 0.6 else f"own line {i} {k} {'y' * 40}" for k in range(rng.randint(0, 9))]
+        rows.append((i, "\n".join(x.upper() if rng.random() < 0.3 else x + " \t" for x in lines)))
+    same(rows_of(line_dedup.dedup_lines(make_docs(rows))), brute(rows))
+
+
+def test_hot_lines_take_the_other_way(make_docs, monkeypatch):
+    monkeypatch.setattr(line_dedup, "MAX_HOT", 10)
+    hot = "a line that stands in each and every document"
+    rows = [(i, f"{hot}\nown {i}\n{hot}\n{'warm line ' * 5}{i % 9}") for i in range(90)]
+    same(rows_of(line_dedup.dedup_lines(make_docs(rows))), brute(rows))
+
+
+def test_odd_rows(odd_docs, odd_rows):
+    out = line_dedup.dedup_lines(odd_docs, min_docs=2)
+    assert sorted(out.columns) == sorted([c for c in odd_docs.columns if c != "Kept_Text"] + ["n_lines", "n_dropped", "kept_text"])
+    same(rows_of(out), brute(odd_rows, min_docs=2))
+
+
+def test_rows_that_share_an_id_keep_their_own_bitmap(make_docs):
+    line = "this line stands in two documents, and twice in one of them"
+    rows = [(1, f"{line}\na"), (1, f"b\n{line}"), (2, line)]
+    same(rows_of(line_dedup.dedup_lines(make_docs(rows), min_docs=2)), brute(rows, min_docs=2))
+
+
+def test_empty_table(no_docs):
+    assert line_dedup.dedup_lines(no_docs).count() == 0
+
+
+def test_bitmaps_are_runs(make_docs):
+    lines = [f"line {k} that is long enough to be shared by all" for k in range(6)]
+    rows = [(1, "\n".join(["x", *lines, "y", lines[0]])), (2, "\n".join(lines))]
+    (r,) = line_dedup.keep_bitmaps(make_docs(rows), min_docs=2).collect()
+    assert r["doc"] == 1 and [tuple(x) for x in r["drop_runs"]] == [(1, 6), (8, 1)]
+
+
+def test_main_path_is_native(make_docs):
+    plan = line_dedup.dedup_lines(make_docs([(1, "a")]))._jdf.queryExecution().toString()
+    assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_query_digest(spark):
+    from conftest import SF001
+    from llm.conftest import load
+
+    want = {i: (n, d, hashlib.sha256(t.encode()).hexdigest()) for i, n, d, t in brute([(r["doc_id"], r["text"]) for r in load(f"{SF001}/documents.parquet")])}
+    got = {r["doc_id"]: (r["n_lines"], r["n_dropped"], r["kept_sha256"]) for r in QUERIES["op6_line_dedup"](spark, SF001).collect()}
+    assert got == want

@@ -1,0 +1,62 @@
+import re
+
+import numpy as np
+import pyarrow as pa
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from slaflow.llm import words as w
+from slaflow.llm.common import split_batch, string_buffers
+
+WORD = re.compile("[^\x00-\x2f\x3a-\x60\x7b-\x7f]+")
+UPPER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+TEXTS = st.lists(st.one_of(st.none(), st.text(st.sampled_from("aAbz09 .\n_éß€😀\x7f\x80"), max_size=60)), max_size=8)
+
+
+def expected(text):
+    return WORD.findall((text or "").translate(UPPER))
+
+
+@settings(max_examples=200, deadline=None)
+@given(TEXTS)
+def test_words_are_those_of_the_pattern(texts):
+    h, starts, ends, bounds = w.words(*string_buffers(pa.array(texts, pa.string())))
+    raw = "".join(t or "" for t in texts).encode()
+    names = {}
+    for k, text in enumerate(texts):
+        want = expected(text)
+        at = range(bounds[k], bounds[k + 1])
+        assert [raw[starts[i] : ends[i]].decode().translate(UPPER) for i in at] == want
+        for i, word in zip(at, want):
+            assert names.setdefault(word, h[i]) == h[i]
+    assert len(set(names.values())) == len(names)
+
+
+@settings(max_examples=200, deadline=None)
+@given(TEXTS)
+def test_shingles_match_runs_of_words(texts):
+    h, _, _, bounds = w.words(*string_buffers(pa.array(texts, pa.string())))
+    sh, at = w.shingles(h, bounds, 3)
+    names = {}
+    for k, text in enumerate(texts):
+        words = expected(text)
+        want = [tuple(words[i : i + 3]) for i in range(max(len(words) - 2, min(len(words), 1)))]
+        assert at[k + 1] - at[k] == len(want)
+        for run, x in zip(want, sh[at[k] : at[k + 1]]):
+            assert names.setdefault(run, x) == x
+    assert len(set(names.values())) == len(names)
+
+
+def test_blocks_never_cut_words(monkeypatch):
+    text = " ".join("w" * (1 + i % 37) for i in range(2000)) + "x" * 9000
+    whole = w.words(*string_buffers(pa.array([text, "tail"])))
+    monkeypatch.setattr(w, "BLOCK", 100)
+    for a, b in zip(whole, w.words(*string_buffers(pa.array([text, "tail"])))):
+        assert np.array_equal(a, b)
+
+
+def test_split_batch_keeps_rows():
+    batch = pa.RecordBatch.from_arrays([pa.array(range(5)), pa.array(["a" * 10, None, "", "b" * 500, "c"])], ["k", "text"])
+    parts = list(split_batch(batch, limit=20))
+    assert pa.Table.from_batches(parts) == pa.Table.from_batches([batch])
+    assert list(split_batch(batch.slice(0, 0))) == []
