@@ -12,10 +12,11 @@ similarity of at least ``THRESHOLD`` are linked:
    similar pair is expected to keep one of its shared tokens, and the set
    goes on into the bucket of each picked token.  Buckets of one set end
    there; those of at most ``BUCKET`` sets are compared in full (by
-   signature, below the threshold by a margin); larger ones are split again,
-   ``DEPTH`` times at most.  What is still larger then, dense groups, is
-   compared with a pivot, and those unlike the pivot with all, in blocks.
-   The recursion is repeated ``runs`` times, as often as the target recall
+   signature, below the threshold by a margin).  Of a larger one, all sets
+   are compared with a pivot.  If few are unlike it, the bucket is dense and
+   further splits would hardly cut it: those few are compared with all, in
+   blocks, and it is done.  Else it is split again, ``DEPTH`` times at most;
+   what is left then is compared in blocks too.  The recursion is repeated ``runs`` times, as often as the target recall
    needs at the full depth.
 3. Candidate links only say which classes may belong together.  Within such
    a group the sets are built from the texts again and compared exactly, in
@@ -95,14 +96,14 @@ def set_digest(shingle_set: np.ndarray, text: str) -> bytes:
 
 
 def signatures(sets: list[np.ndarray]) -> np.ndarray:
-    """The min-hashes of each set, cut to 16 bits (zeros for an empty one)."""
-    out = np.zeros((len(sets), TOKENS), np.uint16)
+    """The min-hashes of each set (zeros for an empty one)."""
+    out = np.zeros((len(sets), TOKENS), np.uint32)
     full = [i for i, s in enumerate(sets) if len(s)]
     if full:
         values = (np.concatenate([sets[i] for i in full]) >> np.uint64(32)).astype(np.uint32)
         starts = np.concatenate([[0], np.cumsum([len(sets[i]) for i in full])[:-1]])
         for k in range(TOKENS):
-            out[full, k] = np.minimum.reduceat(values * _FACTORS[k] + _SHIFTS[k], starts).astype(np.uint16)
+            out[full, k] = np.minimum.reduceat(values * _FACTORS[k] + _SHIFTS[k], starts)
     return out
 
 
@@ -122,7 +123,7 @@ def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for whole in batches:
         for batch in split_batch(whole):
             sets = shingle_sets(batch.column(1))
-            digests = [set_digest(s, t.as_py()) if not len(s) else set_digest(s, "") for s, t in zip(sets, batch.column(1))]
+            digests = [set_digest(s, "" if len(s) else t.as_py()) for s, t in zip(sets, batch.column(1))]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(digests, pa.binary()), pa.array([len(s) for s in sets], pa.int64()),
                  _binary(signatures(sets))],
@@ -139,22 +140,31 @@ def sketches(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     )
 
 
+def _shorten(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The last byte of each token of (..., signature), which is enough to
+    compare two signatures and a quarter as long."""
+    for batch in batches:
+        short = _binary(_matrix(batch.column(batch.num_columns - 1), np.uint32).astype(np.uint8))
+        yield pa.RecordBatch.from_arrays([*batch.columns, short], names=[*batch.schema.names, "short"])
+
+
 def classes(sketched: DataFrame) -> DataFrame:
-    """One row for each set: (node, digest, first, copies, n, signature).
-    Copies are combined before the shuffle; the node numbers are those of
-    the written table."""
+    """One row for each set: (node, digest, first, copies, n, signature,
+    short).  Copies are combined before the shuffle; the node numbers are
+    those of the written table."""
     made = sketched.groupBy("digest").agg(
         F.min("doc_id").alias("first"), F.count("doc_id").alias("copies"), F.first("n").alias("n"),
         F.first("signature").alias("signature"),
     )
-    return materialize(made.withColumn("node", F.monotonically_increasing_id()), "classes")
+    short = made.mapInArrow(_shorten, "digest binary, first long, copies long, n long, signature binary, short binary")
+    return materialize(short.withColumn("node", F.monotonically_increasing_id()), "classes")
 
 
 # --- chosen paths --------------------------------------------------------
 
 
 def _tokens(signature: np.ndarray) -> np.ndarray:
-    return mix(signature.astype(np.uint64) + (np.arange(TOKENS, dtype=np.uint64) << np.uint64(16)))
+    return mix(signature.astype(np.uint64) + (np.arange(TOKENS, dtype=np.uint64) << np.uint64(32)))
 
 
 def _children(paths: np.ndarray, tokens: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -171,7 +181,7 @@ def _first_paths(runs: int) -> Callable:
         for whole in batches:
             for i in range(0, whole.num_rows, 2048):
                 batch = whole.slice(i, 2048)
-                tokens, nodes = _tokens(_matrix(batch.column(1), np.uint16)), batch.column(0).to_numpy()
+                tokens, nodes = _tokens(_matrix(batch.column(1), np.uint32)), batch.column(0).to_numpy()
                 made = [_children(np.full(len(nodes), r, np.uint64), tokens) for r in roots]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(np.concatenate([p for _, p in made]).view(np.int64)),
@@ -187,7 +197,7 @@ def _next_paths(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for i in range(0, whole.num_rows, 2048):
             batch = whole.slice(i, 2048)
             nodes = batch.column(1).to_numpy()
-            at, paths = _children(batch.column(0).to_numpy().view(np.uint64), _tokens(_matrix(batch.column(2), np.uint16)))
+            at, paths = _children(batch.column(0).to_numpy().view(np.uint64), _tokens(_matrix(batch.column(2), np.uint32)))
             yield pa.RecordBatch.from_arrays([pa.array(paths.view(np.int64)), pa.array(nodes[at])], ["path", "node"])
 
 
@@ -255,10 +265,10 @@ def _edges(pairs: list[tuple[np.ndarray, np.ndarray]]) -> pa.RecordBatch:
 
 
 def _compare_buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Spanning links of small buckets (path, node, signature)."""
+    """Spanning links of small buckets (path, node, short)."""
     for table, at in grouped(batches, 1):
         nodes = table.column(1).to_numpy()
-        signature = _matrix(table.column(2).combine_chunks(), np.uint16)
+        signature = _matrix(table.column(2).combine_chunks(), np.uint8)
         sizes, out = np.diff(at), []
         two = at[:-1][sizes == 2]
         for i in range(0, len(two), 8192):
@@ -275,11 +285,11 @@ def _compare_buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBat
 
 
 def _compare_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Links of (path, loose block, block, node, loose, signature) between
+    """Links of (path, loose block, block, node, loose, short) between
     the loose sets and all sets of a pair of blocks."""
     for table, at in grouped(batches, 3):
         nodes, loose = table.column(3).to_numpy(), table.column(4).to_numpy(zero_copy_only=False)
-        signature = _matrix(table.column(5).combine_chunks(), np.uint16)
+        signature = _matrix(table.column(5).combine_chunks(), np.uint8)
         out = []
         for s, e in zip(at[:-1], at[1:]):
             a, b = s + np.flatnonzero(loose[s:e]), s + np.flatnonzero(~loose[s:e])
@@ -294,48 +304,49 @@ def _compare_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
         yield _edges(out)
 
 
-def _dense(rows: DataFrame, sizes: DataFrame, known: DataFrame) -> DataFrame:
-    """Links within buckets that are too large to be compared in full: of all
-    sets to the bucket's pivot, and of those unlike it to all, in blocks."""
-    pivots = sizes.select("path", "pivot").join(known.select(F.col("node").alias("pivot"), F.col("signature").alias("ps")), "pivot")
-    against = rows.join(known, "node").join(pivots, "path").select("path", "node", "signature", "pivot", "ps")
+def _against_pivots(rows: DataFrame, large: DataFrame, known: DataFrame) -> DataFrame:
+    """(path, node, short, pivot, like) of the sets in large buckets: whether
+    each agrees with the bucket's pivot."""
+    pivots = large.join(known.select(F.col("node").alias("pivot"), F.col("short").alias("of_pivot")), "pivot")
+    pairs = rows.join(known.select("node", "short"), "node").join(pivots.select("path", "pivot", "of_pivot"), "path")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            same = _matrix(batch.column(2), np.uint16) == _matrix(batch.column(4), np.uint16)
+            same = _matrix(batch.column(2), np.uint8) == _matrix(batch.column(4), np.uint8)
             like = pa.array(same.sum(1, dtype=np.int16) >= _LEAST_EQUAL)
-            yield pa.RecordBatch.from_arrays([*(batch.column(k) for k in (0, 1, 2, 3)), like], ["path", "node", "signature", "pivot", "like"])
+            yield pa.RecordBatch.from_arrays([*batch.columns[:4], like], ["path", "node", "short", "pivot", "like"])
 
-    judged = materialize(
-        against.mapInArrow(run, "path long, node long, signature binary, pivot long, like boolean"), "dense"
+    judged = pairs.select("path", "node", "short", "pivot", "of_pivot").mapInArrow(
+        run, "path long, node long, short binary, pivot long, like boolean"
     )
-    stars = judged.where("like").select(F.col("node").alias("u"), F.col("pivot").alias("v"))
-    left = (
-        judged.groupBy("path").agg(F.count("node").alias("n"), F.count_if(~F.col("like")).alias("n_loose"))
-        .where("n_loose > 0")
-        .select("path", F.ceil(F.col("n") / BUCKET).cast("int").alias("blocks"),
-                F.ceil(F.col("n_loose") / BUCKET).cast("int").alias("loose_blocks"))
-    )
-    rest = judged.join(left, "path")
+    return materialize(judged, "pivots")
+
+
+def _in_blocks(rest: DataFrame) -> DataFrame:
+    """Links within buckets between the sets unlike the pivot and all others,
+    of (path, node, short, like, n, n_loose), in pairs of blocks."""
     mine = F.xxhash64("node")
+    sized = rest.withColumns(
+        {"blocks": F.ceil(F.col("n") / BUCKET).cast("int"), "loose_blocks": F.ceil(F.col("n_loose") / BUCKET).cast("int")}
+    )
     upto = lambda c: F.explode(F.sequence(F.lit(0), F.col(c) - 1))
-    blocks = rest.select(
+    every = sized.select(
         "path", upto("loose_blocks").alias("a"), F.pmod(mine, "blocks").cast("int").alias("b"), "node",
-        F.lit(False).alias("loose"), "signature",
+        F.lit(False).alias("loose"), "short",
     )
-    loose = rest.where(~F.col("like")).select(
+    loose = sized.where(~F.col("like")).select(
         "path", F.pmod(mine, "loose_blocks").cast("int").alias("a"), upto("blocks").alias("b"), "node",
-        F.lit(True).alias("loose"), "signature",
+        F.lit(True).alias("loose"), "short",
     )
-    spread = blocks.unionByName(loose).repartition("path", "a", "b").sortWithinPartitions("path", "a", "b")
-    return stars.unionByName(spread.mapInArrow(_compare_blocks, "u long, v long"))
+    spread = every.unionByName(loose).repartition("path", "a", "b").sortWithinPartitions("path", "a", "b")
+    return spread.mapInArrow(_compare_blocks, "u long, v long")
 
 
 def candidate_links(known: DataFrame, recall: float = RECALL, depth: int = DEPTH) -> DataFrame:
     """Spanning links (u, v) between nodes that share a bucket and whose
     signatures agree, of all runs."""
-    sets = known.where("n > 0").select("node", "signature")
-    rows = sets.mapInArrow(_first_paths(n_runs(recall, depth)), "path long, node long")
+    sets = known.where("n > 0")
+    rows = sets.select("node", "signature").mapInArrow(_first_paths(n_runs(recall, depth)), "path long, node long")
     links = []
     for level in range(1, depth + 1):
         rows = materialize(rows, f"paths-{level}")
@@ -344,16 +355,26 @@ def candidate_links(known: DataFrame, recall: float = RECALL, depth: int = DEPTH
             f"buckets-{level}",
         )
         small = rows.join(sizes.where(F.col("size") <= BUCKET).select("path"), "path")
-        compared = small.join(sets, "node").select("path", "node", "signature").repartition("path").sortWithinPartitions("path")
+        compared = small.join(sets.select("node", "short"), "node").select("path", "node", "short")
+        compared = compared.repartition("path").sortWithinPartitions("path")
         links.append(materialize(compared.mapInArrow(_compare_buckets, "u long, v long").distinct(), f"links-{level}"))
         large = sizes.where(F.col("size") > BUCKET)
         if large.isEmpty():
             break
-        rows = rows.join(large.select("path"), "path").select("path", "node")
-        if level == depth:
-            links.append(materialize(_dense(rows, large, sets).distinct(), "links-dense"))
-        else:
-            rows = rows.join(sets, "node").select("path", "node", "signature").mapInArrow(_next_paths, "path long, node long")
+        judged = _against_pivots(rows, large.select("path", "pivot"), sets)
+        links.append(judged.where("like").select(F.col("node").alias("u"), F.col("pivot").alias("v")).distinct())
+        counts = judged.groupBy("path").agg(F.count("node").alias("n"), F.count_if(~F.col("like")).alias("n_loose"))
+        counts = materialize(counts.where("n_loose > 0"), "loose")
+        done = F.lit(True) if level == depth else F.col("n_loose") <= BUCKET
+        blocks = _in_blocks(judged.join(counts.where(done), "path").select("path", "node", "short", "like", "n", "n_loose"))
+        links.append(materialize(blocks.distinct(), "links-blocks"))
+        sparse = counts.where(~done).select("path")
+        if level == depth or sparse.isEmpty():
+            break
+        rows = (
+            judged.select("path", "node").join(sparse, "path").join(sets.select("node", "signature"), "node")
+            .select("path", "node", "signature").mapInArrow(_next_paths, "path long, node long")
+        )
     out = links[0]
     for more in links[1:]:
         out = out.unionByName(more)
@@ -393,15 +414,31 @@ def overlaps(sets: list[np.ndarray], width: int = 4096) -> np.ndarray:
 _EXACT = "kind int, u long, v long, links long"
 
 
+def labels(n: int, forest: list[tuple[int, int]]) -> list[int]:
+    """The smallest member of each node's tree."""
+    out = list(range(n))
+
+    def root(k: int) -> int:
+        while out[k] != k:
+            out[k] = k = out[out[k]]
+        return k
+
+    for a, b in forest:
+        a, b = sorted((root(a), root(b)))
+        out[b] = a
+    return [root(k) for k in range(n)]
+
+
 def _exact(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Of groups (component, a, b, chunk, node, copies, digest, text): the
-    number of linked documents of each set (kind 0) and spanning links (kind
-    1).  A group with a = b compares all its sets, others those of different
-    chunks."""
+    """Of groups (component, a, b, chunk, node, copies, digest, chunks, text):
+    the number of linked documents of each set (kind 0) and spanning links
+    (kind 1).  A group with a = b compares all its sets, others those of
+    different chunks.  Where the group is all there is of its component
+    (chunks = 1), each linked set gets its smallest node (kind 2) instead."""
     for table, at in grouped(batches, 3, least=64):
         a, b, chunk = (table.column(k).to_numpy() for k in (1, 2, 3))
         nodes, copies, digests = table.column(4).to_numpy(), table.column(5).to_numpy(), table.column(6).to_pylist()
-        texts = table.column(7).combine_chunks()
+        chunks, texts = table.column(7).to_numpy(), table.column(8).combine_chunks()
         out: list[tuple[int, int, int, int]] = []
         for s, e in zip(at[:-1].tolist(), at[1:].tolist()):
             sets = shingle_sets(texts.slice(s, e - s))
@@ -422,7 +459,14 @@ def _exact(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 like &= part[:, None] != part[None, :]
             linked = like @ weight
             out += [(0, int(own[k]), 0, int(linked[k])) for k in np.flatnonzero(linked)]
-            out += [(1, int(own[i]), int(own[j]), 0) for i, j in spanning(like)]
+            forest = spanning(like)
+            if chunks[s] > 1:
+                out += [(1, int(own[i]), int(own[j]), 0) for i, j in forest]
+            elif forest:
+                order = np.argsort(own)  # the smallest index is the smallest node then
+                place = np.argsort(order)
+                label = labels(len(own), [(int(place[i]), int(place[j])) for i, j in forest])
+                out += [(2, int(own[k]), int(own[order[label[place[k]]]]), 0) for k in np.flatnonzero(linked)]
         columns = zip(*out) if out else ([], [], [], [])
         yield pa.RecordBatch.from_arrays(
             [pa.array(list(c), t) for c, t in zip(columns, (pa.int32(), pa.int64(), pa.int64(), pa.int64()))],
@@ -442,7 +486,7 @@ def exact_links(docs: DataFrame, known: DataFrame, groups: DataFrame, id_col: st
     other = placed.join(texts, "first").withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
     keyed = other.select(
         "component", F.least("chunk", "other").alias("a"), F.greatest("chunk", "other").alias("b"), "chunk", "node",
-        "copies", "digest", "text",
+        "copies", "digest", "chunks", "text",
     )
     spread = keyed.repartition("component", "a", "b").sortWithinPartitions("component", "a", "b")
     return materialize(spread.mapInArrow(_exact, _EXACT), "exact-links")
@@ -460,7 +504,10 @@ def ngram_join(
     groups = components(candidate_links(known, recall, depth))
     exact = exact_links(docs, known, groups, id_col, text_col)
     links = exact.where("kind = 0").groupBy(F.col("u").alias("node")).agg(F.sum("links").alias("links"))
-    parts = components(exact.where("kind = 1"))
+    parts = exact.where("kind = 2").select(F.col("u").alias("node"), F.col("v").alias("component"))
+    across = exact.where("kind = 1").select("u", "v")
+    if not across.isEmpty():
+        parts = parts.unionByName(components(across))
     firsts = parts.join(known.select("node", "first"), "node").groupBy("component").agg(F.min("first").alias("class_id"))
     placed = materialize(
         known.select("node", "digest", "first", "copies").join(links, "node", "left").join(parts, "node", "left")

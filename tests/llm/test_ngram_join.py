@@ -68,8 +68,8 @@ def test_runs_reach_the_target_recall():
     """Pairs right at the threshold, over the splits of their signatures."""
     rng = np.random.default_rng(2)
     depth, pairs, runs = 2, 400, nj.n_runs(0.9, 2)
-    a = rng.integers(0, 2**16, (pairs, nj.TOKENS)).astype(np.uint16)
-    b = np.where(rng.random((pairs, nj.TOKENS)) < nj.THRESHOLD, a, rng.integers(0, 2**16, (pairs, nj.TOKENS))).astype(np.uint16)
+    a = rng.integers(0, 2**32, (pairs, nj.TOKENS)).astype(np.uint32)
+    b = np.where(rng.random((pairs, nj.TOKENS)) < nj.THRESHOLD, a, rng.integers(0, 2**32, (pairs, nj.TOKENS))).astype(np.uint32)
     found = np.zeros(pairs, bool)
     for run in range(runs):
         paths = [{k: {nj.mix(np.array([run + 1], np.uint64) << np.uint64(20))[0]} for k in range(pairs)} for _ in (0, 1)]
