@@ -41,7 +41,7 @@ from pyspark.sql import functions as F
 from slaflow.llm.common import materialize, text_or_empty, without
 from slaflow.llm.ngram_join import grouped
 
-CHUNK_CHARS = 16_384
+CHUNK_CHARS = 65_536
 SPACE = "▁"
 #: A state: (characters of the piece before the cut, the piece).  Where no
 #: piece can cross, at the begin and at the end, there is only this one:
@@ -285,7 +285,7 @@ def encode(docs: DataFrame, model_path: str, chunk_chars: int = CHUNK_CHARS, tex
     cut = long_.select("row", F.col("doc")[text_col].alias("text")).mapInArrow(
         _chunks(chunk_chars, context), "row long, chunk int, begin int, s string"
     )
-    chunks = materialize(cut.repartition("row", "chunk"), "chunks")
+    chunks = cut.repartition("row", "chunk")  # one exchange, read by both passes
     matrices = chunks.mapInArrow(_matrices(model_path, chunk_chars), f"row long, chunk int, matrix {_MATRIX}")
     states = matrices.repartition("row").sortWithinPartitions("row", "chunk").mapInArrow(
         _scans, f"row long, chunk int, entry {_STATE}, exit {_STATE}"
