@@ -37,6 +37,8 @@ from slaflow.llm.words import mix
 LENGTH = 2048
 PER_SHARD = 4096
 ROUNDS = 6
+#: Of the ids on their way from the scan to their shard.
+PACK_LEVEL = 9
 _PIECE = pa.struct([("doc_id", pa.int64()), ("piece", pa.int32()), ("start", pa.int32()), ("n_tokens", pa.int32())])
 _PIECES = "array<struct<doc_id:long,piece:int,start:int,n_tokens:int>>"
 
@@ -141,7 +143,7 @@ def _deal(offsets: dict[int, int], order: Permutation):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import zstandard
 
-        pack = zstandard.ZstdCompressor(3).compress
+        pack = zstandard.ZstdCompressor(PACK_LEVEL).compress
         for batch in batches:
             first = np.array([offsets[p] for p in batch.column(0).to_pylist()], np.int64)
             slots = order.slot(first + batch.column(1).to_numpy())
@@ -216,7 +218,8 @@ def write_training_order(
         F.spark_partition_id().alias("part"), F.col(id_col).cast("long").alias("doc_id"), text_or_empty(text_col).alias("text")
     )
     cut = rows.mapInArrow(_cut(ranks_path, length, end_id), f"part int, pos long, tokens binary, pieces {_PIECES}")
-    cut.write.option("compression", "zstd").parquet(f"{path}/sequences")
+    packed = {"compression": "zstd", "parquet.compression.codec.zstd.level": PACK_LEVEL}
+    cut.write.options(**packed).parquet(f"{path}/sequences")
     sequences = spark.read.parquet(f"{path}/sequences")
     counts = sorted((r["part"], r["count"]) for r in sequences.groupBy("part").count().collect())
     offsets, n = {}, 0
