@@ -3,7 +3,9 @@
     slaflow validate --input DIR_OR_CSV [--report PATH] [--expected-rows N] [--expected-invalid N]
     slaflow build-medallion --input DIR_OR_CSV --output DIR
     slaflow build-analytics --medallion DIR --output DIR
-    slaflow build-process-intelligence --input DIR_OR_CSV --output DIR
+    slaflow build-process-intelligence (--input DIR_OR_CSV | --medallion DIR) --output DIR
+
+``--multi-line`` (with ``--input``) reads quoted line breaks.
 
 The session comes from the cluster (``SparkSession.builder.getOrCreate``),
 so master, memory and ``spark.checkpoint.dir`` are whatever the deployment
@@ -36,38 +38,41 @@ def _parser() -> argparse.ArgumentParser:
     a.add_argument("--medallion", required=True)
     a.add_argument("--output", required=True)
     pi = sub.add_parser("build-process-intelligence")
-    pi.add_argument("--input", required=True)
+    source = pi.add_mutually_exclusive_group(required=True)
+    source.add_argument("--input")
+    source.add_argument("--medallion")
     pi.add_argument("--output", required=True)
+    for command in (v, m, pi):
+        command.add_argument("--multi-line", action="store_true")
     return p
 
 
 def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> int:
     from slaflow.operators.validation import expectation_gate
     from slaflow.plans import jobs
-    from slaflow.plans.layers import MedallionLayers
     from slaflow.session import prepare_session
-    from slaflow.sources.bronze import bronze_from_csv
 
     args = _parser().parse_args(argv)
     contract = load_contract(args.contract) if args.contract else default_contract()
     spark = prepare_session(spark or SparkSession.builder.appName(f"slaflow-{args.command}").getOrCreate())
 
     if args.command == "validate":
-        report = jobs.validate_file(spark, args.input, contract)
+        report = jobs.validate_file(spark, args.input, contract, args.multi_line)
         if args.report:
             jobs.write_report(report, args.report, spark)
         print(f"rows={report['total_rows']} valid={report['valid_rows']} invalid={report['invalid_rows']}")
         return 0 if expectation_gate(report, args.expected_rows, args.expected_invalid) else 1
     if args.command == "build-medallion":
-        print(jobs.run_medallion(spark, args.input, args.output, contract))
+        print(jobs.run_medallion(spark, args.input, args.output, contract, args.multi_line))
         return 0
     if args.command == "build-analytics":
-        run = jobs.build_analytics(spark, args.medallion)
-        print(jobs.write_analytics(run, args.output))
+        print(jobs.run_analytics(spark, args.medallion, args.output))
         return 0
     if args.command == "build-process-intelligence":
-        layers = MedallionLayers(bronze_from_csv(spark, args.input), contract)
-        print(jobs.write_process_intelligence(jobs.build_process_intelligence(layers), args.output))
+        if args.medallion:
+            print(jobs.run_process_of_medallion(spark, args.medallion, args.output, contract))
+        else:
+            print(jobs.run_process_intelligence(spark, args.input, args.output, contract, args.multi_line))
         return 0
     return 2
 

@@ -19,10 +19,6 @@ from typing import Any
 # (personal-data) column names, ingestion timestamp and event origin label.
 # ---------------------------------------------------------------------------
 SERVICE_REQUEST_CONTRACT: dict[str, Any] = {
-    "contract_name": "service_requests",
-    "contract_version": "1.1.0",
-    "record_count": 1000,
-    "expected_invalid_rows": 11,
     "primary_key": ["ticket_id"],
     "timestamp_format": "%Y-%m-%dT%H:%M:%SZ",
     "columns": [
@@ -70,7 +66,6 @@ SERVICE_REQUEST_CONTRACT: dict[str, Any] = {
         }
     },
     "safety": {
-        "synthetic_only": True,
         "forbidden_columns": ["name", "email", "phone", "address", "customer_name", "user_name"],
     },
 }
@@ -110,10 +105,6 @@ def integer_columns(contract: dict[str, Any]) -> list[str]:
     return [c["name"] for c in contract["columns"] if c.get("type") == "integer"]
 
 
-def datetime_columns(contract: dict[str, Any]) -> list[str]:
-    return [c["name"] for c in contract["columns"] if c.get("type") == "datetime"]
-
-
 def java_timestamp_pattern(strftime_format: str) -> str:
     """Translate the contract's strftime format to a Spark datetime pattern."""
     out = []

@@ -2,15 +2,16 @@
 
 Three rounding families exist and are kept apart on purpose:
 
-* ``kpi_round`` / ``safe_rate`` - half-even (the KPI row and the process
+* ``kpi_round`` / ``safe_rate`` - the exact binary value to the nearest
+  decimal, half-even, as Python's ``round`` (the KPI row and the process
   tables);
-* ``sql_round`` / ``sql_ratio`` - half away from zero (the SQL marts);
+* ``scaled_round`` - half-even on the scaled binary product (case spans);
+* ``sql_round`` / ``sql_ratio`` - half away from zero on the scaled binary
+  product (the SQL marts);
 * minute clamps round to an integer half-even with Spark ``rint``.
 
-Both decimal families scale by 10^d, round the binary product to an
-integer and scale back (``rint`` / ``round(.., 0)``).  Spark's
-``round``/``bround`` with d > 0 round the shortest decimal text of the
-double instead, which differs on values like 1.005 whose binary value
+Spark's ``round``/``bround`` with d > 0 round the shortest decimal text of
+the double instead, which differs on values like 1.005 whose binary value
 lies below the printed tie.
 """
 
@@ -20,11 +21,14 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+#: What counts as a number: ASCII digits with a point and an exponent, or an
+#: infinity.  (A cast alone also takes Java's ``240d`` and ``0x1p3``.)
+NUMBER = r"\A[+-]?(?:(?:[0-9]+\.?[0-9]*|\.[0-9]+)(?:[eE][+-]?[0-9]+)?|(?i:inf|infinity))\z"
+
+
 def parse_number(trimmed_text: Column) -> Column:
-    """Text to double, NULL when the text is blank or not a number (NaN
-    counts as not a number; Spark would otherwise order it above +inf)."""
-    number = trimmed_text.try_cast("double")
-    return F.when((trimmed_text != "") & ~F.isnan(number), number)
+    """Text to double, NULL when the text is blank or not a number."""
+    return F.when(trimmed_text.rlike(NUMBER), trimmed_text.try_cast("double"))
 
 
 def is_integral(number: Column) -> Column:
@@ -38,9 +42,31 @@ def is_integral(number: Column) -> Column:
 
 
 def kpi_round(value: Column, digits: int) -> Column:
-    """Half-even at ``digits`` decimals."""
-    scale = float(10**digits)
-    return F.rint(value.cast("double") * F.lit(scale)) / F.lit(scale)
+    """The nearest decimal of the exact binary value, half-even.
+
+    The product x * 10^d is rounded; where it lands on .5, the error of the
+    product (exact: x is split into halves of 27 bits, 10^d has fewer bits
+    than the rest) tells on which side of the tie the value is.
+    """
+    if 10**digits >= 1 << 26:
+        raise ValueError("at most 7 decimals")
+    x, scale = value.cast("double"), F.lit(float(10**digits))
+    product = x * scale
+    high = x * F.lit(134217729.0) - (x * F.lit(134217729.0) - x)
+    error = (high * scale - product) + (x - high) * scale
+    tie = product - F.floor(product) == F.lit(0.5)
+    nearest = (
+        F.when(tie & (error > 0), F.ceil(product).cast("double"))
+        .when(tie & (error < 0), F.floor(product).cast("double"))
+        .otherwise(F.rint(product))
+    )
+    return nearest / scale
+
+
+def scaled_round(value: Column, digits: int) -> Column:
+    """Half-even on the scaled binary product."""
+    scale = F.lit(float(10**digits))
+    return F.rint(value.cast("double") * scale) / scale
 
 
 def sql_round(value: Column, digits: int) -> Column:

@@ -27,7 +27,7 @@ def fraction_micros(start_micros: Column, duration_micros: Column, percent: Colu
     """start + percent % of the duration, exact integer arithmetic in
     microseconds (durations are non-negative)."""
     pct = percent if isinstance(percent, Column) else F.lit(percent)
-    return start_micros + F.floor(duration_micros * pct / F.lit(100)).cast("long")
+    return start_micros + F.call_function("div", duration_micros * pct, F.lit(100))
 
 
 def date_key(ts: Column) -> Column:

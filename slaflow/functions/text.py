@@ -21,10 +21,6 @@ def trimmed(col: str | Column) -> Column:
     return F.btrim(text(col), F.lit(UNICODE_WHITESPACE))
 
 
-def is_blank(col: str | Column) -> Column:
-    return trimmed(col) == F.lit("")
-
-
 def full_match(col: Column, pattern: str) -> Column:
     """Whole-string regex match.
 

@@ -83,43 +83,20 @@ def kpi_range_violations(kpi_row: DataFrame, ranges: dict[str, Sequence[float]])
 # --------------------------------------------------------------------------- enriched view (A10)
 
 
-ENRICHED_COLUMNS = [
-    "ticket_id",
-    "created_date",
-    "closed_date",
-    "assigned_team",
-    "category",
-    "priority",
-    "status",
-    "sla_target_minutes",
-    "resolution_minutes",
-    "reopened_count",
-    "escalated",
-    "sla_met",
-    "sla_breached",
-    "resolution_ratio",
-    "resolution_overrun_minutes",
-    "customer_segment",
-    "source_system",
-    "source_row",
-    "ingestion_batch_id",
-]
-
-
 def enriched(
     fact: DataFrame, dim_date: DataFrame, dim_team: DataFrame, dim_category: DataFrame, dim_priority: DataFrame
 ) -> DataFrame:
     """Denormalised fact: role-playing date dimension (created inner,
     closed left), team/category/priority labels, breach flag, ratio,
-    overrun.  All dimensions are small and broadcast."""
-    created = F.broadcast(dim_date.select(F.col("date_key").alias("created_date_key"), F.col("full_date").alias("created_date")))
-    closed = F.broadcast(dim_date.select(F.col("date_key").alias("closed_date_key"), F.col("full_date").alias("closed_date")))
+    overrun.  Spark broadcasts the dimensions by their size."""
+    created = dim_date.select(F.col("date_key").alias("created_date_key"), F.col("full_date").alias("created_date"))
+    closed = dim_date.select(F.col("date_key").alias("closed_date_key"), F.col("full_date").alias("closed_date"))
     joined = (
         fact.join(created, "created_date_key", "inner")
         .join(closed, "closed_date_key", "left")
-        .join(F.broadcast(dim_team), "team_key", "inner")
-        .join(F.broadcast(dim_category), "category_key", "inner")
-        .join(F.broadcast(dim_priority.select("priority_key", "priority")), "priority_key", "inner")
+        .join(dim_team, "team_key", "inner")
+        .join(dim_category, "category_key", "inner")
+        .join(dim_priority.select("priority_key", "priority"), "priority_key", "inner")
     )
     breached = _closed() & (F.col("sla_met") == F.lit(False))
     return joined.select(
@@ -183,7 +160,7 @@ def sla_measures(full: bool = True) -> list[Column]:
 
 def sla_mart(enriched_df: DataFrame, keys: Sequence[str], full: bool = True) -> DataFrame:
     """Generic SLA mart: closed requests grouped by ``keys``."""
-    return enriched_df.where(_closed()).groupBy(*keys).agg(*sla_measures(full)).orderBy(*keys)
+    return enriched_df.where(_closed()).groupBy(*keys).agg(*sla_measures(full))
 
 
 def sla_grouping_sets(enriched_df: DataFrame, key_sets: Sequence[Sequence[str]]) -> DataFrame:
@@ -224,7 +201,6 @@ def daily_operations(enriched_df: DataFrame, day_col: str = "created_date") -> D
             count_when(_is_true("escalated")).alias("escalated_requests"),
             count_when(F.col("reopened_count") > 0).alias("reopened_requests"),
         )
-        .orderBy(day_col)
     )
 
 
@@ -250,11 +226,7 @@ BREACH_COLUMNS = [
 
 
 def breach_details(enriched_df: DataFrame) -> DataFrame:
-    return (
-        enriched_df.where(_is_true("sla_breached"))
-        .select(*BREACH_COLUMNS)
-        .orderBy(F.col("resolution_overrun_minutes").desc(), F.col("ticket_id"))
-    )
+    return enriched_df.where(_is_true("sla_breached")).select(*BREACH_COLUMNS)
 
 
 def weighted_rate(mart: DataFrame, numerator: str, denominator: str, digits: int = 4) -> DataFrame:

@@ -13,9 +13,10 @@ into offsets and broadcast back.
 from __future__ import annotations
 
 import uuid
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from slaflow.session import ensure_checkpoint_dir
@@ -25,6 +26,25 @@ _POS = "__pos"
 _OFFSET = "__offset"
 
 
+#: Snapshots written since each of the open ``scratch`` blocks began.
+_SCRATCH: list[list[str]] = []
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Snapshots that are written in the block are deleted at its end; what
+    is to outlive it must be written elsewhere in it."""
+    _SCRATCH.append([])
+    try:
+        yield
+    finally:
+        paths = _SCRATCH.pop()
+        jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+        for text in paths:
+            path = jvm.org.apache.hadoop.fs.Path(text)
+            path.getFileSystem(conf).delete(path, True)
+
+
 def materialize(df: DataFrame, name: str = "layer") -> DataFrame:
     """Cut lineage: write the frame as Parquet under the session's checkpoint
     directory (the shared folder named by ``spark.checkpoint.dir``) and read
@@ -33,8 +53,10 @@ def materialize(df: DataFrame, name: str = "layer") -> DataFrame:
     instead of recomputing the lineage."""
     base = ensure_checkpoint_dir(df.sparkSession).rstrip("/")
     path = f"{base}/slaflow-{name}-{uuid.uuid4().hex}"
+    for paths in _SCRATCH[-1:]:
+        paths.append(path)
     df.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def with_ordinal(

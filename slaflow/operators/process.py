@@ -7,9 +7,9 @@ Two kinds of event log are handled:
   events are generated inside the row as one sorted array, so event index,
   case summary, variant and transition pairs need no shuffle at all;
 * **observed** logs (rows of an event table such as ``events``): events of
-  a case are ordered by a distributed ordinal and each event is joined to
-  its successor on (case, ordinal + 1) - an equi-join on a unique key, so a
-  case holding a third of all rows is still spread over every task.
+  a case are ordered by a distributed ordinal and paired in blocks of
+  consecutive ordinals, so a case holding a third of all rows is still
+  spread over every task.
 """
 
 from __future__ import annotations
@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from slaflow.contract import BOTTLENECK_BOUNDARY, EVENT_ORIGIN, MIN_BOTTLENECK_CASES
-from slaflow.functions.numeric import clamp, count_when, kpi_round, safe_rate
+from slaflow.functions.numeric import clamp, count_when, kpi_round, safe_rate, scaled_round
 from slaflow.functions.temporal import add_minutes_micros, fraction_micros, micros_to_minutes
 from slaflow.operators.ordinal import with_ordinal
 from slaflow.operators.quantiles import exact_quantiles
@@ -60,6 +60,9 @@ OBSERVED_BOUNDARY = "Observed waiting time; concentration signal, not causal roo
 # --------------------------------------------------------------------------- end of fixed values
 CASE_CONTEXT = ["assigned_team", "category", "priority", "customer_segment", "status"]
 EVENTS = "__events"
+SEPARATOR = " > "
+#: An unnamed activity in a sequence that is digested.
+NO_ACTIVITY = "?"
 
 
 # --------------------------------------------------------------------------- derived log (G1-G9)
@@ -137,7 +140,9 @@ def check_process_source(valid: DataFrame) -> None:
 
 
 def with_lifecycle(valid: DataFrame) -> DataFrame:
-    return valid.withColumn(EVENTS, lifecycle_events())
+    """The requests with their events; those that have them are left alone,
+    so the events can be derived once and written."""
+    return valid if EVENTS in valid.columns else valid.withColumn(EVENTS, lifecycle_events())
 
 
 def event_log(valid: DataFrame) -> DataFrame:
@@ -196,7 +201,7 @@ def cases(valid: DataFrame) -> DataFrame:
         F.timestamp_micros(first).alias("first_event_at"),
         F.timestamp_micros(last).alias("last_event_at"),
         variant_of(F.col(EVENTS)).alias("process_variant"),
-        kpi_round(micros_to_minutes(last - first), 2).alias("observed_span_minutes"),
+        scaled_round(micros_to_minutes(last - first), 2).alias("observed_span_minutes"),
         F.col("resolution_minutes").cast("double").alias("throughput_minutes"),
         exception_type(escalated, F.col("reopened_count")).alias("exception_type"),
     )
@@ -227,6 +232,7 @@ def derived_pairs(valid: DataFrame) -> DataFrame:
 
 
 RANK = "__r"
+BLOCK_EVENTS = 100_000
 PIECE_EVENTS = 10_000
 
 
@@ -250,23 +256,27 @@ def number_events(
     return with_ordinal(base, [*case_cols, *order_cols], name=RANK)
 
 
-def pairs_of_numbered(numbered: DataFrame, case_cols: Sequence[str]) -> DataFrame:
-    """(source, target, wait) of consecutive events: each event joined to
-    rank + 1 of the same case - an equi-join on a unique key, so no case,
-    however large, is gathered into one task."""
+def pairs_of_numbered(numbered: DataFrame, case_cols: Sequence[str], block: int = BLOCK_EVENTS) -> DataFrame:
+    """(source, target, wait) of consecutive events of a case.  ``lead`` runs
+    in blocks of ``block`` consecutive ranks, so a case of any size is spread
+    over tasks; the last event of a block meets the first one of the next
+    through a join of one row for each block.  A NULL case is a case like any
+    other, as in SQL's grouping."""
     case_cols = list(case_cols)
-    successor = numbered.select(
-        (F.col(RANK) - 1).alias(RANK),
-        *[F.col(c).alias(f"__next_{c}") for c in case_cols],
-        F.col("__a").alias("target_activity"),
-        F.col("__t").alias("__next_t"),
+    case = F.struct(*[F.col(c) for c in case_cols]).alias("case")
+    rows = numbered.select(
+        RANK, F.floor(F.col(RANK) / block).alias("__block"), F.struct(case, F.col("__a").alias("a"), F.col("__t").alias("t")).alias("e")
     )
-    cond = [numbered[RANK] == successor[RANK]] + [numbered[c] == successor[f"__next_{c}"] for c in case_cols]
-    joined = numbered.join(successor, cond, "inner")
-    wait_us = F.unix_micros("__next_t") - F.unix_micros("__t")
-    return joined.select(
-        F.col("__a").alias("source_activity"),
-        "target_activity",
+    order = Window.partitionBy("__block").orderBy(RANK)
+    paired = rows.withColumn("next", F.lead("e").over(order))
+    heads = rows.groupBy("__block").agg(F.min_by("e", RANK).alias("head"), F.min(RANK).alias("first"))
+    heads = heads.select((F.col("__block") - 1).alias("__block"), "head")
+    last = paired.where(F.col("next").isNull()).drop("next").join(heads, "__block")
+    both = paired.where(F.col("next").isNotNull()).select("e", "next").unionByName(last.select("e", F.col("head").alias("next")))
+    wait_us = F.unix_micros("next.t") - F.unix_micros("e.t")
+    return both.where(F.col("e.case").eqNullSafe(F.col("next.case"))).select(
+        F.col("e.a").alias("source_activity"),
+        F.col("next.a").alias("target_activity"),
         wait_us.alias("wait_us"),
         micros_to_minutes(wait_us).alias("wait_minutes"),
     )
@@ -284,28 +294,37 @@ def successor_pairs(
     return pairs_of_numbered(number_events(log, case_cols, order_cols, activity_col, ts_col), case_cols)
 
 
-def observed_cases(numbered: DataFrame, case_cols: Sequence[str], piece_events: int = PIECE_EVENTS) -> DataFrame:
-    """Per case of a numbered observed log: event count, first/last time,
-    span and the ordered activity sequence (its variant).
+def numbered_in_case(numbered: DataFrame, case_cols: Sequence[str]) -> DataFrame:
+    """The events with their position in their case, from 0."""
+    case_cols = list(case_cols)
+    firsts = numbered.groupBy(*[F.col(c).alias(f"__first_{c}") for c in case_cols]).agg(F.min(RANK).alias("__first_rank"))
+    same = [F.col(c).eqNullSafe(F.col(f"__first_{c}")) for c in case_cols]
+    joined = numbered.join(firsts, same)
+    return joined.select(*case_cols, RANK, (F.col(RANK) - F.col("__first_rank")).alias("__pos"), "__a", "__t")
+
+
+def observed_cases(positioned: DataFrame, case_cols: Sequence[str], piece_events: int = PIECE_EVENTS) -> DataFrame:
+    """Per case of an observed log (``numbered_in_case``): event count,
+    first/last time, span and the digest of its activity sequence.
 
-    The sequence is assembled in pieces of at most ``piece_events``
-    consecutive ranks - built in parallel, each bounded - and a case only
-    concatenates its piece strings, so no task sorts or holds a hot case's
-    events; the variant string itself is the case's output value.
+    Sequences are digested in pieces of at most ``piece_events`` events, each
+    in its own group, and a case's digest is that of its pieces' digests in
+    order; so no task holds a hot case's events, and no sequence is a value
+    that is shuffled or grouped by.
     """
     case_cols = list(case_cols)
-    pieces = numbered.groupBy(*case_cols, F.floor(F.col(RANK) / F.lit(piece_events)).alias("__piece")).agg(
-        F.min(RANK).alias("__from"),
+    ordered = F.sort_array(F.collect_list(F.struct("__pos", "__a")))["__a"]
+    pieces = positioned.groupBy(*case_cols, F.floor(F.col("__pos") / F.lit(piece_events)).alias("__piece")).agg(
         F.count(F.lit(1)).alias("__n"),
         F.min("__t").alias("__first"),
         F.max("__t").alias("__last"),
-        F.array_join(F.sort_array(F.collect_list(F.struct(F.col(RANK), F.col("__a"))))["__a"], " > ").alias("__text"),
+        F.md5(F.array_join(ordered, SEPARATOR, NO_ACTIVITY)).alias("__digest"),
     )
     cases = pieces.groupBy(*case_cols).agg(
         F.sum("__n").alias("event_count"),
         F.min("__first").alias("first_event_at"),
         F.max("__last").alias("last_event_at"),
-        F.array_join(F.sort_array(F.collect_list(F.struct("__from", "__text")))["__text"], " > ").alias("process_variant"),
+        F.md5(F.array_join(F.sort_array(F.collect_list(F.struct("__piece", "__digest")))["__digest"], SEPARATOR)).alias("variant_id"),
     )
     first, last = F.col("first_event_at"), F.col("last_event_at")
     return cases.select(
@@ -313,8 +332,20 @@ def observed_cases(numbered: DataFrame, case_cols: Sequence[str], piece_events:
         F.col("event_count").cast("long").alias("event_count"),
         first,
         last,
-        "process_variant",
-        kpi_round(micros_to_minutes(F.unix_micros(last) - F.unix_micros(first)), 2).alias("observed_span_minutes"),
+        "variant_id",
+        scaled_round(micros_to_minutes(F.unix_micros(last) - F.unix_micros(first)), 2).alias("observed_span_minutes"),
+    )
+
+
+def observed_variant_steps(positioned: DataFrame, case_table: DataFrame, case_cols: Sequence[str]) -> DataFrame:
+    """The activity sequence of each variant, one row for each position (from
+    1), read from the variant's smallest case."""
+    case_cols = list(case_cols)
+    case = F.struct(*[F.col(c) for c in case_cols])
+    shown = case_table.groupBy("variant_id").agg(F.min(case).alias("__case"))
+    same = [F.col(c).eqNullSafe(F.col("__case")[c]) for c in case_cols]
+    return positioned.join(shown, same).select(
+        "variant_id", (F.col("__pos") + 1).cast("long").alias("position"), F.col("__a").alias("activity")
     )
 
 
@@ -343,7 +374,7 @@ def transition_performance(pairs: DataFrame) -> DataFrame:
         kpi_round(mean, 2).alias("average_wait_minutes"),
         kpi_round(F.col("__median"), 2).alias("median_wait_minutes"),
         kpi_round(F.col("__p90"), 2).alias("p90_wait_minutes"),
-    ).orderBy(F.col("case_count").desc(), "source_activity", "target_activity")
+    )
 
 
 def bottlenecks(
@@ -367,22 +398,20 @@ def bottlenecks(
             "p90_wait_minutes",
             F.lit(boundary).alias("interpretation_boundary"),
         )
-        .orderBy("bottleneck_rank")
     )
 
 
-def _total(df: DataFrame) -> int:
-    """Row count as a driver scalar (one number crosses to the driver)."""
-    return int(df.agg(F.count(F.lit(1)).alias("n")).first()["n"])
-
-
 def _closed() -> Column:
     return F.col("status") == "closed"
 
 
+def _total(df: DataFrame) -> Column:
+    """The number of rows, as a scalar subquery of the plan."""
+    return df.agg(F.count(F.lit(1))).scalar()
+
+
 def variants(case_table: DataFrame) -> DataFrame:
     """Variant table of service-request cases."""
-    total = _total(case_table)
     closed = count_when(_closed())
     breaches = count_when(_closed() & (F.col("sla_met") == F.lit(False)))
     return (
@@ -398,38 +427,35 @@ def variants(case_table: DataFrame) -> DataFrame:
         .select(
             "process_variant",
             "case_count",
-            safe_rate(F.col("case_count"), F.lit(total)).alias("case_share"),
+            safe_rate(F.col("case_count"), _total(case_table)).alias("case_share"),
             "closed_cases",
             "open_cases",
             "exception_cases",
             kpi_round(F.col("__avg"), 2).alias("average_throughput_minutes"),
             safe_rate(F.col("__breaches"), F.col("closed_cases")).alias("sla_breach_rate"),
         )
-        .orderBy(F.col("case_count").desc(), "process_variant")
     )
 
 
 def observed_variants(case_table: DataFrame) -> DataFrame:
     """Variant table of an observed log: cases, share, events per case and
     mean span (from the exact integer sum of microsecond spans)."""
-    total = _total(case_table)
     return (
-        case_table.groupBy("process_variant")
+        case_table.groupBy("variant_id")
         .agg(
             F.count(F.lit(1)).alias("case_count"),
             F.max("event_count").alias("event_count"),
             F.sum(F.unix_micros("last_event_at") - F.unix_micros("first_event_at")).alias("__span_us"),
         )
         .select(
-            "process_variant",
+            "variant_id",
             "case_count",
-            safe_rate(F.col("case_count"), F.lit(total)).alias("case_share"),
+            safe_rate(F.col("case_count"), _total(case_table)).alias("case_share"),
             "event_count",
             kpi_round(micros_to_minutes(F.col("__span_us").cast("double") / F.col("case_count")), 2).alias(
                 "average_span_minutes"
             ),
         )
-        .orderBy(F.col("case_count").desc(), "process_variant")
     )
 
 
@@ -456,5 +482,4 @@ def exception_paths(case_table: DataFrame) -> DataFrame:
             safe_rate(F.col("__breaches"), F.col("closed_cases")).alias("sla_breach_rate"),
             "reopen_occurrences",
         )
-        .orderBy(F.col("case_count").desc(), "exception_type")
     )

@@ -39,8 +39,8 @@ def exact_quantiles(
     sum_of: str | None = None,
     sum_name: str | None = None,
 ) -> DataFrame:
-    """One row per group with one column per requested probability, and
-    optionally the row count and the (exact, integer) sum of ``sum_of``."""
+    """One row per group (a NULL key is a group) with one column per requested
+    probability, and optionally the row count and the (exact, integer) sum of ``sum_of``."""
     keys = list(keys)
     partial = [F.count(F.lit(1)).alias("__c")]
     if sum_of:
@@ -63,8 +63,9 @@ def exact_quantiles(
         F.coalesce(F.sum("__slice").over(before), F.lit(0)).alias("__offset"),
         F.sum("__slice").over(group).alias("__n"),
     )
-    ranked = local.join(offsets, [_PART, *keys]).select(
-        *keys,
+    same = [local[c].eqNullSafe(offsets[c]) for c in (_PART, *keys)]
+    ranked = local.join(offsets, same).select(
+        *[local[k] for k in keys],
         value,
         *(["__s"] if sum_of else []),
         (F.col("__offset") + F.col("__local_end") - F.col("__c")).alias("__start"),

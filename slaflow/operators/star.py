@@ -1,9 +1,8 @@
 """Gold star schema: dimensions, surrogate keys, fact table, FK checks.
 
 Dimension members are few by construction (contract domains, observed
-calendar days), so a dimension is built by one map-side-combined
-aggregate into a single sorted array and exploded with its position as
-the surrogate key; dimensions are then broadcast into the fact joins.
+calendar days); Spark broadcasts the written dimensions into the fact joins
+while their size allows it.
 Keys are positions in the sorted member list, so they are rebuilt on
 every run and never joined across runs.
 """
@@ -12,11 +11,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from slaflow.contract import PRIORITY_ORDER
 from slaflow.functions.temporal import calendar_columns, date_key
+from slaflow.operators.ordinal import with_ordinal
 
 FACT_COLUMNS = [
     "ticket_id",
@@ -39,13 +39,9 @@ FACT_COLUMNS = [
 
 
 def string_dimension(df: DataFrame, value_col: str, key_col: str) -> DataFrame:
-    """Sorted distinct non-null values with keys 1..n."""
-    members = df.where(F.col(value_col).isNotNull()).agg(
-        F.array_sort(F.collect_set(F.col(value_col).cast("string"))).alias("members")
-    )
-    return members.select(F.posexplode("members").alias("pos", value_col)).select(
-        (F.col("pos") + 1).cast("long").alias(key_col), value_col
-    )
+    """Sorted distinct non-null values with keys 1..n, numbered in Spark."""
+    members = df.where(F.col(value_col).isNotNull()).select(F.col(value_col).cast("string").alias(value_col)).distinct()
+    return with_ordinal(members, [value_col], name=key_col).select(F.col(key_col).cast("long").alias(key_col), value_col)
 
 
 def ordered_dimension(
@@ -56,16 +52,12 @@ def ordered_dimension(
     attribute_cols: Sequence[str] = (),
 ) -> DataFrame:
     """Members in a fixed order (observed ones only), keys 1..n, with
-    attributes taken from the data (one value per member expected)."""
-    order_arr = F.array(*[F.lit(v) for v in order])
-    rank = F.array_position(order_arr, F.col(value_col))
-    members = df.where(rank > 0).agg(
-        F.array_sort(F.collect_set(F.struct(rank.alias("r"), F.col(value_col).alias("v"), *[F.col(a) for a in attribute_cols]))).alias("m")
-    )
-    return members.select(F.posexplode("m").alias("pos", "e")).select(
-        (F.col("pos") + 1).cast("long").alias(key_col),
-        F.col("e.v").alias(value_col),
-        *[F.col(f"e.{a}").alias(a) for a in attribute_cols],
+    attributes taken from the data (one value per member expected).  The
+    window has a row for each member of the order."""
+    rank = F.array_position(F.array(*[F.lit(v) for v in order]), F.col(value_col))
+    members = df.where(rank > 0).groupBy(value_col).agg(F.min(rank).alias("__rank"), *[F.min(a).alias(a) for a in attribute_cols])
+    return members.select(
+        F.row_number().over(Window.orderBy("__rank")).cast("long").alias(key_col), value_col, *attribute_cols
     )
 
 
@@ -84,8 +76,11 @@ def date_dimension(valid: DataFrame, timestamp_cols: Sequence[str] = ("created_a
 
 
 def resolve_key(fact: DataFrame, dim: DataFrame, value_col: str, key_col: str) -> DataFrame:
-    """Look a surrogate key up from a (small, bounded) dimension."""
-    return fact.join(F.broadcast(dim.select(value_col, key_col)), value_col, "left")
+    """Look a surrogate key up; a value that the dimension lacks fails the
+    job.  Dimensions are written tables, which Spark broadcasts by their size."""
+    joined = fact.join(dim.select(value_col, key_col), value_col, "left")
+    message = F.lit(f"Gold fact contains unresolved foreign key values in {key_col}.")
+    return joined.withColumn(key_col, F.coalesce(F.col(key_col), F.raise_error(message).cast("long")))
 
 
 def fact_table(valid: DataFrame, dim_team: DataFrame, dim_category: DataFrame, dim_priority: DataFrame) -> DataFrame:
@@ -104,8 +99,8 @@ def foreign_key_violations(
     """One row per foreign key: fact rows whose key is absent from its
     dimension (a NULL closed-date key is exempt; other NULL keys count).
 
-    One scan of the fact's key columns, left-joined to each (bounded,
-    broadcast) dimension's key set, and one aggregate counting misses.
+    One scan of the fact's key columns, left-joined to each dimension's
+    key set, and one aggregate counting misses.
     """
     checks: list[tuple[str, str, DataFrame, str]] = [
         ("created_date_key", "date_key", dim_date, "dim_date"),
@@ -118,7 +113,7 @@ def foreign_key_violations(
     misses = []
     for i, (fact_col, dim_col, dim, _) in enumerate(checks):
         found = f"__found{i}"
-        members = F.broadcast(dim.select(F.col(dim_col).alias(f"__k{i}")).distinct().withColumn(found, F.lit(True)))
+        members = dim.select(F.col(dim_col).alias(f"__k{i}")).distinct().withColumn(found, F.lit(True))
         keys = keys.join(members, F.col(fact_col) == F.col(f"__k{i}"), "left").drop(f"__k{i}")
         missing = F.col(found).isNull()
         if fact_col == "closed_date_key":

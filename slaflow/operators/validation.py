@@ -7,8 +7,8 @@ Rules do not short-circuit: a row can carry many issues.  Only rejected
 rows expand the mask into rule numbers (rule order is the stable
 tie-break of the issue table).  The only shuffle is the uniqueness
 rule: ids are aggregated (map-side combined; blank ids never leave the
-scan) and only ids seen more than once are joined back - AQE broadcasts
-that side when it turns out small and splits skewed partitions when not.
+scan), and the rows of ids seen more than once are joined back by their
+number.
 """
 
 from __future__ import annotations
@@ -216,40 +216,32 @@ def rules(contract: dict[str, Any], duplicate_flag: Column | None = None) -> lis
     return out
 
 
-def duplicate_keys(df: DataFrame, key_cols: list[str], flag: str = "__duplicate") -> DataFrame:
+def duplicate_keys(df: DataFrame, key_cols: list[str], row_col: str, flag: str = "__duplicate") -> DataFrame:
     """Flag every occurrence of a key seen more than once (keep=False).
 
-    Aggregate-then-join instead of a window: the count is combined map-side,
-    so a key holding a third of the rows never lands whole in one task; blank
-    keys are dropped before the shuffle.
+    The count is an aggregate (combined map-side, so a key holding a third of
+    the rows never lands whole in one task; blank keys are dropped before the
+    shuffle).  Repeated keys are joined to the narrow (row, key) pairs, and
+    the rows found to the frame by their unique number; no wide row and no
+    blank key is shuffled by key.
     """
-    keys = [trimmed(c).alias(f"__k{i}") for i, c in enumerate(key_cols)]
     names = [f"__k{i}" for i in range(len(key_cols))]
-    keyed = df.select("*", *keys)
-    non_blank = F.lit(True)
+    pairs = df.select(row_col, *[trimmed(c).alias(n) for c, n in zip(key_cols, names)])
     for n in names:
-        non_blank = non_blank & (F.col(n) != "")
-    repeated = (
-        keyed.where(non_blank)
-        .groupBy(*names)
-        .agg(F.count(F.lit(1)).alias("__occurrences"))
-        .where(F.col("__occurrences") > 1)
-        .select(*names, F.lit(True).alias(flag))
-    )
-    return (
-        keyed.join(repeated, names, "left")
-        .withColumn(flag, F.coalesce(F.col(flag), F.lit(False)))
-        .drop(*names)
-    )
+        pairs = pairs.where(F.col(n) != "")
+    repeated = pairs.groupBy(*names).agg(F.count(F.lit(1)).alias("__occurrences")).where("__occurrences > 1").select(*names)
+    rows = pairs.join(repeated, names).select(row_col, F.lit(True).alias(flag))
+    return df.join(rows, row_col, "left").withColumn(flag, F.coalesce(F.col(flag), F.lit(False)))
 
 
-def annotate(df: DataFrame, contract: dict[str, Any]) -> DataFrame:
+def annotate(df: DataFrame, contract: dict[str, Any], row_col: str = "source_row") -> DataFrame:
     """Add ``issue_mask`` (0 for a valid row) and the per-row helper columns
-    (``__t_*``, ``__n_*``, ``__ts_*``) later layers reuse."""
+    (``__t_*``, ``__n_*``, ``__ts_*``) later layers reuse.  ``row_col``
+    numbers the rows."""
     names = [c["name"] for c in contract["columns"]]
-    require_columns(df, names)
+    require_columns(df, [*names, row_col])
     pk = contract.get("primary_key", [])
-    flagged = duplicate_keys(df, pk) if pk else df
+    flagged = duplicate_keys(df, pk, row_col) if pk else df
     flagged = flagged.select("*", *parsed_columns(contract))
     dup = F.col("__duplicate") if pk else None
     catalogue = rules(contract, dup)
@@ -266,15 +258,6 @@ def is_valid() -> Column:
     return F.col(ISSUES) == 0
 
 
-def issue_numbers(contract: dict[str, Any]) -> Column:
-    """The violated rule numbers (1-based, rule order) of a row's mask."""
-    n = len(rule_catalogue(contract))
-    return F.filter(
-        F.sequence(F.lit(1), F.lit(n)),
-        lambda i: F.col(ISSUES).bitwiseAND(F.pow(F.lit(2.0), i - 1).cast("long")) != 0,
-    )
-
-
 def rule_catalogue(contract: dict[str, Any]) -> list[Rule]:
     """The rules in numbering order (conditions are not evaluated)."""
     return rules(contract, F.lit(False) if contract.get("primary_key") else None)
@@ -285,10 +268,13 @@ def _lookup(values: list[str], number: Column) -> Column:
 
 
 def issue_codes(contract: dict[str, Any]) -> Column:
-    """A row's violated rules mapped to their issue codes."""
-    codes = [r.code for r in rule_catalogue(contract)]
-    arr = F.array(*[F.lit(c) for c in codes])
-    return F.transform(issue_numbers(contract), lambda i: F.element_at(arr, i))
+    """A row's violated rules mapped to their issue codes, in rule order."""
+    return _violated([r.code for r in rule_catalogue(contract)])
+
+
+def _violated(values: list) -> Column:
+    """The values, one for each rule, of the rules that a row violates."""
+    return F.array_compact(F.array(*[F.when(F.getbit(ISSUES, F.lit(i)) == 1, F.lit(v)) for i, v in enumerate(values)]))
 
 
 def issue_table(
@@ -308,7 +294,7 @@ def issue_table(
         F.col(row_col).cast("long").alias("source_row"),
         text(key_col).alias("ticket_id"),
         F.array(*[text(f) for f in fields]).alias("__values"),
-        F.explode(issue_numbers(contract)).alias("issue_position"),
+        F.explode(_violated(list(range(1, len(catalogue) + 1)))).alias("issue_position"),
     )
     rule = F.col("issue_position")
     field_index = F.element_at(F.array(*[F.lit(n) for n in field_no]), rule)

@@ -44,7 +44,7 @@ SLA_KEY_SETS = [["assigned_team"], ["category"], ["priority"], ["assigned_team",
 
 
 def _issue_counts(L: MedallionLayers) -> DataFrame:
-    return validation.issue_counts(L.issues).orderBy("issue_code")
+    return validation.issue_counts(L.issues)
 
 
 def _lineitem_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -103,6 +103,7 @@ QUERIES: dict[str, Query] = {
     "observed_transitions": lambda spark, sf: _observed(spark, sf).transitions,
     "observed_bottlenecks": lambda spark, sf: _observed(spark, sf).bottlenecks(),
     "observed_variants": lambda spark, sf: _observed(spark, sf).variants(),
+    "observed_variant_steps": lambda spark, sf: _observed(spark, sf).variant_steps(),
     # generic integrity operators on other tables
     "duplicate_keys_lineitem": _lineitem_duplicates,
     "closed_before_created_orders": _orders_end_before_start,

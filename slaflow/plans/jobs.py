@@ -1,10 +1,12 @@
 """Batch jobs: validate, medallion (Bronze/Silver/Gold), analytics marts,
 process intelligence.
 
-Each job builds lazy plans, evaluates its reconciliation controls and
-refuses to publish when one fails ("controls first, then publish"); the
-expensive layers are already materialised in the checkpoint folder, so
-writing them is a copy, not a recomputation.  Manifests are small JSON
+Each job builds lazy plans, evaluates its reconciliation controls once and
+refuses to publish when one fails ("controls first, then publish").  The
+layers that several tables need (Bronze, the annotated rows, the fact, the
+requests with their events) are written once to the checkpoint folder and
+deleted at the end of the job; what is published is read from them, and
+sorted into its published order at the sink.  Manifests are small JSON
 documents assembled on the driver from one-row aggregates.
 """
 
@@ -15,13 +17,14 @@ from dataclasses import dataclass, field
 from pathlib import Path
 from typing import Any
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from slaflow.contract import EVENT_ORIGIN, default_contract
 from slaflow.operators import controls as ctl
 from slaflow.operators import metrics, process, validation
-from slaflow.operators.ordinal import materialize
+from slaflow.operators.ordinal import materialize, scratch
 from slaflow.plans.layers import (
     MedallionLayers,
     analytics_controls,
@@ -30,11 +33,12 @@ from slaflow.plans.layers import (
 )
 from slaflow.session import prepare_session
 from slaflow.sources.bronze import bronze_from_csv
-from slaflow.sources.tables import require_rows
+from slaflow.sources.tables import read_if_present, require_rows
 
-PIPELINE_VERSION = "0.2.1"
-ANALYTICS_VERSION = "0.1.0"
-PROCESS_VERSION = "0.1.0"
+#: Versions of this engine's outputs.
+PIPELINE_VERSION = "2.0.0"
+ANALYTICS_VERSION = "2.0.0"
+PROCESS_VERSION = "2.0.0"
 MART_NAMES = [
     "service_requests_enriched",
     "sla_by_team",
@@ -45,20 +49,42 @@ MART_NAMES = [
     "sla_breach_details",
 ]
 GOLD_TABLES = ["fact_service_requests", "dim_date", "dim_team", "dim_category", "dim_priority"]
-# publication order of each mart: (column, descending)
-MART_ORDER = {
-    "service_requests_enriched": [("ticket_id", False)],
-    "sla_by_team": [("assigned_team", False)],
-    "sla_by_category": [("category", False)],
-    "sla_by_priority": [("priority", False)],
-    "sla_by_team_category": [("assigned_team", False), ("category", False)],
-    "daily_service_operations": [("created_date", False)],
-    "sla_breach_details": [("resolution_overrun_minutes", True), ("ticket_id", False)],
+# Fixed value: the note that the process manifest carries.
+PROCESS_BOUNDARY = (
+    "Event timestamps between ticket creation and closure are deterministic scenario "
+    "derivations. The outputs support process-analysis practice but do not represent "
+    "observed production history or causal root-cause evidence."
+)
+# publication order of each table: column, or -column for descending
+TABLE_ORDER = {
+    "bronze": ["source_row"],
+    "silver_valid": ["source_row"],
+    "silver_rejected": ["source_row"],
+    "silver_issues": ["source_row", "issue_code", "issue_position"],
+    "fact": ["source_row"],
+    "dim_date": ["date_key"],
+    "dim_team": ["team_key"],
+    "dim_category": ["category_key"],
+    "dim_priority": ["priority_key"],
+    "service_requests_enriched": ["ticket_id"],
+    "sla_by_team": ["assigned_team"],
+    "sla_by_category": ["category"],
+    "sla_by_priority": ["priority"],
+    "sla_by_team_category": ["assigned_team", "category"],
+    "daily_service_operations": ["created_date"],
+    "sla_breach_details": ["-resolution_overrun_minutes", "ticket_id"],
+    "event_log": ["case_id", "event_index"],
+    "process_cases": ["case_id"],
+    "process_variants": ["-case_count", "process_variant"],
+    "transition_performance": ["-case_count", "source_activity", "target_activity"],
+    "bottlenecks": ["bottleneck_rank"],
+    "exception_paths": ["-case_count", "exception_type"],
 }
 
 
-def _order(name: str) -> list:
-    return [F.col(c).desc() if desc else F.col(c).asc() for c, desc in MART_ORDER[name]]
+def in_order(df: DataFrame, name: str) -> DataFrame:
+    """The table in its published order."""
+    return df.orderBy(*[F.col(c[1:]).desc() if c[0] == "-" else F.col(c).asc() for c in TABLE_ORDER[name]])
 
 
 # --------------------------------------------------------------------------- sinks
@@ -77,6 +103,30 @@ def write_parquet(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").parquet(path)
 
 
+def publish(df: DataFrame, name: str, path: str) -> DataFrame:
+    """Write a table in its published order; the written table is returned,
+    so that further sinks copy it."""
+    write_parquet(in_order(df, name), path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def read_manifest(spark: SparkSession, path: str | Path, what: str) -> dict[str, Any]:
+    """A manifest written by ``write_manifest``."""
+    try:
+        return json.loads("\n".join(r["value"] for r in spark.read.text(str(path), wholetext=True).collect()))
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        raise FileNotFoundError(f"Missing {what}: {path}") from None
+
+
+def refuse_forbidden(tables: dict[str, DataFrame], contract: dict[str, Any]) -> None:
+    """No published table may hold a column that the contract forbids."""
+    found = {n: c for n, df in tables.items() if (c := validation.forbidden_columns_present(df, contract))}
+    if found:
+        raise ValueError("Forbidden columns: " + "; ".join(f"{n}: {', '.join(c)}" for n, c in sorted(found.items())))
+
+
 def write_small_csv(df: DataFrame, path: str) -> None:
     """CSV for small reviewable tables (KPI row, marts): one part file."""
     df.coalesce(1).write.mode("overwrite").option("header", True).csv(path)
@@ -112,17 +162,13 @@ def row_counts(tables: dict[str, DataFrame]) -> dict[str, int]:
     return {k: int(v) for k, v in one_row(m).items()}
 
 
-def control_dict(controls: DataFrame) -> dict[str, bool]:
-    return {r["control"]: bool(r["passed"]) for r in controls.select("control", "passed").collect()}
-
-
 # --------------------------------------------------------------------------- validate (B1)
 
 
 def validate_source(bronze: DataFrame, contract: dict[str, Any] | None = None) -> dict[str, Any]:
     """Validation summary of a Bronze-shaped source."""
     contract = contract or default_contract()
-    annotated = validation.annotate(bronze, contract)
+    annotated = materialize(validation.annotate(bronze, contract), "validated")
     return validation.validation_report(annotated, contract)
 
 
@@ -130,9 +176,12 @@ def write_report(report: dict[str, Any], path: str | Path, spark: SparkSession |
     return write_manifest(report, path, spark)
 
 
-def validate_file(spark: SparkSession, input_path: str, contract: dict[str, Any] | None = None) -> dict[str, Any]:
+def validate_file(
+    spark: SparkSession, input_path: str, contract: dict[str, Any] | None = None, multi_line: bool = False
+) -> dict[str, Any]:
     prepare_session(spark)
-    return validate_source(bronze_from_csv(spark, input_path), contract)
+    with scratch(spark):
+        return validate_source(bronze_from_csv(spark, input_path, multi_line=multi_line), contract)
 
 
 # --------------------------------------------------------------------------- medallion (B2-B4)
@@ -147,22 +196,21 @@ class MedallionRun:
 
 def build_medallion(layers: MedallionLayers) -> MedallionRun:
     """Evaluate the medallion controls and refuse to continue on failure."""
-    controls_df = medallion_controls(layers)
-    ctl.gate(controls_df, "Medallion")
     L = layers
-    counts = row_counts(
-        {
-            "bronze": L.bronze,
-            "silver_valid": L.silver_valid,
-            "silver_rejected": L.silver_rejected,
-            "silver_issues": L.issues,
-            "gold_fact": L.fact,
-            "dim_date": L.dim_date,
-            "dim_team": L.dim_team,
-            "dim_category": L.dim_category,
-            "dim_priority": L.dim_priority,
-        }
-    )
+    tables = {
+        "bronze": L.bronze,
+        "silver_valid": L.silver_valid,
+        "silver_rejected": L.silver_rejected,
+        "silver_issues": L.issues,
+        "gold_fact": L.fact,
+        "dim_date": L.dim_date,
+        "dim_team": L.dim_team,
+        "dim_category": L.dim_category,
+        "dim_priority": L.dim_priority,
+    }
+    refuse_forbidden(tables, L.contract)
+    passed = ctl.gate(medallion_controls(layers), "Medallion")
+    counts = row_counts(tables)
     issue_counts = {r["issue_code"]: int(r["issue_count"]) for r in validation.issue_counts(L.issues).collect()}
     meta = one_row(L.bronze.select("source_file", "ingestion_batch_id"))
     manifest = {
@@ -171,51 +219,53 @@ def build_medallion(layers: MedallionLayers) -> MedallionRun:
         "ingestion_batch_id": meta.get("ingestion_batch_id"),
         "row_counts": counts,
         "issue_counts": dict(sorted(issue_counts.items())),
-        "controls": control_dict(controls_df),
+        "controls": passed,
         "kpis": one_row(L.kpis),
     }
-    return MedallionRun(layers, manifest["controls"], manifest)
+    return MedallionRun(layers, passed, manifest)
 
 
 def write_medallion(run: MedallionRun, output_dir: str | Path) -> str:
     out = str(output_dir)
     L = run.layers
-    write_parquet(L.bronze, join_path(out, "bronze", "service_requests"))
-    write_parquet(L.silver_valid, join_path(out, "silver", "service_requests_valid"))
-    write_parquet(L.silver_rejected, join_path(out, "silver", "service_requests_rejected"))
-    write_parquet(L.issues.drop("issue_position"), join_path(out, "silver", "service_request_issues"))
-    write_parquet(L.fact, join_path(out, "gold", "fact_service_requests"))
-    write_parquet(L.dim_date, join_path(out, "gold", "dim_date"))
-    write_parquet(L.dim_team, join_path(out, "gold", "dim_team"))
-    write_parquet(L.dim_category, join_path(out, "gold", "dim_category"))
-    write_parquet(L.dim_priority, join_path(out, "gold", "dim_priority"))
+    publish(L.bronze, "bronze", join_path(out, "bronze", "service_requests"))
+    publish(L.silver_valid, "silver_valid", join_path(out, "silver", "service_requests_valid"))
+    publish(L.silver_rejected, "silver_rejected", join_path(out, "silver", "service_requests_rejected"))
+    write_parquet(in_order(L.issues, "silver_issues").drop("issue_position"), join_path(out, "silver", "service_request_issues"))
+    publish(L.fact, "fact", join_path(out, "gold", "fact_service_requests"))
+    for name in ("dim_date", "dim_team", "dim_category", "dim_priority"):
+        publish(getattr(L, name), name, join_path(out, "gold", name))
     write_parquet(L.kpis, join_path(out, "gold", "service_operations_kpis"))
-    write_small_csv(L.kpis, join_path(out, "gold", "service_operations_kpis_csv"))
+    write_small_csv(L.bronze.sparkSession.read.parquet(join_path(out, "gold", "service_operations_kpis")), join_path(out, "gold", "service_operations_kpis_csv"))
     return write_manifest(run.manifest, join_path(out, "medallion_manifest.json"), L.bronze.sparkSession)
 
 
-def run_medallion(spark: SparkSession, input_path: str, output_dir: str, contract: dict[str, Any] | None = None) -> str:
+def run_medallion(
+    spark: SparkSession, input_path: str, output_dir: str, contract: dict[str, Any] | None = None, multi_line: bool = False
+) -> str:
     prepare_session(spark)
-    layers = MedallionLayers(bronze_from_csv(spark, input_path), contract)
-    return write_medallion(build_medallion(layers), output_dir)
+    with scratch(spark):
+        layers = MedallionLayers(bronze_from_csv(spark, input_path, multi_line=multi_line), contract)
+        return write_medallion(build_medallion(layers), output_dir)
 
 
 # --------------------------------------------------------------------------- analytics (B5)
 
 
 class GoldTables:
-    """Gold tables read back from a medallion output folder."""
+    """Gold tables read back from a medallion output folder, all of which
+    must be there."""
 
     def __init__(self, spark: SparkSession, medallion_dir: str | Path):
-        def read(name: str) -> DataFrame:
-            return spark.read.parquet(join_path(medallion_dir, "gold", name))
-
-        self.fact = read("fact_service_requests")
-        self.dim_date = read("dim_date")
-        self.dim_team = read("dim_team")
-        self.dim_category = read("dim_category")
-        self.dim_priority = read("dim_priority")
-        self.kpis = read("service_operations_kpis")
+        paths = {n: join_path(medallion_dir, "gold", n) for n in [*GOLD_TABLES, "service_operations_kpis"]}
+        tables = {n: read_if_present(spark, p) for n, p in paths.items()}
+        missing = [paths[n] for n, df in tables.items() if df is None]
+        if missing:
+            raise FileNotFoundError(f"Missing Gold Parquet input: {', '.join(missing)}")
+        self.fact = tables["fact_service_requests"]
+        self.dim_date, self.dim_team = tables["dim_date"], tables["dim_team"]
+        self.dim_category, self.dim_priority = tables["dim_category"], tables["dim_priority"]
+        self.kpis = tables["service_operations_kpis"]
         self.enriched = materialize(
             metrics.enriched(self.fact, self.dim_date, self.dim_team, self.dim_category, self.dim_priority), "analytics-enriched"
         )
@@ -225,6 +275,8 @@ class GoldTables:
     def mart(self, name: str) -> DataFrame:
         """Each mart materialised once: the controls and the published copy
         read the same snapshot (controls check exactly what is written)."""
+        if name == "service_requests_enriched":
+            return self.enriched
         if name not in self._marts:
             self._marts[name] = materialize(MedallionLayers.mart(self, name), f"mart-{name}")  # type: ignore[arg-type]
         return self._marts[name]
@@ -238,17 +290,19 @@ class AnalyticsRun:
 
 
 def build_analytics(spark: SparkSession, medallion_dir: str | Path) -> AnalyticsRun:
+    """Marts over published Gold tables, reconciled with the counts and KPIs
+    that the medallion's manifest recorded."""
     prepare_session(spark)
+    recorded = read_manifest(spark, join_path(medallion_dir, "medallion_manifest.json"), "Medallion manifest")
     gold = GoldTables(spark, medallion_dir)
-    controls_df = analytics_controls(gold)  # type: ignore[arg-type]
-    ctl.gate(controls_df, "Analytics")
+    passed = ctl.gate(analytics_controls(gold, recorded), "Analytics")  # type: ignore[arg-type]
     tables = {name: gold.mart(name) for name in MART_NAMES}
-    kpi = one_row(gold.kpis)
+    kpi = recorded["kpis"]
     manifest = {
         "analytics_version": ANALYTICS_VERSION,
-        "source_ingestion_batch_id": one_row(gold.fact.select("ingestion_batch_id")).get("ingestion_batch_id"),
+        "source_ingestion_batch_id": recorded["ingestion_batch_id"],
         "row_counts": row_counts(tables),
-        "controls": control_dict(controls_df),
+        "controls": passed,
         "global_kpis": {
             k: kpi.get(k)
             for k in [
@@ -266,21 +320,25 @@ def build_analytics(spark: SparkSession, medallion_dir: str | Path) -> Analytics
         }
         | {"sla_breaches": (kpi.get("closed_requests") or 0) - (kpi.get("sla_met_requests") or 0)},
     }
-    return AnalyticsRun(tables, manifest["controls"], manifest)
+    return AnalyticsRun(tables, passed, manifest)
 
 
 def write_analytics(run: AnalyticsRun, output_dir: str | Path) -> str:
     """Publish the (already checked) mart snapshots in each mart's order."""
     out = str(output_dir)
-    ordered = {name: df.orderBy(*_order(name)) for name, df in run.tables.items()}
-    for name, df in ordered.items():
-        write_parquet(df, join_path(out, name))
+    written = {name: publish(df, name, join_path(out, name)) for name, df in run.tables.items()}
     for name in ["sla_by_team", "sla_by_category", "sla_by_priority"]:
-        write_small_csv(ordered[name], join_path(out, f"{name}_csv"))
+        write_small_csv(in_order(written[name], name), join_path(out, f"{name}_csv"))
     spark = next(iter(run.tables.values())).sparkSession
     return write_manifest(run.manifest, join_path(out, "analytics_manifest.json"), spark)
 
 
+def run_analytics(spark: SparkSession, medallion_dir: str, output_dir: str) -> str:
+    prepare_session(spark)
+    with scratch(spark):
+        return write_analytics(build_analytics(spark, medallion_dir), output_dir)
+
+
 # --------------------------------------------------------------------------- process intelligence (B6)
 
 
@@ -295,16 +353,16 @@ def build_process_intelligence(layers: MedallionLayers) -> ProcessRun:
     valid = layers.silver_valid
     process.check_process_source(valid)
     require_rows(valid, "Process-intelligence source must contain at least one valid case.")
-    controls_df = process_controls(layers)
-    ctl.gate(controls_df, "Process-intelligence")
+    passed = ctl.gate(process_controls(layers), "Process-intelligence")
     tables = {
         "event_log": layers.event_log,
         "process_cases": layers.cases,
-        "process_variants": layers.variants(),
-        "transition_performance": layers.transitions,
-        "bottlenecks": layers.bottlenecks,
-        "exception_paths": layers.exception_paths(),
+        "process_variants": materialize(layers.variants(), "variants"),
+        "transition_performance": materialize(layers.transitions, "transitions"),
+        "exception_paths": materialize(layers.exception_paths(), "exception-paths"),
     }
+    tables["bottlenecks"] = process.bottlenecks(tables["transition_performance"])
+    refuse_forbidden(tables, layers.contract)
     counts = row_counts(tables)
     cases = layers.cases
     case_counts = one_row(
@@ -319,6 +377,7 @@ def build_process_intelligence(layers: MedallionLayers) -> ProcessRun:
     manifest = {
         "process_intelligence_version": PROCESS_VERSION,
         "event_origin": EVENT_ORIGIN,
+        "interpretation_boundary": PROCESS_BOUNDARY,
         "row_counts": {
             "cases": counts["process_cases"],
             "events": counts["event_log"],
@@ -328,18 +387,47 @@ def build_process_intelligence(layers: MedallionLayers) -> ProcessRun:
             "exception_paths": counts["exception_paths"],
         },
         "case_counts": {k: int(v) for k, v in case_counts.items()},
-        "controls": control_dict(controls_df),
+        "controls": passed,
     }
-    return ProcessRun(tables, manifest["controls"], manifest)
+    return ProcessRun(tables, passed, manifest)
 
 
 def write_process_intelligence(run: ProcessRun, output_dir: str | Path) -> str:
     out = str(output_dir)
     for name, df in run.tables.items():
-        write_parquet(df, join_path(out, name))
+        written = in_order(publish(df, name, join_path(out, name)), name)
         if name in ("event_log", "process_cases"):
-            write_csv(df, join_path(out, f"{name}_csv"))
+            write_csv(written, join_path(out, f"{name}_csv"))
         else:
-            write_small_csv(df, join_path(out, f"{name}_csv"))
+            write_small_csv(written, join_path(out, f"{name}_csv"))
     spark = next(iter(run.tables.values())).sparkSession
     return write_manifest(run.manifest, join_path(out, "process_intelligence_manifest.json"), spark)
+
+
+def run_process_intelligence(
+    spark: SparkSession, input_path: str, output_dir: str, contract: dict[str, Any] | None = None, multi_line: bool = False
+) -> str:
+    """Process outputs of CSV files: their medallion is built and must pass
+    its controls first."""
+    prepare_session(spark)
+    with scratch(spark):
+        layers = MedallionLayers(bronze_from_csv(spark, input_path, multi_line=multi_line), contract)
+        build_medallion(layers)
+        return write_process_intelligence(build_process_intelligence(layers), output_dir)
+
+
+def run_process_of_medallion(
+    spark: SparkSession, medallion_dir: str, output_dir: str, contract: dict[str, Any] | None = None
+) -> str:
+    """Process outputs of a published medallion, whose recorded controls must
+    all have passed and whose accepted requests must be as many as recorded."""
+    prepare_session(spark)
+    recorded = read_manifest(spark, join_path(medallion_dir, "medallion_manifest.json"), "Medallion manifest")
+    with scratch(spark):
+        layers = MedallionLayers.from_published(spark, str(medallion_dir), contract)
+        bad = sorted(name for name, ok in recorded["controls"].items() if not ok)
+        if layers.silver_valid.count() != recorded["row_counts"]["silver_valid"]:
+            bad.append("silver_valid_as_recorded")
+        if bad or not recorded["controls"]:
+            raise ValueError(f"Medallion reconciliation controls failed: {', '.join(bad) or 'none recorded'}")
+        return write_process_intelligence(build_process_intelligence(layers), output_dir)

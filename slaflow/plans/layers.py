@@ -9,10 +9,12 @@ a lazy plan on top of them.
 
 from __future__ import annotations
 
+from collections import OrderedDict
+from collections.abc import Callable
 from functools import cached_property
 from typing import Any
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from slaflow.contract import default_contract
@@ -21,10 +23,31 @@ from slaflow.operators import controls, metrics, process, quarantine, star, vali
 from slaflow.operators.ordinal import materialize
 from slaflow.session import session_key
 from slaflow.sources.bronze import bronze_columns, bronze_requests
-from slaflow.sources.tables import read_table
+from slaflow.sources.requests import request_contract
+from slaflow.sources.tables import read_table, table_version
 
 
-_SESSION_LAYERS: dict[tuple[str, str], "MedallionLayers"] = {}
+#: Layers of a session by folder and version of the files they were made of;
+#: the last few are kept.
+_KEPT: OrderedDict[tuple, Any] = OrderedDict()
+MAX_KEPT = 4
+
+
+def _shared(spark: SparkSession, sf_dir: str, names: tuple[str, ...], build: Callable[[], Any]) -> Any:
+    """What ``build`` makes of the tables, shared by the queries of a session
+    until a file of the tables changes."""
+    slot = (session_key(spark), sf_dir, names, table_version(spark, sf_dir, names))
+    if slot not in _KEPT:
+        _KEPT[slot] = build()
+        while len(_KEPT) > MAX_KEPT:
+            _KEPT.popitem(last=False)
+    _KEPT.move_to_end(slot)
+    return _KEPT[slot]
+
+
+def forget_layers() -> None:
+    """Let the next query build its layers anew."""
+    _KEPT.clear()
 
 
 class MedallionLayers:
@@ -32,14 +55,25 @@ class MedallionLayers:
         self.bronze = bronze
         self.contract = contract or default_contract()
 
+    @classmethod
+    def from_published(cls, spark: SparkSession, medallion_dir: str, contract: dict[str, Any] | None = None) -> MedallionLayers:
+        """The layers of a published medallion: Bronze and accepted requests
+        are read, not made again."""
+
+        def read(*names: str) -> DataFrame:
+            return spark.read.parquet("/".join([medallion_dir.rstrip("/"), *names]))
+
+        layers = cls(read("bronze", "service_requests"), contract)
+        layers.__dict__["silver_valid"] = read("silver", "service_requests_valid")
+        return layers
+
     @classmethod
     def for_requests(cls, spark: SparkSession, sf_dir: str) -> MedallionLayers:
-        """The layers of the request source of ``sf_dir``, shared by every
-        query of the session (Bronze and Silver are materialised once)."""
-        slot = (session_key(spark), sf_dir)
-        if slot not in _SESSION_LAYERS:
-            _SESSION_LAYERS[slot] = cls(bronze_requests(spark, sf_dir))
-        return _SESSION_LAYERS[slot]
+        """The layers of the request source of ``sf_dir``, shared by the
+        queries of the session (Bronze and Silver are materialised once)."""
+        return _shared(
+            spark, sf_dir, ("orders", "customer"), lambda: cls(bronze_requests(spark, sf_dir), request_contract())
+        )
 
     # ----------------------------------------------------------------- silver
     @cached_property
@@ -52,6 +86,13 @@ class MedallionLayers:
         # the text are recomputed on read rather than written twice
         return materialize(annotated.drop(*validation.trimmed_helpers(self.contract)), "silver-annotated")
 
+    @cached_property
+    def lifecycle(self) -> DataFrame:
+        """The accepted requests with their derived events, materialised: the
+        event log, cases and transitions are all read from it."""
+        process.check_process_source(self.silver_valid)
+        return materialize(process.with_lifecycle(self.silver_valid), "lifecycle")
+
     @cached_property
     def issues(self) -> DataFrame:
         return validation.issue_table(self.annotated, self.contract)
@@ -121,22 +162,21 @@ class MedallionLayers:
         if name == "sla_breach_details":
             return metrics.breach_details(self.enriched)
         if name == "service_requests_enriched":
-            return self.enriched.orderBy("ticket_id")
+            return self.enriched
         raise KeyError(name)
 
     # ----------------------------------------------------------------- process
     @cached_property
     def event_log(self) -> DataFrame:
-        process.check_process_source(self.silver_valid)
-        return materialize(process.event_log(self.silver_valid), "event-log")
+        return process.event_log(self.lifecycle)
 
     @cached_property
     def cases(self) -> DataFrame:
-        return process.cases(self.silver_valid)
+        return process.cases(self.lifecycle)
 
     @cached_property
     def transitions(self) -> DataFrame:
-        return process.transition_performance(process.derived_pairs(self.silver_valid))
+        return process.transition_performance(process.derived_pairs(self.lifecycle))
 
     @cached_property
     def bottlenecks(self) -> DataFrame:
@@ -149,7 +189,7 @@ class MedallionLayers:
         return process.exception_paths(self.cases)
 
 
-_SESSION_LOGS: dict[tuple[str, str], "ObservedLog"] = {}
+DAILY_CASE = ["user_id", "activity_date"]
 
 
 class ObservedLog:
@@ -161,12 +201,9 @@ class ObservedLog:
 
     @classmethod
     def for_events(cls, spark: SparkSession, sf_dir: str) -> ObservedLog:
-        """Shared by the queries of a session (the successor pairs are
-        numbered and materialised once)."""
-        slot = (session_key(spark), sf_dir)
-        if slot not in _SESSION_LOGS:
-            _SESSION_LOGS[slot] = cls(spark, sf_dir)
-        return _SESSION_LOGS[slot]
+        """Shared by the queries of a session (the events are numbered and
+        their pairs materialised once)."""
+        return _shared(spark, sf_dir, ("events",), lambda: cls(spark, sf_dir))
 
     @cached_property
     def numbered(self) -> DataFrame:
@@ -185,12 +222,21 @@ class ObservedLog:
     def bottlenecks(self) -> DataFrame:
         return process.bottlenecks(self.transitions, boundary=process.OBSERVED_BOUNDARY)
 
-    def daily_cases(self) -> DataFrame:
+    @cached_property
+    def positioned(self) -> DataFrame:
+        """Events with their position in their case of one user and day."""
         by_day = self.numbered.withColumn("activity_date", F.to_date("__t"))
-        return process.observed_cases(by_day, ["user_id", "activity_date"])
+        return materialize(process.numbered_in_case(by_day, DAILY_CASE), "observed-positions")
+
+    @cached_property
+    def daily_cases(self) -> DataFrame:
+        return process.observed_cases(self.positioned, DAILY_CASE)
 
     def variants(self) -> DataFrame:
-        return process.observed_variants(self.daily_cases())
+        return process.observed_variants(self.daily_cases)
+
+    def variant_steps(self) -> DataFrame:
+        return process.observed_variant_steps(self.positioned, self.daily_cases, DAILY_CASE)
 
 
 # --------------------------------------------------------------------------- controls
@@ -217,7 +263,9 @@ def medallion_controls(L: MedallionLayers) -> DataFrame:
     )
 
 
-def analytics_controls(L: MedallionLayers) -> DataFrame:
+def analytics_controls(L: MedallionLayers, recorded: dict[str, Any] | None = None) -> DataFrame:
+    """The marts against the Gold row count and KPIs: those of ``recorded``,
+    a medallion manifest, or else of the layers themselves."""
     breaches = L.mart("sla_breach_details")
     team = L.mart("sla_by_team")
     closed = F.col("closed_requests")
@@ -240,6 +288,17 @@ def analytics_controls(L: MedallionLayers) -> DataFrame:
             "breach_not_positive": (breaches, controls.flag(F.col("resolution_overrun_minutes") <= 0)),
         }
     )
+    if recorded:
+        kpi = recorded["kpis"]
+        m = m.withColumns(
+            {
+                "fact": F.lit(recorded["row_counts"]["gold_fact"]),
+                "kpi_total": F.lit(kpi["total_requests"]),
+                "kpi_closed": F.lit(kpi["closed_requests"]),
+                "kpi_met": F.lit(kpi["sla_met_requests"]),
+                "kpi_rate": F.lit(kpi["sla_compliance_rate"]),
+            }
+        )
     c = F.col
     return controls.rows(
         m,
@@ -258,43 +317,63 @@ def analytics_controls(L: MedallionLayers) -> DataFrame:
     )
 
 
+def log_summary(log: DataFrame) -> DataFrame:
+    """One row per case of an event log, from one aggregate over its (few)
+    events: what the controls check, and the case attributes that follow from
+    the events alone."""
+    events = F.sort_array(F.collect_list(F.struct("event_index", "activity", "event_timestamp")))
+    per_case = log.groupBy("case_id").agg(
+        F.first("status").alias("status"), F.count(F.lit(1)).alias("n"), F.min("event_index").alias("low"),
+        F.max("event_index").alias("high"), F.size(F.collect_set("event_index")).alias("distinct"), events.alias("e"),
+    )
+    times = F.col("e.event_timestamp")
+    return per_case.select(
+        "case_id", "status", "n",
+        ((F.col("low") != 1) | (F.col("high") != F.col("n")) | (F.col("distinct") != F.col("n"))).alias("broken_index"),
+        (times != F.sort_array(times)).alias("backwards"),
+        F.col("e")[0]["activity"].alias("first_activity"),
+        F.element_at("e", -1)["activity"].alias("last_activity"),
+        F.size(F.filter("e.activity", lambda a: a == "reopened")).alias("reopened"),
+        F.size(F.filter("e.activity", lambda a: a == "escalated")).alias("escalated"),
+        F.array_min(times).alias("first_at"),
+        F.array_max(times).alias("last_at"),
+        F.array_join("e.activity", process.SEPARATOR).alias("variant"),
+    )
+
+
 def process_controls(L: MedallionLayers) -> DataFrame:
+    """Controls of the event log and the case table.  A case counts if it is
+    the only one of its id and agrees with the summary of its logged events."""
     log = L.event_log
-    case_window = Window.partitionBy("case_id")
-    ordered = case_window.orderBy("event_index")
-    per_event = log.select(
-        "case_id",
-        "status",
-        "event_index",
-        "activity",
-        (F.col("event_timestamp") < F.lag("event_timestamp").over(ordered)).alias("__backwards"),
-        F.max("event_index").over(case_window).alias("__max"),
-        F.min("event_index").over(case_window).alias("__min"),
-        F.count(F.lit(1)).over(case_window).alias("__n"),
-        F.size(F.collect_set("event_index").over(case_window)).alias("__distinct"),
-    )
-    last = F.col("event_index") == F.col("__max")
-    non_contiguous = (F.col("__min") != 1) | (F.col("__max") != F.col("__n")) | (F.col("__distinct") != F.col("__n"))
+    per_event = log_summary(log)
     repeated_ids = log.groupBy("event_id").agg(F.count(F.lit(1)).alias("__k")).where(F.col("__k") > 1)
+    own = L.cases.groupBy("case_id").agg(
+        F.count(F.lit(1)).alias("k"), F.first("event_count").alias("count"), F.first("first_event_at").alias("first"),
+        F.first("last_event_at").alias("last"), F.first("process_variant").alias("variant_of_case"),
+    )
+    agrees = (
+        (F.col("k") == 1) & (F.col("count") == F.col("n")) & (F.col("first") == F.col("first_at"))
+        & (F.col("last") == F.col("last_at")) & (F.col("variant_of_case") == F.col("variant"))
+    )
+    merged = own.join(per_event, "case_id", "left").select(controls.flag(agrees).alias("agrees"))
     closed_cases = L.cases.where(F.col("status") == "closed").select("case_id", "throughput_minutes")
     source = L.silver_valid.select(F.col("ticket_id").alias("case_id"), F.col("resolution_minutes").cast("double").alias("__res"))
     throughput = closed_cases.join(source, "case_id", "left")
     is_closed, is_open = F.col("status") == "closed", F.col("status") == "open"
     m = controls.measures(
         {
-            "cases": (L.cases, controls.one()),
+            "cases": (merged, F.col("agrees")),
             "valid": (L.silver_valid, controls.one()),
             "reopened_source": (L.silver_valid, F.col("reopened_count")),
             "escalated_source": (L.silver_valid, controls.flag(F.col("escalated"))),
             "extra_event_ids": (repeated_ids, F.col("__k") - 1),
-            # one pass over the windowed event log for every per-event check
-            "non_contiguous": (per_event, controls.flag(last & non_contiguous)),
-            "backwards": (per_event, controls.flag(F.col("__backwards"))),
-            "first_not_created": (per_event, controls.flag((F.col("event_index") == 1) & (F.col("activity") != "ticket_created"))),
-            "closed_bad_end": (per_event, controls.flag(last & is_closed & (F.col("activity") != "ticket_closed"))),
-            "open_bad_end": (per_event, controls.flag(last & is_open & (F.col("activity") == "ticket_closed"))),
-            "reopened_events": (per_event, controls.flag(F.col("activity") == "reopened")),
-            "escalated_events": (per_event, controls.flag(F.col("activity") == "escalated")),
+            "non_contiguous": (per_event, controls.flag(F.col("broken_index"))),
+            "backwards": (per_event, controls.flag(F.col("backwards"))),
+            "first_not_created": (per_event, controls.flag(F.col("first_activity") != "ticket_created")),
+            "closed_bad_end": (per_event, controls.flag(is_closed & (F.col("last_activity") != "ticket_closed"))),
+            "open_bad_end": (per_event, controls.flag(is_open & (F.col("last_activity") == "ticket_closed"))),
+            "reopened_events": (per_event, F.col("reopened")),
+            "escalated_events": (per_event, F.col("escalated")),
             "throughput_mismatch": (throughput, controls.flag(~F.col("throughput_minutes").eqNullSafe(F.col("__res")))),
         }
     )

@@ -11,23 +11,48 @@ marts, ``round_even`` for the KPI row and process tables.
 
 from __future__ import annotations
 
-from slaflow.contract import (
-    BOTTLENECK_BOUNDARY,
-    DEFAULT_INGESTED_AT,
-    EVENT_ORIGIN,
-    MIN_BOTTLENECK_CASES,
-    PRIORITY_ORDER,
-    SERVICE_REQUEST_CONTRACT,
-)
-from slaflow.functions.text import UNICODE_WHITESPACE
-from slaflow.operators import process as P
-from slaflow.operators.process import OBSERVED_BOUNDARY
-from slaflow.operators.validation import FIXED_MESSAGES, RANGE_CODES
-from slaflow.sources.requests import REQUEST_COLUMNS, REQUEST_SOURCE_FILE, request_batch_id
-
-C = SERVICE_REQUEST_CONTRACT
-WS = "'" + UNICODE_WHITESPACE + "'"
-TS_FORMAT = C["timestamp_format"]
+# ---------------------------------------------------------------------------
+# Fixed values, written out here and not taken from the engine, so that a
+# wrong constant there doesn't pass.
+# ---------------------------------------------------------------------------
+COLUMNS = [
+    # name, type, nullable, allowed values
+    ("ticket_id", "string", False, None),
+    ("created_at", "datetime", False, None),
+    ("closed_at", "datetime", True, None),
+    ("priority", "string", False, ["P1", "P2", "P3", "P4"]),
+    ("category", "string", False, ["access", "application", "hardware", "network", "reporting"]),
+    ("assigned_team", "string", False, ["business_apps", "data_platform", "network_ops", "service_desk", "workplace"]),
+    ("status", "string", False, ["closed", "open"]),
+    ("sla_target_minutes", "integer", False, None),
+    ("resolution_minutes", "integer", True, None),
+    ("reopened_count", "integer", False, None),
+    ("escalated", "boolean", False, None),
+    ("customer_segment", "string", False, ["enterprise", "internal", "smb"]),
+    ("source_system", "string", False, ["service_portal"]),
+]
+TICKET_PATTERN = "SR-[0-9]{6,}"
+NUMBER_PATTERN = "[+-]?(([0-9]+[.]?[0-9]*|[.][0-9]+)([eE][+-]?[0-9]+)?|(?i:inf|infinity))"
+TS_FORMAT = "%Y-%m-%dT%H:%M:%SZ"
+BLANKS = "\u0009\u000a\u000b\u000c\u000d\u001c\u001d\u001e\u001f \u0085\u00a0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+WS = f"'{BLANKS}'"
+SLA_TARGETS = {"P1": 240, "P2": 480, "P3": 1440, "P4": 2880}
+RANGES = [
+    ("sla_target_minutes", "n_sla_target_minutes < 1", "invalid_sla_target_range", "sla_target_minutes must be positive."),
+    ("resolution_minutes", "n_resolution_minutes < 0", "negative_resolution_minutes", "resolution_minutes must not be negative."),
+    ("reopened_count", "n_reopened_count < 0 OR n_reopened_count > 5", "invalid_reopened_count_range", "reopened_count must be between 0 and 5."),
+]
+KPI_RANGES = {
+    "sla_compliance_rate": (0.93, 0.96),
+    "reopen_rate": (0.05, 0.09),
+    "escalation_rate": (0.07, 0.12),
+    "open_backlog_rate": (0.1, 0.18),
+}
+SOURCE_FILE, BATCH_ID, INGESTED_AT = "orders.parquet", "f546989d14e05a12", "2026-07-29T00:00:00Z"
+EVENT_ORIGIN = "derived_synthetic_scenario"
+DERIVED_BOUNDARY = "Derived synthetic waiting time; concentration signal, not causal root cause."
+OBSERVED_BOUNDARY = "Observed waiting time; concentration signal, not causal root cause."
+# --------------------------------------------------------------------------- end of fixed values
 
 
 def q(s: str) -> str:
@@ -38,6 +63,20 @@ def _t(name: str) -> str:
     return f"t_{name}"
 
 
+def exact(expression: str, digits: int) -> str:
+    """The nearest decimal of the exact binary value, half-even: a product
+    that lands on .5 is told from a tie by its error (the value split in two
+    parts that have exact products)."""
+    p = f"(x * {10**digits}.0::DOUBLE)"
+    high = "(x * 134217729.0::DOUBLE - (x * 134217729.0::DOUBLE - x))"
+    error = f"(({high} * {10**digits}.0::DOUBLE - {p}) + (x - {high}) * {10**digits}.0::DOUBLE)"
+    case = (
+        f"CASE WHEN {p} - floor({p}) = 0.5::DOUBLE AND {error} > 0 THEN ceil({p}) "
+        f"WHEN {p} - floor({p}) = 0.5::DOUBLE AND {error} < 0 THEN floor({p}) ELSE round_even({p}, 0) END"
+    )
+    return f"list_transform([CAST(({expression}) AS DOUBLE)], lambda x: {case} / {10**digits}.0::DOUBLE)[1]"
+
+
 # --------------------------------------------------------------------------- request view + bronze
 
 REQUEST_SQL = f"""
@@ -45,7 +84,7 @@ rv_b AS (
   SELECT o.o_orderkey AS k, o.o_orderstatus AS os, CAST(substr(o.o_orderpriority, 1, 1) AS INTEGER) AS pn,
          c.c_mktsegment AS seg, CAST(c.c_nationkey AS INTEGER) AS nk,
          o.o_orderdate + to_minutes(CAST((o.o_orderkey * 37) % 1440 AS INTEGER)) AS created
-  FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey
+  FROM orders o LEFT JOIN customer c ON o.o_custkey = c.c_custkey
 ), rv_p AS (
   SELECT *, CASE WHEN pn = 1 THEN 240 WHEN pn = 2 THEN 480 WHEN pn = 3 THEN 1440 ELSE 2880 END AS sla FROM rv_b
 ), rv_r AS (
@@ -53,131 +92,107 @@ rv_b AS (
          CAST(20 + (k * 7919) % CAST(floor(sla * 1.05) AS INTEGER) AS INTEGER) AS res,
          CASE WHEN k % 101 = 0 THEN 2 WHEN k % 17 = 0 THEN 1 ELSE 0 END AS reo
   FROM rv_p
+), rv_t AS (
+  SELECT *, strftime(created, '{TS_FORMAT}') AS ts_created, strftime(created + to_minutes(res), '{TS_FORMAT}') AS ts_closed,
+         'P' || CAST(least(pn, 4) AS VARCHAR) AS prio, CASE WHEN is_closed THEN 'closed' ELSE 'open' END AS stat
+  FROM rv_r
 ), requests AS (
   SELECT k,
-    CASE WHEN k % 997 = 0 THEN 'SR-' || lpad(CAST(k + 1 AS VARCHAR), 6, '0')
+    CASE WHEN k % 997 = 0 THEN printf('SR-%06d', k + 1)
          WHEN k % 991 = 1 THEN 'XX-' || CAST(k AS VARCHAR)
          WHEN k % 1009 = 5 THEN ''
-         ELSE 'SR-' || lpad(CAST(k AS VARCHAR), 6, '0') END AS ticket_id,
-    CASE WHEN k % 1013 = 6 THEN '2024/01/01' ELSE strftime(created, '{TS_FORMAT}') END AS created_at,
+         ELSE printf('SR-%06d', k) END AS ticket_id,
+    CASE WHEN k % 1013 = 6 THEN '2024/01/01' WHEN k % 1091 = 18 THEN '' WHEN k % 1093 = 19 THEN ' ' || ts_created
+         ELSE ts_created END AS created_at,
     CASE WHEN k % 1019 = 7 THEN strftime(created - to_minutes(15), '{TS_FORMAT}')
          WHEN k % 1021 = 8 THEN ''
-         WHEN is_closed OR k % 1031 = 9 THEN strftime(created + to_minutes(res), '{TS_FORMAT}')
+         WHEN k % 1097 = 20 THEN 'yesterday'
+         WHEN is_closed AND k % 1103 = 21 THEN ts_closed || ' '
+         WHEN is_closed OR k % 1031 = 9 THEN ts_closed
          ELSE '' END AS closed_at,
-    CASE WHEN k % 983 = 2 THEN 'P5' ELSE 'P' || CAST(least(pn, 4) AS VARCHAR) END AS priority,
-    CASE WHEN k % 1033 = 10 THEN '' WHEN seg = 'AUTOMOBILE' THEN 'access' WHEN seg = 'BUILDING' THEN 'application'
-         WHEN seg = 'FURNITURE' THEN 'hardware' WHEN seg = 'HOUSEHOLD' THEN 'network' ELSE 'reporting' END AS category,
-    CASE WHEN k % 1039 = 11 THEN 'unknown_team' WHEN nk % 5 = 0 THEN 'business_apps' WHEN nk % 5 = 1 THEN 'data_platform'
-         WHEN nk % 5 = 2 THEN 'network_ops' WHEN nk % 5 = 3 THEN 'service_desk' ELSE 'workplace' END AS assigned_team,
-    CASE WHEN is_closed THEN 'closed' ELSE 'open' END AS status,
-    CASE WHEN k % 977 = 3 THEN '999' ELSE CAST(sla AS VARCHAR) END AS sla_target_minutes,
+    CASE WHEN k % 983 = 2 THEN 'P5' WHEN k % 1109 = 22 THEN '' WHEN k % 1117 = 23 THEN ' ' || prio || chr(9) ELSE prio END AS priority,
+    CASE WHEN k % 1033 = 10 OR seg IS NULL THEN '' WHEN k % 1123 = 24 THEN 'printer' WHEN seg = 'AUTOMOBILE' THEN 'access'
+         WHEN seg = 'BUILDING' THEN 'application' WHEN seg = 'FURNITURE' THEN 'hardware' WHEN seg = 'HOUSEHOLD' THEN 'network'
+         ELSE 'reporting' END AS category,
+    CASE WHEN k % 1039 = 11 THEN 'unknown_team' WHEN k % 1129 = 25 OR nk IS NULL THEN '' WHEN nk % 5 = 0 THEN 'business_apps'
+         WHEN nk % 5 = 1 THEN 'data_platform' WHEN nk % 5 = 2 THEN 'network_ops' WHEN nk % 5 = 3 THEN 'service_desk'
+         ELSE 'workplace' END AS assigned_team,
+    CASE WHEN k % 1151 = 26 THEN '' WHEN k % 1153 = 27 THEN 'pending' WHEN k % 1163 = 28 THEN stat || ' ' ELSE stat END AS status,
+    CASE WHEN k % 977 = 3 THEN '999' WHEN k % 1171 = 29 THEN '' WHEN k % 1181 = 30 THEN '240d' WHEN k % 1187 = 31 THEN '0'
+         WHEN k % 1193 = 32 THEN CAST(sla AS VARCHAR) || '.0' ELSE CAST(sla AS VARCHAR) END AS sla_target_minutes,
     CASE WHEN k % 1049 = 12 THEN '-5' WHEN k % 1051 = 13 THEN 'abc' WHEN k % 1061 = 14 THEN ''
+         WHEN is_closed AND k % 1201 = 33 THEN CAST(res AS VARCHAR) || '.5'
          WHEN is_closed OR k % 1063 = 15 THEN CAST(res AS VARCHAR) ELSE '' END AS resolution_minutes,
-    CASE WHEN k % 1069 = 16 THEN '9' WHEN is_closed THEN CAST(reo AS VARCHAR) ELSE '0' END AS reopened_count,
-    CASE WHEN k % 1087 = 17 THEN 'maybe' WHEN k % 11 = 0 THEN 'true' ELSE 'false' END AS escalated,
-    CASE WHEN k % 3 = 0 THEN 'enterprise' WHEN k % 3 = 1 THEN 'internal' ELSE 'smb' END AS customer_segment,
-    'service_portal' AS source_system
-  FROM rv_r
+    CASE WHEN k % 1069 = 16 THEN '9' WHEN k % 1213 = 34 THEN '' WHEN k % 1217 = 35 THEN '0x1p3'
+         WHEN is_closed AND k % 1223 = 36 THEN CAST(reo AS VARCHAR) || 'e0'
+         WHEN is_closed THEN CAST(reo AS VARCHAR) ELSE '0' END AS reopened_count,
+    CASE WHEN k % 1087 = 17 THEN 'maybe' WHEN k % 1229 = 37 THEN '' WHEN k % 11 = 0 THEN 'true' ELSE 'false' END AS escalated,
+    CASE WHEN k % 1231 = 38 THEN '' WHEN k % 1237 = 39 THEN 'government' WHEN k % 3 = 0 THEN 'enterprise'
+         WHEN k % 3 = 1 THEN 'internal' ELSE 'smb' END AS customer_segment,
+    CASE WHEN k % 1249 = 40 THEN '' WHEN k % 1259 = 41 THEN 'email' ELSE 'service_portal' END AS source_system
+  FROM rv_t
 ), bronze AS (
   SELECT CAST(row_number() OVER (ORDER BY k) + 1 AS BIGINT) AS source_row,
-         {", ".join(REQUEST_COLUMNS)},
-         {q(REQUEST_SOURCE_FILE)} AS source_file, {q(request_batch_id())} AS ingestion_batch_id,
-         {q(DEFAULT_INGESTED_AT)} AS ingested_at_utc
+         {", ".join(c[0] for c in COLUMNS)},
+         {q(SOURCE_FILE)} AS source_file, {q(BATCH_ID)} AS ingestion_batch_id,
+         {q(INGESTED_AT)} AS ingested_at_utc
   FROM requests
 )"""
 
 
 def _helpers_sql() -> str:
     cols = []
-    for col in C["columns"]:
-        name = col["name"]
-        cols.append(f"trim(COALESCE({name}, ''), {WS}) AS {_t(name)}")
-    for col in C["columns"]:
-        name = col["name"]
+    for name, kind, nullable, _ in COLUMNS:
         t = f"trim(COALESCE({name}, ''), {WS})"
-        if col["type"] == "integer":
-            cols.append(
-                f"CASE WHEN {t} <> '' AND NOT isnan(try_cast({t} AS DOUBLE)) THEN try_cast({t} AS DOUBLE) END AS n_{name}"
-            )
-        elif col["type"] == "datetime":
-            source = t if col.get("nullable", True) else name
-            cols.append(f"CASE WHEN {t} <> '' THEN try_strptime({source}, '{TS_FORMAT}') END AS ts_{name}")
-    dup_key = C["primary_key"][0]
+        cols.append(f"{t} AS {_t(name)}")
+        if kind == "integer":
+            cols.append(f"CASE WHEN regexp_full_match({t}, {q(NUMBER_PATTERN)}) THEN try_cast({t} AS DOUBLE) END AS n_{name}")
+        elif kind == "datetime":
+            exactly = "" if nullable else f" AND {name} = {t}"  # strptime itself passes over blanks
+            cols.append(f"CASE WHEN {t} <> ''{exactly} THEN try_strptime({t}, '{TS_FORMAT}') END AS ts_{name}")
     return f"""
 h0 AS (SELECT *, {", ".join(cols)} FROM bronze),
-dup_keys AS (SELECT {_t(dup_key)} AS dk FROM h0 WHERE {_t(dup_key)} <> '' GROUP BY 1 HAVING count(*) > 1),
-h AS (SELECT h0.*, (dup_keys.dk IS NOT NULL) AS is_dup FROM h0 LEFT JOIN dup_keys ON h0.{_t(dup_key)} = dup_keys.dk)"""
+dup_keys AS (SELECT t_ticket_id AS dk FROM h0 WHERE t_ticket_id <> '' GROUP BY 1 HAVING count(*) > 1),
+h AS (SELECT h0.*, (dup_keys.dk IS NOT NULL) AS is_dup FROM h0 LEFT JOIN dup_keys ON h0.t_ticket_id = dup_keys.dk)"""
 
 
 def _rules_sql() -> list[tuple[str, str, str, str]]:
     """(code, field, message, SQL condition) in evaluation order."""
     out = []
-    cols = C["columns"]
-    for col in cols:
-        name = col["name"]
-        if not col.get("nullable", True):
+    for name, _, nullable, allowed in COLUMNS:
+        if not nullable:
             out.append(("missing_required_value", name, f"{name} must not be blank.", f"{_t(name)} = ''"))
-        if col.get("allowed_values"):
-            vals = ", ".join(q(v) for v in col["allowed_values"])
+        if allowed:
+            vals = ", ".join(q(v) for v in allowed)
             out.append((f"invalid_{name}", name, f"{name} is outside the allowed domain.", f"{_t(name)} NOT IN ({vals}) AND {_t(name)} <> ''"))
-    for col in cols:
-        if col.get("pattern"):
-            name = col["name"]
-            body = col["pattern"].lstrip("^").rstrip("$").replace(r"\d", "[0-9]")
-            code = f"invalid_{name}_format"
-            out.append((code, name, FIXED_MESSAGES[code], f"NOT regexp_full_match({_t(name)}, {q(body)}) AND {_t(name)} <> ''"))
-    for key in C["primary_key"]:
-        code = f"duplicate_{key}"
-        out.append((code, key, FIXED_MESSAGES[code], f"is_dup AND {_t(key)} <> ''"))
-    for col in cols:
-        if col["type"] == "datetime":
-            name = col["name"]
-            code = f"invalid_{name}"
-            out.append((code, name, FIXED_MESSAGES[code], f"ts_{name} IS NULL AND {_t(name)} <> ''"))
-    ints = [c for c in cols if c["type"] == "integer"]
-    for col in ints:
-        name = col["name"]
+    out += [
+        ("invalid_ticket_id_format", "ticket_id", "ticket_id must match the documented SR-###### format.",
+         f"NOT regexp_full_match(t_ticket_id, {q(TICKET_PATTERN)}) AND t_ticket_id <> ''"),
+        ("duplicate_ticket_id", "ticket_id", "ticket_id must be unique; all duplicate occurrences are rejected.", "is_dup AND t_ticket_id <> ''"),
+        ("invalid_created_at", "created_at", "created_at must use the documented UTC timestamp format.", "ts_created_at IS NULL AND t_created_at <> ''"),
+        ("invalid_closed_at", "closed_at", "closed_at must be blank or use the documented UTC timestamp format.", "ts_closed_at IS NULL AND t_closed_at <> ''"),
+    ]
+    for name in ("sla_target_minutes", "resolution_minutes", "reopened_count"):
         n = f"n_{name}"
-        integral = f"({n} IS NOT NULL AND NOT isinf({n}) AND {n} = floor({n}))"
-        out.append((f"invalid_{name}_type", name, f"{name} must be an integer when supplied.", f"{_t(name)} <> '' AND NOT {integral}"))
-    for col in ints:
-        name = col["name"]
-        parts = []
-        if "minimum" in col:
-            parts.append(f"n_{name} < {col['minimum']}")
-        if "maximum" in col:
-            parts.append(f"n_{name} > {col['maximum']}")
-        if parts:
-            code = RANGE_CODES[name]
-            out.append((code, name, FIXED_MESSAGES[code], f"n_{name} IS NOT NULL AND ({' OR '.join(parts)})"))
-    for col in cols:
-        if col["type"] == "boolean":
-            name = col["name"]
-            code = f"invalid_{name}"
-            out.append((code, name, FIXED_MESSAGES[code], f"lower({_t(name)}) NOT IN ('true', 'false') AND {_t(name)} <> ''"))
-    sla = C["business_rules"]["sla_target_by_priority"]
-    expected = "CASE " + " ".join(f"WHEN {_t('priority')} = {q(k)} THEN {v}" for k, v in sla.items()) + " END"
-    out.append(
-        (
-            "sla_priority_mismatch",
-            "sla_target_minutes",
-            FIXED_MESSAGES["sla_priority_mismatch"],
-            f"({expected}) IS NOT NULL AND n_sla_target_minutes IS NOT NULL AND n_sla_target_minutes <> ({expected})",
-        )
-    )
-    closed, opened = f"{_t('status')} = 'closed'", f"{_t('status')} = 'open'"
-    out.append(("closed_missing_closed_at", "closed_at", FIXED_MESSAGES["closed_missing_closed_at"], f"{closed} AND {_t('closed_at')} = ''"))
-    out.append(("closed_missing_resolution_minutes", "resolution_minutes", FIXED_MESSAGES["closed_missing_resolution_minutes"], f"{closed} AND n_resolution_minutes IS NULL"))
-    out.append(("open_has_closed_at", "closed_at", FIXED_MESSAGES["open_has_closed_at"], f"{opened} AND {_t('closed_at')} <> ''"))
-    out.append(("open_has_resolution_minutes", "resolution_minutes", FIXED_MESSAGES["open_has_resolution_minutes"], f"{opened} AND n_resolution_minutes IS NOT NULL"))
-    out.append(
-        (
-            "closed_before_created",
-            "closed_at",
-            FIXED_MESSAGES["closed_before_created"],
-            f"{closed} AND ts_created_at IS NOT NULL AND ts_closed_at IS NOT NULL AND ts_closed_at < ts_created_at",
-        )
-    )
+        whole = f"({n} IS NOT NULL AND NOT isinf({n}) AND {n} = floor({n}))"
+        out.append((f"invalid_{name}_type", name, f"{name} must be an integer when supplied.", f"{_t(name)} <> '' AND NOT {whole}"))
+    for name, condition, code, message in RANGES:
+        out.append((code, name, message, f"n_{name} IS NOT NULL AND ({condition})"))
+    out.append(("invalid_escalated", "escalated", "escalated must be true or false.", "lower(t_escalated) NOT IN ('true', 'false') AND t_escalated <> ''"))
+    target = "CASE " + " ".join(f"WHEN t_priority = {q(k)} THEN {v}" for k, v in SLA_TARGETS.items()) + " END"
+    closed, opened = "t_status = 'closed'", "t_status = 'open'"
+    out += [
+        ("sla_priority_mismatch", "sla_target_minutes", "sla_target_minutes must match the documented priority mapping.",
+         f"({target}) IS NOT NULL AND n_sla_target_minutes IS NOT NULL AND n_sla_target_minutes <> ({target})"),
+        ("closed_missing_closed_at", "closed_at", "Closed requests require closed_at.", f"{closed} AND t_closed_at = ''"),
+        ("closed_missing_resolution_minutes", "resolution_minutes", "Closed requests require resolution_minutes.",
+         f"{closed} AND n_resolution_minutes IS NULL"),
+        ("open_has_closed_at", "closed_at", "Open requests must not have closed_at.", f"{opened} AND t_closed_at <> ''"),
+        ("open_has_resolution_minutes", "resolution_minutes", "Open requests must not have resolution_minutes.",
+         f"{opened} AND n_resolution_minutes IS NOT NULL"),
+        ("closed_before_created", "closed_at", "closed_at must not be earlier than created_at.",
+         f"{closed} AND ts_created_at IS NOT NULL AND ts_closed_at IS NOT NULL AND ts_closed_at < ts_created_at"),
+    ]
     return out
 
 
@@ -213,7 +228,7 @@ silver_rejected AS (
   SELECT b.*, r.rejection_reasons, r.issue_count FROM bronze b JOIN rejection r ON b.source_row = r.source_row
 )"""
 
-PRIORITY_RANK = "CASE priority " + " ".join(f"WHEN {q(p)} THEN {i}" for i, p in enumerate(PRIORITY_ORDER, 1)) + " END"
+PRIORITY_RANK = "CASE priority WHEN 'P1' THEN 1 WHEN 'P2' THEN 2 WHEN 'P3' THEN 3 WHEN 'P4' THEN 4 END"
 
 GOLD_SQL = f"""
 dim_team AS (
@@ -227,7 +242,7 @@ dim_category AS (
 dim_priority AS (
   SELECT CAST(row_number() OVER (ORDER BY {PRIORITY_RANK}) AS BIGINT) AS priority_key, priority, sla_target_minutes
   FROM (SELECT priority, min(sla_target_minutes) AS sla_target_minutes FROM silver_valid
-        WHERE priority IN ({", ".join(q(p) for p in PRIORITY_ORDER)}) GROUP BY priority)
+        WHERE priority IN ('P1', 'P2', 'P3', 'P4') GROUP BY priority)
 ),
 obs_days AS (
   SELECT DISTINCT d FROM (
@@ -274,14 +289,14 @@ kpi_base AS (
 ),
 kpis AS (
   SELECT total_requests, closed_requests, total_requests - closed_requests AS open_backlog,
-         COALESCE(round_even(CAST(total_requests - closed_requests AS DOUBLE) / NULLIF(total_requests, 0), 4), 0.0) AS open_backlog_rate,
+         COALESCE({exact("CAST(total_requests - closed_requests AS DOUBLE) / NULLIF(total_requests, 0)", 4)}, 0.0) AS open_backlog_rate,
          closed_requests AS sla_eligible_requests, sla_met_requests,
-         COALESCE(round_even(CAST(sla_met_requests AS DOUBLE) / NULLIF(closed_requests, 0), 4), 0.0) AS sla_compliance_rate,
-         round_even(avg_res, 2) AS average_resolution_minutes, round_even(med_res, 2) AS median_resolution_minutes,
+         COALESCE({exact("CAST(sla_met_requests AS DOUBLE) / NULLIF(closed_requests, 0)", 4)}, 0.0) AS sla_compliance_rate,
+         {exact("avg_res", 2)} AS average_resolution_minutes, {exact("med_res", 2)} AS median_resolution_minutes,
          escalated_requests,
-         COALESCE(round_even(CAST(escalated_requests AS DOUBLE) / NULLIF(total_requests, 0), 4), 0.0) AS escalation_rate,
+         COALESCE({exact("CAST(escalated_requests AS DOUBLE) / NULLIF(total_requests, 0)", 4)}, 0.0) AS escalation_rate,
          closed_requests AS reopen_eligible_requests, reopened_requests,
-         COALESCE(round_even(CAST(reopened_requests AS DOUBLE) / NULLIF(closed_requests, 0), 4), 0.0) AS reopen_rate
+         COALESCE({exact("CAST(reopened_requests AS DOUBLE) / NULLIF(closed_requests, 0)", 4)}, 0.0) AS reopen_rate
   FROM kpi_base
 ),
 enriched AS (
@@ -355,22 +370,20 @@ def _event_selects() -> str:
     """One SELECT per lifecycle event kind of the derived event log."""
     at = "created_us + (dur * {p}) // 100"
     after = "created_us + {m} * 60000000"
-    r1_res, r1_reo = P.ONE_REOPEN_PERCENTS
-    r2_res1, r2_reo1, r2_res2, r2_reo2 = P.TWO_REOPEN_PERCENTS
-    escalation_pct = f"(CASE WHEN reopened_count <> 0 THEN {P.ESCALATION_PERCENT_WHEN_REOPENED} ELSE {P.ESCALATION_PERCENT} END)"
-    open_escalation = f"greatest(assigned + 1, CAST(round_even(sla * CAST({P.OPEN_ESCALATION_SHARE} AS DOUBLE), 0) AS BIGINT))"
+    escalation_pct = "(CASE WHEN reopened_count <> 0 THEN 30 ELSE 45 END)"
+    open_escalation = "greatest(assigned + 1, CAST(round_even(sla * CAST(0.75 AS DOUBLE), 0) AS BIGINT))"
     rows = [
         ("TRUE", "created_us", 0, "ticket_created"),
         ("TRUE", after.format(m="assigned"), 1, "team_assigned"),
         ("is_closed AND esc", at.format(p=escalation_pct), 2, "escalated"),
         ("NOT is_closed AND esc", after.format(m=open_escalation), 2, "escalated"),
-        ("is_closed AND reopened_count = 1", at.format(p=r1_res), 3, "resolution_recorded"),
-        ("is_closed AND reopened_count = 1", at.format(p=r1_reo), 4, "reopened"),
-        ("is_closed AND reopened_count = 2", at.format(p=r2_res1), 3, "resolution_recorded"),
-        ("is_closed AND reopened_count = 2", at.format(p=r2_reo1), 4, "reopened"),
-        ("is_closed AND reopened_count = 2", at.format(p=r2_res2), 5, "resolution_recorded"),
-        ("is_closed AND reopened_count = 2", at.format(p=r2_reo2), 6, "reopened"),
-        ("is_closed", at.format(p=P.FINAL_RESOLUTION_PERCENT), 7, "resolution_recorded"),
+        ("is_closed AND reopened_count = 1", at.format(p=58), 3, "resolution_recorded"),
+        ("is_closed AND reopened_count = 1", at.format(p=68), 4, "reopened"),
+        ("is_closed AND reopened_count = 2", at.format(p=38), 3, "resolution_recorded"),
+        ("is_closed AND reopened_count = 2", at.format(p=47), 4, "reopened"),
+        ("is_closed AND reopened_count = 2", at.format(p=68), 5, "resolution_recorded"),
+        ("is_closed AND reopened_count = 2", at.format(p=76), 6, "reopened"),
+        ("is_closed", at.format(p=90), 7, "resolution_recorded"),
         ("is_closed", "closed_us", 8, "ticket_closed"),
     ]
     return "\n  UNION ALL ".join(
@@ -388,10 +401,10 @@ ev_base AS (
 ),
 ev_src AS (
   SELECT *, CAST(CASE WHEN is_closed
-      THEN least({P.ASSIGNMENT_MAX_MINUTES}, greatest({P.ASSIGNMENT_MIN_MINUTES},
-           round_even(((CAST(dur AS DOUBLE) / CAST(1000000 AS DOUBLE)) / CAST(60 AS DOUBLE)) * CAST({P.ASSIGNMENT_SHARE} AS DOUBLE), 0)))
-      ELSE least({P.ASSIGNMENT_MAX_MINUTES}, greatest({P.ASSIGNMENT_MIN_MINUTES},
-           round_even(sla * CAST({P.ASSIGNMENT_SHARE} AS DOUBLE), 0))) END AS BIGINT) AS assigned
+      THEN least(15.0, greatest(1.0,
+           round_even(((CAST(dur AS DOUBLE) / CAST(1000000 AS DOUBLE)) / CAST(60 AS DOUBLE)) * CAST(0.05 AS DOUBLE), 0)))
+      ELSE least(15.0, greatest(1.0,
+           round_even(sla * CAST(0.05 AS DOUBLE), 0))) END AS BIGINT) AS assigned
   FROM ev_base
 ),
 ev_raw AS (
@@ -426,22 +439,22 @@ cases AS (
 ),
 variants AS (
   SELECT process_variant, CAST(count(*) AS BIGINT) AS case_count,
-         COALESCE(round_even(CAST(count(*) AS DOUBLE) / NULLIF((SELECT count(*) FROM cases), 0), 4), 0.0) AS case_share,
+         COALESCE({exact("CAST(count(*) AS DOUBLE) / NULLIF((SELECT count(*) FROM cases), 0)", 4)}, 0.0) AS case_share,
          CAST(count(*) FILTER (WHERE status = 'closed') AS BIGINT) AS closed_cases,
          CAST(count(*) FILTER (WHERE status = 'open') AS BIGINT) AS open_cases,
          CAST(count(*) FILTER (WHERE exception_type <> 'standard') AS BIGINT) AS exception_cases,
-         round_even(avg(CASE WHEN status = 'closed' THEN throughput_minutes END), 2) AS average_throughput_minutes,
-         COALESCE(round_even(CAST(count(*) FILTER (WHERE status = 'closed' AND sla_met = FALSE) AS DOUBLE)
-                  / NULLIF(count(*) FILTER (WHERE status = 'closed'), 0), 4), 0.0) AS sla_breach_rate
+         {exact("avg(CASE WHEN status = 'closed' THEN throughput_minutes END)", 2)} AS average_throughput_minutes,
+         COALESCE({exact("""CAST(count(*) FILTER (WHERE status = 'closed' AND sla_met = FALSE) AS DOUBLE)
+                  / NULLIF(count(*) FILTER (WHERE status = 'closed'), 0)""", 4)}, 0.0) AS sla_breach_rate
   FROM cases GROUP BY process_variant
 ),
 exception_paths AS (
   SELECT exception_type, CAST(count(*) AS BIGINT) AS case_count,
          CAST(count(*) FILTER (WHERE status = 'closed') AS BIGINT) AS closed_cases,
          CAST(count(*) FILTER (WHERE status = 'open') AS BIGINT) AS open_cases,
-         round_even(avg(CASE WHEN status = 'closed' THEN throughput_minutes END), 2) AS average_throughput_minutes,
-         COALESCE(round_even(CAST(count(*) FILTER (WHERE status = 'closed' AND sla_met = FALSE) AS DOUBLE)
-                  / NULLIF(count(*) FILTER (WHERE status = 'closed'), 0), 4), 0.0) AS sla_breach_rate,
+         {exact("avg(CASE WHEN status = 'closed' THEN throughput_minutes END)", 2)} AS average_throughput_minutes,
+         COALESCE({exact("""CAST(count(*) FILTER (WHERE status = 'closed' AND sla_met = FALSE) AS DOUBLE)
+                  / NULLIF(count(*) FILTER (WHERE status = 'closed'), 0)""", 4)}, 0.0) AS sla_breach_rate,
          CAST(sum(reopened_count) AS BIGINT) AS reopen_occurrences
   FROM cases WHERE exception_type <> 'standard' GROUP BY exception_type
 ),
@@ -457,9 +470,9 @@ steps AS (
 
 def _transition_stats(source: str) -> str:
     return f"""SELECT source_activity, target_activity, CAST(count(*) AS BIGINT) AS case_count,
-         round_even(((CAST(sum(wait_us) AS DOUBLE) / count(*)) / CAST(1000000 AS DOUBLE)) / CAST(60 AS DOUBLE), 2) AS average_wait_minutes,
-         round_even(quantile_cont(wait_minutes, 0.5), 2) AS median_wait_minutes,
-         round_even(quantile_cont(wait_minutes, 0.9), 2) AS p90_wait_minutes
+         {exact("((CAST(sum(wait_us) AS DOUBLE) / count(*)) / CAST(1000000 AS DOUBLE)) / CAST(60 AS DOUBLE)", 2)} AS average_wait_minutes,
+         {exact("quantile_cont(wait_minutes, 0.5)", 2)} AS median_wait_minutes,
+         {exact("quantile_cont(wait_minutes, 0.9)", 2)} AS p90_wait_minutes
   FROM {source} WHERE target_activity IS NOT NULL GROUP BY source_activity, target_activity"""
 
 
@@ -467,12 +480,12 @@ def _bottlenecks(source: str, boundary: str) -> str:
     return f"""SELECT CAST(row_number() OVER (ORDER BY average_wait_minutes DESC, case_count DESC, source_activity, target_activity) AS BIGINT)
            AS bottleneck_rank, source_activity, target_activity, case_count, average_wait_minutes, median_wait_minutes,
            p90_wait_minutes, {q(boundary)} AS interpretation_boundary
-  FROM {source} WHERE case_count >= {MIN_BOTTLENECK_CASES}"""
+  FROM {source} WHERE case_count >= 10"""
 
 
 TRANSITIONS_SQL = f"""
 transitions AS ({_transition_stats("steps")}),
-bottlenecks AS ({_bottlenecks("transitions", BOTTLENECK_BOUNDARY)})"""
+bottlenecks AS ({_bottlenecks("transitions", DERIVED_BOUNDARY)})"""
 
 OBSERVED_SQL = f"""
 obs_steps AS (
@@ -485,18 +498,32 @@ obs_steps AS (
 ),
 obs_transitions AS ({_transition_stats("obs_steps")}),
 obs_bottlenecks AS ({_bottlenecks("obs_transitions", OBSERVED_BOUNDARY)}),
+obs_positions AS (
+  SELECT user_id, CAST(ts AS DATE) AS activity_date, event_type, ts,
+         row_number() OVER (PARTITION BY user_id, CAST(ts AS DATE) ORDER BY ts, event_id) - 1 AS pos
+  FROM events
+),
+obs_pieces AS (
+  SELECT user_id, activity_date, pos // 10000 AS piece, count(*) AS n, min(ts) AS low, max(ts) AS high,
+         md5(string_agg(coalesce(event_type, '?'), ' > ' ORDER BY pos)) AS digest
+  FROM obs_positions GROUP BY ALL
+),
 obs_cases AS (
-  SELECT user_id, CAST(ts AS DATE) AS activity_date, CAST(count(*) AS BIGINT) AS event_count,
-         string_agg(event_type, ' > ' ORDER BY ts, event_id) AS process_variant,
-         epoch_us(max(ts)) - epoch_us(min(ts)) AS span_us
-  FROM events GROUP BY user_id, CAST(ts AS DATE)
+  SELECT user_id, activity_date, CAST(sum(n) AS BIGINT) AS event_count, md5(string_agg(digest, ' > ' ORDER BY piece)) AS variant_id,
+         epoch_us(max(high)) - epoch_us(min(low)) AS span_us
+  FROM obs_pieces GROUP BY ALL
 ),
 obs_variants AS (
-  SELECT process_variant, CAST(count(*) AS BIGINT) AS case_count,
-         COALESCE(round_even(CAST(count(*) AS DOUBLE) / NULLIF((SELECT count(*) FROM obs_cases), 0), 4), 0.0) AS case_share,
+  SELECT variant_id, CAST(count(*) AS BIGINT) AS case_count,
+         COALESCE({exact("CAST(count(*) AS DOUBLE) / NULLIF((SELECT count(*) FROM obs_cases), 0)", 4)}, 0.0) AS case_share,
          CAST(max(event_count) AS BIGINT) AS event_count,
-         round_even(((CAST(sum(span_us) AS DOUBLE) / count(*)) / CAST(1000000 AS DOUBLE)) / CAST(60 AS DOUBLE), 2) AS average_span_minutes
-  FROM obs_cases GROUP BY process_variant
+         {exact("((CAST(sum(span_us) AS DOUBLE) / count(*)) / CAST(1000000 AS DOUBLE)) / CAST(60 AS DOUBLE)", 2)} AS average_span_minutes
+  FROM obs_cases GROUP BY variant_id
+),
+obs_steps_of AS (
+  SELECT DISTINCT c.variant_id, CAST(p.pos + 1 AS BIGINT) AS position, p.event_type AS activity
+  FROM obs_positions p JOIN obs_cases c
+    ON p.user_id IS NOT DISTINCT FROM c.user_id AND p.activity_date IS NOT DISTINCT FROM c.activity_date
 )"""
 
 
@@ -532,7 +559,7 @@ CONTROLS_ANALYTICS = _controls(
         ("daily_requests_reconcile", "SELECT COALESCE(sum(total_requests), 0) FROM daily", "SELECT total_requests FROM kpis"),
         (
             "weighted_team_sla_equals_global",
-            "SELECT COALESCE(round_even(CAST(sum(sla_met_requests) AS DOUBLE) / NULLIF(sum(closed_requests), 0), 4), 0.0) FROM sla_by_team",
+            f"SELECT COALESCE({exact('CAST(sum(sla_met_requests) AS DOUBLE) / NULLIF(sum(closed_requests), 0)', 4)}, 0.0) FROM sla_by_team",
             "SELECT sla_compliance_rate FROM kpis",
         ),
         ("all_breach_rows_are_closed", cnt("breaches", "status <> 'closed'"), "0"),
@@ -583,7 +610,7 @@ CONTROLS_PROCESS = _controls(
 KPI_RANGES_SQL = "\nUNION ALL ".join(
     f"SELECT {q(name)} AS kpi, CAST({name} AS DOUBLE) AS value, CAST({lo} AS DOUBLE) AS lower_bound, "
     f"CAST({hi} AS DOUBLE) AS upper_bound, CAST({name} AS DOUBLE) BETWEEN CAST({lo} AS DOUBLE) AND CAST({hi} AS DOUBLE) AS inside FROM kpis"
-    for name, (lo, hi) in C["scenario"]["kpi_design_ranges"].items()
+    for name, (lo, hi) in KPI_RANGES.items()
 )
 
 GROUPING_SETS_SQL = f"""SELECT CASE WHEN grouping(assigned_team) = 0 AND grouping(category) = 1 THEN 'sla_by_team'
@@ -607,7 +634,7 @@ ORACLE_SQL: dict[str, str] = {
     "dq_issue_counts": f"{PIPELINE}\nSELECT issue_code, CAST(count(*) AS BIGINT) AS issue_count FROM issues GROUP BY issue_code",
     "dq_report": f"""{PIPELINE}
 SELECT total_rows, total_rows - invalid_rows AS valid_rows, invalid_rows,
-       COALESCE(round_even(CAST(total_rows - invalid_rows AS DOUBLE) / NULLIF(total_rows, 0), 4), 0.0) AS valid_rate
+       COALESCE({exact("CAST(total_rows - invalid_rows AS DOUBLE) / NULLIF(total_rows, 0)", 4)}, 0.0) AS valid_rate
 FROM (SELECT CAST((SELECT count(*) FROM bronze) AS BIGINT) AS total_rows,
              CAST((SELECT count(*) FROM bad_rows) AS BIGINT) AS invalid_rows)""",
     "silver_valid": f"{PIPELINE}\nSELECT * FROM silver_valid",
@@ -640,6 +667,7 @@ FROM (SELECT CAST((SELECT count(*) FROM bronze) AS BIGINT) AS total_rows,
     "observed_transitions": f"{_with(OBSERVED_SQL)}\nSELECT * FROM obs_transitions",
     "observed_bottlenecks": f"{_with(OBSERVED_SQL)}\nSELECT * FROM obs_bottlenecks",
     "observed_variants": f"{_with(OBSERVED_SQL)}\nSELECT * FROM obs_variants",
+    "observed_variant_steps": f"{_with(OBSERVED_SQL)}\nSELECT * FROM obs_steps_of",
     "duplicate_keys_lineitem": """SELECT l.l_orderkey, l.l_linenumber, l.l_partkey, l.l_suppkey, l.l_quantity, l.l_extendedprice, d.key_occurrences
 FROM lineitem l
 JOIN (SELECT l_orderkey, l_linenumber, CAST(count(*) AS BIGINT) AS key_occurrences FROM lineitem

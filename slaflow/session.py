@@ -7,6 +7,7 @@ The library never creates a cluster session on its own; jobs receive a
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -40,8 +41,8 @@ def prepare_session(spark: SparkSession) -> SparkSession:
       and date keys are UTC calendar days.
     * A checkpoint directory must exist for lineage cuts (ordinals,
       materialised layers).  The cluster's ``spark.checkpoint.dir`` wins; a
-      private local folder is only created when nothing is configured
-      (tests, local runs).
+      private local folder is only made by a local session that names none;
+      on any other master that is an error.
     """
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     ensure_checkpoint_dir(spark)
@@ -58,7 +59,9 @@ def session_key(spark: SparkSession) -> str:
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder for lineage cuts: the SparkContext's checkpoint dir,
-    else ``spark.checkpoint.dir``, else (tests, local runs) a private folder."""
+    else ``spark.checkpoint.dir``, else, in a local session, a private folder.
+    Executors of a cluster don't see each other's folders, so one that names
+    no shared folder is refused."""
     try:
         sc = spark.sparkContext
     except Exception:  # Spark Connect
@@ -69,7 +72,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if not configured and sc is not None:
         configured = sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
-        # Only reached when the deployment names no shared folder (tests).
+        master = sc.master if sc is not None else spark.conf.get("spark.master", "")
+        if not re.fullmatch(r"local(\[[^\]]*\])?", master):
+            raise ValueError(f"spark.checkpoint.dir must name a folder that all executors of {master!r} share")
         configured = tempfile.mkdtemp(prefix="slaflow-ckpt-", dir=os.environ.get("SLAFLOW_LOCAL_TMP", "/tmp"))
         spark.conf.set("spark.checkpoint.dir", configured)
     if sc is None:

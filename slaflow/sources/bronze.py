@@ -1,9 +1,7 @@
 """Bronze: source records as text plus ingestion metadata.
 
 ``source_row`` is the record ordinal + 1 (first data record = 2), assigned
-by the distributed ordinal operator, whose frozen snapshot (written once
-to the checkpoint folder) is the Bronze copy every downstream layer of the
-session reads, the way a written Bronze table would be.
+by the distributed ordinal operator.
 """
 
 from __future__ import annotations
@@ -16,120 +14,99 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from slaflow.contract import DEFAULT_INGESTED_AT
-from slaflow.operators.ordinal import with_ordinal
-from slaflow.session import session_key
+from slaflow.operators.ordinal import materialize, with_ordinal
 from slaflow.sources.requests import REQUEST_COLUMNS, request_metadata, request_rows
 from slaflow.sources.tables import require_columns
 
 BRONZE_METADATA = ["source_file", "ingestion_batch_id", "ingested_at_utc"]
-_LAYERS: dict[tuple[str, str, str], DataFrame] = {}
-
 
 def bronze_columns(columns: Sequence[str] = REQUEST_COLUMNS) -> list[str]:
     return ["source_row", *columns, *BRONZE_METADATA]
 
 
-def _cached(spark: SparkSession, key: str, name: str, build) -> DataFrame:
-    slot = (session_key(spark), key, name)
-    if slot not in _LAYERS:
-        _LAYERS[slot] = build()
-    return _LAYERS[slot]
-
-
 def bronze_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Bronze over the request source of ``sf_dir`` (materialised once per session)."""
-
-    def build() -> DataFrame:
-        rows = request_rows(spark, sf_dir)
-        numbered = with_ordinal(rows, ["request_key"], name="source_row", start=2)
-        meta = request_metadata()
-        # the ordinal's frozen snapshot is the Bronze copy on shared storage;
-        # source_row = snapshot position + a broadcast per-partition offset
-        return numbered.select(
+    """Bronze over the request source of ``sf_dir``, written once.  The narrow
+    orders are numbered before the join and the text columns are made."""
+    meta = request_metadata()
+    rows = request_rows(spark, sf_dir, number="source_row")
+    return materialize(
+        rows.select(
             F.col("source_row").cast("long").alias("source_row"),
             *REQUEST_COLUMNS,
             *[F.lit(meta[c]).alias(c) for c in BRONZE_METADATA],
-        )
-
-    return _cached(spark, sf_dir, "bronze_requests", build)
+        ),
+        "bronze",
+    )
 
 
 # --------------------------------------------------------------------------- CSV files
 
 
-def read_text_csv(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
+def read_text_csv(spark: SparkSession, path: str | list[str], multi_line: bool = False) -> DataFrame:
     """Header CSV, every value as text, no NULL inference.
 
-    The header decides the column names; all are read as strings and a NULL
-    (Spark's reading of an empty unquoted field) becomes "".  With
-    ``multi_line`` quoted newlines are allowed, but files are then not split.
+    The header of the first file decides the column names; a file whose
+    header differs is refused when it is read, so no value can land in
+    another column.  Quotes inside quoted fields are doubled, a backslash is
+    a character like any other.  All columns are strings and a NULL (Spark's
+    reading of an empty unquoted field) becomes "".  With ``multi_line``
+    quoted newlines are allowed, but files are then not split.
     """
-    header = spark.read.option("header", True).option("multiLine", multi_line).csv(path).columns
+    options = {"header": True, "multiLine": multi_line, "quote": '"', "escape": '"'}
+    header = spark.read.options(**options).csv(path).columns
     schema = T.StructType([T.StructField(c, T.StringType(), True) for c in header])
-    df = (
-        spark.read.schema(schema)
-        .option("header", True)
-        .option("multiLine", multi_line)
-        .option("nullValue", None)
-        .option("emptyValue", "")
-        .csv(path)
-    )
-    return df.select(*[F.coalesce(F.col(c), F.lit("")).alias(c) for c in header], "_metadata")
+    df = spark.read.schema(schema).options(**options, enforceSchema=False, emptyValue="").csv(path)
+    return df.select(*[F.coalesce(F.col(f"`{c}`"), F.lit("")).alias(c) for c in header], "_metadata")
 
 
-WHOLE_FILE_LIMIT = 1 << 30  # files up to 1 GiB are hashed byte for byte
+#: A binary row holds a file of less than 2 GiB.
+MAX_BYTES = (1 << 31) - 1
 
 
-def file_fingerprint(spark: SparkSession, path: str | list[str]) -> str:
-    """16-hex fingerprint of the input files.
+def file_fingerprint(spark: SparkSession, path: str | list[str], method: str = "bytes") -> str:
+    """16-hex fingerprint of the input files, by the method the caller names:
 
-    Files up to ``WHOLE_FILE_LIMIT`` bytes: SHA-256 of the file bytes (one
-    file), or of its per-file digests in path order (several files), hashed
-    in the executors and combined by one aggregate.  When a file is larger
-    than a binary row can hold, the fingerprint is taken from content instead:
-    an order-independent aggregate of 64-bit line hashes, the line count and
-    the file list.  One row reaches the driver either way.
+    * ``bytes``: the SHA-256 of the file's bytes, or, of several files, that
+      of an order-free sum over names and digests.  Files are hashed in the
+      executors; one of 2 GiB or more is refused.
+    * ``lines``: the SHA-256 of an order-free sum of line hashes and their
+      number, for files of any size.
+
+    Folders don't count, so moved files keep their fingerprint.  One row
+    reaches the driver either way.
     """
     paths = path if isinstance(path, list) else [path]
-    files = spark.read.format("binaryFile").load(paths)
-    largest = files.agg(F.max("length").alias("m")).first()["m"] or 0
-    if largest <= WHOLE_FILE_LIMIT:
-        digests = files.select("path", F.sha2(F.col("content"), 256).alias("d"))
-        combined = digests.agg(
-            F.count(F.lit(1)).alias("n"),
-            F.sort_array(F.collect_list(F.struct("path", "d"))).alias("xs"),
-        ).first()
-        if combined["n"] == 1:
-            return combined["xs"][0]["d"][:16]
-        return hashlib.sha256("".join(x["d"] for x in combined["xs"]).encode()).hexdigest()[:16]
-    file_col = F.col("_metadata.file_path")
-    lines = spark.read.text(paths).select(
-        F.xxhash64(F.col("value"), file_col).cast("decimal(38,0)").alias("h1"),
-        F.xxhash64(F.col("value"), file_col, F.lit(1)).cast("decimal(38,0)").alias("h2"),
-        file_col.alias("f"),
-    )
-    row = lines.agg(  # decimal sums cannot overflow for any realistic line count
-        F.count(F.lit(1)).alias("n"),
-        F.sum("h1").alias("s1"),
-        F.sum("h2").alias("s2"),
-        F.sort_array(F.collect_set("f")).alias("files"),
-    ).first()
-    text = f"{row['n']}|{row['s1']}|{row['s2']}|{'|'.join(row['files'])}"
-    return hashlib.sha256(text.encode()).hexdigest()[:16]
+    if method == "bytes":
+        files = spark.read.format("binaryFile").load(paths)
+        large = files.where(F.col("length") > MAX_BYTES).select("path").first()
+        if large:
+            raise ValueError(f"{large['path']} is too large for the fingerprint of bytes; use method='lines'")
+        parts = files.select(F.sha2("content", 256).alias("d"), F.regexp_extract("path", "[^/]*$", 0).alias("name"))
+    elif method == "lines":
+        parts = spark.read.text(paths).select(F.sha2("value", 256).alias("d"), F.lit("").alias("name"))
+    else:
+        raise ValueError(f"no fingerprint method {method!r}")
+    total = [F.sum(F.xxhash64("d", "name", F.lit(k)).cast("decimal(38,0)")).alias(f"h{k}") for k in range(4)]
+    row = parts.agg(F.count("d").alias("n"), F.min("d").alias("d"), *total).first()
+    if method == "bytes" and row["n"] == 1:
+        return row["d"][:16]
+    return hashlib.sha256("|".join(str(x) for x in (row["n"], *row[2:])).encode()).hexdigest()[:16]
 
 
 def bronze_from_csv(
     spark: SparkSession,
-    path: str,
+    path: str | list[str],
     columns: Sequence[str] = REQUEST_COLUMNS,
     multi_line: bool = False,
     ingested_at: str = DEFAULT_INGESTED_AT,
+    fingerprint: str = "bytes",
+    start: int = 2,
 ) -> DataFrame:
     """Bronze from CSV text files: fixed column subset + order, record
     ordinal, file name, content fingerprint, ingestion timestamp."""
     raw = read_text_csv(spark, path, multi_line)
     require_columns(raw, columns, "Source data")
-    batch = file_fingerprint(spark, path)
+    batch = file_fingerprint(spark, path, fingerprint)
     positioned = raw.select(
         *columns,
         F.col("_metadata.file_name").alias("source_file"),
@@ -137,7 +114,7 @@ def bronze_from_csv(
         F.col("_metadata.file_block_start").alias("__block"),
         F.monotonically_increasing_id().alias("__record"),
     )
-    numbered = with_ordinal(positioned, ["__file", "__block", "__record"], name="source_row", start=2)
+    numbered = with_ordinal(positioned, ["__file", "__block", "__record"], name="source_row", start=start)
     return numbered.select(
         F.col("source_row").cast("long").alias("source_row"),
         *columns,

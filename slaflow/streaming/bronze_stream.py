@@ -3,10 +3,14 @@
 New CSV drops in a folder are appended to a Bronze Parquet table, one
 micro-batch at a time: all values as text, the fixed column subset, the
 file name, a content fingerprint of the batch's files and a contiguous
-``source_row`` continuing from the rows already landed.  Each epoch writes
-its own ``batch_epoch=<id>`` folder in overwrite mode, so a retried epoch
-(after a lost executor or driver restart) is idempotent.  Validation stays
-a batch job over the landed table (the uniqueness rule needs all rows).
+``source_row`` continuing from the rows already landed.  The stream carries
+file names; each batch reads its files by their header, so another column
+order or extra columns do no harm and missing columns are refused.  Each
+epoch writes its own ``batch_epoch=<id>`` folder in overwrite mode, so a
+retried epoch (after a lost executor or driver restart) is idempotent, and
+the number of its last row, so that later ones needn't scan the table.
+Validation stays a batch job over the landed table (the uniqueness rule
+needs all rows).
 """
 
 from __future__ import annotations
@@ -15,25 +19,27 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from slaflow.contract import DEFAULT_INGESTED_AT
-from slaflow.operators.ordinal import with_ordinal
+from slaflow.operators.ordinal import scratch
 from slaflow.session import prepare_session
-from slaflow.sources.bronze import file_fingerprint
+from slaflow.sources.bronze import bronze_from_csv
 from slaflow.sources.requests import REQUEST_COLUMNS
+from slaflow.sources.tables import read_if_present
+
+
+def _last_rows(table_dir: str) -> str:
+    return f"{table_dir.rstrip('/')}/_last_row"  # Spark's readers pass over names with an underscore
 
 
 def _landed_rows(spark: SparkSession, table_dir: str, before_epoch: int) -> int:
     """Highest ``source_row`` landed by earlier epochs (1 when none), so a
     retried epoch numbers its rows exactly as the first attempt did."""
-    try:
-        landed = spark.read.parquet(table_dir)
-    except Exception:  # nothing landed yet (path does not exist)
+    landed = read_if_present(spark, _last_rows(table_dir))
+    if landed is None:
         return 1
-    row = landed.where(F.col("batch_epoch") < before_epoch).agg(F.max("source_row").alias("m")).first()
-    return int(row["m"]) if row and row["m"] is not None else 1
+    row = landed.where(F.col("batch_epoch") < before_epoch).agg(F.max("last_row").alias("m")).first()
+    return int(row["m"]) if row["m"] is not None else 1
 
 
 def land_bronze_stream(
@@ -47,38 +53,30 @@ def land_bronze_stream(
 ) -> StreamingQuery:
     """Start the landing stream (``availableNow`` processes what is there and stops)."""
     prepare_session(spark)
-    schema = T.StructType([T.StructField(c, T.StringType(), True) for c in columns])
     stream = (
-        spark.readStream.schema(schema)
-        .option("header", True)
+        spark.readStream.format("binaryFile")
         .option("maxFilesPerTrigger", max_files_per_trigger)
-        .csv(source_dir)
-        .select(
-            *[F.coalesce(F.col(c), F.lit("")).alias(c) for c in columns],
-            F.col("_metadata.file_name").alias("source_file"),
-            F.col("_metadata.file_path").alias("__file"),
-            F.col("_metadata.file_block_start").alias("__block"),
-        )
+        .schema("path string, modificationTime timestamp, length long, content binary")
+        .load(source_dir)
+        .select("path")
     )
 
     def land(batch: DataFrame, epoch_id: int) -> None:
         session = batch.sparkSession
-        positioned = batch.withColumn("__record", F.monotonically_increasing_id())
-        files = [r["__file"] for r in positioned.select("__file").distinct().collect()]  # <= max_files_per_trigger
+        files = sorted(r["path"] for r in batch.select("path").distinct().collect())  # <= max_files_per_trigger
         if not files:
             return
         start = _landed_rows(session, table_dir, epoch_id) + 1
-        numbered = with_ordinal(positioned, ["__file", "__block", "__record"], name="source_row", start=start)
-        out = numbered.select(
-            F.col("source_row").cast("long").alias("source_row"),
-            *columns,
-            "source_file",
-            F.lit(file_fingerprint(session, files)).alias("ingestion_batch_id"),
-            F.lit(DEFAULT_INGESTED_AT).alias("ingested_at_utc"),
-        )
-        # one folder per epoch, overwritten on retry: a re-run batch replaces
-        # its own partial output instead of appending duplicates
-        out.write.mode("overwrite").parquet(f"{table_dir.rstrip('/')}/batch_epoch={epoch_id}")
+        folder = f"batch_epoch={epoch_id}"
+        with scratch(session):
+            # one folder per epoch, overwritten on retry: a re-run batch
+            # replaces its own partial output instead of appending duplicates
+            out = bronze_from_csv(session, files, columns, start=start)
+            out.write.mode("overwrite").parquet(f"{table_dir.rstrip('/')}/{folder}")
+            last = session.read.parquet(f"{table_dir.rstrip('/')}/{folder}").agg(
+                F.coalesce(F.max("source_row"), F.lit(start - 1)).alias("last_row")
+            )
+            last.write.mode("overwrite").parquet(f"{_last_rows(table_dir)}/{folder}")
 
     writer = stream.writeStream.foreachBatch(land).option("checkpointLocation", checkpoint_location)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")

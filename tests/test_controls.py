@@ -26,11 +26,78 @@ def test_missing_fact_row_fails_medallion_gate(spark):
         ctl.gate(medallion_controls(L), "Medallion")
 
 
-def test_unresolved_key_fails_foreign_key_control(spark):
+def test_unresolved_key_fails_the_fact(spark):
     L = fresh(spark)
     L.__dict__["dim_team"] = L.dim_team.where(F.col("assigned_team") != "service_desk")
-    failed = {r["control"] for r in medallion_controls(L).collect() if not r["passed"]}
-    assert "foreign_keys_complete" in failed
+    with pytest.raises(Exception, match="unresolved foreign key values in team_key"):
+        L.fact.count()
+
+
+def _change(layer, edit):
+    def broken(L):
+        L.__dict__[layer] = edit(getattr(L, layer))
+
+    return broken
+
+
+def _mart(name, edit):
+    def broken(L):
+        whole = MedallionLayers.mart
+        L.mart = lambda n: edit(whole(L, n)) if n == name else whole(L, n)
+
+    return broken
+
+
+def _set(column, value, where=None):
+    new = value if hasattr(value, "alias") else F.lit(value)
+    return lambda df: df.withColumn(column, F.when(where, new).otherwise(F.col(column)) if where is not None else new)
+
+
+CLOSED, OPEN = F.col("status") == "closed", F.col("status") == "open"
+BROKEN = [
+    (medallion_controls, "bronze_equals_valid_plus_rejected", _change("silver_rejected", lambda df: df.unionByName(df.sparkSession.createDataFrame([], df.schema)).limit(0)), "rejected"),
+    (medallion_controls, "valid_equals_fact", _change("fact", lambda df: df.where("ticket_id <> 'SR-000003'")), None),
+    (medallion_controls, "foreign_keys_complete", _change("fact", _set("team_key", F.lit(99).cast("long"))), None),
+    (analytics_controls, "enriched_equals_gold_fact", _change("enriched", lambda df: df.where(CLOSED)), None),
+    (analytics_controls, "breach_details_equals_global_breaches", _mart("sla_breach_details", lambda df: df.limit(0)), None),
+    (analytics_controls, "team_closed_reconciles", _mart("sla_by_team", _set("closed_requests", 7)), None),
+    (analytics_controls, "category_closed_reconciles", _mart("sla_by_category", _set("closed_requests", 7)), None),
+    (analytics_controls, "priority_closed_reconciles", _mart("sla_by_priority", _set("closed_requests", 7)), None),
+    (analytics_controls, "team_category_closed_reconciles", _mart("sla_by_team_category", _set("closed_requests", 7)), None),
+    (analytics_controls, "daily_requests_reconcile", _mart("daily_service_operations", _set("total_requests", 1)), None),
+    (analytics_controls, "weighted_team_sla_equals_global", _mart("sla_by_team", _set("sla_met_requests", 2)), None),
+    (analytics_controls, "all_breach_rows_are_closed", _mart("sla_breach_details", _set("status", "open")), None),
+    (analytics_controls, "all_breach_overruns_are_positive", _mart("sla_breach_details", _set("resolution_overrun_minutes", 0)), None),
+    (process_controls, "case_count_matches_valid_source", _change("cases", lambda df: df.where("case_id <> 'SR-000003'")), None),
+    (process_controls, "case_count_matches_valid_source", _change("cases", _set("process_variant", "other", CLOSED)), None),
+    (process_controls, "case_count_matches_valid_source", _change("cases", lambda df: df.unionByName(df)), None),
+    (process_controls, "event_ids_unique", _change("event_log", _set("event_id", "same")), None),
+    (process_controls, "event_indexes_contiguous", _change("event_log", _set("event_index", F.col("event_index") + 1)), None),
+    (process_controls, "event_timestamps_monotonic", _change("event_log", _set("event_timestamp", F.lit("2001-01-01").cast("timestamp"), F.col("event_index") == 2)), None),
+    (process_controls, "first_activity_is_ticket_created", _change("event_log", _set("activity", "x", F.col("event_index") == 1)), None),
+    (process_controls, "closed_cases_end_with_ticket_closed", _change("event_log", _set("activity", "x", F.col("activity") == "ticket_closed")), None),
+    (process_controls, "open_cases_do_not_end_with_ticket_closed", _change("event_log", _set("activity", "ticket_closed", OPEN)), None),
+    (process_controls, "reopened_events_reconcile", _change("event_log", _set("activity", "reopened", F.col("event_index") == 2)), None),
+    (process_controls, "escalation_events_reconcile", _change("event_log", _set("activity", "escalated", F.col("event_index") == 2)), None),
+    (process_controls, "closed_throughput_matches_source", _change("cases", _set("throughput_minutes", 1.0)), None),
+]
+
+
+@pytest.mark.parametrize("k", range(len(BROKEN)), ids=[b[1] for b in BROKEN])
+def test_every_control_fails_when_broken(spark, k):
+    build, name, breaks, extra = BROKEN[k]
+    rows = ROWS + ([VALID_CLOSED | {"ticket_id": "SR-000009", "priority": "P9"}] if extra else [])
+    L = MedallionLayers(bronze_rows(spark, rows))
+    breaks(L)
+    with pytest.raises(ValueError, match=name):
+        ctl.gate(build(L), "Test")
+
+
+def test_a_control_without_a_verdict_has_failed(spark):
+    one = spark.range(1)
+    rows = ctl.rows(one, [("unknown", F.lit(None), F.lit(1)), ("both", F.lit(None), F.lit(None)), ("fine", F.lit(1), F.lit(1))])
+    with pytest.raises(ValueError, match="both, unknown"):
+        ctl.gate(rows, "Test")
 
 
 def test_duplicated_event_fails_process_gate(spark):

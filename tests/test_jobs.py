@@ -8,17 +8,21 @@ from slaflow.plans.layers import MedallionLayers
 from slaflow.sources.requests import REQUEST_COLUMNS, request_rows
 
 
+#: Rejected rows of the request source at sf0.001.
+INVALID = 67
+
+
 @pytest.fixture(scope="module")
 def source_csv(spark, tmp_path_factory):
     path = tmp_path_factory.mktemp("src") / "service_requests"
-    request_rows(spark, SF001).orderBy("request_key").select(*REQUEST_COLUMNS).coalesce(1).write.option("header", True).csv(str(path))
+    request_rows(spark, SF001).orderBy("request_key").select(*REQUEST_COLUMNS).coalesce(1).write.options(header=True, ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False).csv(str(path))
     return str(path)
 
 
 def test_csv_bronze_and_validation(spark, source_csv):
     report = jobs.validate_file(spark, source_csv)
     assert report["total_rows"] == 1500
-    assert report["invalid_rows"] == 30
+    assert report["invalid_rows"] == INVALID
     assert report["valid_rows"] + report["invalid_rows"] == report["total_rows"]
 
 
@@ -48,26 +52,134 @@ def test_medallion_analytics_process_jobs(spark, source_csv, tmp_path):
 def test_command_line_jobs(spark, source_csv, tmp_path):
     from slaflow.__main__ import main
 
-    assert main(["validate", "--input", source_csv, "--report", str(tmp_path / "report.json"), "--expected-rows", "1500", "--expected-invalid", "30"], spark) == 0
-    assert json.loads(open(tmp_path / "report.json").read())["invalid_rows"] == 30
+    assert main(["validate", "--input", source_csv, "--report", str(tmp_path / "report.json"), "--expected-rows", "1500", "--expected-invalid", str(INVALID)], spark) == 0
+    assert json.loads(open(tmp_path / "report.json").read())["invalid_rows"] == INVALID
     assert main(["validate", "--input", source_csv], spark) == 1  # invalid rows present, no expectations given
     assert main(["build-medallion", "--input", source_csv, "--output", str(tmp_path / "m")], spark) == 0
     assert main(["build-analytics", "--medallion", str(tmp_path / "m"), "--output", str(tmp_path / "a")], spark) == 0
     assert main(["build-process-intelligence", "--input", source_csv, "--output", str(tmp_path / "p")], spark) == 0
+    assert main(["build-process-intelligence", "--medallion", str(tmp_path / "m"), "--output", str(tmp_path / "q")], spark) == 0
     assert (tmp_path / "p" / "process_intelligence_manifest.json").is_file()
 
 
-def test_fingerprint_whole_file_and_content_paths(spark, source_csv, monkeypatch):
+def test_fingerprint_has_one_definition_for_each_method(spark, source_csv, tmp_path, monkeypatch):
     import hashlib
     import pathlib
+    import shutil
 
     from slaflow.sources import bronze
 
     part = next(pathlib.Path(source_csv).glob("*.csv"))
     assert bronze.file_fingerprint(spark, str(part)) == hashlib.sha256(part.read_bytes()).hexdigest()[:16]
-    monkeypatch.setattr(bronze, "WHOLE_FILE_LIMIT", 0)  # force the content fingerprint
-    first = bronze.file_fingerprint(spark, source_csv)
-    assert len(first) == 16 and first == bronze.file_fingerprint(spark, source_csv)
+    lines = bronze.file_fingerprint(spark, str(part), "lines")
+    assert len(lines) == 16 and lines != bronze.file_fingerprint(spark, str(part))
+    for k in range(2):  # moved files keep theirs
+        folder = tmp_path / f"moved{k}"
+        folder.mkdir()
+        for name in ("a.csv", "b.csv"):
+            shutil.copy(part, folder / name)
+    assert bronze.file_fingerprint(spark, str(tmp_path / "moved0")) == bronze.file_fingerprint(spark, str(tmp_path / "moved1"))
+    monkeypatch.setattr(bronze, "MAX_BYTES", 10)
+    with pytest.raises(ValueError, match="method='lines'"):
+        bronze.file_fingerprint(spark, source_csv)
+
+
+def _drop(tmp_path, name, *files):
+    folder = tmp_path / name
+    folder.mkdir()
+    for k, text in enumerate(files):
+        (folder / f"f{k}.csv").write_text(text)
+    return str(folder)
+
+
+ROW = "SR-00000{},2026-05-01T08:00:00Z,,P2,{},service_desk,open,480,,0,false,smb,service_portal"
+
+
+def test_csv_quotes_backslashes_and_line_breaks(spark, tmp_path):
+    from slaflow.sources.bronze import bronze_from_csv
+
+    head = ",".join(REQUEST_COLUMNS)
+    values = ['"a ""q"" b"', "back\\", '"c\\"']
+    text = "\n".join([head, *[ROW.format(k, v) for k, v in enumerate(values)]]) + "\n"
+    rows = bronze_from_csv(spark, _drop(tmp_path, "quotes", text)).orderBy("source_row").collect()
+    assert [r["category"] for r in rows] == ['a "q" b', "back\\", "c\\"]
+    assert all(r["assigned_team"] == "service_desk" for r in rows)
+    text = "\n".join([head, ROW.format(1, '"two\nlines"'), ROW.format(2, "x")]) + "\n"
+    rows = bronze_from_csv(spark, _drop(tmp_path, "breaks", text), multi_line=True).orderBy("source_row").collect()
+    assert [r["category"] for r in rows] == ["two\nlines", "x"]
+
+
+def test_files_with_another_header_are_refused(spark, tmp_path):
+    from slaflow.sources.bronze import bronze_from_csv
+
+    swapped = list(REQUEST_COLUMNS)
+    swapped[3], swapped[4] = swapped[4], swapped[3]
+    one = "\n".join([",".join(REQUEST_COLUMNS), ROW.format(1, "access")]) + "\n"
+    two = "\n".join([",".join(swapped), ROW.format(2, "access")]) + "\n"
+    with pytest.raises(Exception, match="(?i)header"):
+        bronze_from_csv(spark, _drop(tmp_path, "both", one, two)).collect()
+
+
+def test_missing_gold_tables_and_manifest_are_listed(spark, source_csv, tmp_path):
+    import shutil
+
+    out = tmp_path / "m"
+    jobs.run_medallion(spark, source_csv, str(out))
+    for name in ("dim_team", "dim_date"):
+        shutil.rmtree(out / "gold" / name)
+    with pytest.raises(FileNotFoundError, match="Missing Gold Parquet input: .*dim_date.*dim_team"):
+        jobs.build_analytics(spark, str(out))
+    (out / "medallion_manifest.json").unlink()
+    with pytest.raises(FileNotFoundError, match="Missing Medallion manifest"):
+        jobs.build_analytics(spark, str(out))
+
+
+def test_recorded_figures_are_the_target(spark, source_csv, tmp_path):
+    out = tmp_path / "m"
+    path = jobs.run_medallion(spark, source_csv, str(out))
+    manifest = json.loads(open(path).read())
+    manifest["kpis"]["closed_requests"] += 1
+    open(path, "w").write(json.dumps(manifest))
+    with pytest.raises(ValueError, match="team_closed_reconciles"):
+        jobs.build_analytics(spark, str(out))
+    manifest["controls"]["valid_equals_fact"] = False
+    open(path, "w").write(json.dumps(manifest))
+    with pytest.raises(ValueError, match="valid_equals_fact"):
+        jobs.run_process_of_medallion(spark, str(out), str(tmp_path / "p"))
+
+
+def test_published_order_and_no_leftovers(spark, source_csv, tmp_path):
+    import pathlib
+
+    import pyarrow.parquet as pq
+
+    from slaflow.session import ensure_checkpoint_dir
+
+    shared = pathlib.Path(ensure_checkpoint_dir(spark).removeprefix("file:"))
+    before = set(shared.iterdir())
+    jobs.run_medallion(spark, source_csv, str(tmp_path / "m"))
+    jobs.run_process_of_medallion(spark, str(tmp_path / "m"), str(tmp_path / "p"))
+    assert set(shared.iterdir()) == before
+
+    def published(*names):
+        files = sorted(tmp_path.joinpath(*names).glob("part-*.parquet"))
+        return [r for f in files for r in pq.read_table(f).to_pylist()]
+
+    def ordered(rows, key):
+        assert rows and [key(r) for r in rows] == sorted(key(r) for r in rows)
+
+    ordered(published("m", "silver", "service_request_issues"), lambda r: (r["source_row"], r["issue_code"]))
+    ordered(published("m", "gold", "dim_date"), lambda r: r["date_key"])
+    ordered(published("p", "event_log"), lambda r: (r["case_id"], r["event_index"]))
+    ordered(published("p", "process_cases"), lambda r: r["case_id"])
+    ordered(published("p", "transition_performance"), lambda r: (-r["case_count"], r["source_activity"], r["target_activity"]))
+    manifest = json.loads((tmp_path / "p" / "process_intelligence_manifest.json").read_text())
+    assert manifest["interpretation_boundary"].startswith("Event timestamps between")
+
+
+def test_forbidden_columns_are_refused(spark):
+    with pytest.raises(ValueError, match="Forbidden columns: t: email"):
+        jobs.refuse_forbidden({"t": spark.createDataFrame([("x",)], "email string")}, jobs.default_contract())
 
 
 def test_csv_text_scan_keeps_text_exactly(spark, tmp_path):

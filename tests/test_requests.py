@@ -1,0 +1,84 @@
+"""The request source: whole ids, every rule, changed tables, shared folders."""
+
+import pytest
+from pyspark.sql import functions as F
+
+from conftest import SF01
+from slaflow.operators import validation
+from slaflow.plans.layers import MedallionLayers
+from slaflow.session import ensure_checkpoint_dir
+from slaflow.sources import requests
+
+
+def _tables(spark, folder, keys, customers=((1, "BUILDING", 3),)):
+    orders = [(k, 1 if k % 2 else 2, "F", f"{1 + k % 5}-X") for k in keys]
+    df = spark.createDataFrame(orders, "o_orderkey long, o_custkey long, o_orderstatus string, o_orderpriority string")
+    df = df.withColumn("o_orderdate", F.lit("1996-01-01").cast("timestamp_ntz"))
+    df.write.mode("overwrite").parquet(f"{folder}/orders.parquet")
+    spark.createDataFrame(list(customers), "c_custkey long, c_mktsegment string, c_nationkey int").write.mode("overwrite").parquet(
+        f"{folder}/customer.parquet"
+    )
+
+
+def test_ids_keep_all_digits_of_their_keys(spark, tmp_path):
+    keys = [999_990, 999_999, 1_000_000, 1_000_001, 10_000_000, 123_456, 1_234_560, 1_234_561, 1_500_000]
+    _tables(spark, tmp_path, keys, [(1, "BUILDING", 3), (2, "HOUSEHOLD", 4)])
+    L = MedallionLayers.for_requests(spark, str(tmp_path))
+    codes = {r["issue_code"] for r in L.issues.collect()}
+    assert L.bronze.count() == len(keys) and not codes & {"duplicate_ticket_id", "invalid_ticket_id_format"}
+    plain = {f"SR-{k:06d}" for k in keys if k % 997 and k % 991 != 1 and k % 1009 != 5}
+    assert plain <= {r["ticket_id"] for r in L.bronze.collect()}
+
+
+def test_orders_without_a_customer_are_rejected_not_lost(spark, tmp_path):
+    _tables(spark, tmp_path, range(100, 110))
+    L = MedallionLayers.for_requests(spark, str(tmp_path))
+    assert L.bronze.count() == 10
+    missing = {r["field"] for r in L.issues.where("issue_code = 'missing_required_value'").collect()}
+    assert missing == {"category", "assigned_team"} and L.silver_rejected.count() == 5
+
+
+def test_a_changed_table_changes_the_result(spark, tmp_path):
+    _tables(spark, tmp_path, range(2, 12))
+    first = MedallionLayers.for_requests(spark, str(tmp_path))
+    assert first.bronze.count() == 10 and MedallionLayers.for_requests(spark, str(tmp_path)) is first
+    _tables(spark, tmp_path, range(2, 22))
+    assert MedallionLayers.for_requests(spark, str(tmp_path)).bronze.count() == 20
+
+
+def test_every_rule_fires_at_the_oracle_scale(spark):
+    L = MedallionLayers.for_requests(spark, SF01)
+    fired = {r["issue_position"] for r in L.issues.select("issue_position").distinct().collect()}
+    assert fired == set(range(1, len(validation.rule_catalogue(L.contract)) + 1))
+    assert L.issues.select("issue_code").distinct().count() == 24
+    padded = L.silver_valid.join(L.bronze.select("source_row", F.col("status").alias("raw")), "source_row").where("raw <> status")
+    assert padded.count() > 0
+
+
+def test_the_published_pattern_is_kept_for_files():
+    assert requests.request_contract()["columns"][0]["pattern"] == r"^SR-\d{6,}$"
+    assert requests.default_contract()["columns"][0]["pattern"] == r"^SR-\d{6}$"
+
+
+def test_a_cluster_without_a_shared_folder_is_refused():
+    class Context:
+        def __init__(self, master):
+            self.master = master
+
+        def getCheckpointDir(self):
+            return None
+
+        def getConf(self):
+            return self
+
+        def get(self, key, default):
+            return default
+
+    class Session:
+        def __init__(self, master):
+            self.sparkContext = Context(master)
+            self.conf = self.sparkContext.getConf()
+
+    for master in ("yarn", "spark://host:7077", "k8s://x", "local-cluster[2,1,1024]"):
+        with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+            ensure_checkpoint_dir(Session(master))
