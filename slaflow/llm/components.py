@@ -4,17 +4,67 @@ Every round replaces each edge by edges to the smallest neighbour, first for
 the larger neighbours of a node, then for the smaller ones, until every node
 is tied to the smallest node of its component.  Minima are combined before
 their shuffle, so a node with very many edges isn't gathered in one task,
-and no more edges are made than there were.
+and no more edges are made than there were.  Before the first round, every
+task ties the nodes of its own edges, in portions of bounded size, so few
+rounds are left to do.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from slaflow.llm.common import materialize
 
 
+#: Edges that a task ties at a time.
+PORTION = 500_000
+
+
+def tied(edges: Iterator[tuple[int, int]]) -> list[tuple[int, int]]:
+    """(node, smallest node tied to it) of every other node of the edges."""
+    up: dict[int, int] = {}
+
+    def root(x: int) -> int:
+        while up.setdefault(x, x) != x:
+            up[x] = x = up[up[x]]
+        return x
+
+    for u, v in edges:
+        a, b = root(u), root(v)
+        if a != b:
+            up[max(a, b)] = min(a, b)
+    return [(x, r) for x in up if (r := root(x)) != x]
+
+
+def _contract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    held: list[pa.RecordBatch] = []
+
+    def flush() -> pa.RecordBatch:
+        pairs = tied(p for b in held for p in zip(b.column(0).to_pylist(), b.column(1).to_pylist()))
+        held.clear()
+        columns = zip(*pairs) if pairs else ([], [])
+        return pa.RecordBatch.from_arrays([pa.array(list(c), pa.int64()) for c in columns], ["u", "v"])
+
+    size = 0
+    for batch in batches:
+        held.append(batch)
+        size += batch.num_rows
+        if size >= PORTION:
+            yield flush()
+            size = 0
+    if held:
+        yield flush()
+
+
+def _mark(edges: DataFrame) -> tuple:
+    h = F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("h")
+    return tuple(edges.agg(F.count("u").alias("n"), h).first())
+
+
 def _large_star(edges: DataFrame) -> DataFrame:
     both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
     least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
@@ -32,13 +82,14 @@ def components(edges: DataFrame) -> DataFrame:
     """(node, component) of every node of the edges (u, v), long ids; the
     component is its smallest node.  Loops and repeated edges do no harm, and
     no edges give no rows."""
-    now = materialize(edges.select("u", "v").where("u <> v").distinct(), "edges")
-    state = None
-    while True:
+    # written first, so that the tasks get many edges each
+    written = materialize(edges.select("u", "v").where("u <> v"), "edges")
+    now = materialize(written.mapInArrow(_contract, "u long, v long"), "edges")
+    state = _mark(now)
+    while state[0]:
         now = materialize(_small_star(_large_star(now)), "edges")
-        mark = now.agg(F.count("u").alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("h")).first()
-        if mark == state:
+        before, state = state, _mark(now)
+        if before == state:
             break
-        state = mark
     roots = now.select(F.col("v").alias("node")).distinct().select("node", F.col("node").alias("component"))
     return now.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(roots).distinct()

@@ -304,11 +304,13 @@ def _compare_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
         yield _edges(out)
 
 
-def _against_pivots(rows: DataFrame, large: DataFrame, known: DataFrame) -> DataFrame:
+def _against_pivots(large: DataFrame, known: DataFrame) -> DataFrame:
     """(path, node, short, pivot, like) of the sets in large buckets: whether
     each agrees with the bucket's pivot."""
-    pivots = large.join(known.select(F.col("node").alias("pivot"), F.col("short").alias("of_pivot")), "pivot")
-    pairs = rows.join(known.select("node", "short"), "node").join(pivots.select("path", "pivot", "of_pivot"), "path")
+    pivots = large.select("path", "pivot").distinct().join(
+        known.select(F.col("node").alias("pivot"), F.col("short").alias("of_pivot")), "pivot"
+    )
+    pairs = large.drop("pivot").join(pivots, "path")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -350,24 +352,24 @@ def candidate_links(known: DataFrame, recall: float = RECALL, depth: int = DEPTH
     links = []
     for level in range(1, depth + 1):
         rows = materialize(rows, f"paths-{level}")
-        sizes = materialize(
-            rows.groupBy("path").agg(F.count("node").alias("size"), F.min("node").alias("pivot")).where("size > 1"),
+        sizes = rows.groupBy("path").agg(F.count("node").alias("size"), F.min("node").alias("pivot")).where("size > 1")
+        shared = materialize(
+            rows.join(sizes, "path").join(sets.select("node", "short"), "node").select("path", "node", "short", "size", "pivot"),
             f"buckets-{level}",
         )
-        small = rows.join(sizes.where(F.col("size") <= BUCKET).select("path"), "path")
-        compared = small.join(sets.select("node", "short"), "node").select("path", "node", "short")
-        compared = compared.repartition("path").sortWithinPartitions("path")
-        links.append(materialize(compared.mapInArrow(_compare_buckets, "u long, v long").distinct(), f"links-{level}"))
-        large = sizes.where(F.col("size") > BUCKET)
+        small = shared.where(F.col("size") <= BUCKET).select("path", "node", "short")
+        compared = small.repartition("path").sortWithinPartitions("path").mapInArrow(_compare_buckets, "u long, v long")
+        links.append(materialize(compared, f"links-{level}"))
+        large = shared.where(F.col("size") > BUCKET).select("path", "node", "short", "pivot")
         if large.isEmpty():
             break
-        judged = _against_pivots(rows, large.select("path", "pivot"), sets)
-        links.append(judged.where("like").select(F.col("node").alias("u"), F.col("pivot").alias("v")).distinct())
+        judged = _against_pivots(large, sets)
+        links.append(judged.where("like").select(F.col("node").alias("u"), F.col("pivot").alias("v")))
         counts = judged.groupBy("path").agg(F.count("node").alias("n"), F.count_if(~F.col("like")).alias("n_loose"))
         counts = materialize(counts.where("n_loose > 0"), "loose")
         done = F.lit(True) if level == depth else F.col("n_loose") <= BUCKET
         blocks = _in_blocks(judged.join(counts.where(done), "path").select("path", "node", "short", "like", "n", "n_loose"))
-        links.append(materialize(blocks.distinct(), "links-blocks"))
+        links.append(materialize(blocks, "links-blocks"))
         sparse = counts.where(~done).select("path")
         if level == depth or sparse.isEmpty():
             break
