@@ -359,7 +359,7 @@ def candidate_links(known: DataFrame, recall: float = RECALL, depth: int = DEPTH
         )
         small = shared.where(F.col("size") <= BUCKET).select("path", "node", "short")
         compared = small.repartition("path").sortWithinPartitions("path").mapInArrow(_compare_buckets, "u long, v long")
-        links.append(materialize(compared, f"links-{level}"))
+        links.append(compared)
         large = shared.where(F.col("size") > BUCKET).select("path", "node", "short", "pivot")
         if large.isEmpty():
             break
@@ -369,7 +369,7 @@ def candidate_links(known: DataFrame, recall: float = RECALL, depth: int = DEPTH
         counts = materialize(counts.where("n_loose > 0"), "loose")
         done = F.lit(True) if level == depth else F.col("n_loose") <= BUCKET
         blocks = _in_blocks(judged.join(counts.where(done), "path").select("path", "node", "short", "like", "n", "n_loose"))
-        links.append(materialize(blocks, "links-blocks"))
+        links.append(blocks)
         sparse = counts.where(~done).select("path")
         if level == depth or sparse.isEmpty():
             break
