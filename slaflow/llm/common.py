@@ -18,7 +18,18 @@ __all__ = ["documents", "materialize", "shared_path", "split_batch", "string_buf
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 
+#: What a Python worker gets at a time; a worker's memory is a small multiple.
+BATCH_ROWS, BATCH_BYTES = "2000", str(8 << 20)
+
+
+def bound_batches(spark: SparkSession) -> None:
+    """Bound the Arrow batches that go to Python workers by rows and bytes."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    bound_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -66,7 +77,7 @@ def string_buffers(column: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.n
     return raw[bounds[0] : bounds[-1]], bounds - bounds[0]
 
 
-def split_batch(batch: pa.RecordBatch, column: str = "text", limit: int = 2 << 20) -> Iterator[pa.RecordBatch]:
+def split_batch(batch: pa.RecordBatch, column: str = "text", limit: int = 1 << 19) -> Iterator[pa.RecordBatch]:
     """Slices of whole rows with about ``limit`` bytes of text each (one row
     at least), so that array work on a slice needs bounded memory."""
     if not batch.num_rows:

@@ -214,21 +214,34 @@ def find_matches(
     text_col: str = "text",
     item_col: str = "item_id",
     item_text_col: str = "text",
+    max_coverage: float | None = None,
 ) -> DataFrame:
     """``docs`` with ``n_words``, ``spans`` (first and last word, longest
-    match), ``items`` (sorted ids) and ``n_hit`` (words in spans)."""
+    match), ``items`` (sorted ids) and ``n_hit`` (words in spans).  With
+    ``max_coverage``, rows with a larger share of such words are left out and
+    the spans (of the text before) are cut from the others."""
     out = without(docs, *ADDED)
     own = out.columns
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in out.schema.fields) + ", " + _MATCH_SCHEMA
     for f, t in zip(ADDED, ("long", "array<struct<first:long,last:long,longest:long>>", "array<string>", "long")):
         out = out.withColumn(f, F.lit(0).cast(t) if t == "long" else F.array().cast(t))
     passes = list(matchers(benchmark, window, item_col, item_text_col)) or [Matcher([], window)]
-    for matcher in passes:
-        out = out.mapInArrow(_pass(matcher, text_col, len(own)), schema)
+    for k, matcher in enumerate(passes):
+        last = max_coverage if k == len(passes) - 1 else None
+        out = out.mapInArrow(_pass(matcher, text_col, len(own), last), schema)
     return out
 
 
-def _pass(matcher: Matcher, text_col: str, n_own: int):
+def _pass(matcher: Matcher, text_col: str, n_own: int, max_coverage: float | None):
+    def clean(text: str, spans: list[dict]) -> str:
+        """The text without its spans, and without what their removal joins."""
+        while spans:
+            text = cut_spans(text, [(s["first"], s["last"]) for s in spans])
+            h, _, _, bounds = words(*string_buffers(pa.array([text])))
+            again = merged([(first, last, n) for first, last, n, _ in matcher.matches(h, bounds)])
+            spans = [{"first": first, "last": last} for first, last, _ in again]
+        return text
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = matcher.automaton.names
         for whole in batches:
@@ -246,12 +259,23 @@ def _pass(matcher: Matcher, text_col: str, n_own: int):
                     before = [(s["first"], s["last"], s["longest"]) for s in spans[d]]
                     spans[d] = [dict(zip(("first", "last", "longest"), s)) for s in merged(before + hits)]
                     items[d] = sorted({*items[d], *(names[k] for k in ids)})
-                n_hit = [sum(s["last"] - s["first"] + 1 for s in x) for x in spans]
-                yield pa.RecordBatch.from_arrays(
-                    [*batch.columns[:n_own], pa.array(np.diff(bounds)), pa.array(spans, _SPANS),
-                     pa.array(items, pa.list_(pa.string())), pa.array(n_hit, pa.int64())],
+                n_words = np.diff(bounds)
+                n_hit = np.array([sum(s["last"] - s["first"] + 1 for s in x) for x in spans], np.int64)
+                own = list(batch.columns[:n_own])
+                if max_coverage is not None and n_hit.any():
+                    k = batch.schema.get_field_index(text_col)
+                    kept = n_hit <= max_coverage * n_words
+                    texts = own[k].to_pylist()
+                    for d in np.flatnonzero((n_hit > 0) & kept):
+                        texts[d] = clean(texts[d], spans[d])
+                    own[k] = pa.array(texts, own[k].type)
+                else:
+                    kept = None
+                out = pa.RecordBatch.from_arrays(
+                    [*own, pa.array(n_words), pa.array(spans, _SPANS), pa.array(items, pa.list_(pa.string())), pa.array(n_hit)],
                     names=batch.schema.names,
-                )
+                )
+                yield out if kept is None else out.filter(pa.array(kept))
 
     return run
 
@@ -272,40 +296,13 @@ def cut_spans(text: str, spans: list[tuple[int, int]]) -> str:
 
 
 def decontaminate(
-    docs: DataFrame,
-    benchmark: DataFrame,
-    window: int = WINDOW,
-    max_coverage: float = 0.5,
-    text_col: str = "text",
-    rounds: int = 2,
+    docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, max_coverage: float = 0.5, text_col: str = "text"
 ) -> DataFrame:
     """``docs`` without benchmark text: texts of which more than
     ``max_coverage`` of the words stand in spans are dropped, from all others
-    the spans are removed.  Removal joins what stood around a span; a later
-    round looks at the texts again."""
+    the spans are removed.  Removal joins what stood around a span; the text
+    is looked at again until the last automaton finds nothing."""
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
-    out = docs.select(row, F.col(f"`{text_col}`").alias("text"))
-    for _ in range(rounds):
-        judged = find_matches(out, benchmark, window)
-        kept = judged.where(F.col("n_hit") <= F.lit(max_coverage) * F.col("n_words"))
-        out = kept.mapInArrow(_cleaner("text"), kept.schema).select("row", "text")
+    work = docs.select(row, F.col(f"`{text_col}`").alias("text"))
+    out = find_matches(work, benchmark, window, max_coverage=max_coverage)
     return out.select(*[F.col("text").alias(c) if c == text_col else F.col(f"row.`{c}`") for c in docs.columns])
-
-
-def _cleaner(text_col: str):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            k = batch.schema.get_field_index(text_col)
-            spans = batch.column(batch.schema.get_field_index("spans"))
-            if not any(len(s) for s in spans):
-                yield batch
-                continue
-            texts = batch.column(k).to_pylist()
-            for d, s in enumerate(spans.to_pylist()):
-                if s:
-                    texts[d] = cut_spans(texts[d], [(x["first"], x["last"]) for x in s])
-            columns = list(batch.columns)
-            columns[k] = pa.array(texts, batch.schema.types[k])
-            yield pa.RecordBatch.from_arrays(columns, names=batch.schema.names)
-
-    return run
