@@ -14,7 +14,10 @@ automaton over the pieces that are long enough to hold a match.
 
 An automaton holds at most about ``PASS_BYTES`` of item text; a larger
 benchmark is dealt out by hash over several automata, through which the
-texts pass one after the other.
+texts pass one after the other.  What one has found is written before the
+next is made, so that one lives at a time.  Removal goes in rounds: all
+automata look at a text before it is judged and cut, and again at what a cut
+has joined, so the result doesn't depend on how the items were dealt.
 
 Defined results: a null text or item has no words; an item of no words
 never occurs; rows with the same item id are one item with several texts; a
@@ -30,10 +33,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from slaflow.llm.common import split_batch, string_buffers, text_or_empty, without
+from slaflow.llm.common import materialize, shared_path, split_batch, string_buffers, text_or_empty, without
 from slaflow.llm.words import words
 
 WINDOW = 10
@@ -188,16 +191,25 @@ def merged(hits: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
     return out
 
 
-def matchers(benchmark: DataFrame, window: int, id_col: str, text_col: str) -> Iterator[Matcher]:
-    """Matchers of all items, each of a bounded amount of text."""
+def _dealt(benchmark: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, int]:
+    """The items (item, text), and over how many automata they are dealt."""
     items = benchmark.select(
         F.coalesce(F.col(id_col).cast("string"), F.lit("null")).alias("item"), text_or_empty(text_col).alias("text")
     )
     n_bytes = items.agg(F.sum(F.octet_length("text")).alias("n")).first()["n"] or 0
-    n_passes = math.ceil(n_bytes / PASS_BYTES)
+    return items, math.ceil(n_bytes / PASS_BYTES)
+
+
+def _matcher(items: DataFrame, k: int, n_passes: int, window: int) -> Matcher:
+    part = items.where(F.pmod(F.xxhash64("item", "text"), F.lit(n_passes)) == k)
+    return Matcher(sorted((r["item"], r["text"]) for r in part.collect()), window)
+
+
+def matchers(benchmark: DataFrame, window: int, id_col: str, text_col: str) -> Iterator[Matcher]:
+    """Matchers of all items, each of a bounded amount of text."""
+    items, n_passes = _dealt(benchmark, id_col, text_col)
     for k in range(n_passes):
-        part = items.where(F.pmod(F.xxhash64("item", "text"), F.lit(n_passes)) == k)
-        yield Matcher(sorted((r["item"], r["text"]) for r in part.collect()), window)
+        yield _matcher(items, k, n_passes, window)
 
 
 _SPANS = pa.list_(pa.struct([("first", pa.int64()), ("last", pa.int64()), ("longest", pa.int64())]))
@@ -214,31 +226,56 @@ def find_matches(
     text_col: str = "text",
     item_col: str = "item_id",
     item_text_col: str = "text",
-    max_coverage: float | None = None,
 ) -> DataFrame:
     """``docs`` with ``n_words``, ``spans`` (first and last word, longest
-    match), ``items`` (sorted ids) and ``n_hit`` (words in spans).  With
-    ``max_coverage``, rows with a larger share of such words are left out and
-    the spans (of the text before) are cut from the others."""
+    match), ``items`` (sorted ids) and ``n_hit`` (words in spans)."""
+    return _matched(docs, *_dealt(benchmark, item_col, item_text_col), window, text_col)[0]
+
+
+def _matched(
+    docs: DataFrame, items: DataFrame, n_passes: int, window: int, text_col: str, max_coverage: float | None = None
+) -> tuple[DataFrame, str | None]:
+    """``find_matches`` over dealt items, and the folder that it is read from
+    if there are several automata.  With ``max_coverage``, rows with a larger
+    share of words in spans are left out and the spans (of the text before)
+    are cut from the others; a sole automaton goes on until it finds nothing."""
     out = without(docs, *ADDED)
     own = out.columns
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in out.schema.fields) + ", " + _MATCH_SCHEMA
     for f, t in zip(ADDED, ("long", "array<struct<first:long,last:long,longest:long>>", "array<string>", "long")):
         out = out.withColumn(f, F.lit(0).cast(t) if t == "long" else F.array().cast(t))
-    passes = list(matchers(benchmark, window, item_col, item_text_col)) or [Matcher([], window)]
-    for k, matcher in enumerate(passes):
-        last = max_coverage if k == len(passes) - 1 else None
-        out = out.mapInArrow(_pass(matcher, text_col, len(own), last), schema)
-    return out
+    if n_passes < 2:
+        matcher = _matcher(items, 0, 1, window) if n_passes else Matcher([], window)
+        return out.mapInArrow(_pass(matcher, text_col, len(own), max_coverage, True), schema), None
+    path = None
+    for k in range(n_passes):
+        last = max_coverage if k == n_passes - 1 else None
+        found = out.mapInArrow(_pass(_matcher(items, k, n_passes, window), text_col, len(own), last, False), schema)
+        before, path = path, shared_path(docs.sparkSession, "matches")
+        found.write.parquet(path)
+        out = docs.sparkSession.read.schema(found.schema).parquet(path)
+        if before:
+            _delete(docs.sparkSession, before)
+    return out, path
+
+
+def _delete(spark: SparkSession, folder: str) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
-def _pass(matcher: Matcher, text_col: str, n_own: int, max_coverage: float | None):
-    def clean(text: str, spans: list[dict]) -> str:
-        """The text without its spans, and without what their removal joins."""
+def _pass(matcher: Matcher, text_col: str, n_own: int, max_coverage: float | None, alone: bool):
+    def clean(text: str, spans: list[dict]) -> str | None:
+        """The text without its spans; if no other automaton has a say, also
+        without what their removal joins, none if that is too much of it."""
         while spans:
             text = cut_spans(text, [(s["first"], s["last"]) for s in spans])
+            if not alone:
+                break
             h, _, _, bounds = words(*string_buffers(pa.array([text])))
             again = merged([(first, last, n) for first, last, n, _ in matcher.matches(h, bounds)])
+            if sum(last - first + 1 for first, last, _ in again) > max_coverage * len(h):
+                return None
             spans = [{"first": first, "last": last} for first, last, _ in again]
         return text
 
@@ -268,6 +305,7 @@ def _pass(matcher: Matcher, text_col: str, n_own: int, max_coverage: float | Non
                     texts = own[k].to_pylist()
                     for d in np.flatnonzero((n_hit > 0) & kept):
                         texts[d] = clean(texts[d], spans[d])
+                        kept[d] = texts[d] is not None
                     own[k] = pa.array(texts, own[k].type)
                 else:
                     kept = None
@@ -301,8 +339,20 @@ def decontaminate(
     """``docs`` without benchmark text: texts of which more than
     ``max_coverage`` of the words stand in spans are dropped, from all others
     the spans are removed.  Removal joins what stood around a span; the text
-    is looked at again until the last automaton finds nothing."""
-    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
+    is judged and cut again until no automaton finds anything."""
+    others = [c for c in docs.columns if c != text_col]
+    row = F.struct(*[F.col(f"`{c}`") for c in others] or [F.lit(0)]).alias("row")
     work = docs.select(row, F.col(f"`{text_col}`").alias("text"))
-    out = find_matches(work, benchmark, window, max_coverage=max_coverage)
+    items, n_passes = _dealt(benchmark, "item_id", "text")
+    if n_passes < 2:
+        out = _matched(work, items, n_passes, window, "text", max_coverage)[0]
+    else:
+        out = None
+        while out is None or not work.isEmpty():
+            judged, path = _matched(work, items, n_passes, window, "text", max_coverage)
+            rows = materialize(judged.select("row", "text", (F.col("n_hit") > 0).alias("cut")), "cut")
+            _delete(docs.sparkSession, path)
+            clean = rows.where(~F.col("cut")).select("row", "text")
+            out = clean if out is None else out.unionByName(clean)
+            work = rows.where("cut").select("row", "text")
     return out.select(*[F.col("text").alias(c) if c == text_col else F.col(f"row.`{c}`") for c in docs.columns])

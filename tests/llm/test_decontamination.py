@@ -116,3 +116,27 @@ def test_removal_keeps_clashing_columns(spark, odd_docs):
 
 def test_empty_tables(spark, no_docs):
     assert dc.decontaminate(no_docs, spark.createDataFrame([], ITEMS)).count() == 0
+
+
+def test_removal_does_not_depend_on_the_number_of_automata(spark, make_docs, monkeypatch):
+    items = [(k, " ".join(f"i{k}w{j}" for j in range(12))) for k in range(12)]
+    own = lambda k, n: " ".join(f"own{k}x{j}" for j in range(n))
+    rows, want = [], {}
+    for a in range(12):
+        for b in range(12):
+            # cutting item b joins the two halves of item a
+            half = items[a][1].split()
+            text = " ".join([*half[:6], items[b][1], *half[6:]])
+            rows.append((len(rows), f"{own(a, 30)} {text} {own(b, 30)}"))
+            want[len(rows) - 1] = f"{own(a, 30)} {own(b, 30)}"
+            # more than half of what the cut leaves is an item: the text goes
+            rows.append((len(rows), f"{own(a, 10)} {text} {own(b, 1)}"))
+    rows += [(len(rows), own(0, 20)), (len(rows) + 1, None)]
+    want |= {rows[-2][0]: own(0, 20), rows[-1][0]: None}
+    bench = spark.createDataFrame(items, ITEMS)
+    results = []
+    for size in (dc.PASS_BYTES, 250):
+        monkeypatch.setattr(dc, "PASS_BYTES", size)
+        results.append({r["doc_id"]: r["text"] for r in dc.decontaminate(make_docs(rows), bench).collect()})
+    assert len(list(dc.matchers(bench, 10, "item_id", "text"))) > 2
+    assert results[0] == want and results[1] == want
