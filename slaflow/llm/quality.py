@@ -10,19 +10,24 @@ that stands for the negatives is kept from going below zero:
 The prior is estimated as the share of positives among the labelled texts
 that may be learnt from.  The scoring function is a small network over
 surface statistics of a whole text (character classes, word shapes, repeated
-words, line shapes).  It is fitted on a bounded sample, at most
-``max_positive`` positives and ``max_unlabelled`` unlabelled texts with the
-smallest id hashes; every text is scored.
+words, line shapes), scaled by their mean and deviation over all texts that
+may be learnt from.  Both parts of the risk are taken over bounded samples:
+at most ``max_positive`` positives and, for the unlabelled part,
+``max_unlabelled`` of all ids that may be learnt from, whatever their label,
+with the smallest id hashes and one text each; every text is scored.
 
 Defined results: a null text is empty; an empty text has all statistics zero
 and gets a score like any other; an id with several labels is positive only
-if all say so; a null id is never learnt from; without positives every score
+if all say so; of an id with several texts, a sample has the one with the
+smallest hash; a null id is never learnt from; without positives every score
 is the prior (0.5 if that is unknown); other columns aren't read.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Iterator
+from decimal import Decimal
 
 import numpy as np
 import pyarrow as pa
@@ -123,8 +128,8 @@ class Model:
         return hidden, hidden @ self.w[2] + self.w[3]
 
     def fit(self, pos: np.ndarray, unl: np.ndarray, epochs: int = 60, batch: int = 1024, seed: int = 7) -> Model:
+        """Fit on statistics, under ``mean`` and ``scale`` as they are."""
         rng = np.random.default_rng(seed)
-        self.mean, self.scale = unl.mean(0), unl.std(0) + 1e-6
         pos, unl = self.scaled(pos), self.scaled(unl)
         m, v, t = [np.zeros_like(w) for w in self.w], [np.zeros_like(w) for w in self.w], 0
         steps = max(1, len(unl) // batch)
@@ -166,19 +171,55 @@ def held_out(id_col: str | Column) -> Column:
 
 
 def _features_of(sample: DataFrame) -> np.ndarray:
-    """Statistics of a bounded sample (doc_id, text), in order of its ids."""
+    """Statistics of a bounded number of ids (doc_id, text), one text each,
+    in order of the ids."""
     id_type = sample.schema["doc_id"].dataType
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for batch in split_batch(whole):
                 x = pa.array(features(batch.column(1)).tolist(), pa.list_(pa.float64()))
-                yield pa.RecordBatch.from_arrays([batch.column(0).cast(to_arrow_type(id_type)), x], ["doc_id", "x"])
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0).cast(to_arrow_type(id_type)), batch.column(2), x], ["doc_id", "key", "x"]
+                )
 
-    rows = sample.mapInArrow(run, f"doc_id {id_type.simpleString()}, x array<double>").collect()
+    hashed = sample.select("doc_id", "text", F.xxhash64("text").alias("key"))
+    every = hashed.mapInArrow(run, f"doc_id {id_type.simpleString()}, key long, x array<double>")
+    rows = every.groupBy("doc_id").agg(F.min(F.struct("key", "x")).alias("least")).select("doc_id", "least.x").collect()
     return np.array([x for _, x in sorted((r["doc_id"], r["x"]) for r in rows)]).reshape(-1, N_FEATURES)
 
 
+#: Statistics are summed as multiples of 1 / UNIT, so the sums don't depend on their order.
+UNIT = 1 << 24
+
+
+def _mean_and_scale(rows: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """Mean and deviation of each statistic over all texts."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        n, total, squares = 0, [0] * N_FEATURES, [0] * N_FEATURES
+        for whole in batches:
+            for batch in split_batch(whole):
+                x = np.rint(features(batch.column(0)) * UNIT).astype(np.int64).astype(object)
+                n += len(x)
+                total = [a + int(b) for a, b in zip(total, x.sum(0))]
+                squares = [a + int(b) for a, b in zip(squares, (x * x).sum(0))]
+        exact = lambda sums: pa.array(map(Decimal, sums), pa.decimal128(38, 0))
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(range(N_FEATURES), pa.int32()), pa.array([n] * N_FEATURES, pa.int64()), exact(total), exact(squares)],
+            ["k", "n", "total", "squares"],
+        )
+
+    parts = rows.select("text").mapInArrow(run, "k int, n long, total decimal(38,0), squares decimal(38,0)")
+    mean, scale = np.zeros(N_FEATURES), np.ones(N_FEATURES)
+    for r in parts.groupBy("k").agg(*[F.sum(c).alias(c) for c in ("n", "total", "squares")]).collect():
+        if n := r["n"]:
+            total, squares = int(r["total"]), int(r["squares"])
+            mean[r["k"]] = total / n / UNIT
+            scale[r["k"]] = math.sqrt((n * squares - total * total) / (n * n)) / UNIT + 1e-6
+    return mean, scale
+
+
 def train(
     docs: DataFrame,
     labels: DataFrame,
@@ -189,8 +230,8 @@ def train(
     text_col: str = "text",
     label_col: str = "quality",
 ) -> Model:
-    """Fit on labels of rows where ``may_learn`` holds; texts outside them
-    aren't seen in training at all."""
+    """Fit on rows where ``may_learn`` holds, labelled or not; others aren't
+    seen in training at all."""
     rows = docs.select(F.col(id_col).alias("doc_id"), text_or_empty(text_col).alias("text")).where(
         F.col("doc_id").isNotNull() & may_learn("doc_id")
     )
@@ -202,13 +243,13 @@ def train(
     prior = 0.5 if share is None else float(np.clip(share, 0.01, 0.99))
     order = [F.xxhash64("doc_id"), F.col("doc_id")]
     positive = known.where(F.col("label") == 1).orderBy(*order).limit(max_positive).select("doc_id")
-    ids = rows.select("doc_id").distinct()
-    unlabelled = ids.join(known, "doc_id", "left_anti").orderBy(*order).limit(max_unlabelled)
+    unlabelled = rows.select("doc_id").distinct().orderBy(*order).limit(max_unlabelled)
     # Both samples are bounded by their parameters, so their ids can be broadcast.
     pos = _features_of(rows.join(F.broadcast(positive), "doc_id", "left_semi"))
     unl = _features_of(rows.join(F.broadcast(unlabelled), "doc_id", "left_semi"))
     model = Model(prior)
     if len(pos) and len(unl):
+        model.mean, model.scale = _mean_and_scale(rows)
         model.fit(pos, unl)
     return model
 

@@ -79,3 +79,32 @@ def test_odd_rows(spark, odd_docs, odd_rows, no_docs):
     for r in rows:
         assert same.setdefault(r["text"] or "", r["score"]) == r["score"]
     assert quality.score(no_docs, model).count() == 0 and not quality.train(no_docs, labels).fitted
+
+
+def _texts(n):
+    return [(k, ("plain words of a good text " if k % 2 else "BUY!! NOW!! $$$ ") * (k % 9 + 1)) for k in range(n)]
+
+
+def test_rows_that_are_all_labelled_fit_a_model(spark, make_docs):
+    rows = _texts(60)
+    labels = spark.createDataFrame([(k, k % 2, 0) for k, _ in rows], "doc_id long, quality int, toxic int")
+    model = quality.train(make_docs(rows), labels)
+    assert model.fitted
+    scores = {r["doc_id"]: r["score"] for r in quality.score(make_docs(rows), model).collect()}
+    assert min(scores[k] for k in range(1, 60, 2)) > max(scores[k] for k in range(0, 60, 2))
+
+
+def test_scale_is_that_of_all_learnable_rows(spark, make_docs):
+    rows = [(k, t) for k, t in _texts(90)]
+    labels = spark.createDataFrame([(1, 1, 0), (2, 0, 0)], "doc_id long, quality int, toxic int")
+    model = quality.train(make_docs(rows), labels, max_unlabelled=5, may_learn=lambda c: quality.F.lit(True))
+    x = quality.features(pa.array([t for _, t in rows]))
+    assert np.allclose(model.mean, x.mean(0), atol=1e-6) and np.allclose(model.scale, x.std(0) + 1e-6, atol=1e-6)
+
+
+def test_a_sampled_id_has_one_row(make_docs):
+    rows = [(1, f"text number {k} of a hot id") for k in range(200)] + [(2, "another one")]
+    x = quality._features_of(make_docs(rows).select("doc_id", "text"))
+    assert len(x) == 2 and any(np.array_equal(x[0], y) for y in quality.features(pa.array([t for _, t in rows[:200]])))
+    again = quality._features_of(make_docs(rows[::-1]).select("doc_id", "text"))
+    assert np.array_equal(x, again)
