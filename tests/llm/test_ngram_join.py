@@ -1,3 +1,4 @@
+import math
 import random
 from collections import Counter
 
@@ -85,6 +86,19 @@ def test_runs_reach_the_target_recall():
     assert found.mean() > 0.86 and nj.n_runs(0.999, 4) == 19
 
 
+def test_signatures_lose_no_pairs_at_the_threshold():
+    """Neither by the binomial, nor for short texts under the hashes used."""
+    assert sum(math.comb(nj.TOKENS, k) * 0.8**k * 0.2 ** (nj.TOKENS - k) for k in range(nj._LEAST_EQUAL)) < 1e-5
+    rng = random.Random(5)
+    rows = []
+    for _ in range(20_000):  # four of five shingles in common
+        words = [f"w{rng.randint(0, 10**6)}" for _ in range(9)]
+        rows += [" ".join(words[:8]), " ".join(words)]
+    signature = nj.signatures(nj.shingle_sets(pa.array(rows))).astype(np.uint8)
+    equal = (signature[::2] == signature[1::2]).sum(1)
+    assert (equal >= nj._LEAST_EQUAL).all()
+
+
 def test_overlaps_are_exact():
     rng = random.Random(4)
     sets = [np.unique(np.array([rng.randint(0, 300) for _ in range(rng.randint(0, 200))], np.uint64)) for _ in range(20)]
