@@ -10,8 +10,9 @@ are cut anywhere into chunks, which are encoded by different tasks:
    the transfer matrix from the states at its begin to those at its end: 0
    where a sequence of pieces leads from one to the other, minus infinity
    elsewhere (so kept as the set of its zeros).
-2. The matrices of a document are combined by max-plus products, forwards
-   and backwards, which leaves one state at each cut.
+2. One task for each document takes the states that can be reached through
+   its matrices one after the other, forwards and backwards, which leaves
+   one state at each cut.
 3. Between the states at its ends, every chunk is traced back on its own.
 
 For this, BPE is a path problem: pieces are a text's encoding just if every
