@@ -1,5 +1,43 @@
 """DuckDB SQL for the queries that SQL can express."""
 
+
+def _vector_codes(rounds: int = 2, parts: int = 16, entries: int = 64) -> str:
+    """Plain rounds with full scans; each round is an assignment ``a`` and
+    the codebooks ``b`` that it leads to."""
+    assign = """a{r} AS MATERIALIZED (
+    SELECT vec_id, part, min(struct_pack(d := list_sum(list_transform(list_zip(s, e), lambda z: (z[1] - z[2]) * (z[1] - z[2]))), k := entry)) AS best
+    FROM piece JOIN b{r} USING (part) GROUP BY vec_id, part
+)"""
+    update = """b{n} AS MATERIALIZED (
+    SELECT part, entry, coalesce(m, e) AS e FROM b{r} LEFT JOIN (
+        SELECT part, entry, list(CAST(floor(CAST(total AS DOUBLE) / n) AS BIGINT) ORDER BY pos) AS m FROM (
+            SELECT part, best.k AS entry, pos, sum(s[pos]) AS total, count(*) AS n
+            FROM a{r} JOIN piece USING (vec_id, part), unnest(generate_series(1, len(s))) AS u(pos)
+            GROUP BY part, best.k, pos) GROUP BY part, entry) USING (part, entry)
+)"""
+    steps = [x for r in range(rounds) for x in (assign.format(r=r), update.format(r=r, n=r + 1))] + [assign.format(r=rounds)]
+    return f"""
+WITH kept AS (
+    SELECT vec_id, label, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+    FROM embeddings
+    WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: coalesce(NOT isfinite(x), true))) = 0
+), piece AS MATERIALIZED (
+    SELECT vec_id, part, v[part * (len(v) // {parts}) + 1:(part + 1) * (len(v) // {parts})] AS s
+    FROM kept, range({parts}) AS r(part)
+), b0 AS MATERIALIZED (
+    SELECT part, entry, s AS e FROM piece JOIN (
+        SELECT vec_id, row_number() OVER (ORDER BY vec_id) - 1 AS entry FROM kept) USING (vec_id)
+    WHERE entry < {entries}
+), {", ".join(steps)}
+, coded AS (
+    SELECT vec_id, string_agg(printf('%02x', best.k), '' ORDER BY part) AS code, CAST(sum(best.d) AS BIGINT) AS error
+    FROM a{rounds} GROUP BY vec_id
+)
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error,
+       (SELECT sha256(string_agg(array_to_string(e, ','), ',' ORDER BY part, entry)) FROM b{rounds}) AS codebooks_sha256
+FROM coded JOIN kept USING (vec_id)
+"""
+
 ORACLE_SQL = {
     "op2_decontamination": r"""
 WITH doc AS (
@@ -51,4 +89,5 @@ SELECT doc_id, count(*) AS n_lines,
            AS kept_sha256
 FROM keyed LEFT JOIN shared USING (key) GROUP BY doc_id
 """,
+    "op13_vector_codes": _vector_codes(),
 }

@@ -3,12 +3,13 @@ whole table."""
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from slaflow.llm import decontamination, fingerprints, line_dedup, ngram_join, quality, secret_scan, sentencepiece_scan, sharding, token_counts, training_order
+from slaflow.llm import decontamination, fingerprints, line_dedup, ngram_join, quality, secret_scan, sentencepiece_scan, sharding, token_counts, training_order, vector_codes
 from slaflow.llm.common import documents, table, text_or_empty
 
 
@@ -86,6 +87,14 @@ def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.compare_with_edits(documents(spark, sf_dir))
 
 
+def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    coded, books = vector_codes.compress(table(spark, sf_dir, "embeddings"))
+    return vector_codes.with_label_error(coded).select(
+        "vec_id", F.lower(F.hex("code")).alias("code"), "error", "label_error",
+        F.lit(books.digest() if books else hashlib.sha256().hexdigest()).alias("codebooks_sha256"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_ngram_join": op1_ngram_join,
     "op2_decontamination": op2_decontamination,
@@ -97,4 +106,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_sentencepiece": op8_sentencepiece,
     "op9_sharding": op9_sharding,
     "op10_fingerprints": op10_fingerprints,
+    "op13_vector_codes": op13_vector_codes,
 }
