@@ -88,6 +88,49 @@ SELECT doc_id, count(*) AS n_lines,
        sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE NOT coalesce(doc_id < top, false)), ''))
            AS kept_sha256
 FROM keyed LEFT JOIN shared USING (key) GROUP BY doc_id
+""",
+    "op12_importance_resampling": r"""
+WITH tab AS (
+    SELECT list_transform(range(256), lambda b: list_reduce([0, 1, 2, 3, 4, 5, 6, 7],
+        lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, b)) AS t
+), doc AS MATERIALIZED (
+    SELECT doc_id, regexp_extract_all(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents
+), item AS (
+    SELECT regexp_extract_all(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark
+), own AS MATERIALIZED (SELECT doc_id, unnest(w) AS f FROM doc
+), aim AS MATERIALIZED (SELECT unnest(w) AS f FROM item
+), hashed AS MATERIALIZED (
+    SELECT f, xor(4294967295, list_reduce(
+        list_transform(range(len(h) // 2), lambda i: 16 * (strpos('0123456789ABCDEF', h[2 * i + 1]) - 1) + strpos('0123456789ABCDEF', h[2 * i + 2]) - 1),
+        lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1]), 4294967295)) % 10000 AS bucket
+    FROM (SELECT f, hex(encode(f)) AS h FROM (SELECT f FROM own UNION SELECT f FROM aim)), tab
+), s AS (SELECT bucket, count(*) AS s FROM own JOIN hashed USING (f) GROUP BY bucket
+), t AS (SELECT bucket, count(*) AS t FROM aim JOIN hashed USING (f) GROUP BY bucket
+), gain AS MATERIALIZED (
+    SELECT bucket, CAST(floor(1000 * ln(CAST(coalesce(t, 0) + 1 AS DOUBLE) * ((SELECT count(*) FROM own) + 10000)
+        / (CAST(coalesce(s, 0) + 1 AS DOUBLE) * ((SELECT count(*) FROM aim) + 10000)))) AS BIGINT) AS gain
+    FROM s FULL JOIN t USING (bucket)
+), weighed AS (
+    SELECT doc_id, CAST(floor(CAST(sum(gain) AS DOUBLE) / count(*)) AS BIGINT) AS weight
+    FROM own JOIN hashed USING (f) JOIN gain USING (bucket) GROUP BY doc_id
+), noisy AS (
+    SELECT doc_id, (CAST(list_reduce(list_transform(string_split(substr(sha256('2024:' || doc_id), 1, 8), ''),
+        lambda c: CAST(strpos('0123456789abcdef', c) - 1 AS BIGINT)), lambda a, b: 16 * a + b) AS BIGINT)) AS h FROM doc
+), scored AS (
+    SELECT doc_id, CAST(len(w) AS BIGINT) AS n_features, coalesce(weight, 0) AS weight,
+           coalesce(weight, 0) + CAST(floor(-1000 * ln(-ln((h + 0.5::DOUBLE) / 4294967296))) AS BIGINT) AS score,
+           len(w) >= 20 AS fits
+    FROM doc LEFT JOIN weighed USING (doc_id) JOIN noisy USING (doc_id)
+), placed AS (
+    SELECT *, row_number() OVER (PARTITION BY fits ORDER BY score DESC, doc_id) AS place FROM scored
+)
+SELECT doc_id, n_features, weight, score,
+       CASE WHEN fits AND place <= 10 * (SELECT count(*) FROM scored WHERE fits) // 100 THEN place END AS rank
+FROM placed
 """,
     "op13_vector_codes": _vector_codes(),
 }

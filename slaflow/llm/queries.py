@@ -9,7 +9,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from slaflow.llm import decontamination, fingerprints, line_dedup, ngram_join, quality, secret_scan, sentencepiece_scan, sharding, token_counts, training_order, vector_codes
+from slaflow.llm import decontamination, fingerprints, importance, line_dedup, ngram_join, quality, secret_scan, sentencepiece_scan, sharding, token_counts, training_order, vector_codes
 from slaflow.llm.common import documents, table, text_or_empty
 
 
@@ -87,6 +87,10 @@ def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.compare_with_edits(documents(spark, sf_dir))
 
 
+def op12_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return importance.resample(documents(spark, sf_dir), table(spark, sf_dir, "benchmark"))
+
+
 def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     coded, books = vector_codes.compress(table(spark, sf_dir, "embeddings"))
     return vector_codes.with_label_error(coded).select(
@@ -106,5 +110,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_sentencepiece": op8_sentencepiece,
     "op9_sharding": op9_sharding,
     "op10_fingerprints": op10_fingerprints,
+    "op12_importance_resampling": op12_importance_resampling,
     "op13_vector_codes": op13_vector_codes,
 }
