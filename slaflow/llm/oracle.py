@@ -1,6 +1,73 @@
 """DuckDB SQL for the queries that SQL can express."""
 
 
+def _url_filter(order: int = 4) -> str:
+    """Probabilities by recursion over the length of the context."""
+    marked = "[chr(2)] || list_filter(string_split(text, ''), lambda x: x <> '') || [chr(3)]"
+    grams = f"""
+    SELECT *, array_to_string(c[i:i + k - 1], '') AS gram FROM (
+        SELECT *, unnest(generate_series(1, least({order + 1}, len(c) - i + 1))) AS k FROM (
+            SELECT *, unnest(generate_series(1, len(c))) AS i FROM (SELECT *, {marked} AS c FROM {{}})))"""
+    first = """p1 AS (
+    SELECT gram, na, nr, 1::DOUBLE / 1114113 AS qa, 1::DOUBLE / 1114113 AS qr,
+           (a + 2::DOUBLE * (1::DOUBLE / 1114113)) / (na + 2) AS pa, (r + 2::DOUBLE * (1::DOUBLE / 1114113)) / (nr + 2) AS pr
+    FROM predicted JOIN after USING (context) WHERE length(gram) = 1
+)"""
+    longer = """p{k} AS (
+    SELECT s.gram, after.na, after.nr, q.pa AS qa, q.pr AS qr,
+           (s.a + 2 * q.pa) / (after.na + 2) AS pa, (s.r + 2 * q.pr) / (after.nr + 2) AS pr
+    FROM predicted s JOIN after USING (context) JOIN p{j} q ON q.gram = substr(s.gram, 2) WHERE length(s.gram) = {k}
+)"""
+    levels = ", ".join([first, *[longer.format(k=k, j=k - 1) for k in range(2, order + 2)]])
+    every = " UNION ALL ".join(f"SELECT * FROM p{k}" for k in range(1, order + 2))
+    fits = "WHEN (host = '{0}' OR ends_with(host, '.{0}')) AND starts_with(path, '{1}') THEN '{0}{1}'"
+    rules = [("example.org", "/en/1"), ("example.org", "/es/"), ("com", "/fr/"), ("com", "/de/"), ("org", "/")]
+    upper = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
+    return rf"""
+WITH page AS MATERIALIZED (
+    SELECT row_number() OVER () AS row, page_id, translate(coalesce(url, ''), {upper}) AS text,
+           translate(coalesce(regexp_extract(url, '(?s)^.*?://([^/?#]*)([^?#]*)', 1), ''), {upper}) AS host,
+           coalesce(regexp_extract(url, '(?s)^.*?://([^/?#]*)([^?#]*)', 2), '') AS path FROM pages
+), parsed AS MATERIALIZED (
+    SELECT *, CASE WHEN rule IN ('org/', 'com/fr/') THEN 'allow' WHEN rule IS NOT NULL THEN 'block' END AS action
+    FROM (SELECT *, CASE {" ".join(fits.format(*r) for r in rules)} END AS rule FROM page)
+), judged AS MATERIALIZED (
+    SELECT row_number() OVER () AS row, text, accepted, substr(md5(text), 1, 1) < '4' AS held_out FROM (
+        SELECT DISTINCT text, action = 'allow' AS accepted FROM parsed WHERE action IS NOT NULL)
+), counted AS MATERIALIZED (
+    SELECT gram, context, k, count(*) FILTER (WHERE accepted) AS a, count(*) FILTER (WHERE NOT accepted) AS r
+    FROM (SELECT *, gram[1:k - 1] AS context FROM ({grams.format("(SELECT * FROM judged WHERE NOT held_out)")})) GROUP BY gram, context, k
+), predicted AS MATERIALIZED (
+    SELECT * FROM counted WHERE (a + r) * 40000 >= (SELECT sum(a + r) FROM counted WHERE k = 1) AND gram <> chr(2)
+), after AS MATERIALIZED (SELECT context, sum(a) AS na, sum(r) AS nr FROM predicted GROUP BY context
+), {levels}
+, weight AS MATERIALIZED (
+    SELECT gram, sum(CAST(round(1000000 * w) AS BIGINT)) AS weight FROM (
+        SELECT gram, (ln(pa) - ln(qa) - ln(2::DOUBLE / (na + 2))) - (ln(pr) - ln(qr) - ln(2::DOUBLE / (nr + 2))) AS w FROM ({every})
+        UNION ALL
+        SELECT context, ln(2::DOUBLE / (na + 2)) - ln(2::DOUBLE / (nr + 2)) FROM after WHERE context <> '') GROUP BY gram
+), base AS (
+    SELECT CAST(round(1000000 * ln((coalesce(sum(r), 0) + 2::DOUBLE) / (coalesce(sum(a), 0) + 2))) AS BIGINT) AS base FROM predicted WHERE k = 1
+), rated AS MATERIALIZED (
+    SELECT row, open, CAST(floor(CAST(coalesce(sum(weight), 0) + (len(c) - 1) * (SELECT base FROM base) AS DOUBLE) / (len(c) - 1)) AS BIGINT) AS score
+    FROM ({grams.format("(SELECT row, text, false AS open FROM judged WHERE held_out UNION ALL SELECT row, text, true FROM parsed WHERE action IS NULL)")})
+    LEFT JOIN weight USING (gram) GROUP BY row, open, c
+), step AS (
+    SELECT floor(score / 10000) AS step, count(*) FILTER (WHERE accepted) AS a, count(*) FILTER (WHERE NOT accepted) AS r
+    FROM rated JOIN judged USING (row) WHERE NOT open GROUP BY step
+), best AS (
+    SELECT arg_max(t, (share, -abs(t), t)) AS step FROM (
+        SELECT CASE WHEN step <= 0 THEN step WHEN coalesce(lead(step) OVER down < 0, true) THEN 0 ELSE lead(step) OVER down + 1 END AS t, sum(a) OVER down::DOUBLE / sum(a) OVER () + (sum(r) OVER () - sum(r) OVER down)::DOUBLE / sum(r) OVER () AS share,
+               sum(a) OVER () > 0 AND sum(r) OVER () > 0 AS two
+        FROM step WINDOW down AS (ORDER BY step DESC)) WHERE two
+), limits AS (SELECT coalesce(CAST(10000 * (SELECT step FROM best) AS BIGINT), 0) AS threshold
+)
+SELECT page_id, host, path, rule, coalesce(action, CASE WHEN score >= threshold THEN 'allow' ELSE 'block' END) AS verdict,
+       score, CASE WHEN action IS NULL THEN threshold END AS threshold
+FROM limits, parsed LEFT JOIN (SELECT row, score FROM rated WHERE open) USING (row)
+"""
+
+
 def _vector_codes(rounds: int = 2, parts: int = 16, entries: int = 64) -> str:
     """Plain rounds with full scans; each round is an assignment ``a`` and
     the codebooks ``b`` that it leads to."""
@@ -89,6 +156,7 @@ SELECT doc_id, count(*) AS n_lines,
            AS kept_sha256
 FROM keyed LEFT JOIN shared USING (key) GROUP BY doc_id
 """,
+    "op11_url_filter": _url_filter(),
     "op12_importance_resampling": r"""
 WITH tab AS (
     SELECT list_transform(range(256), lambda b: list_reduce([0, 1, 2, 3, 4, 5, 6, 7],

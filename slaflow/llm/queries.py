@@ -9,7 +9,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from slaflow.llm import decontamination, fingerprints, importance, line_dedup, ngram_join, quality, secret_scan, sentencepiece_scan, sharding, token_counts, training_order, vector_codes
+from slaflow.llm import decontamination, fingerprints, importance, line_dedup, ngram_join, quality, secret_scan, sentencepiece_scan, sharding, token_counts, training_order, url_filter, vector_codes
 from slaflow.llm.common import documents, table, text_or_empty
 
 
@@ -87,6 +87,20 @@ def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.compare_with_edits(documents(spark, sf_dir))
 
 
+#: The rules of ``op11_url_filter``.
+URL_RULES = (
+    url_filter.Rule("allow", "org", "/"),
+    url_filter.Rule("block", "example.org", "/es/"),
+    url_filter.Rule("block", "example.org", "/en/1"),
+    url_filter.Rule("allow", "com", "/fr/"),
+    url_filter.Rule("block", "com", "/de/"),
+)
+
+
+def op11_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.filter_urls(table(spark, sf_dir, "pages"), URL_RULES)
+
+
 def op12_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return importance.resample(documents(spark, sf_dir), table(spark, sf_dir, "benchmark"))
 
@@ -110,6 +124,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_sentencepiece": op8_sentencepiece,
     "op9_sharding": op9_sharding,
     "op10_fingerprints": op10_fingerprints,
+    "op11_url_filter": op11_url_filter,
     "op12_importance_resampling": op12_importance_resampling,
     "op13_vector_codes": op13_vector_codes,
 }

@@ -1,0 +1,155 @@
+import math
+import random
+from collections import Counter
+
+import pytest
+from conftest import SF001
+from pyspark.sql import functions as F
+
+from llm.conftest import load
+from slaflow.llm import url_filter
+from slaflow.llm.queries import QUERIES, URL_RULES
+from slaflow.llm.url_filter import Rule
+
+UPPER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+
+
+def parse(url):
+    if url is None or "://" not in url:
+        return "", ""
+    rest = url.split("://", 1)[1]
+    k = min([rest.find(c) for c in "/?#" if c in rest] or [len(rest)])
+    host, rest = rest[:k].translate(UPPER), rest[k:]
+    return host, rest[: min([rest.find(c) for c in "?#" if c in rest] or [len(rest)])]
+
+
+def decide(host, path, rules=URL_RULES):
+    fit = [r for r in rules if (host == r.host or host.endswith("." + r.host)) and path.startswith(r.path)]
+    best = max(fit, key=lambda r: (len(r.host + r.path), len(r.host), r.action == "block"), default=None)
+    return (best.host + best.path, best.action) if best else (None, None)
+
+
+class Plain:
+    """The two models by their definition, a character at a time."""
+
+    def __init__(self, judged, order, support, m):
+        self.order, self.m = order, m
+        grams = {True: Counter(), False: Counter()}
+        for text, accepted in judged:
+            x = "\x02" + text + "\x03"
+            grams[accepted].update(x[i : i + k] for i in range(len(x)) for k in range(1, order + 2) if i + k <= len(x))
+        both = grams[True] + grams[False]
+        total = sum(n for g, n in both.items() if len(g) == 1)
+        known = {g for g, n in both.items() if n * support >= total and g != "\x02"}
+        self.n = {c: {g: grams[c][g] for g in known} for c in grams}
+        self.after = {c: Counter() for c in grams}
+        for c in grams:
+            for g, n in self.n[c].items():
+                self.after[c][g[:-1]] += n
+
+    def p(self, c, context, char):
+        out = 1 / 1_114_113
+        for k in range(len(context) + 1):
+            s = context[len(context) - k :]
+            out = (self.n[c].get(s + char, 0) + self.m * out) / (self.after[c][s] + self.m)
+        return out
+
+    def score(self, text):
+        x = "\x02" + text + "\x03"
+        total = 0
+        for i in range(1, len(x)):
+            context = x[max(0, i - self.order) : i]
+            total += math.log(self.p(True, context, x[i])) - math.log(self.p(False, context, x[i]))
+        return 1e6 * total / (len(x) - 1)
+
+
+def frame(spark, rows):
+    return spark.createDataFrame(rows, "page_id long, url string, html string")
+
+
+@pytest.mark.parametrize(("order", "support"), [(4, 40_000), (2, 60), (0, 40_000)])
+def test_scores_equal_the_definition(spark, order, support):
+    rng = random.Random(order)
+    word = lambda a: "".join(rng.choice(a) for _ in range(rng.randint(0, 9)))
+    judged = sorted({(word("abcab"), True) for _ in range(60)} | {(word("bcdé😀"), False) for _ in range(50)})
+    texts = ["", "a", "zzz", "abcd" * 30, "é😀b", *[word("abcdé😀z") for _ in range(40)]]
+    model = url_filter.learn(spark.createDataFrame(judged, "text string, accepted boolean").repartition(3), order, support, 2.0)
+    rows = spark.createDataFrame(list(enumerate(texts)), "row long, text string")
+    got = {r["row"]: r["score"] for r in url_filter.score(rows, model).collect()}
+    plain = Plain(judged, order, support, 2.0)
+    for k, t in enumerate(texts):
+        # every weight is rounded to a millionth
+        assert abs(got[k] - plain.score(t)) <= 2 + 0.5 * (order + 2), t
+
+
+def test_support_bounds_the_model(spark):
+    rng = random.Random(1)
+    judged = [("".join(rng.choice("abcdefghij") for _ in range(20)), k % 2 == 0) for k in range(200)]
+    model = url_filter.learn(spark.createDataFrame(judged, "text string, accepted boolean"), 4, 50, 2.0)
+    sizes = Counter(len(r["gram"]) for r in model.weights.collect())
+    assert sizes[1] >= 10 and all(n <= 50 for n in sizes.values())
+
+
+def test_rules():
+    assert decide("a.example.org", "/en/12") == ("example.org/en/1", "block")
+    assert decide("myexample.org", "/en/12") == ("org/", "allow")
+
+
+def test_hosts_paths_and_rules_of_odd_urls(spark):
+    urls = [
+        None, "", "no scheme", "http://", "http:///x", "HTTP://A.Example.ORG/EN/1", "http://b.example.org/en/1?x=/es/", "x://org/",
+        "x://org", "x://a.org?q=/", "x://myexample.org/es/", "x://example.org/es/", "x://Ünï.COM/de/é#://", "x://com/fr/://y/z", "x://a://b/c",
+        "a\nb://h.org\n/x\ny?z", "x://example.org:80/es/", "x://net/" + "long/" * 20_000, "x://😀.com/fr/",
+    ]
+    rows = [(k, u, "<html>") for k, u in enumerate(urls)] + [(None, "x://a.org/", None), (3, "x://a.net/", None), (3, "x://a.net/", None)]
+    df = frame(spark, rows)
+    for name in ("text", "Host", "path", "rule", "action", "row", "gram", "weight", "score", "accepted"):
+        df = df.withColumn(name, F.lit(1))
+    got = url_filter.filter_urls(df, URL_RULES).collect()
+    want = [(i, *parse(u), *decide(*parse(u))) for i, u, _ in rows]
+    assert sorted([(r["page_id"], r["host"], r["path"], r["rule"], r["verdict"] if r["rule"] else None) for r in got], key=repr) == sorted(want, key=repr)
+    assert all(r["verdict"] in ("allow", "block") and (r["score"] is None) == (r["rule"] is not None) for r in got)
+
+
+def test_longest_rule_wins(spark):
+    rules = [Rule("allow", "a.b", "/x/"), Rule("block", "b", "/x/yy"), Rule("block", "b", ""), Rule("allow", "b", "/x/y/")]
+    rows = [(k, f"s://{u}", "") for k, u in enumerate(["a.b/x/yy", "a.b/x/", "c.b/x/y/", "c.b", "b/x/yyy"])]
+    got = {r["page_id"]: r["rule"] for r in url_filter.filter_urls(frame(spark, rows), rules).collect()}
+    assert got == {k: decide(*parse(u), rules)[0] for k, u, _ in rows}
+    with pytest.raises(ValueError, match="allows or blocks"):
+        url_filter.filter_urls(frame(spark, rows), [Rule("maybe", "a", "")])
+
+
+def test_threshold_is_calibrated(spark):
+    rng = random.Random(4)
+    rows = [(rng.random() < 0.5, rng.randint(-40, 40) * 7_000) for _ in range(300)]
+    got = url_filter.threshold(spark.createDataFrame(rows, "accepted boolean, score long"))
+    a, r = sum(x for x, _ in rows), sum(not x for x, _ in rows)
+    share = lambda t: sum(x and s >= t for x, s in rows) / a + sum(not x and s < t for x, s in rows) / r
+    steps = sorted(range(-300_000, 300_000, 10_000), key=lambda t: (-share(t), abs(t), -t))
+    assert got == steps[0]
+    assert url_filter.threshold(spark.createDataFrame([(True, 5)], "accepted boolean, score long")) == 0
+
+
+def test_no_rules_and_no_rows(spark):
+    got = url_filter.filter_urls(frame(spark, [(1, "http://a.b/c", ""), (2, None, "")]), []).collect()
+    assert [(r["verdict"], r["score"], r["threshold"]) for r in got] == [("allow", 0, 0)] * 2
+    assert url_filter.filter_urls(frame(spark, []), URL_RULES).count() == 0
+
+
+def test_the_method_separates_what_it_learnt(spark):
+    rows = [(k, f"https://{'good' if k % 2 else 'casino'}{k}.{'org' if k % 2 else 'com'}/{'read' if k % 2 else 'de'}/{k}", "") for k in range(200)]
+    rows += [(1000, "https://good7.net/read/7", ""), (1001, "https://casino8.net/de/8", "")]
+    got = {r["page_id"]: r["verdict"] for r in url_filter.filter_urls(frame(spark, rows), URL_RULES).collect()}
+    assert got[1000] == "allow" and got[1001] == "block"
+
+
+def test_main_path_is_native(spark):
+    plan = url_filter.filter_urls(frame(spark, [(1, "a://b.org/", "")]), URL_RULES)._jdf.queryExecution().toString()
+    assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_query_rules(spark):
+    want = {r["page_id"]: (*parse(r["url"]), *decide(*parse(r["url"]))) for r in load(f"{SF001}/pages.parquet")}
+    got = {r["page_id"]: (r["host"], r["path"], r["rule"], r["verdict"] if r["rule"] else None) for r in QUERIES["op11_url_filter"](spark, SF001).collect()}
+    assert got == want
