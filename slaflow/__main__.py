@@ -5,8 +5,6 @@
     slaflow build-analytics --medallion DIR --output DIR
     slaflow build-process-intelligence (--input DIR_OR_CSV | --medallion DIR) --output DIR
 
-``--multi-line`` (with ``--input``) reads quoted line breaks.
-
 The session comes from the cluster (``SparkSession.builder.getOrCreate``),
 so master, memory and ``spark.checkpoint.dir`` are whatever the deployment
 sets.  Exit code 0 = success / expectations met, 1 = expectations not met.
@@ -42,8 +40,6 @@ def _parser() -> argparse.ArgumentParser:
     source.add_argument("--input")
     source.add_argument("--medallion")
     pi.add_argument("--output", required=True)
-    for command in (v, m, pi):
-        command.add_argument("--multi-line", action="store_true")
     return p
 
 
@@ -57,13 +53,13 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
     spark = prepare_session(spark or SparkSession.builder.appName(f"slaflow-{args.command}").getOrCreate())
 
     if args.command == "validate":
-        report = jobs.validate_file(spark, args.input, contract, args.multi_line)
+        report = jobs.validate_file(spark, args.input, contract)
         if args.report:
             jobs.write_report(report, args.report, spark)
         print(f"rows={report['total_rows']} valid={report['valid_rows']} invalid={report['invalid_rows']}")
         return 0 if expectation_gate(report, args.expected_rows, args.expected_invalid) else 1
     if args.command == "build-medallion":
-        print(jobs.run_medallion(spark, args.input, args.output, contract, args.multi_line))
+        print(jobs.run_medallion(spark, args.input, args.output, contract))
         return 0
     if args.command == "build-analytics":
         print(jobs.run_analytics(spark, args.medallion, args.output))
@@ -72,7 +68,7 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
         if args.medallion:
             print(jobs.run_process_of_medallion(spark, args.medallion, args.output, contract))
         else:
-            print(jobs.run_process_intelligence(spark, args.input, args.output, contract, args.multi_line))
+            print(jobs.run_process_intelligence(spark, args.input, args.output, contract))
         return 0
     return 2
 

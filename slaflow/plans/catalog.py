@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from slaflow.operators import integrity, metrics, validation
+from slaflow.plans import files
 from slaflow.plans.layers import (
     MedallionLayers,
     ObservedLog,
@@ -107,4 +108,7 @@ QUERIES: dict[str, Query] = {
     # generic integrity operators on other tables
     "duplicate_keys_lineitem": _lineitem_duplicates,
     "closed_before_created_orders": _orders_end_before_start,
+    # text files
+    "csv_documents": files.csv_documents,
+    "csv_malformed_documents": files.csv_malformed_documents,
 }

@@ -33,6 +33,7 @@ from slaflow.plans.layers import (
 )
 from slaflow.session import prepare_session
 from slaflow.sources.bronze import bronze_from_csv
+from slaflow.sources.csv_records import CSV_SINK
 from slaflow.sources.tables import read_if_present, require_rows
 
 #: Versions of this engine's outputs.
@@ -129,12 +130,12 @@ def refuse_forbidden(tables: dict[str, DataFrame], contract: dict[str, Any]) ->
 
 def write_small_csv(df: DataFrame, path: str) -> None:
     """CSV for small reviewable tables (KPI row, marts): one part file."""
-    df.coalesce(1).write.mode("overwrite").option("header", True).csv(path)
+    df.coalesce(1).write.mode("overwrite").options(**CSV_SINK).csv(path)
 
 
 def write_csv(df: DataFrame, path: str) -> None:
     """CSV for tables that grow with the data: one part file per partition."""
-    df.write.mode("overwrite").option("header", True).csv(path)
+    df.write.mode("overwrite").options(**CSV_SINK).csv(path)
 
 
 def write_manifest(manifest: dict[str, Any], path: str | Path, spark: SparkSession | None = None) -> str:
@@ -177,11 +178,11 @@ def write_report(report: dict[str, Any], path: str | Path, spark: SparkSession |
 
 
 def validate_file(
-    spark: SparkSession, input_path: str, contract: dict[str, Any] | None = None, multi_line: bool = False
+    spark: SparkSession, input_path: str, contract: dict[str, Any] | None = None
 ) -> dict[str, Any]:
     prepare_session(spark)
     with scratch(spark):
-        return validate_source(bronze_from_csv(spark, input_path, multi_line=multi_line), contract)
+        return validate_source(bronze_from_csv(spark, input_path), contract)
 
 
 # --------------------------------------------------------------------------- medallion (B2-B4)
@@ -241,11 +242,11 @@ def write_medallion(run: MedallionRun, output_dir: str | Path) -> str:
 
 
 def run_medallion(
-    spark: SparkSession, input_path: str, output_dir: str, contract: dict[str, Any] | None = None, multi_line: bool = False
+    spark: SparkSession, input_path: str, output_dir: str, contract: dict[str, Any] | None = None
 ) -> str:
     prepare_session(spark)
     with scratch(spark):
-        layers = MedallionLayers(bronze_from_csv(spark, input_path, multi_line=multi_line), contract)
+        layers = MedallionLayers(bronze_from_csv(spark, input_path), contract)
         return write_medallion(build_medallion(layers), output_dir)
 
 
@@ -405,13 +406,13 @@ def write_process_intelligence(run: ProcessRun, output_dir: str | Path) -> str:
 
 
 def run_process_intelligence(
-    spark: SparkSession, input_path: str, output_dir: str, contract: dict[str, Any] | None = None, multi_line: bool = False
+    spark: SparkSession, input_path: str, output_dir: str, contract: dict[str, Any] | None = None
 ) -> str:
     """Process outputs of CSV files: their medallion is built and must pass
     its controls first."""
     prepare_session(spark)
     with scratch(spark):
-        layers = MedallionLayers(bronze_from_csv(spark, input_path, multi_line=multi_line), contract)
+        layers = MedallionLayers(bronze_from_csv(spark, input_path), contract)
         build_medallion(layers)
         return write_process_intelligence(build_process_intelligence(layers), output_dir)
 

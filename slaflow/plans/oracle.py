@@ -678,4 +678,11 @@ FROM orders o
 JOIN (SELECT l_orderkey, max(CAST(l_shipdate AS DATE)) AS last_end FROM lineitem GROUP BY l_orderkey) e
   ON o.o_orderkey = e.l_orderkey
 WHERE e.last_end < CAST(o.o_orderdate AS DATE)""",
+    "csv_documents": """SELECT CAST(doc_id AS VARCHAR) AS doc_id, coalesce(text, '') AS text, coalesce(lang, '') AS lang,
+       coalesce(source, '') AS source, coalesce(CAST(n_chars AS VARCHAR), '') AS n_chars
+FROM documents""",
+    "csv_malformed_documents": """SELECT doc_id, CASE WHEN commas > 0 THEN 'expected 2 fields, saw ' || (commas + 2) END AS reason,
+       CAST(octet_length(encode(doc_id || ',' || line)) AS BIGINT) AS record_bytes
+FROM (SELECT doc_id, line, length(line) - length(replace(line, ',', '')) AS commas
+      FROM (SELECT doc_id, translate(coalesce(text, ''), '"' || chr(10) || chr(13), '''  ') AS line FROM documents))""",
 }

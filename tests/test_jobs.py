@@ -71,17 +71,40 @@ def test_fingerprint_has_one_definition_for_each_method(spark, source_csv, tmp_p
 
     part = next(pathlib.Path(source_csv).glob("*.csv"))
     assert bronze.file_fingerprint(spark, str(part)) == hashlib.sha256(part.read_bytes()).hexdigest()[:16]
-    lines = bronze.file_fingerprint(spark, str(part), "lines")
-    assert len(lines) == 16 and lines != bronze.file_fingerprint(spark, str(part))
     for k in range(2):  # moved files keep theirs
         folder = tmp_path / f"moved{k}"
         folder.mkdir()
         for name in ("a.csv", "b.csv"):
             shutil.copy(part, folder / name)
     assert bronze.file_fingerprint(spark, str(tmp_path / "moved0")) == bronze.file_fingerprint(spark, str(tmp_path / "moved1"))
+    tree = bronze.file_fingerprint(spark, source_csv, "tree")
     monkeypatch.setattr(bronze, "MAX_BYTES", 10)
-    with pytest.raises(ValueError, match="method='lines'"):
-        bronze.file_fingerprint(spark, source_csv)
+    with pytest.raises(ValueError, match="method='tree'"):
+        bronze.file_fingerprint(spark, source_csv, "bytes")
+    assert bronze.file_fingerprint(spark, source_csv) == tree  # a large file needs no flag
+
+
+def test_tree_fingerprint_depends_on_order_alone(spark, tmp_path, monkeypatch):
+    from slaflow.sources import bronze
+
+    monkeypatch.setattr(bronze, "FAN", 5)
+    lines = [f"line {k % 40}" for k in range(200)]
+
+    def of(text, split=None):
+        path = tmp_path / "f.csv"
+        path.write_text(text)
+        before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+        if split:
+            spark.conf.set("spark.sql.files.maxPartitionBytes", split)
+        try:
+            return bronze.file_fingerprint(spark, str(path), "tree")
+        finally:
+            spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+    text = "\n".join(lines)
+    swapped = "\n".join([lines[1], lines[0], *lines[2:]])
+    assert of(text) == of(text, "100") == of(text, "333")
+    assert len({of(text), of(swapped), of(text + "\n"), of("\n".join(lines[:-1])), of("")}) == 5
 
 
 def _drop(tmp_path, name, *files):
@@ -105,7 +128,7 @@ def test_csv_quotes_backslashes_and_line_breaks(spark, tmp_path):
     assert [r["category"] for r in rows] == ['a "q" b', "back\\", "c\\"]
     assert all(r["assigned_team"] == "service_desk" for r in rows)
     text = "\n".join([head, ROW.format(1, '"two\nlines"'), ROW.format(2, "x")]) + "\n"
-    rows = bronze_from_csv(spark, _drop(tmp_path, "breaks", text), multi_line=True).orderBy("source_row").collect()
+    rows = bronze_from_csv(spark, _drop(tmp_path, "breaks", text)).orderBy("source_row").collect()
     assert [r["category"] for r in rows] == ["two\nlines", "x"]
 
 
