@@ -5,10 +5,9 @@ Spark session):
 
 * validation - ``annotate``, ``issue_table``, ``row_totals``, ``validation_report``,
   ``expectation_gate``
-* layers and jobs - ``MedallionLayers``, ``build_medallion``, ``write_medallion``,
-  ``run_medallion``, ``build_analytics``, ``write_analytics``,
-  ``build_process_intelligence``, ``write_process_intelligence``,
-  ``validate_file``, ``write_report``
+* layers and jobs - ``MedallionLayers``, ``write_medallion``, ``run_medallion``,
+  ``write_analytics``, ``run_analytics``, ``write_process_intelligence``,
+  ``validate_file``, ``write_report``, ``published_medallion``
 * sources - ``bronze_from_csv``, ``bronze_requests``
 * contract - ``load_contract``, ``default_contract``
 """
@@ -24,12 +23,11 @@ _EXPORTS = {
     "validation_report": "slaflow.operators.validation",
     "expectation_gate": "slaflow.operators.validation",
     "MedallionLayers": "slaflow.plans.layers",
-    "build_medallion": "slaflow.plans.jobs",
     "write_medallion": "slaflow.plans.jobs",
     "run_medallion": "slaflow.plans.jobs",
-    "build_analytics": "slaflow.plans.jobs",
+    "run_analytics": "slaflow.plans.jobs",
+    "published_medallion": "slaflow.plans.jobs",
     "write_analytics": "slaflow.plans.jobs",
-    "build_process_intelligence": "slaflow.plans.jobs",
     "write_process_intelligence": "slaflow.plans.jobs",
     "validate_file": "slaflow.plans.jobs",
     "write_report": "slaflow.plans.jobs",

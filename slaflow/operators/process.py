@@ -145,6 +145,10 @@ def with_lifecycle(valid: DataFrame) -> DataFrame:
     return valid if EVENTS in valid.columns else valid.withColumn(EVENTS, lifecycle_events())
 
 
+def event_id(case_id: Column, index: Column) -> Column:
+    return F.format_string("%s-E%02d", case_id, index)
+
+
 def event_log(valid: DataFrame) -> DataFrame:
     """One row per derived event, with the case context copied to each."""
     arr = with_lifecycle(valid)
@@ -158,7 +162,7 @@ def event_log(valid: DataFrame) -> DataFrame:
     )
     index = (F.col("__pos") + 1).cast("int")
     return exploded.select(
-        F.format_string("%s-E%02d", F.col("case_id"), index).alias("event_id"),
+        event_id(F.col("case_id"), index).alias("event_id"),
         "case_id",
         *CASE_CONTEXT,
         "sla_met",

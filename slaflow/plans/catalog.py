@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from slaflow.operators import integrity, metrics, validation
-from slaflow.plans import files
+from slaflow.plans import files, published
 from slaflow.plans.layers import (
     MedallionLayers,
     ObservedLog,
@@ -111,4 +111,8 @@ QUERIES: dict[str, Query] = {
     # text files
     "csv_documents": files.csv_documents,
     "csv_malformed_documents": files.csv_malformed_documents,
+    # publications
+    "published_row_counts": published.published_row_counts,
+    "published_controls": published.published_controls,
+    "gold_views": published.gold_views,
 }

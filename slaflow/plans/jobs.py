@@ -1,40 +1,34 @@
 """Batch jobs: validate, medallion (Bronze/Silver/Gold), analytics marts,
 process intelligence.
 
-Each job builds lazy plans, evaluates its reconciliation controls once and
-refuses to publish when one fails ("controls first, then publish").  The
+Each job stages its tables in a folder of its own, sorted into their
+published order; their figures are observed on the way.  Its reconciliation
+controls are evaluated on these figures, once, and the run is published, by
+replacing its manifest, only if all of them pass (see ``publication``).  The
 layers that several tables need (Bronze, the annotated rows, the fact, the
 requests with their events) are written once to the checkpoint folder and
-deleted at the end of the job; what is published is read from them, and
-sorted into its published order at the sink.  Manifests are small JSON
-documents assembled on the driver from one-row aggregates.
+deleted at the end of the job.
 """
 
 from __future__ import annotations
 
-import json
-from dataclasses import dataclass, field
+import copy
 from pathlib import Path
 from typing import Any
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from slaflow.contract import EVENT_ORIGIN, default_contract
+from slaflow.functions.numeric import safe_rate
 from slaflow.operators import controls as ctl
-from slaflow.operators import metrics, process, validation
+from slaflow.operators import metrics, process, star, validation
 from slaflow.operators.ordinal import materialize, scratch
-from slaflow.plans.layers import (
-    MedallionLayers,
-    analytics_controls,
-    medallion_controls,
-    process_controls,
-)
+from slaflow.plans.layers import MedallionLayers, medallion_controls, process_controls
+from slaflow.plans.publication import Published, Run, manifest_text, replace_text
 from slaflow.session import prepare_session
-from slaflow.sources.bronze import bronze_from_csv
-from slaflow.sources.csv_records import CSV_SINK
-from slaflow.sources.tables import read_if_present, require_rows
+from slaflow.sources.bronze import bronze_and_malformed, bronze_from_csv
+from slaflow.sources.tables import require_rows
 
 #: Versions of this engine's outputs.
 PIPELINE_VERSION = "2.0.0"
@@ -49,7 +43,7 @@ MART_NAMES = [
     "daily_service_operations",
     "sla_breach_details",
 ]
-GOLD_TABLES = ["fact_service_requests", "dim_date", "dim_team", "dim_category", "dim_priority"]
+GOLD_TABLES = ["gold_fact", "kpis", "dim_date", "dim_team", "dim_category", "dim_priority"]
 # Fixed value: the note that the process manifest carries.
 PROCESS_BOUNDARY = (
     "Event timestamps between ticket creation and closure are deterministic scenario "
@@ -91,36 +85,6 @@ def in_order(df: DataFrame, name: str) -> DataFrame:
 # --------------------------------------------------------------------------- sinks
 
 
-def join_path(base: str | Path, *parts: str) -> str:
-    """Join storage paths as text (keeps ``scheme://`` URIs intact)."""
-    return "/".join([str(base).rstrip("/"), *[p.strip("/") for p in parts]])
-
-
-def _is_local(path: str) -> bool:
-    return "://" not in path or path.startswith("file://")
-
-
-def write_parquet(df: DataFrame, path: str) -> None:
-    df.write.mode("overwrite").parquet(path)
-
-
-def publish(df: DataFrame, name: str, path: str) -> DataFrame:
-    """Write a table in its published order; the written table is returned,
-    so that further sinks copy it."""
-    write_parquet(in_order(df, name), path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
-def read_manifest(spark: SparkSession, path: str | Path, what: str) -> dict[str, Any]:
-    """A manifest written by ``write_manifest``."""
-    try:
-        return json.loads("\n".join(r["value"] for r in spark.read.text(str(path), wholetext=True).collect()))
-    except AnalysisException as e:
-        if e.getCondition() != "PATH_NOT_FOUND":
-            raise
-        raise FileNotFoundError(f"Missing {what}: {path}") from None
-
-
 def refuse_forbidden(tables: dict[str, DataFrame], contract: dict[str, Any]) -> None:
     """No published table may hold a column that the contract forbids."""
     found = {n: c for n, df in tables.items() if (c := validation.forbidden_columns_present(df, contract))}
@@ -128,28 +92,9 @@ def refuse_forbidden(tables: dict[str, DataFrame], contract: dict[str, Any]) ->
         raise ValueError("Forbidden columns: " + "; ".join(f"{n}: {', '.join(c)}" for n, c in sorted(found.items())))
 
 
-def write_small_csv(df: DataFrame, path: str) -> None:
-    """CSV for small reviewable tables (KPI row, marts): one part file."""
-    df.coalesce(1).write.mode("overwrite").options(**CSV_SINK).csv(path)
-
-
-def write_csv(df: DataFrame, path: str) -> None:
-    """CSV for tables that grow with the data: one part file per partition."""
-    df.write.mode("overwrite").options(**CSV_SINK).csv(path)
-
-
-def write_manifest(manifest: dict[str, Any], path: str | Path, spark: SparkSession | None = None) -> str:
-    """Sorted-key JSON; written directly on a local path, through Spark (one
-    small text part file) on cluster storage."""
-    text = json.dumps(manifest, indent=2, sort_keys=True, default=str) + "\n"
-    path = str(path)
-    if _is_local(path) or spark is None:
-        destination = Path(path.removeprefix("file://"))
-        destination.parent.mkdir(parents=True, exist_ok=True)
-        destination.write_text(text, encoding="utf-8")
-        return str(destination)
-    spark.createDataFrame([(text,)], "value string").coalesce(1).write.mode("overwrite").text(path)
-    return path
+def write_manifest(manifest: dict[str, Any], path: str | Path, spark: SparkSession) -> str:
+    """Sorted-key JSON on the file system of the path, whole or not at all."""
+    return replace_text(spark, path, manifest_text(manifest))
 
 
 def one_row(df: DataFrame) -> dict[str, Any]:
@@ -157,12 +102,6 @@ def one_row(df: DataFrame) -> dict[str, Any]:
     return row.asDict() if row else {}
 
 
-def row_counts(tables: dict[str, DataFrame]) -> dict[str, int]:
-    """Row counts of several tables in one job (tagged union + aggregate)."""
-    m = ctl.measures({name: (df, ctl.one()) for name, df in tables.items()})
-    return {k: int(v) for k, v in one_row(m).items()}
-
-
 # --------------------------------------------------------------------------- validate (B1)
 
 
@@ -173,7 +112,7 @@ def validate_source(bronze: DataFrame, contract: dict[str, Any] | None = None) -
     return validation.validation_report(annotated, contract)
 
 
-def write_report(report: dict[str, Any], path: str | Path, spark: SparkSession | None = None) -> str:
+def write_report(report: dict[str, Any], path: str | Path, spark: SparkSession) -> str:
     return write_manifest(report, path, spark)
 
 
@@ -187,33 +126,40 @@ def validate_file(
 
 # --------------------------------------------------------------------------- medallion (B2-B4)
 
-
-@dataclass
-class MedallionRun:
-    layers: MedallionLayers
-    controls: dict[str, bool]
-    manifest: dict[str, Any] = field(default_factory=dict)
+MEDALLION, ANALYTICS, PROCESS = "medallion_manifest.json", "analytics_manifest.json", "process_intelligence_manifest.json"
 
 
-def build_medallion(layers: MedallionLayers) -> MedallionRun:
-    """Evaluate the medallion controls and refuse to continue on failure."""
-    L = layers
+def write_medallion(layers: MedallionLayers, output_dir: str | Path, malformed: DataFrame | None = None) -> str:
+    """Stage all tables, check them and publish them; the manifest's path."""
+    L, spark = layers, layers.bronze.sparkSession
     tables = {
-        "bronze": L.bronze,
-        "silver_valid": L.silver_valid,
-        "silver_rejected": L.silver_rejected,
-        "silver_issues": L.issues,
-        "gold_fact": L.fact,
-        "dim_date": L.dim_date,
-        "dim_team": L.dim_team,
-        "dim_category": L.dim_category,
-        "dim_priority": L.dim_priority,
+        "bronze": (L.bronze, "bronze", "bronze/service_requests"),
+        "silver_valid": (L.silver_valid, "silver_valid", "silver/service_requests_valid"),
+        "silver_rejected": (L.silver_rejected, "silver_rejected", "silver/service_requests_rejected"),
+        "gold_fact": (L.fact, "fact", "gold/fact_service_requests"),
+        **{n: (getattr(L, n), n, f"gold/{n}") for n in ("dim_date", "dim_team", "dim_category", "dim_priority")},
     }
-    refuse_forbidden(tables, L.contract)
-    passed = ctl.gate(medallion_controls(layers), "Medallion")
-    counts = row_counts(tables)
-    issue_counts = {r["issue_code"]: int(r["issue_count"]) for r in validation.issue_counts(L.issues).collect()}
-    meta = one_row(L.bronze.select("source_file", "ingestion_batch_id"))
+    refuse_forbidden({n: df for n, (df, _, _) in tables.items()} | {"silver_issues": L.issues}, L.contract)
+    run = Run(spark, output_dir, MEDALLION)
+    staged = {n: run.write(n, in_order(df, order), path) for n, (df, order, path) in tables.items()}
+    issues = in_order(L.issues, "silver_issues").drop("issue_position")
+    staged["silver_issues"] = run.write("silver_issues", issues, "silver/service_request_issues")
+    if malformed is not None:
+        run.write("malformed_records", malformed.orderBy("source_row"), "bronze/malformed_records")
+    kpis = run.write("kpis", metrics.kpis(staged["silver_valid"]), "gold/service_operations_kpis")
+    run.write_csv(kpis, "gold/service_operations_kpis_csv")
+    keys = star.foreign_key_violations(*[staged[n] for n in ("gold_fact", "dim_date", "dim_team", "dim_category", "dim_priority")])
+    violations = keys.agg(F.coalesce(F.sum("violations"), F.lit(0)).alias("n")).first()["n"]
+    rows = run.figure
+    checks = [
+        ("bronze_equals_valid_plus_rejected", rows("silver_valid") + rows("silver_rejected"), rows("bronze")),
+        ("valid_equals_fact", rows("gold_fact"), rows("silver_valid")),
+        ("foreign_keys_complete", violations, 0),
+    ]
+    passed = run.check(checks, "Medallion")
+    issue_counts = {r["issue_code"]: int(r["issue_count"]) for r in validation.issue_counts(staged["silver_issues"]).collect()}
+    meta = one_row(staged["bronze"].select("source_file", "ingestion_batch_id"))
+    counts = {n: c for n, c in run.row_counts().items() if n != "kpis"}
     manifest = {
         "pipeline_version": PIPELINE_VERSION,
         "source_file": meta.get("source_file"),
@@ -221,88 +167,96 @@ def build_medallion(layers: MedallionLayers) -> MedallionRun:
         "row_counts": counts,
         "issue_counts": dict(sorted(issue_counts.items())),
         "controls": passed,
-        "kpis": one_row(L.kpis),
+        "kpis": one_row(kpis),
     }
-    return MedallionRun(layers, passed, manifest)
-
-
-def write_medallion(run: MedallionRun, output_dir: str | Path) -> str:
-    out = str(output_dir)
-    L = run.layers
-    publish(L.bronze, "bronze", join_path(out, "bronze", "service_requests"))
-    publish(L.silver_valid, "silver_valid", join_path(out, "silver", "service_requests_valid"))
-    publish(L.silver_rejected, "silver_rejected", join_path(out, "silver", "service_requests_rejected"))
-    write_parquet(in_order(L.issues, "silver_issues").drop("issue_position"), join_path(out, "silver", "service_request_issues"))
-    publish(L.fact, "fact", join_path(out, "gold", "fact_service_requests"))
-    for name in ("dim_date", "dim_team", "dim_category", "dim_priority"):
-        publish(getattr(L, name), name, join_path(out, "gold", name))
-    write_parquet(L.kpis, join_path(out, "gold", "service_operations_kpis"))
-    write_small_csv(L.bronze.sparkSession.read.parquet(join_path(out, "gold", "service_operations_kpis")), join_path(out, "gold", "service_operations_kpis_csv"))
-    return write_manifest(run.manifest, join_path(out, "medallion_manifest.json"), L.bronze.sparkSession)
+    return run.publish(manifest)
 
 
 def run_medallion(
-    spark: SparkSession, input_path: str, output_dir: str, contract: dict[str, Any] | None = None
+    spark: SparkSession, input_path: str, output_dir: str, contract: dict[str, Any] | None = None, malformed: str = "refuse"
 ) -> str:
+    """Medallion of CSV files.  A malformed record stops the job, or, with
+    ``malformed="keep"``, is published in a table beside Bronze with its row
+    and text."""
+    if malformed not in ("refuse", "keep"):
+        raise ValueError(f"malformed records are refused or kept, not {malformed!r}")
     prepare_session(spark)
     with scratch(spark):
-        layers = MedallionLayers(bronze_from_csv(spark, input_path), contract)
-        return write_medallion(build_medallion(layers), output_dir)
+        if malformed == "keep":
+            bronze, bad = bronze_and_malformed(spark, input_path)
+        else:
+            bronze, bad = bronze_from_csv(spark, input_path), None
+        return write_medallion(MedallionLayers(bronze, contract), output_dir, bad)
+
+
+def published_medallion(spark: SparkSession, medallion_dir: str | Path) -> Published:
+    return Published(spark, medallion_dir, MEDALLION, "Medallion manifest")
 
 
 # --------------------------------------------------------------------------- analytics (B5)
 
 
 class GoldTables:
-    """Gold tables read back from a medallion output folder, all of which
-    must be there."""
-
-    def __init__(self, spark: SparkSession, medallion_dir: str | Path):
-        paths = {n: join_path(medallion_dir, "gold", n) for n in [*GOLD_TABLES, "service_operations_kpis"]}
-        tables = {n: read_if_present(spark, p) for n, p in paths.items()}
-        missing = [paths[n] for n, df in tables.items() if df is None]
-        if missing:
-            raise FileNotFoundError(f"Missing Gold Parquet input: {', '.join(missing)}")
-        self.fact = tables["fact_service_requests"]
+    """Gold tables of a published medallion, all of which must be there; each
+    is a temporary view too."""
+
+    def __init__(self, published: Published):
+        names = {"gold_fact": "fact_service_requests", "kpis": "service_operations_kpis"}
+        tables = published.register_views(GOLD_TABLES, "Missing Gold Parquet input")
+        self.fact, self.kpis = tables["gold_fact"], tables["kpis"]
+        for own, view in names.items():
+            tables[own].createOrReplaceTempView(view)
         self.dim_date, self.dim_team = tables["dim_date"], tables["dim_team"]
         self.dim_category, self.dim_priority = tables["dim_category"], tables["dim_priority"]
-        self.kpis = tables["service_operations_kpis"]
         self.enriched = materialize(
             metrics.enriched(self.fact, self.dim_date, self.dim_team, self.dim_category, self.dim_priority), "analytics-enriched"
         )
+        self.enriched.createOrReplaceTempView("service_requests_enriched")
 
         self._marts: dict[str, DataFrame] = {}
 
     def mart(self, name: str) -> DataFrame:
-        """Each mart materialised once: the controls and the published copy
-        read the same snapshot (controls check exactly what is written)."""
-        if name == "service_requests_enriched":
-            return self.enriched
-        if name not in self._marts:
-            self._marts[name] = materialize(MedallionLayers.mart(self, name), f"mart-{name}")  # type: ignore[arg-type]
-        return self._marts[name]
+        return MedallionLayers.mart(self, name)  # type: ignore[arg-type]
 
 
-@dataclass
-class AnalyticsRun:
-    tables: dict[str, DataFrame]
-    controls: dict[str, bool]
-    manifest: dict[str, Any]
+#: Figures of the marts that the analytics controls need.
+MART_FIGURES = {
+    **{n: {"closed": "closed_requests", "met": "sla_met_requests"} for n in MART_NAMES if n.startswith("sla_by_")},
+    "daily_service_operations": {"total": "total_requests"},
+    "sla_breach_details": {"not_closed": "int(status <> 'closed')", "not_positive": "int(resolution_overrun_minutes <= 0)"},
+}
 
 
-def build_analytics(spark: SparkSession, medallion_dir: str | Path) -> AnalyticsRun:
+def write_analytics(spark: SparkSession, medallion_dir: str | Path, output_dir: str | Path) -> str:
     """Marts over published Gold tables, reconciled with the counts and KPIs
-    that the medallion's manifest recorded."""
-    prepare_session(spark)
-    recorded = read_manifest(spark, join_path(medallion_dir, "medallion_manifest.json"), "Medallion manifest")
-    gold = GoldTables(spark, medallion_dir)
-    passed = ctl.gate(analytics_controls(gold, recorded), "Analytics")  # type: ignore[arg-type]
-    tables = {name: gold.mart(name) for name in MART_NAMES}
-    kpi = recorded["kpis"]
+    that the medallion's manifest recorded, and published."""
+    published = published_medallion(spark, medallion_dir)
+    recorded = published.manifest
+    gold = GoldTables(published)
+    run = Run(spark, output_dir, ANALYTICS)
+    for name in MART_NAMES:
+        written = run.write(name, in_order(gold.mart(name), name), name, MART_FIGURES.get(name))
+        if name in ("sla_by_team", "sla_by_category", "sla_by_priority"):
+            run.write_csv(in_order(written, name), f"{name}_csv")
+    kpi, of = recorded["kpis"], run.figure
+    closed, met = kpi.get("closed_requests") or 0, kpi.get("sla_met_requests") or 0
+    team_closed = of("sla_by_team", "closed")
+    checks = [
+        ("enriched_equals_gold_fact", of("service_requests_enriched"), recorded["row_counts"]["gold_fact"]),
+        ("breach_details_equals_global_breaches", of("sla_breach_details"), closed - met),
+        *[(f"{k}_closed_reconciles", of(f"sla_by_{k}", "closed"), closed) for k in ("team", "category", "priority", "team_category")],
+        ("daily_requests_reconcile", of("daily_service_operations", "total"), kpi["total_requests"]),
+        ("all_breach_rows_are_closed", of("sla_breach_details", "not_closed"), 0),
+        ("all_breach_overruns_are_positive", of("sla_breach_details", "not_positive"), 0),
+    ]
+    rate = safe_rate(F.lit(of("sla_by_team", "met")), F.lit(team_closed))
+    weighted = ctl.rows(spark.range(1), [("weighted_team_sla_equals_global", rate, F.lit(kpi["sla_compliance_rate"]))])
+    passed = run.check(checks, "Analytics", weighted)
     manifest = {
         "analytics_version": ANALYTICS_VERSION,
         "source_ingestion_batch_id": recorded["ingestion_batch_id"],
-        "row_counts": row_counts(tables),
+        "source_run": recorded["run"],
+        "row_counts": run.row_counts(),
         "controls": passed,
         "global_kpis": {
             k: kpi.get(k)
@@ -319,102 +273,79 @@ def build_analytics(spark: SparkSession, medallion_dir: str | Path) -> Analytics
                 "open_backlog_rate",
             ]
         }
-        | {"sla_breaches": (kpi.get("closed_requests") or 0) - (kpi.get("sla_met_requests") or 0)},
+        | {"sla_breaches": closed - met},
     }
-    return AnalyticsRun(tables, passed, manifest)
-
-
-def write_analytics(run: AnalyticsRun, output_dir: str | Path) -> str:
-    """Publish the (already checked) mart snapshots in each mart's order."""
-    out = str(output_dir)
-    written = {name: publish(df, name, join_path(out, name)) for name, df in run.tables.items()}
-    for name in ["sla_by_team", "sla_by_category", "sla_by_priority"]:
-        write_small_csv(in_order(written[name], name), join_path(out, f"{name}_csv"))
-    spark = next(iter(run.tables.values())).sparkSession
-    return write_manifest(run.manifest, join_path(out, "analytics_manifest.json"), spark)
+    return run.publish(manifest)
 
 
 def run_analytics(spark: SparkSession, medallion_dir: str, output_dir: str) -> str:
     prepare_session(spark)
     with scratch(spark):
-        return write_analytics(build_analytics(spark, medallion_dir), output_dir)
+        return write_analytics(spark, medallion_dir, output_dir)
 
 
 # --------------------------------------------------------------------------- process intelligence (B6)
 
 
-@dataclass
-class ProcessRun:
-    tables: dict[str, DataFrame]
-    controls: dict[str, bool]
-    manifest: dict[str, Any]
+#: Figures of the case table for the manifest.
+CASE_FIGURES = {
+    "closed": "int(status = 'closed')",
+    "open": "int(status = 'open')",
+    "escalated": "int(escalated_case)",
+    "reopened": "int(reopened_count > 0)",
+    "reopen_occurrences": "reopened_count",
+}
 
 
-def build_process_intelligence(layers: MedallionLayers) -> ProcessRun:
-    valid = layers.silver_valid
-    process.check_process_source(valid)
-    require_rows(valid, "Process-intelligence source must contain at least one valid case.")
-    passed = ctl.gate(process_controls(layers), "Process-intelligence")
-    tables = {
-        "event_log": layers.event_log,
-        "process_cases": layers.cases,
-        "process_variants": materialize(layers.variants(), "variants"),
-        "transition_performance": materialize(layers.transitions, "transitions"),
-        "exception_paths": materialize(layers.exception_paths(), "exception-paths"),
-    }
-    tables["bottlenecks"] = process.bottlenecks(tables["transition_performance"])
-    refuse_forbidden(tables, layers.contract)
-    counts = row_counts(tables)
-    cases = layers.cases
-    case_counts = one_row(
-        cases.agg(
-            F.count_if(F.col("status") == "closed").alias("closed"),
-            F.count_if(F.col("status") == "open").alias("open"),
-            F.count_if(F.col("escalated_case")).alias("escalated"),
-            F.count_if(F.col("reopened_count") > 0).alias("reopened"),
-            F.coalesce(F.sum("reopened_count"), F.lit(0)).alias("reopen_occurrences"),
-        )
-    )
+def write_process_intelligence(layers: MedallionLayers, output_dir: str | Path) -> str:
+    """Stage the process tables, check the staged event log and cases against
+    the accepted requests, and publish them."""
+    L, spark = layers, layers.bronze.sparkSession
+    process.check_process_source(L.silver_valid)
+    require_rows(L.silver_valid, "Process-intelligence source must contain at least one valid case.")
+    refuse_forbidden({"event_log": L.event_log, "process_cases": L.cases}, L.contract)
+    run = Run(spark, output_dir, PROCESS)
+
+    def stage(name: str, df: DataFrame, single: bool = True) -> DataFrame:
+        written = run.write(name, in_order(df, name), name, CASE_FIGURES if name == "process_cases" else None)
+        run.write_csv(in_order(written, name), f"{name}_csv", single)
+        return written
+
+    checked = copy.copy(L)  # the controls read what has been staged
+    checked.__dict__["event_log"] = stage("event_log", L.event_log, single=False)
+    checked.__dict__["cases"] = stage("process_cases", L.cases, single=False)
+    passed = run.check([], "Process-intelligence", process_controls(checked))
+    stage("process_variants", process.variants(checked.cases))
+    transitions = stage("transition_performance", L.transitions)
+    stage("exception_paths", process.exception_paths(checked.cases))
+    stage("bottlenecks", process.bottlenecks(transitions))
+    rows = run.row_counts()
     manifest = {
         "process_intelligence_version": PROCESS_VERSION,
         "event_origin": EVENT_ORIGIN,
         "interpretation_boundary": PROCESS_BOUNDARY,
         "row_counts": {
-            "cases": counts["process_cases"],
-            "events": counts["event_log"],
-            "variants": counts["process_variants"],
-            "transitions": counts["transition_performance"],
-            "bottlenecks": counts["bottlenecks"],
-            "exception_paths": counts["exception_paths"],
+            "cases": rows["process_cases"],
+            "events": rows["event_log"],
+            "variants": rows["process_variants"],
+            "transitions": rows["transition_performance"],
+            "bottlenecks": rows["bottlenecks"],
+            "exception_paths": rows["exception_paths"],
         },
-        "case_counts": {k: int(v) for k, v in case_counts.items()},
+        "case_counts": {k: int(run.figure("process_cases", k)) for k in CASE_FIGURES},
         "controls": passed,
     }
-    return ProcessRun(tables, passed, manifest)
+    return run.publish(manifest)
 
 
-def write_process_intelligence(run: ProcessRun, output_dir: str | Path) -> str:
-    out = str(output_dir)
-    for name, df in run.tables.items():
-        written = in_order(publish(df, name, join_path(out, name)), name)
-        if name in ("event_log", "process_cases"):
-            write_csv(written, join_path(out, f"{name}_csv"))
-        else:
-            write_small_csv(written, join_path(out, f"{name}_csv"))
-    spark = next(iter(run.tables.values())).sparkSession
-    return write_manifest(run.manifest, join_path(out, "process_intelligence_manifest.json"), spark)
-
-
-def run_process_intelligence(
-    spark: SparkSession, input_path: str, output_dir: str, contract: dict[str, Any] | None = None
-) -> str:
-    """Process outputs of CSV files: their medallion is built and must pass
-    its controls first."""
+def run_process_intelligence(spark: SparkSession, input_path: str, output_dir: str, contract: dict[str, Any] | None = None) -> str:
+    """Process outputs of CSV files, whose medallion must pass its controls
+    first."""
     prepare_session(spark)
     with scratch(spark):
         layers = MedallionLayers(bronze_from_csv(spark, input_path), contract)
-        build_medallion(layers)
-        return write_process_intelligence(build_process_intelligence(layers), output_dir)
+        ctl.gate(medallion_controls(layers), "Medallion")
+        return write_process_intelligence(layers, output_dir)
 
 
 def run_process_of_medallion(
@@ -423,12 +354,13 @@ def run_process_of_medallion(
     """Process outputs of a published medallion, whose recorded controls must
     all have passed and whose accepted requests must be as many as recorded."""
     prepare_session(spark)
-    recorded = read_manifest(spark, join_path(medallion_dir, "medallion_manifest.json"), "Medallion manifest")
+    published = published_medallion(spark, medallion_dir)
+    recorded = published.manifest
     with scratch(spark):
-        layers = MedallionLayers.from_published(spark, str(medallion_dir), contract)
+        layers = MedallionLayers.of_tables(published.table("bronze"), published.table("silver_valid"), contract)
         bad = sorted(name for name, ok in recorded["controls"].items() if not ok)
         if layers.silver_valid.count() != recorded["row_counts"]["silver_valid"]:
             bad.append("silver_valid_as_recorded")
         if bad or not recorded["controls"]:
             raise ValueError(f"Medallion reconciliation controls failed: {', '.join(bad) or 'none recorded'}")
-        return write_process_intelligence(build_process_intelligence(layers), output_dir)
+        return write_process_intelligence(layers, output_dir)

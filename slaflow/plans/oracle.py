@@ -685,4 +685,18 @@ FROM documents""",
        CAST(octet_length(encode(doc_id || ',' || line)) AS BIGINT) AS record_bytes
 FROM (SELECT doc_id, line, length(line) - length(replace(line, ',', '')) AS commas
       FROM (SELECT doc_id, translate(coalesce(text, ''), '"' || chr(10) || chr(13), '''  ') AS line FROM documents))""",
+    "published_row_counts": f"{PIPELINE}\n" + "\nUNION ALL ".join(
+        f"SELECT {q(name)} AS table_name, CAST(count(*) AS BIGINT) AS rows_recorded, CAST(count(*) AS BIGINT) AS rows_read FROM {table}"
+        for name, table in [
+            ("bronze", "bronze"), ("silver_valid", "silver_valid"), ("silver_rejected", "silver_rejected"), ("silver_issues", "issues"),
+            ("gold_fact", "fact"), ("dim_date", "dim_date"), ("dim_team", "dim_team"), ("dim_category", "dim_category"),
+            ("dim_priority", "dim_priority"),
+        ]
+    ),
+    "published_controls": f"{PIPELINE}\n({CONTROLS_MEDALLION})\nUNION ALL ({CONTROLS_ANALYTICS})\nUNION ALL ({CONTROLS_PROCESS})",
+    "gold_views": f"""{PIPELINE}
+SELECT t.assigned_team, d.year, d.month_name, count(*) AS requests, count(*) FILTER (WHERE f.sla_met) AS sla_met,
+       CAST(sum(f.reopened_count) AS BIGINT) AS reopened
+FROM fact f JOIN dim_team t ON f.team_key = t.team_key JOIN dim_date d ON f.created_date_key = d.date_key
+GROUP BY t.assigned_team, d.year, d.month_name""",
 }

@@ -4,7 +4,7 @@ import pytest
 
 from conftest import SF001
 from slaflow.plans import jobs
-from slaflow.plans.layers import MedallionLayers
+from slaflow.plans.publication import Published
 from slaflow.sources.requests import REQUEST_COLUMNS, request_rows
 
 
@@ -26,6 +26,11 @@ def test_csv_bronze_and_validation(spark, source_csv):
     assert report["valid_rows"] + report["invalid_rows"] == report["total_rows"]
 
 
+def tables_of(spark, root, manifest):
+    published = Published(spark, root, manifest, "manifest")
+    return published, {n: published.table(n) for n in published.manifest["tables"]}
+
+
 def test_medallion_analytics_process_jobs(spark, source_csv, tmp_path):
     manifest_path = jobs.run_medallion(spark, source_csv, str(tmp_path / "medallion"))
     manifest = json.loads(open(manifest_path).read())
@@ -35,18 +40,34 @@ def test_medallion_analytics_process_jobs(spark, source_csv, tmp_path):
     assert rc["gold_fact"] == rc["silver_valid"]
     assert manifest["kpis"]["total_requests"] == rc["silver_valid"]
     assert len(manifest["ingestion_batch_id"]) == 16
-
-    analytics = jobs.build_analytics(spark, str(tmp_path / "medallion"))
-    assert all(analytics.controls.values())
-    jobs.write_analytics(analytics, str(tmp_path / "analytics"))
-    assert analytics.manifest["row_counts"]["service_requests_enriched"] == rc["gold_fact"]
-
-    layers = MedallionLayers(spark.read.parquet(str(tmp_path / "medallion" / "bronze" / "service_requests")))
-    run = jobs.build_process_intelligence(layers)
-    assert all(run.controls.values())
-    assert run.manifest["row_counts"]["cases"] == rc["silver_valid"]
-    jobs.write_process_intelligence(run, str(tmp_path / "process"))
-    assert (tmp_path / "process" / "process_intelligence_manifest.json").is_file()
+    published, tables = tables_of(spark, tmp_path / "medallion", jobs.MEDALLION)
+    # the observed counts are those of the tables
+    assert {n: tables[n].count() for n in rc} == rc
+    kept = {r["control"]: (r["observed"], r["expected"], r["passed"]) for r in tables["controls"].collect()}
+    assert kept["valid_equals_fact"] == (rc["gold_fact"], rc["gold_fact"], True) and len(kept) == 3
+
+    path = jobs.run_analytics(spark, str(tmp_path / "medallion"), str(tmp_path / "analytics"))
+    analytics = json.loads(open(path).read())
+    assert all(analytics["controls"].values()) and len(analytics["controls"]) == 10
+    assert analytics["row_counts"]["service_requests_enriched"] == rc["gold_fact"]
+    assert analytics["source_run"] == manifest["run"]
+    _, marts = tables_of(spark, tmp_path / "analytics", jobs.ANALYTICS)
+    assert {n: marts[n].count() for n in analytics["row_counts"]} == analytics["row_counts"]
+
+    path = jobs.run_process_of_medallion(spark, str(tmp_path / "medallion"), str(tmp_path / "process"))
+    process = json.loads(open(path).read())
+    assert all(process["controls"].values()) and len(process["controls"]) == 10
+    assert process["row_counts"]["cases"] == rc["silver_valid"]
+    _, own = tables_of(spark, tmp_path / "process", jobs.PROCESS)
+    assert own["process_cases"].where("status = 'closed'").count() == process["case_counts"]["closed"]
+
+
+def test_gold_tables_are_views(spark, source_csv, tmp_path):
+    jobs.run_medallion(spark, source_csv, str(tmp_path / "m"))
+    jobs.GoldTables(jobs.published_medallion(spark, tmp_path / "m"))
+    rows = spark.sql("SELECT assigned_team, count(*) AS n FROM fact_service_requests JOIN dim_team USING (team_key) GROUP BY assigned_team").collect()
+    total = spark.sql("SELECT total_requests FROM service_operations_kpis").first()[0]
+    assert sum(r["n"] for r in rows) == total == spark.table("service_requests_enriched").count()
 
 
 def test_command_line_jobs(spark, source_csv, tmp_path):
@@ -148,13 +169,14 @@ def test_missing_gold_tables_and_manifest_are_listed(spark, source_csv, tmp_path
 
     out = tmp_path / "m"
     jobs.run_medallion(spark, source_csv, str(out))
+    published = jobs.published_medallion(spark, out)
     for name in ("dim_team", "dim_date"):
-        shutil.rmtree(out / "gold" / name)
+        shutil.rmtree(published.path(name))
     with pytest.raises(FileNotFoundError, match="Missing Gold Parquet input: .*dim_date.*dim_team"):
-        jobs.build_analytics(spark, str(out))
+        jobs.run_analytics(spark, str(out), str(tmp_path / "a"))
     (out / "medallion_manifest.json").unlink()
     with pytest.raises(FileNotFoundError, match="Missing Medallion manifest"):
-        jobs.build_analytics(spark, str(out))
+        jobs.run_analytics(spark, str(out), str(tmp_path / "a"))
 
 
 def test_recorded_figures_are_the_target(spark, source_csv, tmp_path):
@@ -164,13 +186,28 @@ def test_recorded_figures_are_the_target(spark, source_csv, tmp_path):
     manifest["kpis"]["closed_requests"] += 1
     open(path, "w").write(json.dumps(manifest))
     with pytest.raises(ValueError, match="team_closed_reconciles"):
-        jobs.build_analytics(spark, str(out))
+        jobs.run_analytics(spark, str(out), str(tmp_path / "a"))
+    assert not any((tmp_path / "a" / "runs").iterdir())  # a refused run leaves nothing
     manifest["controls"]["valid_equals_fact"] = False
     open(path, "w").write(json.dumps(manifest))
     with pytest.raises(ValueError, match="valid_equals_fact"):
         jobs.run_process_of_medallion(spark, str(out), str(tmp_path / "p"))
 
 
+def test_malformed_records_stop_the_job_or_are_published(spark, tmp_path):
+    good = ",".join(REQUEST_COLUMNS) + "\n" + ROW.format(1, "access") + "\n"
+    path = _drop(tmp_path, "long", good + ROW.format(2, "access") + ",more\n" + ROW.format(3, "access") + "\n")
+    with pytest.raises(ValueError, match="row 3 of f0.csv: expected 13 fields, saw 14"):
+        jobs.run_medallion(spark, path, str(tmp_path / "m"))
+    assert not (tmp_path / "m").exists()
+    jobs.run_medallion(spark, path, str(tmp_path / "m"), malformed="keep")
+    published, tables = tables_of(spark, tmp_path / "m", jobs.MEDALLION)
+    assert published.manifest["row_counts"]["malformed_records"] == 1 and published.manifest["row_counts"]["bronze"] == 2
+    (bad,) = tables["malformed_records"].collect()
+    assert bad["source_row"] == 3 and bad["record"].endswith(",more")
+    assert [r["source_row"] for r in tables["bronze"].collect()] == [2, 4]
+
+
 def test_published_order_and_no_leftovers(spark, source_csv, tmp_path):
     import pathlib
 
@@ -183,21 +220,22 @@ def test_published_order_and_no_leftovers(spark, source_csv, tmp_path):
     jobs.run_medallion(spark, source_csv, str(tmp_path / "m"))
     jobs.run_process_of_medallion(spark, str(tmp_path / "m"), str(tmp_path / "p"))
     assert set(shared.iterdir()) == before
+    medallion = jobs.published_medallion(spark, tmp_path / "m")
+    process = Published(spark, tmp_path / "p", jobs.PROCESS, "manifest")
 
-    def published(*names):
-        files = sorted(tmp_path.joinpath(*names).glob("part-*.parquet"))
+    def published(of, name):
+        files = sorted(pathlib.Path(of.path(name)).glob("part-*.parquet"))
         return [r for f in files for r in pq.read_table(f).to_pylist()]
 
     def ordered(rows, key):
         assert rows and [key(r) for r in rows] == sorted(key(r) for r in rows)
 
-    ordered(published("m", "silver", "service_request_issues"), lambda r: (r["source_row"], r["issue_code"]))
-    ordered(published("m", "gold", "dim_date"), lambda r: r["date_key"])
-    ordered(published("p", "event_log"), lambda r: (r["case_id"], r["event_index"]))
-    ordered(published("p", "process_cases"), lambda r: r["case_id"])
-    ordered(published("p", "transition_performance"), lambda r: (-r["case_count"], r["source_activity"], r["target_activity"]))
-    manifest = json.loads((tmp_path / "p" / "process_intelligence_manifest.json").read_text())
-    assert manifest["interpretation_boundary"].startswith("Event timestamps between")
+    ordered(published(medallion, "silver_issues"), lambda r: (r["source_row"], r["issue_code"]))
+    ordered(published(medallion, "dim_date"), lambda r: r["date_key"])
+    ordered(published(process, "event_log"), lambda r: (r["case_id"], r["event_index"]))
+    ordered(published(process, "process_cases"), lambda r: r["case_id"])
+    ordered(published(process, "transition_performance"), lambda r: (-r["case_count"], r["source_activity"], r["target_activity"]))
+    assert process.manifest["interpretation_boundary"].startswith("Event timestamps between")
 
 
 def test_forbidden_columns_are_refused(spark):
