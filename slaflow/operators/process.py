@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 from slaflow.contract import BOTTLENECK_BOUNDARY, EVENT_ORIGIN, MIN_BOTTLENECK_CASES
 from slaflow.functions.numeric import clamp, count_when, kpi_round, safe_rate, scaled_round
 from slaflow.functions.temporal import add_minutes_micros, fraction_micros, micros_to_minutes
+from slaflow.operators import sketches
 from slaflow.operators.ordinal import with_ordinal
 from slaflow.operators.quantiles import exact_quantiles
 from slaflow.sources.tables import require_columns
@@ -261,7 +262,7 @@ def number_events(
 
 
 def pairs_of_numbered(numbered: DataFrame, case_cols: Sequence[str], block: int = BLOCK_EVENTS) -> DataFrame:
-    """(source, target, wait) of consecutive events of a case.  ``lead`` runs
+    """(source, target, wait, time) of consecutive events of a case.  ``lead`` runs
     in blocks of ``block`` consecutive ranks, so a case of any size is spread
     over tasks; the last event of a block meets the first one of the next
     through a join of one row for each block.  A NULL case is a case like any
@@ -283,6 +284,7 @@ def pairs_of_numbered(numbered: DataFrame, case_cols: Sequence[str], block: int
         F.col("next.a").alias("target_activity"),
         wait_us.alias("wait_us"),
         micros_to_minutes(wait_us).alias("wait_minutes"),
+        F.col("next.t").alias("at"),
     )
 
 
@@ -381,6 +383,27 @@ def transition_performance(pairs: DataFrame) -> DataFrame:
     )
 
 
+def transition_sketches(pairs: DataFrame, grain: Sequence[str] = (), k: int = sketches.K) -> DataFrame:
+    """Occurrences, exact sum and sketch of the waits per (source, target) and
+    the columns of ``grain``, to be stored and merged."""
+    return sketches.sketch(pairs, [*grain, "source_activity", "target_activity"], "wait_minutes", k, {"sum_us": "wait_us"})
+
+
+def transitions_of_sketches(stored: DataFrame, k: int = sketches.K) -> DataFrame:
+    """``transition_performance`` made of stored sketches of any grain: means
+    and counts are exact, quantiles hold to the stated rank error."""
+    merged = sketches.merge(stored, ["source_activity", "target_activity"], k, ["sum_us"])
+    mean = micros_to_minutes(F.col("sum_us").cast("double") / F.col("n"))
+    return merged.select(
+        "source_activity",
+        "target_activity",
+        F.col("n").alias("case_count"),
+        kpi_round(mean, 2).alias("average_wait_minutes"),
+        kpi_round(sketches.quantile(0.5), 2).alias("median_wait_minutes"),
+        kpi_round(sketches.quantile(0.9), 2).alias("p90_wait_minutes"),
+    )
+
+
 def bottlenecks(
     transitions: DataFrame, min_cases: int = MIN_BOTTLENECK_CASES, boundary: str = BOTTLENECK_BOUNDARY
 ) -> DataFrame:

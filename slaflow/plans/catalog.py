@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from slaflow.operators import integrity, metrics, validation
-from slaflow.plans import files, published
+from slaflow.plans import files, published, sketched
 from slaflow.plans.layers import (
     MedallionLayers,
     ObservedLog,
@@ -115,4 +115,10 @@ QUERIES: dict[str, Query] = {
     "published_row_counts": published.published_row_counts,
     "published_controls": published.published_controls,
     "gold_views": published.gold_views,
+    "published_order": published.published_order,
+    "mart_differences": published.mart_differences,
+    "fact_by_month": published.fact_by_month,
+    # quantile sketches
+    "sketched_resolution": sketched.sketched_resolution,
+    "sketched_transitions": sketched.sketched_transitions,
 }

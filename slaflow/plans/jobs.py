@@ -77,6 +77,10 @@ TABLE_ORDER = {
 }
 
 
+#: Published tables that stand under another name in ``TABLE_ORDER``.
+ORDER_OF = {"gold_fact": "fact"}
+
+
 def in_order(df: DataFrame, name: str) -> DataFrame:
     """The table in its published order."""
     return df.orderBy(*[F.col(c[1:]).desc() if c[0] == "-" else F.col(c).asc() for c in TABLE_ORDER[name]])

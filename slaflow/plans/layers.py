@@ -33,10 +33,10 @@ _KEPT: OrderedDict[tuple, Any] = OrderedDict()
 MAX_KEPT = 4
 
 
-def _shared(spark: SparkSession, sf_dir: str, names: tuple[str, ...], build: Callable[[], Any]) -> Any:
+def shared(spark: SparkSession, sf_dir: str, names: tuple[str, ...], build: Callable[[], Any], what: str = "layers") -> Any:
     """What ``build`` makes of the tables, shared by the queries of a session
     until a file of the tables changes."""
-    slot = (session_key(spark), sf_dir, names, table_version(spark, sf_dir, names))
+    slot = (session_key(spark), what, sf_dir, names, table_version(spark, sf_dir, names))
     if slot not in _KEPT:
         _KEPT[slot] = build()
         while len(_KEPT) > MAX_KEPT:
@@ -67,7 +67,7 @@ class MedallionLayers:
     def for_requests(cls, spark: SparkSession, sf_dir: str) -> MedallionLayers:
         """The layers of the request source of ``sf_dir``, shared by the
         queries of the session (Bronze and Silver are materialised once)."""
-        return _shared(
+        return shared(
             spark, sf_dir, ("orders", "customer"), lambda: cls(bronze_requests(spark, sf_dir), request_contract())
         )
 
@@ -199,7 +199,7 @@ class ObservedLog:
     def for_events(cls, spark: SparkSession, sf_dir: str) -> ObservedLog:
         """Shared by the queries of a session (the events are numbered and
         their pairs materialised once)."""
-        return _shared(spark, sf_dir, ("events",), lambda: cls(spark, sf_dir))
+        return shared(spark, sf_dir, ("events",), lambda: cls(spark, sf_dir))
 
     @cached_property
     def numbered(self) -> DataFrame:

@@ -699,4 +699,35 @@ SELECT t.assigned_team, d.year, d.month_name, count(*) AS requests, count(*) FIL
        CAST(sum(f.reopened_count) AS BIGINT) AS reopened
 FROM fact f JOIN dim_team t ON f.team_key = t.team_key JOIN dim_date d ON f.created_date_key = d.date_key
 GROUP BY t.assigned_team, d.year, d.month_name""",
+    "published_order": f"{PIPELINE}\n" + "\nUNION ALL ".join(
+        f"SELECT {q(name)} AS table_name, CAST(count(*) AS BIGINT) AS rows, CAST(0 AS BIGINT) AS misplaced_in_files, "
+        f"CAST(0 AS BIGINT) AS misplaced_between_files FROM {table}"
+        for name, table in [
+            ("bronze", "bronze"), ("silver_valid", "silver_valid"), ("silver_rejected", "silver_rejected"), ("silver_issues", "issues"),
+            ("gold_fact", "fact"), ("dim_date", "dim_date"), ("dim_team", "dim_team"), ("dim_category", "dim_category"),
+            ("dim_priority", "dim_priority"), ("service_requests_enriched", "enriched"), ("sla_by_team", "sla_by_team"),
+            ("sla_by_category", "sla_by_category"), ("sla_by_priority", "sla_by_priority"), ("sla_by_team_category", "sla_by_team_category"),
+            ("daily_service_operations", "daily"), ("sla_breach_details", "breaches"), ("event_log", "event_log"),
+            ("process_cases", "cases"), ("process_variants", "variants"), ("transition_performance", "transitions"),
+            ("bottlenecks", "bottlenecks"), ("exception_paths", "exception_paths"),
+        ]
+    ),
+    "mart_differences": f"""{PIPELINE}
+SELECT ticket_id, resolution_minutes, 'left' AS side, CAST(1 AS BIGINT) AS copies FROM enriched WHERE right(ticket_id, 2) IN ('07', '13')
+UNION ALL SELECT ticket_id, coalesce(resolution_minutes, 0) + 1, 'right', 1 FROM enriched WHERE right(ticket_id, 2) = '13'
+UNION ALL SELECT ticket_id, resolution_minutes, 'right', 1 FROM enriched WHERE right(ticket_id, 2) = '42'""",
+    "fact_by_month": f"""{PIPELINE}
+SELECT CAST(created_date_key // 100 AS INTEGER) AS created_month, count(*) AS requests, count(*) FILTER (WHERE status = 'closed') AS closed_requests,
+       count(*) FILTER (WHERE sla_met) AS sla_met_requests,
+       CAST(max(source_row + CASE WHEN created_date_key >= 19980101 THEN 1000000000 ELSE 0 END) AS BIGINT) AS last_row
+FROM fact GROUP BY created_date_key // 100""",
+    "sketched_resolution": f"""{PIPELINE}
+SELECT mart, assigned_team, category, closed_requests, true AS median_holds, true AS p90_holds FROM (
+    SELECT 'team' AS mart, assigned_team, CAST(NULL AS VARCHAR) AS category, count(resolution_minutes) AS closed_requests
+    FROM enriched WHERE status = 'closed' GROUP BY assigned_team
+    UNION ALL SELECT 'category', NULL, category, count(resolution_minutes) FROM enriched WHERE status = 'closed' GROUP BY category
+    UNION ALL SELECT 'team_category', assigned_team, category, count(resolution_minutes) FROM enriched WHERE status = 'closed'
+    GROUP BY assigned_team, category)""",
+    "sketched_transitions": f"""{_with(OBSERVED_SQL)}
+SELECT source_activity, target_activity, case_count, average_wait_minutes, true AS median_holds, true AS p90_holds FROM obs_transitions""",
 }
