@@ -19,7 +19,7 @@ from typing import Any
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from slaflow.contract import column_spec, java_timestamp_pattern
+from slaflow.contract import column_spec
 from slaflow.functions.numeric import is_integral, parse_number, safe_rate
 from slaflow.functions.temporal import parse_timestamp
 from slaflow.functions.text import full_match, text, trimmed
@@ -77,7 +77,6 @@ def parsed_column_map(contract: dict[str, Any]) -> dict[str, Column]:
     """Helper column name -> expression: each source column trimmed once,
     each integer/datetime parsed once."""
     spec = column_spec(contract)
-    pattern = java_timestamp_pattern(contract["timestamp_format"])
     out = {helper("t", name): trimmed(name) for name in spec}
     for name, definition in spec.items():
         t = trimmed(name)
@@ -87,7 +86,7 @@ def parsed_column_map(contract: dict[str, Any]) -> dict[str, Column]:
             # Required datetimes are parsed exactly as supplied, optional ones
             # after trimming (a padded required timestamp is a format error).
             source = t if definition.get("nullable", True) else text(name)
-            out[helper("ts", name)] = F.when(t != "", parse_timestamp(source, pattern))
+            out[helper("ts", name)] = F.when(t != "", parse_timestamp(source, contract["timestamp_format"]))
     return out
 
 

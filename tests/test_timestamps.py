@@ -1,0 +1,46 @@
+import datetime as dt
+import random
+
+import pandas as pd
+import pytest
+from pyspark.sql import functions as F
+
+from slaflow.contract import default_contract
+from slaflow.functions.temporal import parse_timestamp
+
+FORMAT = default_contract()["timestamp_format"]
+ODD = [
+    "2024-1-5T01:02:03Z", "2024-01-05T1:2:3Z", "2024-01-05T01:02:60Z", "2024-01-05T23:59:61Z", "2024-01-05T01:02:62Z", "0000-01-01T00:00:00Z",
+    "0001-01-01T00:00:00Z", "1677-09-21T00:12:43Z", "1677-09-21T00:12:44Z", "1677-12-31T00:00:00Z", "2262-04-11T23:47:16Z",
+    "2262-04-11T23:47:17Z", "2263-01-01T00:00:00Z", "9999-12-31T23:59:59Z", "2024-02-30T00:00:00Z", "2023-02-29T00:00:00Z", "2024-2-29T0:0:0Z",
+    " 2024-01-05T01:02:03Z", "2024-01-05T24:00:00Z", "2024-01- 5T01:02:03Z", "2024-01-05t01:02:03z", "2024-01-05T01:02:03Z ", "2024-01-005T01:02:03Z",
+    "2024-01-05T01:02:03", "24-01-05T01:02:03Z", "12024-01-05T01:02:03Z", "+12024-01-05T01:02:03Z", "-2024-01-05T01:02:03Z", "2024-01-00T01:02:03Z",
+    "2024-00-01T01:02:03Z", "2024-13-01T01:02:03Z", "2024-01-32T01:02:03Z", "2024-01-05T01:60:03Z", "2024-01-05 01:02:03Z", "2024/01/05T01:02:03Z",
+    "2024-01-05T01:02:03.5Z", "2024-01-05T01:02:03+00:00", "", " ", "T", "2024-1-5T01:02:03Z\n", "2024-01-05T01:02:03Z\n", "2024-1-1T0:0:0Z", "2024-111T0:0:0Z", "2024-01-05T010203Z", "2024-12-31T23:59:60Z",
+]
+
+
+def library(text):
+    value = pd.to_datetime(pd.Series([text]), format=FORMAT, errors="coerce", utc=True)[0]
+    return None if pd.isna(value) else value.to_pydatetime().astimezone(dt.timezone.utc).replace(tzinfo=None)
+
+
+def ours(spark, texts):
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    parsed = parse_timestamp(F.col("t"), FORMAT)
+    return [r["x"] for r in df.select(F.date_format(parsed, "yyyy-MM-dd HH:mm:ss").alias("x")).collect()]
+
+
+@pytest.mark.parametrize("seed", [None, 1])
+def test_equals_the_library_call(spark, seed):
+    texts = ODD
+    if seed is not None:
+        rng = random.Random(seed)
+        number = lambda top, width: str(rng.randint(0, top)).zfill(rng.choice([1, width]))
+        texts = [
+            f"{rng.choice(['2024', '1999', '1677', '2262', '24'])}-{number(13, 2)}-{number(32, 2)}{rng.choice('TTTt ')}{number(25, 2)}:{number(61, 2)}:{number(63, 2)}{rng.choice(['Z', 'Z', 'z', ''])}"
+            for _ in range(400)
+        ]
+    want = [library(t) for t in texts]
+    assert [None if w is None else w.strftime("%Y-%m-%d %H:%M:%S") for w in want] == ours(spark, texts)
+    assert any(want) and not all(want)
