@@ -10,9 +10,11 @@ are cut anywhere into chunks, which are encoded by different tasks:
    the transfer matrix from the states at its begin to those at its end: 0
    where a sequence of pieces leads from one to the other, minus infinity
    elsewhere (so kept as the set of its zeros).
-2. One task for each document takes the states that can be reached through
-   its matrices one after the other, forwards and backwards, which leaves
-   one state at each cut.
+2. The products of runs of ``RUN`` chunks are made in groups of their own.
+   They are associative, so the few products of a document tell the states
+   that can be reached at the ends of each run, forwards and backwards, which
+   leaves one state there; between these, each run finds the state at every
+   cut inside it, again in groups of their own.
 3. Between the states at its ends, every chunk is traced back on its own.
 
 For this, BPE is a path problem: pieces are a text's encoding just if every
@@ -42,8 +44,12 @@ from pyspark.sql import functions as F
 from slaflow.llm.common import materialize, text_or_empty, without
 from slaflow.llm.ngram_join import grouped
 
-CHUNK_CHARS = 65_536
+CHUNK_CHARS = 16_384
+#: Chunks whose matrices are multiplied in one group.
+RUN = 64
 SPACE = "▁"
+#: What a model that normalises texts would change.
+PROBE = "ﬁ  Ａ\t e\u0301 \u00a0x²\r\n İ "
 #: A state: (characters of the piece before the cut, the piece).  Where no
 #: piece can cross, at the begin and at the end, there is only this one:
 FREE = (0, "")
@@ -62,10 +68,13 @@ class Encoder:
 
     def __init__(self, path: str):
         m = self.model = load(path)
-        self.pieces = {
-            m.id_to_piece(i) for i in range(m.get_piece_size())
+        normal = [
+            i for i in range(m.get_piece_size())
             if not (m.is_control(i) or m.is_unknown(i) or m.is_byte(i) or m.is_unused(i))
-        }
+        ]
+        self.pieces = {m.id_to_piece(i) for i in normal}
+        if any(not m.get_score(i).is_integer() for i in normal) or m.normalize(PROBE) != SPACE + PROBE.replace(" ", SPACE):
+            raise ValueError(f"{path} is no BPE model that leaves texts as they are")
         self.longest = max(map(len, self.pieces))
         self.touching = {p[i : i + 2] for p in self.pieces for i in range(len(p) - 1)}
         characters = set().union(*self.pieces)
@@ -161,13 +170,21 @@ def compose(a: Matrix, b: Matrix) -> Matrix:
     return {(entry, exit_) for entry, middle in a for exit_ in onward.get(middle, ())}
 
 
-def scan(matrices: list[Matrix]) -> list[State]:
-    """The state at every cut and at both ends.  The products of all matrices
-    before and after a cut leave one state that is on a path of weight 0."""
-    before: list[set[State]] = [{FREE}]
+def product(matrices: list[Matrix]) -> Matrix:
+    out = matrices[0]
+    for m in matrices[1:]:
+        out = compose(out, m)
+    return out
+
+
+def scan(matrices: list[Matrix], entry: State = FREE, exit_: State = FREE) -> list[State]:
+    """The state at every cut and at both ends.  What leads to a cut from the
+    entry and from there to the exit leaves one state that is on a path of
+    weight 0."""
+    before: list[set[State]] = [{entry}]
     for m in matrices:
         before.append({x for e, x in m if e in before[-1]})
-    after: list[set[State]] = [{FREE}]
+    after: list[set[State]] = [{exit_}]
     for m in reversed(matrices):
         after.append({e for e, x in m if x in after[-1]})
     out = []
@@ -223,23 +240,51 @@ def _matrices(path: str, chunk_chars: int):
     return run
 
 
-def _scans(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Of (row, chunk, matrix) sorted by both: (row, chunk, entry, exit)."""
-    for table, at in grouped(batches, 1, least=64):
-        pair = lambda x: ((x["entry"]["n"], x["entry"]["piece"]), (x["exit"]["n"], x["exit"]["piece"]))
-        matrices = [{pair(x) for x in m} for m in table.column(2).to_pylist()]
-        entries, exits = [], []
-        for s, e in zip(at[:-1], at[1:]):
-            states = [_state(x) for x in scan(matrices[s:e])]
-            entries += states[:-1]
-            exits += states[1:]
+def _of_row(x: dict) -> State:
+    return (x["n"], x["piece"])
+
+
+def _read(column: pa.ChunkedArray) -> list[Matrix]:
+    return [{(_of_row(x["entry"]), _of_row(x["exit"])) for x in m} for m in column.to_pylist()]
+
+
+def _products(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of (row, run, chunk, matrix) sorted by all: (row, run, matrix), the
+    product of each run."""
+    for table, at in grouped(batches, 2, least=64):
+        matrices = _read(table.column(3))
+        made = [product(matrices[s:e]) for s, e in zip(at[:-1], at[1:])]
+        first = pa.array(at[:-1])
         yield pa.RecordBatch.from_arrays(
-            [table.column(0).combine_chunks(), table.column(1).combine_chunks(), pa.array(entries, _ARROW_STATE),
-             pa.array(exits, _ARROW_STATE)],
-            ["row", "chunk", "entry", "exit"],
+            [
+                table.column(0).take(first).combine_chunks(), table.column(1).take(first).combine_chunks(),
+                pa.array([[{"entry": _state(e), "exit": _state(x)} for e, x in sorted(m)] for m in made], _ARROW_MATRIX),
+            ],
+            ["row", "run", "matrix"],
         )
 
 
+def _scans(keys: int):
+    """Of (*keys, part, matrix[, from, to]) sorted by keys and part: the keys
+    and part with the states at the ends of each part (entry, exit)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table, at in grouped(batches, keys, least=64):
+            matrices = _read(table.column(keys + 1))
+            ends = [table.column(k).to_pylist() for k in range(keys + 2, table.num_columns)]
+            entries, exits = [], []
+            for s, e in zip(at[:-1], at[1:]):
+                states = [_state(x) for x in scan(matrices[s:e], *[_of_row(end[s]) for end in ends])]
+                entries += states[:-1]
+                exits += states[1:]
+            yield pa.RecordBatch.from_arrays(
+                [*[table.column(k).combine_chunks() for k in range(keys + 1)], pa.array(entries, _ARROW_STATE), pa.array(exits, _ARROW_STATE)],
+                [*table.schema.names[: keys + 1], "entry", "exit"],
+            )
+
+    return run
+
+
 def _trace(path: str, chunk_chars: int):
     """Ids of the pieces that begin in each chunk."""
 
@@ -288,9 +333,18 @@ def encode(docs: DataFrame, model_path: str, chunk_chars: int = CHUNK_CHARS, tex
     )
     chunks = cut.repartition("row", "chunk")  # one exchange, read by both passes
     matrices = chunks.mapInArrow(_matrices(model_path, chunk_chars), f"row long, chunk int, matrix {_MATRIX}")
-    states = matrices.repartition("row").sortWithinPartitions("row", "chunk").mapInArrow(
-        _scans, f"row long, chunk int, entry {_STATE}, exit {_STATE}"
+    # one exchange of the matrices, read by the products and by the scans inside the runs
+    near = matrices.withColumn("run", F.floor(F.col("chunk") / RUN).cast("int")).repartition("row", "run")
+    products = near.select("row", "run", "chunk", "matrix").sortWithinPartitions("row", "run", "chunk").mapInArrow(
+        _products, f"row long, run int, matrix {_MATRIX}"
+    )
+    ends = products.repartition("row").sortWithinPartitions("row", "run").mapInArrow(
+        _scans(1), f"row long, run int, entry {_STATE}, exit {_STATE}"
     )
+    inside = near.join(ends, ["row", "run"]).select("row", "run", "chunk", "matrix", "entry", "exit")
+    states = inside.repartition("row", "run").sortWithinPartitions("row", "run", "chunk").mapInArrow(
+        _scans(2), f"row long, run int, chunk int, entry {_STATE}, exit {_STATE}"
+    ).drop("run")
     traced = chunks.join(states, ["row", "chunk"]).select("row", "chunk", "begin", "s", "entry", "exit")
     parts = traced.mapInArrow(_trace(model_path, chunk_chars), "row long, chunk int, ids array<int>")
     # The ids of a document, as long as its text, are put together in its row.

@@ -46,7 +46,7 @@ def test_products_are_associative(encoder):
         left = ss.compose(left, x)
     for x in reversed(m[:-1]):
         right = ss.compose(x, right)
-    assert left == right == {(ss.FREE, ss.FREE)}
+    assert left == right == ss.product(m) == {(ss.FREE, ss.FREE)}
     assert ss.compose(ss.compose(m[2], m[3]), m[4]) == ss.compose(m[2], ss.compose(m[3], m[4]))
 
 
@@ -59,6 +59,41 @@ def test_tables_against_the_library(spark, odd_docs, odd_rows, make_docs):
     assert sorted(got, key=repr) == sorted(want, key=repr)
 
 
+@pytest.mark.parametrize("run", [1, 3, 64])
+def test_runs_of_chunks(encoder, make_docs, monkeypatch, run):
+    """Products of runs, then the states inside them, give the states of one
+    scan over all."""
+    monkeypatch.setattr(ss, "RUN", run)
+    rng = random.Random(run)
+    texts = ["".join(rng.choice(a) for _ in range(rng.randint(50, 400))) for a in ALPHABETS for _ in range(3)]
+    rows = ss.encode(make_docs(list(enumerate(texts))).repartition(3), PATH, chunk_chars=20).collect()
+    assert {r["doc_id"]: r["ids"] for r in rows} == {k: encoder.model.encode(t) for k, t in enumerate(texts)}
+
+
+def test_states_between_given_ends(encoder):
+    rng = random.Random(5)
+    text = "".join(rng.choice("etaoinshrdlu") for _ in range(300))
+    _, m = by_chunks(encoder, text, 17)
+    whole = ss.scan(m)
+    for a, b in ((0, 5), (4, 9), (7, len(m))):
+        assert ss.scan(m[a:b], whole[a], whole[b]) == whole[a : b + 1]
+
+
+def test_other_models_are_refused(monkeypatch):
+    class Other:
+        def __init__(self, model, **changed):
+            self.model, self.changed = model, changed
+
+        def __getattr__(self, name):
+            return self.changed.get(name) or getattr(self.model, name)
+
+    model = ss.load(PATH)
+    for changed in ({"normalize": lambda t: model.normalize(t).lower()}, {"get_score": lambda i: -i / 7}):
+        monkeypatch.setattr(ss, "load", lambda _, c=changed: Other(model, **c))
+        with pytest.raises(ValueError, match="no BPE model"):
+            ss.Encoder(PATH)
+
+
 def test_a_giant_word_in_chunks(make_docs):
     rng = random.Random(8)
     text = "".join(rng.choice("etaoinshrdlu") for _ in range(20_000))
@@ -73,6 +108,7 @@ def test_query(spark):
 
     model = sentencepiece.SentencePieceProcessor(model_file=PATH)
     want = {r["doc_id"]: model.encode(r["text"]) for r in load(f"{SF001}/documents.parquet")}
+    assert any(len(r["text"] or "") > ss.CHUNK_CHARS for r in load(f"{SF001}/documents.parquet"))  # the scan is used
     rows = QUERIES["op8_sentencepiece"](spark, SF001).collect()
     assert {r["doc_id"]: r["ids"] for r in rows} == want
     assert all(r["round_trip"] and r["n_tokens"] == len(r["ids"]) for r in rows)
