@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from slaflow.operators.ordinal import materialize
 from slaflow.session import ensure_checkpoint_dir
 
-__all__ = ["documents", "materialize", "shared_path", "split_batch", "string_buffers", "table", "text_or_empty", "utf8_bytes", "without"]
+__all__ = ["documents", "join_weighted", "materialize", "shared_path", "split_batch", "string_buffers", "table", "text_or_empty", "utf8_bytes", "without"]
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
@@ -59,6 +59,22 @@ def ascii_lower(column: Column) -> Column:
     return F.when(ascii_only, F.lower(column)).otherwise(F.translate(column, UPPER, UPPER.lower()))
 
 
+#: A key with at least this share of all rows is joined by broadcast; there
+#: are at most as many such keys.
+HEAVY_SHARE = 1000
+
+
+def join_weighted(rows: DataFrame, table: DataFrame, key: str, weight: str = "n") -> DataFrame:
+    """``rows`` (written) joined to a table with one row for each key, whose
+    ``weight`` is the number of rows that hold the key.  Heavy keys, at most
+    a thousand, are broadcast; in the shuffle of the others none is heavy."""
+    total = table.agg(F.coalesce(F.sum(weight), F.lit(0)).alias("n")).first()["n"]
+    heavy = F.col(weight) * HEAVY_SHARE >= total
+    few = F.broadcast(table.where(heavy).drop(weight))
+    rest = rows.join(few.select(key), key, "left_anti").join(table.where(~heavy).drop(weight), key)
+    return rows.join(few, key).unionByName(rest)
+
+
 def without(df: DataFrame, *names: str) -> DataFrame:
     """The frame without the columns of these names, in whatever case."""
     gone = {n.lower() for n in names}

@@ -41,7 +41,7 @@ def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(
         "doc_id", count(0).alias("n_assign"), count(1).alias("n_access"), count(2).alias("n_hex"),
         F.sha2(secret_scan.span_list(F.col("base")), 256).alias("base_sha256"),
-        secret_scan.span_list(F.col("spans")).alias("spans"), "n_live", "n_example",
+        secret_scan.span_list(F.col("spans")).alias("spans"), "n_live", "n_example", "max_owners", "max_repos",
     )
 
 

@@ -2,8 +2,11 @@
 
 Each text is searched once for candidates.  The hashes of their values are
 counted over the whole corpus by distinct owners and repositories (pairs of
-owner and repository).  A value that several owners hold is a widely copied
-example; a value that stays with one or two is likely a live credential.
+owner and repository).  A value that several owners hold, or that stands in
+many repositories of few owners, is a widely copied example; a value that
+stays with one or two owners in a few places is likely a live credential.
+Where no column names the repository, a repository is the text itself: all
+copies of a text within an owner are one, as forks and mirrors are.
 
 Candidates are the base patterns (password-like assignments, access keys,
 long hex strings) and, outside their spans, long mixed tokens of high
@@ -12,7 +15,7 @@ entropy.  Base spans are always reported; a mixed token is reported (kind
 
 Defined results: a null text is empty; null owners count as one owner and
 null repositories as one repository of it; a repeated row is reported again
-but is no new repository; an empty table gives no rows; of the other columns
+but is no new repository (ten other texts of one owner are ten); an empty table gives no rows; of the other columns
 only the named ones are read.  Offsets are code points, the end exclusive.
 """
 
@@ -28,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from slaflow.llm.common import materialize
+from slaflow.llm.common import join_weighted, materialize, text_or_empty
 
 #: Base kinds in the order in which spans that start together are listed.
 KINDS = ("assign", "access", "hex", "owned")
@@ -84,13 +87,13 @@ def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-def candidates(docs: DataFrame, id_col: str, text_col: str, owner_col: str, repo_col: str) -> DataFrame:
+def candidates(docs: DataFrame, id_col: str, text_col: str, owner_col: str, repo_col: str | None) -> DataFrame:
     """(row, doc_id, owner, repo, found) of every row, written once; row
     numbers are those of the written table."""
     picked = docs.select(
         F.col(id_col).alias("doc_id"),
         F.col(owner_col).cast("string").alias("owner"),
-        F.col(repo_col).cast("string").alias("repo"),
+        (F.col(repo_col).cast("string") if repo_col else F.md5(text_or_empty(text_col).cast("binary"))).alias("repo"),
         F.col(text_col).alias("text"),
     )
     id_type = picked.schema["doc_id"].dataType.simpleString()
@@ -99,14 +102,14 @@ def candidates(docs: DataFrame, id_col: str, text_col: str, owner_col: str, repo
 
 
 def ownership(found: DataFrame) -> DataFrame:
-    """(hash, n_repos, n_owners) of every candidate value.  Each step is
-    combined before its shuffle, so a value that a third of all rows hold
-    costs a row for each task and repository."""
+    """(hash, n_repos, n_owners, n) of every candidate value, ``n`` the number
+    of its spans.  Each step is combined before its shuffle, so a value that a
+    third of all rows hold costs a row for each task and repository."""
     held = found.where(F.size("found") > 0).select("owner", "repo", F.explode("found.hash").alias("hash"))
     return (
-        held.groupBy("hash", "owner", "repo").agg(F.lit(1).alias("one"))
-        .groupBy("hash", "owner").agg(F.count("one").alias("repos"))
-        .groupBy("hash").agg(F.sum("repos").alias("n_repos"), F.count("repos").alias("n_owners"))
+        held.groupBy("hash", "owner", "repo").agg(F.count(F.lit(1)).alias("n"))
+        .groupBy("hash", "owner").agg(F.count("n").alias("repos"), F.sum("n").alias("n"))
+        .groupBy("hash").agg(F.sum("repos").alias("n_repos"), F.count("repos").alias("n_owners"), F.sum("n").alias("n"))
     )
 
 
@@ -121,30 +124,35 @@ def span_list(spans: Column) -> Column:
 def scan_secrets(
     docs: DataFrame,
     example_owners: int = 3,
+    example_repos: int = 10,
     id_col: str = "doc_id",
     text_col: str = "text",
     owner_col: str = "source",
-    repo_col: str = "doc_id",
+    repo_col: str | None = None,
 ) -> DataFrame:
-    """(doc_id, base, spans, n_live, n_example) of every row: ``base`` and
-    ``spans`` are arrays of (start, kind, end, hash) in order, the latter
-    with the owner-specific mixed tokens; the numbers tell how many
-    candidates are owner-specific and how many are copied examples (values
-    of at least ``example_owners`` owners)."""
+    """(doc_id, base, spans, n_live, n_example, max_owners, max_repos) of every
+    row: ``base`` and ``spans`` are arrays of (start, kind, end, hash) in
+    order, the latter with the owner-specific mixed tokens; the numbers tell
+    how many candidates are owner-specific and how many are copied examples
+    (values of at least ``example_owners`` owners or ``example_repos``
+    repositories), and how many owners and repositories the most widely held
+    candidate has (none: 0)."""
     found = candidates(docs, id_col, text_col, owner_col, repo_col)
-    known = ownership(found).select("hash", (F.col("n_owners") < example_owners).alias("live"))
+    live = (F.col("n_owners") < example_owners) & (F.col("n_repos") < example_repos)
+    known = materialize(ownership(found).withColumn("live", live), "secret-owners")
     spans = found.where(F.size("found") > 0).select("row", F.explode("found").alias("span"))
-    judged = spans.withColumn("hash", F.col("span.hash")).join(known, "hash")
+    judged = join_weighted(spans.withColumn("hash", F.col("span.hash")), known, "hash")
     per_row = judged.groupBy("row").agg(
         F.collect_list(F.when(F.col("live") & (F.col("span.kind") == 3), F.col("span"))).alias("owned"),
         F.sum(F.col("live").cast("long")).alias("n_live"),
         F.sum((~F.col("live")).cast("long")).alias("n_example"),
+        F.max("n_owners").alias("max_owners"),
+        F.max("n_repos").alias("max_repos"),
     )
     base = F.filter("found", lambda s: s["kind"] < 3)
     return found.join(per_row, "row", "left").select(
         "doc_id",
         base.alias("base"),
         F.when(F.col("owned").isNull(), base).otherwise(F.array_sort(F.concat(base, "owned"))).alias("spans"),
-        F.coalesce("n_live", F.lit(0).cast("long")).alias("n_live"),
-        F.coalesce("n_example", F.lit(0).cast("long")).alias("n_example"),
+        *[F.coalesce(c, F.lit(0).cast("long")).alias(c) for c in ("n_live", "n_example", "max_owners", "max_repos")],
     )

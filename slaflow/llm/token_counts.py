@@ -4,6 +4,9 @@ A text is known by the digest of its normalised content, a tokenizer by the
 digest of its file.  Texts are joined to the counts stored for that pair;
 one copy of every missing text is encoded, and the new counts are appended
 to the cache, so a count is made once for all copies and all later runs.
+The copy is that of the smallest row number, found by an aggregate of narrow
+rows, so copies never meet in a task with their texts; counts of contents
+that many rows share are broadcast.
 
 Normalisation collapses runs of ASCII white space into one space.  It is for
 tokenizers that do the same before they cut words (``word_bpe_49k.json``),
@@ -31,7 +34,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from slaflow.llm.common import materialize, shared_path, text_or_empty, utf8_bytes
+from slaflow.llm.common import join_weighted, materialize, shared_path, text_or_empty, utf8_bytes
 
 CACHE_SCHEMA = "tokenizer string, content binary, n_tokens long"
 #: Texts of these characters only mean the same to the tokenizer's pattern and
@@ -132,20 +135,15 @@ def count_tokens(
     cache_path = cache_path or shared_path(spark, "token-cache")
     text = text_or_empty(text_col)
     content = _content_digest(text, normalise)
-    keyed = materialize(
-        docs.select(F.col(id_col).alias("doc_id"), utf8_bytes(F.col(text_col)).alias("n_bytes"), content.alias("content")),
-        "token-keys",
-    )
-    missing = (
-        keyed.groupBy("content").agg(F.min("doc_id").alias("holder"))
-        .join(read_cache(spark, cache_path, version), "content", "left_anti")
+    rows = docs.select(
+        F.col(id_col).alias("doc_id"), utf8_bytes(F.col(text_col)).alias("n_bytes"), text.alias("text"), content.alias("content"),
+        F.monotonically_increasing_id().alias("row"),
     )
-    holders = docs.select(F.col(id_col).alias("doc_id"), text.alias("text"), content.alias("content"))
-    texts = holders.alias("d").join(
-        missing.alias("m"),
-        (F.col("d.content") == F.col("m.content")) & F.col("d.doc_id").eqNullSafe(F.col("m.holder")),
-        "left_semi",
-    )
+    keyed = materialize(rows.drop("text"), "token-keys")
+    contents = materialize(keyed.groupBy("content").agg(F.min("row").alias("holder"), F.count("row").alias("n")), "token-contents")
+
+    def missing() -> DataFrame:
+        return contents.join(read_cache(spark, cache_path, version), "content", "left_anti")
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counter = Counter(tokenizer_path)
@@ -153,9 +151,14 @@ def count_tokens(
             counts = [counter.count(t.as_py()) for t in batch.column(1)]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(counts, pa.int64())], ["content", "n_tokens"])
 
-    made = texts.select("content", "text").mapInArrow(encode, "content binary, n_tokens long")
-    made.select(F.lit(version).alias("tokenizer"), "content", "n_tokens").write.mode("append").parquet(cache_path)
-    counts = read_cache(spark, cache_path, version)
-    return keyed.join(counts, "content").select(
+    def append(texts: DataFrame) -> None:
+        made = texts.select("content", "text").mapInArrow(encode, "content binary, n_tokens long")
+        made.select(F.lit(version).alias("tokenizer"), "content", "n_tokens").write.mode("append").parquet(cache_path)
+
+    append(rows.join(missing().select(F.col("holder").alias("row")), "row", "left_semi"))
+    if not (left := missing()).isEmpty():  # the rows came in another order this time
+        append(rows.join(left.select("content"), "content", "left_semi").groupBy("content").agg(F.first("text").alias("text")))
+    counts = contents.select("content", "n").join(read_cache(spark, cache_path, version), "content")
+    return join_weighted(keyed, counts, "content").select(
         "doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > limit).alias("over_limit")
     )

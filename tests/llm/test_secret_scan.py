@@ -26,10 +26,12 @@ def test_query_against_the_patterns(spark):
     rows = {r["doc_id"]: r for r in QUERIES["op4_secret_scan"](spark, SF01).collect()}
     docs = load(f"{SF01}/documents.parquet")
     assert len(rows) == len(docs)
-    owners = defaultdict(set)
+    owners, repos = defaultdict(set), defaultdict(set)
     for d in docs:
         for s, k, e, h in ss.find(d["text"]):
             owners[h].add(d["source"])
+            repos[h].add((d["source"], d["text"]))
+    live = lambda h: len(owners[h]) < 3 and len(repos[h]) < 10
     some = 0
     for d in docs:
         r, base = rows[d["doc_id"]], base_spans(d["text"])
@@ -37,11 +39,13 @@ def test_query_against_the_patterns(spark):
         assert [r["n_assign"], r["n_access"], r["n_hex"]] == [sum(x[1] == k for x in base) for k in range(3)]
         assert r["base_sha256"] == hashlib.sha256(listed(base).encode()).hexdigest()
         found = ss.find(d["text"])
-        want = [(s, k, e) for s, k, e, h in found if k < 3 or len(owners[h]) < 3]
+        want = [(s, k, e) for s, k, e, h in found if k < 3 or live(h)]
         assert r["spans"] == listed(want)
         assert (r["n_live"], r["n_example"]) == (
-            sum(len(owners[x[3]]) < 3 for x in found), sum(len(owners[x[3]]) >= 3 for x in found),
+            sum(live(x[3]) for x in found), sum(not live(x[3]) for x in found),
         )
+        assert r["max_owners"] == max((len(owners[x[3]]) for x in found), default=0)
+        assert r["max_repos"] == max((len(repos[x[3]]) for x in found), default=0)
     assert some > 20
 
 
@@ -65,6 +69,29 @@ def test_owner_frequency_separates_copied_from_live(make_docs, spark):
     assert sorted((r["n_repos"], r["n_owners"]) for r in repos) == [(1, 1), (9, 3)]
 
 
+def test_both_counts_decide(make_docs):
+    """A value in many texts of one owner is an example; in copies of one
+    text, or in a few texts, it is not."""
+    spread, copied, few = "Zx81kQ0pLm93vTy7Ws2d", "Rt5uJ8nB1vC4xZ7aS0dF", "Qw3eR7tY1uI9oP5aS8dF"
+    rows = [(i, f"text {i} has {spread}") for i in range(12)]
+    rows += [(100 + i, f"one text with {copied}") for i in range(50)]
+    rows += [(200 + i, f"text {i} has {few}") for i in range(9)]
+    got = {r["doc_id"]: r for r in ss.scan_secrets(make_docs(rows, source="same")).collect()}
+    assert all(not got[i]["spans"] and got[i]["max_repos"] == 12 for i in range(12))
+    assert all(len(got[100 + i]["spans"]) == 1 and got[100 + i]["max_repos"] == 1 for i in range(50))
+    assert all(got[200 + i]["n_live"] == 1 and got[200 + i]["max_repos"] == 9 for i in range(9))
+    assert all(r["max_owners"] == 1 for r in got.values())
+
+
+def test_a_hot_value(make_docs, monkeypatch):
+    from slaflow.llm import common
+
+    monkeypatch.setattr(common, "HEAVY_SHARE", 4)
+    rows = [(i, f"password=hunter{'2' if i % 3 == 0 else i}{i % 3} of {i}") for i in range(90)]
+    got = {r["doc_id"]: (r["n_live"], r["n_example"], r["max_repos"]) for r in ss.scan_secrets(make_docs(rows, source="a")).collect()}
+    assert got == {i: (0, 1, 30) if i % 3 == 0 else (1, 0, 1) for i in range(90)}
+
+
 def test_odd_rows(odd_docs, odd_rows):
     got = [(r["doc_id"], [tuple(s)[:3] for s in r["base"]]) for r in ss.scan_secrets(odd_docs).collect()]
     assert sorted(got, key=repr) == sorted([(i, base_spans(t or "")) for i, t in odd_rows], key=repr)

@@ -81,3 +81,23 @@ def test_a_count_that_is_stored_twice_is_used_once(spark, make_docs, tmp_path):
 
 def test_empty_table(no_docs):
     assert token_counts.count_tokens(no_docs, PATH).count() == 0
+
+
+def test_a_third_of_all_rows_are_equal(make_docs, tokenizer, monkeypatch):
+    from slaflow.llm import common
+
+    monkeypatch.setattr(common, "HEAVY_SHARE", 4)
+    rows = [(None, "the same text for all") if k % 3 == 0 else (k % 20, f"text {k % 30}") for k in range(300)]
+    got = [(r["doc_id"], r["n_tokens"]) for r in token_counts.count_tokens(make_docs(rows).repartition(6), PATH).collect()]
+    assert sorted(got, key=repr) == sorted([(i, library(tokenizer, t)) for i, t in rows], key=repr)
+
+
+def test_rows_that_change_their_order_lose_no_count(make_docs, tokenizer):
+    """Row numbers that mean other rows the second time: the missing counts
+    are made by content."""
+    rows = [(k, f"text number {k}") for k in range(200)]
+    from pyspark.sql import functions as F
+
+    docs = make_docs(rows).repartition(4).orderBy(F.rand()).limit(200)
+    got = {r["doc_id"]: r["n_tokens"] for r in token_counts.count_tokens(docs, PATH).collect()}
+    assert got == {i: library(tokenizer, t) for i, t in rows}
