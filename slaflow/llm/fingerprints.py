@@ -3,8 +3,9 @@
 A sketch holds every distinct shingle hash below a fixed fraction of the
 hash range, so it grows with its text, sketches of parts merge into that of
 the whole, and the containment of a short text in a very long one can be
-estimated.  A text too short to have ``FLOOR`` such hashes holds its ``FLOOR``
-smallest instead (all of them if it has no more), so short texts are exact.
+estimated.  A text too short to have ``FLOOR`` such hashes, some 130 words,
+holds its ``FLOOR`` smallest instead (all of them if it has no more), so the
+shortest are exact.
 
 Two sketches are compared below the smaller of their thresholds: the fixed
 one, the largest hash of a filled-up sketch, or none for a complete one.
@@ -32,9 +33,9 @@ from slaflow.llm.common import split_batch, string_buffers, text_or_empty
 from slaflow.llm.words import shingles, words
 
 HASH_BITS = 48
-FRACTION = 16
+FRACTION = 4
 THRESHOLD = (1 << HASH_BITS) // FRACTION
-FLOOR = 64
+FLOOR = 32
 WORDS = 5
 
 
@@ -62,6 +63,11 @@ def threshold(sketch: np.ndarray) -> int:
     return max(THRESHOLD, int(sketch[-1]) + 1)
 
 
+def by_threshold(sketch: np.ndarray) -> bool:
+    """Whether the fixed fraction alone has made the sketch."""
+    return len(sketch) >= FLOOR and int(sketch[-1]) < THRESHOLD
+
+
 def _common(a: np.ndarray, b: np.ndarray) -> tuple[int, int, int]:
     t = np.uint64(min(threshold(a), threshold(b)))
     a, b = a[: np.searchsorted(a, t)], b[: np.searchsorted(b, t)]
@@ -129,21 +135,36 @@ def with_next(
     first row of the next range repeated behind each (that of the first range
     behind the last): (range, tail, doc_id, text).  So every row has its
     successor behind it, the tails aside, and no task holds the whole order.
-    The driver gets the cuts, at most ``max_ranges`` ids."""
+    An id that many rows share, or null, gets several ranges, cut by the hash
+    of the text.  The driver gets the cuts, at most ``max_ranges`` ids."""
     spark = docs.sparkSession
     rows = docs.select(F.col(id_col).alias("doc_id"), text_or_empty(text_col).alias("text"))
     id_type = rows.schema["doc_id"].dataType.simpleString()
-    n_ranges = max(1, min(max_ranges, rows.count() // rows_per_range))
+    size = rows.agg(F.count(F.lit(1)).alias("n"), F.count("doc_id").alias("with_id")).first()
+    n_ranges = max(1, min(max_ranges, size["with_id"] // rows_per_range))
+    for_null = max(1, min(max_ranges, (size["n"] - size["with_id"]) // rows_per_range))
     shares = [k / n_ranges for k in range(1, n_ranges)] or [0.5]
-    cuts = np.unique(rows.agg(F.percentile_approx("doc_id", shares, 100_000)).first()[0] or [0])
+    # an id that comes out as many cuts holds as many ranges
+    cuts, hot = np.unique(rows.agg(F.percentile_approx("doc_id", shares, 100_000)).first()[0] or [0], return_counts=True)
+    own = np.where(hot > 1, hot, 0)
+    # ranges before each cut: those of null ids, one between two cuts, those of hot ids
+    before = for_null + np.arange(1, len(cuts) + 1) + np.cumsum(own) - own
 
     @F.pandas_udf("int")
-    def range_of(ids: pd.Series) -> pd.Series:
-        at = np.searchsorted(cuts, ids.fillna(cuts[0]), side="right")
-        return pd.Series(np.where(ids.isna(), 0, at)).astype("int32")
+    def range_of(ids: pd.Series, ties: pd.Series) -> pd.Series:
+        null = ids.isna().to_numpy()
+        values = ids.fillna(cuts[0]).to_numpy()
+        share = (ties.to_numpy().astype(np.float64) + 2.0**63) / 2.0**64
+        within = lambda n: np.minimum((share * n).astype(np.int64), np.maximum(n - 1, 0))
+        at = np.searchsorted(cuts, values, side="right") - 1
+        cut = np.maximum(at, 0)
+        behind = np.where(at < 0, for_null, before[cut] + own[cut])  # a range between two cuts
+        on = ~null & (at >= 0) & (cuts[cut] == values) & (own[cut] > 0)
+        found = np.where(on, before[cut] + within(own[cut]), behind)
+        return pd.Series(np.where(null, within(np.full(len(values), for_null)), found)).astype("int32")
 
     tie = F.xxhash64("text").alias("tie")
-    ranged = rows.withColumn("range", range_of("doc_id"))
+    ranged = rows.withColumn("range", range_of("doc_id", F.xxhash64("text")))
     firsts = (
         ranged.groupBy("range").agg(F.min(F.struct("doc_id", tie)).alias("first")).orderBy("range")
         .select("range", "first.doc_id", "first.tie").collect()
@@ -169,8 +190,10 @@ def edit(text: str, following: str) -> str:
 
 
 def compare_with_edits(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", block: int = 1 << 20) -> DataFrame:
-    """Of every row the fingerprints of its text and of the edited text, and
-    the likeness of its fingerprint to that one and to the next row's."""
+    """Of every row the fingerprints of its text and of the edited text, the
+    likeness of its fingerprint to that one and to the next row's, the share
+    of its shingles that the edited text contains, and whether its sketch is
+    made by the threshold alone."""
     ordered = with_next(docs, id_col=id_col, text_col=text_col)
     id_type = ordered.schema["doc_id"].dataType
 
@@ -189,8 +212,10 @@ def compare_with_edits(docs: DataFrame, id_col: str = "doc_id", text_col: str =
                 pa.array([pack(s) for s in changed], pa.string()),
                 pa.array([likeness(own[k], s) for (k, _, _), s in zip(pairs, changed)], pa.float64()),
                 pa.array([likeness(own[k], own[k + 1]) for k, _, _ in pairs], pa.float64()),
+                pa.array([containment(own[k], s) for (k, _, _), s in zip(pairs, changed)], pa.float64()),
+                pa.array([by_threshold(own[k]) for k, _, _ in pairs], pa.bool_()),
             ],
-            ["doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"],
+            ["doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next", "contained", "by_threshold"],
         )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -210,5 +235,5 @@ def compare_with_edits(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     return ordered.select("tail", "doc_id", "text").mapInArrow(
         run,
         f"doc_id {id_type.simpleString()}, n_chars long, edited_sha256 string, fingerprint string,"
-        " edited_fingerprint string, near_edited double, near_next double",
+        " edited_fingerprint string, near_edited double, near_next double, contained double, by_threshold boolean",
     )
