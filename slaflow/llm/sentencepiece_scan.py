@@ -303,6 +303,13 @@ def _trace(path: str, chunk_chars: int):
     return run
 
 
+def _id_lists(column: pa.ListArray) -> tuple[list[list[int]], list[bool]]:
+    """The lists that aren't null, and which those are."""
+    values, ends = column.values.to_numpy(zero_copy_only=False), column.offsets.to_numpy()
+    there = column.is_valid().to_pylist()
+    return [values[s:e].tolist() for s, e, x in zip(ends[:-1], ends[1:], there) if x], there
+
+
 def _encode_short(path: str, text_at: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = load(path)
@@ -331,10 +338,13 @@ def encode(docs: DataFrame, model_path: str, chunk_chars: int = CHUNK_CHARS, tex
     cut = long_.select("row", F.col("doc")[text_col].alias("text")).mapInArrow(
         _chunks(chunk_chars, context), "row long, chunk int, begin int, s string"
     )
-    chunks = cut.repartition("row", "chunk")  # one exchange, read by both passes
+    # The filters are those that the joins below would put under one reader of
+    # an exchange alone; with them both readers share it.
+    chunks = cut.where("row IS NOT NULL AND chunk IS NOT NULL").repartition("row", "chunk")
     matrices = chunks.mapInArrow(_matrices(model_path, chunk_chars), f"row long, chunk int, matrix {_MATRIX}")
     # one exchange of the matrices, read by the products and by the scans inside the runs
-    near = matrices.withColumn("run", F.floor(F.col("chunk") / RUN).cast("int")).repartition("row", "run")
+    near = matrices.withColumn("run", F.floor(F.col("chunk") / RUN).cast("int"))
+    near = near.where("row IS NOT NULL AND run IS NOT NULL").repartition("row", "run")
     products = near.select("row", "run", "chunk", "matrix").sortWithinPartitions("row", "run", "chunk").mapInArrow(
         _products, f"row long, run int, matrix {_MATRIX}"
     )
@@ -364,7 +374,9 @@ def decode(encoded: DataFrame, model_path: str, ids_col: str = "ids", out_col: s
         for whole in batches:
             for k in range(0, whole.num_rows, 512):
                 batch = whole.slice(k, 512)
-                texts = [None if x is None else model.decode(x) for x in batch.column(at).to_pylist()]
+                ids, there = _id_lists(batch.column(at))
+                decoded = iter(model.decode(ids) if ids else [])
+                texts = [next(decoded) if x else None for x in there]
                 yield pa.RecordBatch.from_arrays(
                     [*batch.columns, pa.array(texts, pa.string())], names=[*batch.schema.names, out_col]
                 )

@@ -116,3 +116,17 @@ def test_query(spark):
 
 def test_empty_table(no_docs):
     assert ss.decode(ss.encode(no_docs, PATH), PATH).count() == 0
+
+
+def test_null_and_empty_ids(spark):
+    df = spark.createDataFrame([(1, None), (2, []), (3, [300, 301]), (4, None)], "doc_id long, ids array<int>").coalesce(1)
+    model = sentencepiece.SentencePieceProcessor(model_file=PATH)
+    got = {r["doc_id"]: r["decoded"] for r in ss.decode(df, PATH).collect()}
+    assert got == {1: None, 2: "", 3: model.decode([300, 301]), 4: None}
+
+
+def test_text_is_exchanged_once_for_both_passes(make_docs):
+    df = ss.encode(make_docs([(1, "a b c " * 2000)]), PATH, chunk_chars=1000)
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    assert plan.count("ReusedExchange") >= 2
