@@ -155,7 +155,8 @@ def count_tokens(
         made = texts.select("content", "text").mapInArrow(encode, "content binary, n_tokens long")
         made.select(F.lit(version).alias("tokenizer"), "content", "n_tokens").write.mode("append").parquet(cache_path)
 
-    append(rows.join(missing().select(F.col("holder").alias("row")), "row", "left_semi"))
+    # both sides are dealt by row number at any size: a broadcast of the holders grows with the texts
+    append(rows.join(missing().select(F.col("holder").alias("row")).hint("merge"), "row", "left_semi"))
     if not (left := missing()).isEmpty():  # the rows came in another order this time
         append(rows.join(left.select("content"), "content", "left_semi").groupBy("content").agg(F.first("text").alias("text")))
     counts = contents.select("content", "n").join(read_cache(spark, cache_path, version), "content")
