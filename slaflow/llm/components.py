@@ -3,8 +3,9 @@
 Every round replaces each edge by edges to the smallest neighbour, first for
 the larger neighbours of a node, then for the smaller ones, until every node
 is tied to the smallest node of its component.  Minima are combined before
-their shuffle, so a node with very many edges isn't gathered in one task,
-and no more edges are made than there were.  Before the first round, every
+their shuffle, and those of nodes with a thousandth of all edges or more are
+broadcast to the edges, so a node with very many edges isn't gathered in one
+task; no more edges are made than there were.  Before the first round, every
 task ties the nodes of its own edges, in portions of bounded size, so few
 rounds are left to do.
 """
@@ -17,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from slaflow.llm.common import materialize
+from slaflow.llm.common import join_weighted, materialize
 
 
 #: Edges that a task ties at a time.
@@ -65,16 +66,21 @@ def _mark(edges: DataFrame) -> tuple:
     return tuple(edges.agg(F.count("u").alias("n"), h).first())
 
 
+def _least(edges: DataFrame) -> DataFrame:
+    """(u, m, n): the smallest neighbour of each node and its edges."""
+    return materialize(edges.groupBy("u").agg(F.min("v").alias("m"), F.count("v").alias("n")), "least")
+
+
 def _large_star(edges: DataFrame) -> DataFrame:
     both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-    least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-    return both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+    least = _least(both).select("u", F.least("u", "m").alias("m"), "n")
+    moved = join_weighted(both, least, "u").where("v > u")
+    return materialize(moved.select(F.greatest("v", "m").alias("u"), F.least("v", "m").alias("v")), "edges")
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
-    down = edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
-    least = down.groupBy("u").agg(F.min("v").alias("m"))
-    moved = down.join(least, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
+    least = _least(edges)
+    moved = join_weighted(edges, least, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
     return moved.unionByName(least.select("u", F.col("m").alias("v"))).distinct()
 
 

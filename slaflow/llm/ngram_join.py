@@ -44,7 +44,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from slaflow.llm.common import materialize, split_batch, string_buffers, text_or_empty
+from slaflow.llm.common import join_weighted, materialize, split_batch, string_buffers, text_or_empty
 from slaflow.llm.components import components
 from slaflow.llm.words import mix, shingles, words
 
@@ -481,11 +481,12 @@ def _exact(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def exact_links(docs: DataFrame, known: DataFrame, groups: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """Exact comparison of the classes within each group of ``groups`` (node,
     component)."""
-    members = groups.join(known.select("node", "digest", "first", "copies", "n"), "node")
+    members = materialize(groups.join(known.select("node", "digest", "first", "copies", "n"), "node"), "members")
     chunks = members.groupBy("component").agg(
-        F.ceil(F.greatest(F.count("node") / BLOCK_SETS, F.sum("n") / BLOCK_SHINGLES)).cast("int").alias("chunks")
+        F.ceil(F.greatest(F.count("node") / BLOCK_SETS, F.sum("n") / BLOCK_SHINGLES)).cast("int").alias("chunks"),
+        F.count("node").alias("nodes"),
     )
-    placed = members.join(chunks, "component").withColumn("chunk", F.pmod(F.xxhash64("node"), "chunks").cast("int"))
+    placed = join_weighted(members, materialize(chunks, "chunks"), "component", "nodes").withColumn("chunk", F.pmod(F.xxhash64("node"), "chunks").cast("int"))
     texts = docs.select(F.col(id_col).cast("long").alias("first"), text_or_empty(text_col).alias("text"))
     other = placed.join(texts, "first").withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
     keyed = other.select(
@@ -512,14 +513,15 @@ def ngram_join(
     across = exact.where("kind = 1").select("u", "v")
     if not across.isEmpty():
         parts = parts.unionByName(components(across))
-    firsts = parts.join(known.select("node", "first"), "node").groupBy("component").agg(F.min("first").alias("class_id"))
+    parts = materialize(parts.join(known.select("node", "first"), "node"), "parts")
+    firsts = materialize(parts.groupBy("component").agg(F.min("first").alias("class_id"), F.count("node").alias("nodes")), "firsts")
+    parts = join_weighted(parts.select("node", "component"), firsts, "component", "nodes").select("node", "class_id")
     placed = materialize(
         known.select("node", "digest", "first", "copies").join(links, "node", "left").join(parts, "node", "left")
-        .join(firsts, "component", "left")
-        .select("digest", "copies", F.coalesce("class_id", "first").alias("class_id"), F.coalesce("links", F.lit(0)).alias("links")),
+        .select("digest", "copies", F.coalesce("class_id", "first").alias("class_id"), F.coalesce("links", F.lit(0)).alias("links"), F.col("copies").alias("rows")),
         "placed",
     )
-    joined = sketched.select("doc_id", "digest").join(placed, "digest").select(
+    joined = join_weighted(sketched.select("doc_id", "digest"), placed, "digest", "rows").select(
         "doc_id", "class_id", (F.col("copies") - 1 + F.col("links")).alias("n_links"), F.col("copies").alias("n_copies")
     )
     nameless = docs.where(F.col(id_col).isNull()).select(

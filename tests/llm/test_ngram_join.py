@@ -130,6 +130,17 @@ def test_components(spark, seed):
     assert got == label
 
 
+def test_components_with_hot_nodes(spark, monkeypatch):
+    """Stars whose centre holds most edges, and a long path between them."""
+    from slaflow.llm import common
+
+    monkeypatch.setattr(common, "HEAVY_SHARE", 5)
+    monkeypatch.setattr(cc, "PORTION", 20)
+    edges = [(500, k) for k in range(300, 400)] + [(501, k) for k in range(400, 480)] + [(k, k + 1) for k in range(500, 560)] + [(3, 300), (900, 901)]
+    got = {r["node"]: r["component"] for r in cc.components(spark.createDataFrame(edges, "u long, v long").repartition(7)).collect()}
+    assert got == {**{k: 3 for k in {x for e in edges for x in e} - {900, 901}}, 900: 900, 901: 900}
+
+
 def test_components_of_no_edges(spark):
     assert cc.components(spark.createDataFrame([], "u long, v long")).count() == 0
 
