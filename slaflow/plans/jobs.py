@@ -50,6 +50,9 @@ PROCESS_BOUNDARY = (
     "derivations. The outputs support process-analysis practice but do not represent "
     "observed production history or causal root-cause evidence."
 )
+# Messages about inputs that are missing or empty.
+MISSING_GOLD = "Missing Gold Parquet input"
+NO_CASES = "Process-intelligence source must contain at least one valid case."
 # publication order of each table: column, or -column for descending
 TABLE_ORDER = {
     "bronze": ["source_row"],
@@ -206,7 +209,7 @@ class GoldTables:
 
     def __init__(self, published: Published):
         names = {"gold_fact": "fact_service_requests", "kpis": "service_operations_kpis"}
-        tables = published.register_views(GOLD_TABLES, "Missing Gold Parquet input")
+        tables = published.register_views(GOLD_TABLES, MISSING_GOLD)
         self.fact, self.kpis = tables["gold_fact"], tables["kpis"]
         for own, view in names.items():
             tables[own].createOrReplaceTempView(view)
@@ -306,7 +309,7 @@ def write_process_intelligence(layers: MedallionLayers, output_dir: str | Path)
     the accepted requests, and publish them."""
     L, spark = layers, layers.bronze.sparkSession
     process.check_process_source(L.silver_valid)
-    require_rows(L.silver_valid, "Process-intelligence source must contain at least one valid case.")
+    require_rows(L.silver_valid, NO_CASES)
     refuse_forbidden({"event_log": L.event_log, "process_cases": L.cases}, L.contract)
     run = Run(spark, output_dir, PROCESS)
 
