@@ -10,14 +10,23 @@ files of a fixed stride, where slot s stands in shard s // per_shard at byte
 
 Ordinals follow the files and rows as scanned; they are frozen in a written
 table before any slot is given, so lost executors never change them.  What
-reaches the driver is one count for each partition of that table.  A shard
-is written under a name of the task's own and then renamed, so repeated
-attempts leave one whole file.
+reaches the driver is one count for each partition of that table.  A task
+has the slots of consecutive shards; its partition is computed from the slot,
+so tasks are equal in size and none is empty.
+
+The output folder must be new and seen by all executors; its path is made
+whole on the driver, so a plain one lies on Spark's default file system for
+every part of the output.  A shard is written among the attempts, under a
+name of the task's own, and renamed when it is whole; an attempt that comes
+after another one leaves that file in place.  At the end the attempts and
+the frozen sequences are deleted, number and bytes of the shards are
+compared with what is due (an error if executors wrote to disks of their
+own), and the table ``about`` is written last: a folder with it is whole.
 
 Defined results: a null text is empty; an empty text is an end token only
-and has one piece of no ids; null ids are kept; identical rows each have
-their place; an empty table has no sequence, no shard and no rows; other
-columns aren't read.
+and has one piece of no ids; ids of any type are kept, null ids too;
+identical rows each have their place; an empty table has no sequence, no
+shard and no rows; other columns aren't read.
 """
 
 from __future__ import annotations
@@ -30,17 +39,20 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
+from pyspark.sql.types import DataType
 
 from slaflow.llm.common import shared_path, text_or_empty
 from slaflow.llm.words import mix
+from slaflow.plans.publication import qualified
 
 LENGTH = 2048
 PER_SHARD = 4096
 ROUNDS = 6
 #: Of the ids on their way from the scan to their shard.
 PACK_LEVEL = 9
-_PIECE = pa.struct([("doc_id", pa.int64()), ("piece", pa.int32()), ("start", pa.int32()), ("n_tokens", pa.int32())])
-_PIECES = "array<struct<doc_id:long,piece:int,start:int,n_tokens:int>>"
+#: Bytes of the shards that one task writes, at most (one shard at least).
+TASK_BYTES = 256 << 20
 
 
 class Permutation:
@@ -87,8 +99,13 @@ def encoding(path: str):
     return tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
 
 
-def _cut(path: str, length: int, end: int):
+def _pieces_type(id_type: DataType) -> str:
+    return f"array<struct<doc_id:{id_type.simpleString()},piece:int,start:int,n_tokens:int>>"
+
+
+def _cut(path: str, length: int, end: int, id_type: DataType):
     """Of (part, doc_id, text): the sequences of a task with their pieces."""
+    a_piece = pa.struct([("doc_id", to_arrow_type(id_type)), ("piece", pa.int32()), ("start", pa.int32()), ("n_tokens", pa.int32())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = encoding(path)
@@ -107,7 +124,7 @@ def _cut(path: str, length: int, end: int):
             rows = held[: n * length].astype("<u2").reshape(n, length)
             out = pa.RecordBatch.from_arrays(
                 [pa.array([part] * n, pa.int32()), pa.array(range(pos, pos + n), pa.int64()),
-                 pa.array([r.tobytes() for r in rows], pa.binary()), pa.array(pieces[:n], pa.list_(_PIECE))],
+                 pa.array([r.tobytes() for r in rows], pa.binary()), pa.array(pieces[:n], pa.list_(a_piece))],
                 ["part", "pos", "tokens", "pieces"],
             )
             held, pieces, pos = held[n * length :], pieces[n:] or [[]], pos + n
@@ -167,7 +184,18 @@ def shard_name(shard: int) -> str:
     return f"shard-{shard:08d}.u16"
 
 
-def _write(path: str, per_shard: int):
+def _keep(fs, own: str, target: str, size: int) -> None:
+    """Rename a whole shard, unless an attempt before has done so."""
+    if fs.get_file_info(target).size != size:
+        try:
+            return fs.move(own, target)
+        except OSError:  # some file systems refuse a name that another attempt has just taken
+            if fs.get_file_info(target).size != size:
+                raise
+    fs.delete_file(own)
+
+
+def _write(path: str, per_shard: int, stride: int):
     """Write the shards of (shard, slot, packed, pieces), sorted by slot."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -175,18 +203,18 @@ def _write(path: str, per_shard: int):
 
         unpack = zstandard.ZstdDecompressor().decompress
         fs, folder = filesystem(path)
-        shard, out, own = None, None, None
+        shard, out, own, due = None, None, None, 0
 
         def close() -> None:
             if out is not None:
                 out.close()
-                fs.move(own, f"{folder}/{shard_name(shard)}")
+                _keep(fs, own, f"{folder}/shards/{shard_name(shard)}", (due - shard * per_shard) * stride)
 
         for batch in batches:
             for k, slot, packed in zip(*(batch.column(c).to_pylist() for c in (0, 1, 2))):
                 if k != shard:
                     close()
-                    shard, own = k, f"{folder}/.{shard_name(k)}-{uuid.uuid4().hex}"
+                    shard, own = k, f"{folder}/attempts/{shard_name(k)}-{uuid.uuid4().hex}"
                     out, due = fs.open_output_stream(own), k * per_shard
                 if slot != due:
                     raise ValueError(f"slot {slot} where {due} is due")
@@ -208,16 +236,19 @@ def write_training_order(
     end_id: int = 50256,
     id_col: str = "doc_id",
     text_col: str = "text",
+    task_bytes: int = TASK_BYTES,
 ) -> DataFrame:
     """Write shards and index of a table under ``path`` (default: a new shared
     folder); the rows are the pieces of the texts: (doc_id, piece, slot,
     shard, start, n_tokens)."""
     spark = docs.sparkSession
-    path = path or shared_path(spark, "training-order")
-    rows = docs.select(
-        F.spark_partition_id().alias("part"), F.col(id_col).cast("long").alias("doc_id"), text_or_empty(text_col).alias("text")
-    )
-    cut = rows.mapInArrow(_cut(ranks_path, length, end_id), f"part int, pos long, tokens binary, pieces {_PIECES}")
+    hadoop, root = qualified(spark, path or shared_path(spark, "training-order"))
+    path, stride = root.toString(), 2 * length
+    below = lambda name: spark._jvm.org.apache.hadoop.fs.Path(root, name)
+    rows = docs.select(F.spark_partition_id().alias("part"), F.col(id_col).alias("doc_id"), text_or_empty(text_col).alias("text"))
+    id_type = rows.schema["doc_id"].dataType
+    pieces = _pieces_type(id_type)
+    cut = rows.mapInArrow(_cut(ranks_path, length, end_id, id_type), f"part int, pos long, tokens binary, pieces {pieces}")
     packed = {"compression": "zstd", "parquet.compression.codec.zstd.level": PACK_LEVEL}
     cut.write.options(**packed).parquet(f"{path}/sequences")
     sequences = spark.read.parquet(f"{path}/sequences")
@@ -226,15 +257,28 @@ def write_training_order(
     for part, count in counts:
         offsets[part], n = n, n + count
 
-    fs, folder = filesystem(path)
-    fs.create_dir(f"{folder}/shards", recursive=True)
-    dealt = sequences.mapInArrow(_deal(offsets, Permutation(n, key)), f"slot long, packed binary, pieces {_PIECES}")
+    hadoop.mkdirs(below("shards"))
+    hadoop.mkdirs(below("attempts"))
+    dealt = sequences.mapInArrow(_deal(offsets, Permutation(n, key)), f"slot long, packed binary, pieces {pieces}")
     ranges = dealt.select(F.floor(F.col("slot") / per_shard).cast("int").alias("shard"), "slot", "packed", "pieces")
-    n_shards = max(1, -(-n // per_shard))
-    ranged = ranges.repartition(n_shards, "shard").sortWithinPartitions("slot")
-    index = ranged.mapInArrow(_write(f"{path}/shards", per_shard), f"shard int, slot long, pieces {_PIECES}")
+    n_shards = -(-n // per_shard)
+    spread = n_shards // spark.sparkContext.defaultParallelism
+    per_task = max(1, min(spread, task_bytes // (per_shard * stride)))
+    n_tasks = max(1, -(-n_shards // per_task))
+    task = F.floor(F.col("shard") / per_task).cast("int")
+    index = ranges.repartitionById(n_tasks, task).sortWithinPartitions("slot").mapInArrow(
+        _write(path, per_shard, stride), f"shard int, slot long, pieces {pieces}"
+    )
     index.write.parquet(f"{path}/index")
-    about = [(n, length, 2 * length, per_shard, key, end_id)]
+    for name in ("attempts", "sequences"):
+        hadoop.delete(below(name), True)
+    found = hadoop.getContentSummary(below("shards"))
+    if (found.getFileCount(), found.getLength()) != (n_shards, n * stride):
+        raise RuntimeError(
+            f"{found.getFileCount()} shards of {found.getLength()} bytes in {path}/shards instead of {n_shards} of "
+            f"{n * stride}: the folder must be one that all executors share"
+        )
+    about = [(n, length, stride, per_shard, key, end_id)]
     spark.createDataFrame(
         about, "sequences long, length int, stride int, per_shard int, key long, end_id int"
     ).coalesce(1).write.parquet(f"{path}/about")
