@@ -2,6 +2,7 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
+import pytest
 
 from slaflow.llm import quality
 from slaflow.llm.queries import QUERIES
@@ -33,6 +34,72 @@ def test_labels_of_held_out_rows_are_not_learnt(spark, make_docs):
     assert a.prior == b.prior and all(np.array_equal(x, y) for x, y in zip(a.w, b.w))
 
 
+def test_positives_alone_give_the_same_model(spark):
+    """Neither the prior nor the fit reads a negative label."""
+    from llm.conftest import load
+
+    from conftest import SF01
+
+    docs = spark.read.parquet(f"{SF01}/documents.parquet")
+    labels = spark.read.parquet(f"{SF01}/labels.parquet")
+    a, b = quality.train(docs, labels), quality.train(docs, labels.where("quality = 1"))
+    assert a.prior == b.prior and all(np.array_equal(x, y) for x, y in zip(a.w, b.w))
+    known = {r["doc_id"]: r["quality"] for r in load(f"{SF01}/labels.parquet") if r["quality"] is not None}
+    assert abs(a.prior - np.mean(list(known.values()))) < 0.05
+    rows = [r for r in quality.score(docs, b).select("doc_id", "score").collect() if zlib.crc32(str(r["doc_id"]).encode()) % 3 == 1]
+    right = [(r["score"] >= 0.5) == known[r["doc_id"]] for r in rows if r["doc_id"] in known]
+    assert len(right) > 100 and np.mean(right) > 0.97
+
+
+@pytest.mark.parametrize("share", [0.1, 0.5, 0.9])
+def test_best_bin(share):
+    rng = np.random.default_rng(3)
+    s_pos = rng.normal(4, 1, 3000)
+    s_unl = np.concatenate([rng.normal(4, 1, int(4000 * share)), rng.normal(0, 1, 4000 - int(4000 * share))])
+    ones = np.ones(4000)
+    found = quality.best_bin(s_pos, s_unl, ones)
+    assert abs(found - share) < 0.04
+    # a row of weight two is a row twice; weight 0 is none
+    weights = rng.integers(0, 3, 4000)
+    cuts = np.unique(s_pos)
+    share_above = lambda s, c: np.mean(s >= c)
+    doubled = np.repeat(s_unl, weights)
+    slack = np.sqrt(np.log(40) / 2 / 3000) + np.sqrt(np.log(40) / 2 / 4000)
+    bounds = [(share_above(doubled, c) + 1.01 * slack) / share_above(s_pos, c) for c in cuts]
+    c = cuts[int(np.argmin(bounds))]
+    assert np.isclose(quality.best_bin(s_pos, s_unl, weights.astype(float)), share_above(doubled, c) / share_above(s_pos, c))
+
+
+def test_weights_are_all_learnable_texts(spark, make_docs):
+    rows = _texts(300) + [(1000 + k, "one hot text that many ids share") for k in range(150)]
+    stats = quality._statistics(make_docs(rows).select("doc_id", "text").repartition(5))
+    x = quality.features(pa.array([t for _, t in rows]))
+    mean, scale = quality._mean_and_scale(stats)
+    points = x[::40]
+    weights = quality._weights(stats, points, mean, scale)
+    cut = lambda a: np.clip((a - mean) / scale, -8, 8)
+    apart = ((cut(x)[:, None] - cut(points)[None]) ** 2).sum(2).round(9)
+    assert weights.sum() == len(rows)
+    assert weights.tolist() == np.bincount(apart.argmin(1), minlength=len(points)).tolist()
+
+
+def test_unlabelled_risk_is_weighted():
+    rng = np.random.default_rng(2)
+    pos, unl, weights = rng.normal(1, 1, 20), rng.normal(-1, 1, 30), rng.integers(1, 4, 30)
+    risk, _, g = quality.pu_risk(pos, unl, 0.3, weights.astype(float))
+    plain, _, every = quality.pu_risk(pos, np.repeat(unl, weights), 0.3)
+    assert np.isclose(risk, plain)
+    assert np.allclose(g, np.add.reduceat(every, np.concatenate([[0], np.cumsum(weights)[:-1]])))
+
+
+def test_a_single_positive(spark, make_docs):
+    rows = _texts(40)
+    labels = spark.createDataFrame([(1, 1, 0)], "doc_id long, quality int, toxic int")
+    model = quality.train(make_docs(rows), labels, may_learn=lambda c: quality.F.lit(True))
+    assert model.fitted and model.prior == 0.5
+    assert all(0 <= r["score"] <= 1 for r in quality.score(make_docs(rows), model).collect())
+
+
 def test_risk_and_gradient():
     rng = np.random.default_rng(1)
     for shift in (0.0, 6.0):  # the second makes the negative part negative
