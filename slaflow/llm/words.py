@@ -17,7 +17,7 @@ LOWER_BYTE[0x41:0x5B] += 32
 
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _M1, _M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
-_powers = np.ones(1, np.uint64)
+_powers = np.zeros(0, np.uint64)
 #: Bytes hashed at a time.
 BLOCK = 1 << 19
 

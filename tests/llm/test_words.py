@@ -1,7 +1,12 @@
+import os
 import re
+import subprocess
+import sys
 
 import numpy as np
 import pyarrow as pa
+import pytest
+import pyarrow as pa
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
@@ -60,3 +65,15 @@ def test_split_batch_keeps_rows():
     parts = list(split_batch(batch, limit=20))
     assert pa.Table.from_batches(parts) == pa.Table.from_batches([batch])
     assert list(split_batch(batch.slice(0, 0))) == []
+
+
+@pytest.mark.parametrize("text", ["a b c d e f g", "1", "a bb"])
+def test_hashes_in_a_fresh_worker(text):
+    """The first texts of a process hash as all later ones do, also where
+    every word has one byte."""
+    code = (
+        "import numpy as np; from slaflow.llm.words import words;"
+        "f = lambda t: words(np.frombuffer(t.encode(), np.uint8), np.array([0, len(t)]))[0].tolist();"
+        f"first = f({text!r}); f('a much longer word ' + 'x' * 1000); assert first == f({text!r})"
+    )
+    subprocess.run([sys.executable, "-c", code], check=True, cwd=os.path.dirname(os.path.dirname(os.path.dirname(__file__))))
