@@ -30,7 +30,8 @@ Defined results: a null text is empty; texts of one to four words have one
 shingle of all words; texts without words are only like equal texts; a row
 with a null id takes no part (``class_id`` null, no links); identical rows
 are copies of each other; an empty table gives no rows; other columns aren't
-read.
+read.  Ids are whole numbers; a table whose ids have another type is refused
+(number its texts first).
 """
 
 from __future__ import annotations
@@ -43,6 +44,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegralType
 
 from slaflow.llm.common import join_weighted, materialize, split_batch, string_buffers, text_or_empty
 from slaflow.llm.components import components
@@ -504,6 +506,9 @@ def ngram_join(
     the component of links it belongs to, the number of other rows with a
     similarity of at least the threshold (copies among them), and the number
     of rows with the same set of shingles."""
+    id_type = docs.select(id_col).schema[0].dataType
+    if not isinstance(id_type, IntegralType):
+        raise TypeError(f"{id_col} has the type {id_type.simpleString()}; ids must be whole numbers")
     sketched = sketches(docs, id_col, text_col)
     known = classes(sketched)
     groups = components(candidate_links(known, recall, depth))

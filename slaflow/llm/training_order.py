@@ -289,7 +289,8 @@ def write_training_order(
 
 def read_slots(path: str, first: int, count: int, length: int = LENGTH, per_shard: int = PER_SHARD) -> Iterator[np.ndarray]:
     """The sequences of ``count`` slots from ``first`` on (fewer at the end
-    of the last shard): a seek, then sequential reads."""
+    of the last shard): a seek, then sequential reads.  A path without a scheme
+    is a local one here."""
     import pyarrow.fs
 
     fs, folder = filesystem(path)

@@ -160,3 +160,12 @@ def test_query(spark):
 
     rows = [(r["doc_id"], r["text"]) for r in load(f"{SF001}/documents.parquet")]
     assert joined(QUERIES["op1_ngram_join"](spark, SF001)) == brute(rows)
+
+
+def test_ids_are_whole_numbers(spark):
+    docs = spark.createDataFrame([("a-1", "one two"), ("7", "one two")], "doc_id string, text string")
+    with pytest.raises(TypeError, match="doc_id has the type string"):
+        nj.ngram_join(docs)
+    short = spark.createDataFrame([(7, "one two"), (8, "one two"), (None, "one two")], "doc_id int, text string")
+    rows = {r["doc_id"]: (r["class_id"], r["n_links"]) for r in nj.ngram_join(short).collect()}
+    assert rows == {7: (7, 1), 8: (7, 1), None: (None, 0)}
