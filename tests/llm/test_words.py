@@ -6,7 +6,6 @@ import sys
 import numpy as np
 import pyarrow as pa
 import pytest
-import pyarrow as pa
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
