@@ -45,3 +45,17 @@ def test_a_shuffled_file_of_a_published_order_is_found(spark, tmp_path):
 def test_an_empty_table_is_in_order(spark, tmp_path):
     path = write(spark, tmp_path, [[]])
     assert audit(spark, path, ["a"])[2:4] == (0, 0)
+
+
+def test_no_row_is_shuffled(spark, tmp_path):
+    path = write(spark, tmp_path, [[(1, "x"), (2, "y")]])
+    plan = audit_order(spark, path, ["a", "b"])._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning" not in plan
+
+
+def test_not_a_number_is_the_largest(spark, tmp_path):
+    nan = float("nan")
+    path = write(spark, tmp_path, [[(None, 2), (-0.0, 1), (0.0, 1), (1.5, 0), (nan, 1), (nan, 0)], [(1.0, 5), (None, 5), (nan, 1)]], "x double, b int")
+    assert audit(spark, path, ["x"])[2:4] == (1, 1)
+    assert audit(spark, path, ["x", "b"])[2:4] == (2, 1)
+    assert audit(spark, path, ["-x"])[2:4] == (4, 0)
