@@ -13,6 +13,7 @@ deleted at the end of the job.
 from __future__ import annotations
 
 import copy
+from functools import cached_property
 from pathlib import Path
 from typing import Any
 
@@ -205,7 +206,8 @@ def published_medallion(spark: SparkSession, medallion_dir: str | Path) -> Publi
 
 class GoldTables:
     """Gold tables of a published medallion, all of which must be there; each
-    is a temporary view too."""
+    is a temporary view too, and so are the enriched requests, which are
+    joined when they are read and written once for the marts."""
 
     def __init__(self, published: Published):
         names = {"gold_fact": "fact_service_requests", "kpis": "service_operations_kpis"}
@@ -215,12 +217,12 @@ class GoldTables:
             tables[own].createOrReplaceTempView(view)
         self.dim_date, self.dim_team = tables["dim_date"], tables["dim_team"]
         self.dim_category, self.dim_priority = tables["dim_category"], tables["dim_priority"]
-        self.enriched = materialize(
-            metrics.enriched(self.fact, self.dim_date, self.dim_team, self.dim_category, self.dim_priority), "analytics-enriched"
-        )
-        self.enriched.createOrReplaceTempView("service_requests_enriched")
+        self._joined = metrics.enriched(self.fact, self.dim_date, self.dim_team, self.dim_category, self.dim_priority)
+        self._joined.createOrReplaceTempView("service_requests_enriched")
 
-        self._marts: dict[str, DataFrame] = {}
+    @cached_property
+    def enriched(self) -> DataFrame:
+        return materialize(self._joined, "analytics-enriched")
 
     def mart(self, name: str) -> DataFrame:
         return MedallionLayers.mart(self, name)  # type: ignore[arg-type]

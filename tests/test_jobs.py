@@ -70,6 +70,16 @@ def test_gold_tables_are_views(spark, source_csv, tmp_path):
     assert sum(r["n"] for r in rows) == total == spark.table("service_requests_enriched").count()
 
 
+def test_views_of_gold_tables_write_nothing(spark, source_csv, tmp_path, monkeypatch):
+    jobs.run_medallion(spark, source_csv, str(tmp_path / "m"))
+    written = []
+    monkeypatch.setattr(jobs, "materialize", lambda df, name: written.append(name) or df)
+    gold = jobs.GoldTables(jobs.published_medallion(spark, tmp_path / "m"))
+    assert not written and spark.table("service_requests_enriched").count() == gold.fact.count()
+    gold.mart("sla_by_team"), gold.mart("sla_by_category")
+    assert written == ["analytics-enriched"]
+
+
 def test_command_line_jobs(spark, source_csv, tmp_path):
     from slaflow.__main__ import main
 
