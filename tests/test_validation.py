@@ -141,3 +141,12 @@ def test_report_and_expectation_gate(spark):
 def test_forbidden_columns(spark):
     df = bronze_rows(spark, [VALID_CLOSED]).withColumnRenamed("source_file", "email")
     assert validation.forbidden_columns_present(df, default_contract()) == ["email"]
+
+
+def test_a_timestamp_is_parsed_once(spark):
+    spark.conf.set("spark.sql.debug.maxToStringFields", "1000")
+    try:
+        plan = validation.annotate(bronze_rows(spark, [VALID_CLOSED]), default_contract())._jdf.queryExecution().optimizedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.debug.maxToStringFields")
+    assert plan.count("gettimestamp") == 2  # one for each timestamp column
