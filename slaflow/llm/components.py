@@ -7,7 +7,8 @@ their shuffle, and those of nodes with a thousandth of all edges or more are
 broadcast to the edges, so a node with very many edges isn't gathered in one
 task; no more edges are made than there were.  Before the first round, every
 task ties the nodes of its own edges, in portions of bounded size, so few
-rounds are left to do.
+rounds are left to do.  The minima that a round begins with show whether
+there is anything left to do, and hold the result if not.
 """
 
 from __future__ import annotations
@@ -61,25 +62,24 @@ def _contract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield flush()
 
 
-def _mark(edges: DataFrame) -> tuple:
-    h = F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("h")
-    return tuple(edges.agg(F.count("u").alias("n"), h).first())
+def _least(edges: DataFrame) -> DataFrame:
+    """(u, m, most, n): the smallest and the largest neighbour of each node
+    and the number of its edges."""
+    made = edges.groupBy("u").agg(F.min("v").alias("m"), F.max("v").alias("most"), F.count("v").alias("n"))
+    return materialize(made, "least")
 
 
-def _least(edges: DataFrame) -> DataFrame:
-    """(u, m, n): the smallest neighbour of each node and its edges."""
-    return materialize(edges.groupBy("u").agg(F.min("v").alias("m"), F.count("v").alias("n")), "least")
+def _both_ways(edges: DataFrame) -> DataFrame:
+    return edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
 
 
-def _large_star(edges: DataFrame) -> DataFrame:
-    both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-    least = _least(both).select("u", F.least("u", "m").alias("m"), "n")
-    moved = join_weighted(both, least, "u").where("v > u")
+def _large_star(edges: DataFrame, least: DataFrame) -> DataFrame:
+    moved = join_weighted(_both_ways(edges), least.select("u", F.least("u", "m").alias("m"), "n"), "u").where("v > u")
     return materialize(moved.select(F.greatest("v", "m").alias("u"), F.least("v", "m").alias("v")), "edges")
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
-    least = _least(edges)
+    least = _least(edges).drop("most")
     moved = join_weighted(edges, least, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
     return moved.unionByName(least.select("u", F.col("m").alias("v"))).distinct()
 
@@ -91,11 +91,9 @@ def components(edges: DataFrame) -> DataFrame:
     # written first, so that the tasks get many edges each
     written = materialize(edges.select("u", "v").where("u <> v"), "edges")
     now = materialize(written.mapInArrow(_contract, "u long, v long"), "edges")
-    state = _mark(now)
-    while state[0]:
-        now = materialize(_small_star(_large_star(now)), "edges")
-        before, state = state, _mark(now)
-        if before == state:
-            break
-    roots = now.select(F.col("v").alias("node")).distinct().select("node", F.col("node").alias("component"))
-    return now.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(roots).distinct()
+    while True:
+        least = _least(_both_ways(now))
+        # done: a node with a smaller neighbour has no other one
+        if least.where("m < u AND most > m").isEmpty():
+            return least.select(F.col("u").alias("node"), F.least("u", "m").alias("component"))
+        now = materialize(_small_star(_large_star(now, least)), "edges")

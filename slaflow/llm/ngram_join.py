@@ -39,6 +39,7 @@ from __future__ import annotations
 import hashlib
 import math
 from collections.abc import Callable, Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -118,9 +119,20 @@ def _binary(rows: np.ndarray) -> pa.Array:
     return pa.Array.from_buffers(pa.binary(), n, [None, offsets, pa.py_buffer(rows.tobytes())])
 
 
-def _matrix(column: pa.Array, dtype) -> np.ndarray:
+def _matrix(column: pa.Array, width: int = TOKENS) -> np.ndarray:
     raw, _ = string_buffers(column.cast(pa.large_binary()).view(pa.large_string()))
-    return raw.view(dtype).reshape(len(column), TOKENS)
+    return raw.reshape(len(column), width)
+
+
+def _planes(signature: np.ndarray) -> np.ndarray:
+    """The bytes of each signature, the last byte of every token first: those
+    are enough to compare two signatures and a quarter as long."""
+    return signature.view(np.uint8).reshape(-1, TOKENS, 4).transpose(0, 2, 1).reshape(-1, 4 * TOKENS)
+
+
+def _signature(column: pa.Array) -> np.ndarray:
+    planes = _matrix(column, 4 * TOKENS).reshape(-1, 4, TOKENS)
+    return np.ascontiguousarray(planes.transpose(0, 2, 1)).view(np.uint32).reshape(-1, TOKENS)
 
 
 def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -130,7 +142,7 @@ def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             digests = [set_digest(s, "" if len(s) else t.as_py()) for s, t in zip(sets, batch.column(1))]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(digests, pa.binary()), pa.array([len(s) for s in sets], pa.int64()),
-                 _binary(signatures(sets))],
+                 _binary(_planes(signatures(sets)))],
                 ["doc_id", "digest", "n", "signature"],
             )
 
@@ -144,23 +156,15 @@ def sketches(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     )
 
 
-def _shorten(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The last byte of each token of (..., signature), which is enough to
-    compare two signatures and a quarter as long."""
-    for batch in batches:
-        short = _binary(_matrix(batch.column(batch.num_columns - 1), np.uint32).astype(np.uint8))
-        yield pa.RecordBatch.from_arrays([*batch.columns, short], names=[*batch.schema.names, "short"])
-
-
 def classes(sketched: DataFrame) -> DataFrame:
     """One row for each set: (node, digest, first, copies, n, signature,
-    short).  Copies are combined before the shuffle; the node numbers are
-    those of the written table."""
+    short); ``short`` has the last byte of each token.  Copies are combined
+    before the shuffle; the node numbers are those of the written table."""
     made = sketched.groupBy("digest").agg(
         F.min("doc_id").alias("first"), F.count("doc_id").alias("copies"), F.first("n").alias("n"),
         F.first("signature").alias("signature"),
     )
-    short = made.mapInArrow(_shorten, "digest binary, first long, copies long, n long, signature binary, short binary")
+    short = made.withColumn("short", F.substring("signature", 1, TOKENS))
     return materialize(short.withColumn("node", F.monotonically_increasing_id()), "classes")
 
 
@@ -185,7 +189,7 @@ def _first_paths(runs: int) -> Callable:
         for whole in batches:
             for i in range(0, whole.num_rows, 2048):
                 batch = whole.slice(i, 2048)
-                tokens, nodes = _tokens(_matrix(batch.column(1), np.uint32)), batch.column(0).to_numpy()
+                tokens, nodes = _tokens(_signature(batch.column(1))), batch.column(0).to_numpy()
                 made = [_children(np.full(len(nodes), r, np.uint64), tokens) for r in roots]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(np.concatenate([p for _, p in made]).view(np.int64)),
@@ -201,7 +205,7 @@ def _next_paths(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for i in range(0, whole.num_rows, 2048):
             batch = whole.slice(i, 2048)
             nodes = batch.column(1).to_numpy()
-            at, paths = _children(batch.column(0).to_numpy().view(np.uint64), _tokens(_matrix(batch.column(2), np.uint32)))
+            at, paths = _children(batch.column(0).to_numpy().view(np.uint64), _tokens(_signature(batch.column(2))))
             yield pa.RecordBatch.from_arrays([pa.array(paths.view(np.int64)), pa.array(nodes[at])], ["path", "node"])
 
 
@@ -268,69 +272,58 @@ def _edges(pairs: list[tuple[np.ndarray, np.ndarray]]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(u, pa.int64()), pa.array(v, pa.int64())], ["u", "v"])
 
 
-def _compare_buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Spanning links of small buckets (path, node, short)."""
-    for table, at in grouped(batches, 1):
-        nodes = table.column(1).to_numpy()
-        signature = _matrix(table.column(2).combine_chunks(), np.uint8)
-        sizes, out = np.diff(at), []
-        two = at[:-1][sizes == 2]
+def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Spanning links of groups (path, a, b, node, loose, short): of a whole
+    bucket (``a`` is negative) between any two sets, of a pair of blocks
+    between the loose sets and the others."""
+    for table, at in grouped(batches, 3):
+        nodes, loose = table.column(3).to_numpy(), table.column(4).to_numpy(zero_copy_only=False)
+        signature = _matrix(table.column(5).combine_chunks())
+        starts, sizes, out = at[:-1], np.diff(at), []
+        whole = table.column(1).to_numpy()[starts] < 0
+        pair = whole & (sizes == 2)
+        two = starts[pair]
         for i in range(0, len(two), 8192):
             a = two[i : i + 8192]
             like = (signature[a] == signature[a + 1]).sum(1, dtype=np.int16) >= _LEAST_EQUAL
             out.append((nodes[a[like]], nodes[a[like] + 1]))
-        for s, n in zip(at[:-1][sizes > 2], sizes[sizes > 2]):
-            part = signature[s : s + n]
-            forest = spanning(_agree(part, part))
-            if forest:
-                a, b = np.array(forest).T
-                out.append((nodes[s + a], nodes[s + b]))
-        yield _edges(out)
-
-
-def _compare_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Links of (path, loose block, block, node, loose, short) between
-    the loose sets and all sets of a pair of blocks."""
-    for table, at in grouped(batches, 3):
-        nodes, loose = table.column(3).to_numpy(), table.column(4).to_numpy(zero_copy_only=False)
-        signature = _matrix(table.column(5).combine_chunks(), np.uint8)
-        out = []
-        for s, e in zip(at[:-1], at[1:]):
-            a, b = s + np.flatnonzero(loose[s:e]), s + np.flatnonzero(~loose[s:e])
-            like = _agree(signature[a], signature[b])
-            whole = np.zeros((len(a) + len(b),) * 2, bool)
-            whole[: len(a), len(a) :] = like
-            forest = spanning(whole | whole.T)
+        for s, n, every in zip(starts[~pair], sizes[~pair], whole[~pair]):
+            if every:
+                ids, like = np.arange(s, s + n), _agree(signature[s : s + n], signature[s : s + n])
+            else:
+                a, b = s + np.flatnonzero(loose[s : s + n]), s + np.flatnonzero(~loose[s : s + n])
+                ids, like = np.concatenate([a, b]), np.zeros((n, n), bool)
+                like[: len(a), len(a) :] = _agree(signature[a], signature[b])
+                like |= like.T
+            forest = spanning(like)
             if forest:
-                ids = np.concatenate([nodes[a], nodes[b]])
                 x, y = np.array(forest).T
-                out.append((ids[x], ids[y]))
+                out.append((nodes[ids[x]], nodes[ids[y]]))
         yield _edges(out)
 
 
-def _against_pivots(large: DataFrame, known: DataFrame) -> DataFrame:
+def _against_pivots(large: DataFrame) -> DataFrame:
     """(path, node, short, pivot, like) of the sets in large buckets: whether
-    each agrees with the bucket's pivot."""
-    pivots = large.select("path", "pivot").distinct().join(
-        known.select(F.col("node").alias("pivot"), F.col("short").alias("of_pivot")), "pivot"
-    )
-    pairs = large.drop("pivot").join(pivots, "path")
+    each agrees with the bucket's pivot, which is one of its sets."""
+    # written, so that Spark knows how few they are
+    pivots = materialize(large.where("node = pivot").select("path", F.col("short").alias("of_pivot")), "pivots")
+    pairs = large.join(pivots, "path")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            same = _matrix(batch.column(2), np.uint8) == _matrix(batch.column(4), np.uint8)
+            same = _matrix(batch.column(2)) == _matrix(batch.column(4))
             like = pa.array(same.sum(1, dtype=np.int16) >= _LEAST_EQUAL)
             yield pa.RecordBatch.from_arrays([*batch.columns[:4], like], ["path", "node", "short", "pivot", "like"])
 
     judged = pairs.select("path", "node", "short", "pivot", "of_pivot").mapInArrow(
         run, "path long, node long, short binary, pivot long, like boolean"
     )
-    return materialize(judged, "pivots")
+    return materialize(judged, "judged")
 
 
 def _in_blocks(rest: DataFrame) -> DataFrame:
-    """Links within buckets between the sets unlike the pivot and all others,
-    of (path, node, short, like, n, n_loose), in pairs of blocks."""
+    """Rows for ``_compare``, of (path, node, short, like, n, n_loose): the
+    sets unlike their bucket's pivot and all its sets, in pairs of blocks."""
     mine = F.xxhash64("node")
     sized = rest.withColumns(
         {"blocks": F.ceil(F.col("n") / BUCKET).cast("int"), "loose_blocks": F.ceil(F.col("n_loose") / BUCKET).cast("int")}
@@ -344,8 +337,7 @@ def _in_blocks(rest: DataFrame) -> DataFrame:
         "path", F.pmod(mine, "loose_blocks").cast("int").alias("a"), upto("blocks").alias("b"), "node",
         F.lit(True).alias("loose"), "short",
     )
-    spread = every.unionByName(loose).repartition("path", "a", "b").sortWithinPartitions("path", "a", "b")
-    return spread.mapInArrow(_compare_blocks, "u long, v long")
+    return every.unionByName(loose)
 
 
 def candidate_links(known: DataFrame, recall: float = RECALL, depth: int = DEPTH) -> DataFrame:
@@ -353,7 +345,7 @@ def candidate_links(known: DataFrame, recall: float = RECALL, depth: int = DEPTH
     signatures agree, of all runs."""
     sets = known.where("n > 0")
     rows = sets.select("node", "signature").mapInArrow(_first_paths(n_runs(recall, depth)), "path long, node long")
-    links = []
+    near, groups = [], []
     for level in range(1, depth + 1):
         rows = materialize(rows, f"paths-{level}")
         sizes = rows.groupBy("path").agg(F.count("node").alias("size"), F.min("node").alias("pivot")).where("size > 1")
@@ -361,19 +353,19 @@ def candidate_links(known: DataFrame, recall: float = RECALL, depth: int = DEPTH
             rows.join(sizes, "path").join(sets.select("node", "short"), "node").select("path", "node", "short", "size", "pivot"),
             f"buckets-{level}",
         )
-        small = shared.where(F.col("size") <= BUCKET).select("path", "node", "short")
-        compared = small.repartition("path").sortWithinPartitions("path").mapInArrow(_compare_buckets, "u long, v long")
-        links.append(compared)
+        no_block = F.lit(-1)
+        groups.append(shared.where(F.col("size") <= BUCKET).select(
+            "path", no_block.alias("a"), no_block.alias("b"), "node", F.lit(False).alias("loose"), "short"
+        ))
         large = shared.where(F.col("size") > BUCKET).select("path", "node", "short", "pivot")
         if large.isEmpty():
             break
-        judged = _against_pivots(large, sets)
-        links.append(judged.where("like").select(F.col("node").alias("u"), F.col("pivot").alias("v")))
+        judged = _against_pivots(large)
+        near.append(judged.where("like").select(F.col("node").alias("u"), F.col("pivot").alias("v")))
         counts = judged.groupBy("path").agg(F.count("node").alias("n"), F.count_if(~F.col("like")).alias("n_loose"))
         counts = materialize(counts.where("n_loose > 0"), "loose")
         done = F.lit(True) if level == depth else F.col("n_loose") <= BUCKET
-        blocks = _in_blocks(judged.join(counts.where(done), "path").select("path", "node", "short", "like", "n", "n_loose"))
-        links.append(blocks)
+        groups.append(_in_blocks(judged.join(counts.where(done), "path").select("path", "node", "short", "like", "n", "n_loose")))
         sparse = counts.where(~done).select("path")
         if level == depth or sparse.isEmpty():
             break
@@ -381,10 +373,9 @@ def candidate_links(known: DataFrame, recall: float = RECALL, depth: int = DEPTH
             judged.select("path", "node").join(sparse, "path").join(sets.select("node", "signature"), "node")
             .select("path", "node", "signature").mapInArrow(_next_paths, "path long, node long")
         )
-    out = links[0]
-    for more in links[1:]:
-        out = out.unionByName(more)
-    return out
+    # the groups of all levels in one shuffle: no two levels share a path
+    spread = reduce(DataFrame.unionByName, groups).repartition("path", "a", "b").sortWithinPartitions("path", "a", "b")
+    return reduce(DataFrame.unionByName, near, spread.mapInArrow(_compare, "u long, v long"))
 
 
 # --- exact comparison ----------------------------------------------------

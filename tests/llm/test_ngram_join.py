@@ -65,6 +65,36 @@ def test_large_buckets_are_split_and_dense_ones_compared_in_blocks(make_docs, mo
     assert joined(nj.ngram_join(make_docs(rows), recall=0.99, depth=2)) == brute(rows)
 
 
+def test_few_shuffles(make_docs, monkeypatch):
+    """The groups of all levels are compared after one shuffle, pivots meet
+    their buckets without any, and no other Python work follows a shuffle but
+    that of the next paths."""
+    monkeypatch.setattr(nj, "BUCKET", 8)
+    plans = {}
+
+    def spy(df, name, kept=nj.materialize):
+        plans[name] = df._jdf.queryExecution().executedPlan().toString()
+        return kept(df, name)
+
+    monkeypatch.setattr(nj, "materialize", spy)
+    passage = " ".join(f"shared{k}" for k in range(25))
+    rng = random.Random(3)
+    rows = corpus(rng, n_groups=2, size=70, n_words=80, rate=0.06)
+    rows += [(5_001 + 2 * k, passage + " " + " ".join(f"v{rng.randint(0, 10**6)}" for _ in range(40))) for k in range(80)]
+    links = nj.candidate_links(nj.classes(nj.sketches(make_docs(rows), "doc_id", "text")), 0.99, 2)
+    assert {"paths-2", "buckets-2", "judged"} <= set(plans)
+    assert links._jdf.queryExecution().optimizedPlan().toString().count("MapInArrow") == 1
+    assert "hashpartitioning" not in plans["judged"] and "MapInArrow" not in plans["classes"]
+
+
+def test_short_signatures_are_the_last_bytes(make_docs):
+    texts = [" ".join(f"w{k * j}" for k in range(9 + j)) for j in range(1, 9)]
+    signature = nj.signatures(nj.shingle_sets(pa.array(texts)))
+    assert (nj._signature(nj._binary(nj._planes(signature))) == signature).all()
+    known = nj.classes(nj.sketches(make_docs(list(enumerate(texts))), "doc_id", "text")).collect()
+    assert {r["first"]: bytes(r["short"]) for r in known} == {k: signature[k].astype(np.uint8).tobytes() for k in range(len(texts))}
+
+
 def test_runs_reach_the_target_recall():
     """Pairs right at the threshold, over the splits of their signatures."""
     rng = np.random.default_rng(2)
@@ -141,6 +171,16 @@ def test_components_with_hot_nodes(spark, monkeypatch):
     assert got == {**{k: 3 for k in {x for e in edges for x in e} - {900, 901}}, 900: 900, 901: 900}
 
 
+def test_components_of_stars_take_no_round(spark, monkeypatch):
+    """What the tasks have tied already is read from the minima."""
+    written = []
+    monkeypatch.setattr(cc, "materialize", lambda df, name, kept=cc.materialize: (written.append(name), kept(df, name))[1])
+    edges = [(k, k + 1) for k in range(50)] + [(70, 90), (80, 90), (90, 70), (5, 5)]
+    got = {r["node"]: r["component"] for r in cc.components(spark.createDataFrame(edges, "u long, v long").coalesce(1)).collect()}
+    assert got == {**{k: 0 for k in range(51)}, 70: 70, 80: 70, 90: 70}
+    assert written == ["edges", "edges", "least"]
+
+
 def test_components_of_no_edges(spark):
     assert cc.components(spark.createDataFrame([], "u long, v long")).count() == 0
 
