@@ -59,11 +59,14 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids of each text, and whether they decode to it."""
+    """Token ids of each text, and whether they decode to it.  The ids are
+    written before they are decoded, so a task has one Python worker at a
+    time and not two in a row."""
     import public_tokenizers
 
     model = public_tokenizers.path("piece_bpe_32k.model")
-    decoded = sentencepiece_scan.decode(sentencepiece_scan.encode(docs.select(*COLUMNS), model), model)
+    encoded = materialize(sentencepiece_scan.encode(docs.select(*COLUMNS), model), "encoded")
+    decoded = sentencepiece_scan.decode(encoded, model)
     return decoded.select(
         *COLUMNS, F.size("ids").cast("long").alias("n_tokens"), "ids",
         (F.col("decoded") == text_or_empty()).alias("round_trip"),

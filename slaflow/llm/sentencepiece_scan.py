@@ -303,6 +303,21 @@ def _trace(path: str, chunk_chars: int):
     return run
 
 
+#: Rows and ids that the library decodes at a time (one row at least): as
+#: Python numbers, ids need ten times the memory of their Arrow batch.
+DECODE_ROWS, DECODE_IDS = 512, 1 << 16
+
+
+def _by_ids(batch: pa.RecordBatch, ids_at: int) -> Iterator[pa.RecordBatch]:
+    """Slices of whole rows with at most so many rows and ids."""
+    ends, i = batch.column(ids_at).offsets.to_numpy(), 0
+    while i < batch.num_rows:
+        j = int(np.searchsorted(ends, ends[i] + DECODE_IDS, side="right")) - 1
+        j = min(max(j, i + 1), i + DECODE_ROWS, batch.num_rows)
+        yield batch.slice(i, j - i)
+        i = j
+
+
 def _id_lists(column: pa.ListArray) -> tuple[list[list[int]], list[bool]]:
     """The lists that aren't null, and which those are."""
     values, ends = column.values.to_numpy(zero_copy_only=False), column.offsets.to_numpy()
@@ -372,10 +387,10 @@ def decode(encoded: DataFrame, model_path: str, ids_col: str = "ids", out_col: s
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = load(model_path)
         for whole in batches:
-            for k in range(0, whole.num_rows, 512):
-                batch = whole.slice(k, 512)
+            for batch in _by_ids(whole, at):
                 ids, there = _id_lists(batch.column(at))
-                decoded = iter(model.decode(ids) if ids else [])
+                # one thread: a task has one core, and every thread keeps memory of its own
+                decoded = iter(model.decode(ids, num_threads=1) if ids else [])
                 texts = [next(decoded) if x else None for x in there]
                 yield pa.RecordBatch.from_arrays(
                     [*batch.columns, pa.array(texts, pa.string())], names=[*batch.schema.names, out_col]

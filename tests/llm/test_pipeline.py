@@ -75,6 +75,15 @@ def test_encoding(stages):
     assert all(r["round_trip"] and r["n_tokens"] == len(r["ids"]) and r["text"] == before[i]["text"] for i, r in after.items())
 
 
+def test_ids_are_written_before_they_are_decoded(spark):
+    """Else each task of the last stage has two Python workers in a row."""
+    from conftest import SF001
+
+    out = cp.encode(spark, spark.read.parquet(f"{SF001}/documents.parquet"), SF001)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("MapInArrow") == 1
+
+
 def test_odd_rows(spark, odd_docs, odd_rows, no_docs, tmp_path):
     sf = str(tmp_path)
     spark.createDataFrame([(1, 1, 0)], "doc_id long, quality int, toxic int").write.parquet(f"{sf}/labels.parquet")

@@ -1,6 +1,9 @@
 import random
+from types import SimpleNamespace
 
+import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import sentencepiece
 
@@ -130,3 +133,23 @@ def test_text_is_exchanged_once_for_both_passes(make_docs):
     df.collect()
     plan = df._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
     assert plan.count("ReusedExchange") >= 2
+
+
+def test_ids_are_decoded_in_bounded_parts(monkeypatch):
+    given = []
+
+    class Model:
+        def decode(self, ids, **_):
+            given.append([len(x) for x in ids])
+            return [str(sum(x)) for x in ids]
+
+    frame = SimpleNamespace(columns=["doc_id", "ids"], schema=SimpleNamespace(fields=[]), mapInArrow=lambda run, _: run)
+    monkeypatch.setattr(ss, "without", lambda df, *_: df)
+    monkeypatch.setattr(ss, "load", lambda _: Model())
+    lengths = [40_000, 40_000, 0, 25_536, 100_000, *[1] * 1100]
+    ids = [None, *[np.arange(n, dtype=np.int32) for n in lengths]]
+    batch = pa.record_batch([pa.array(range(len(ids))), pa.array(ids, pa.list_(pa.int32()))], ["doc_id", "ids"])
+    out = pa.Table.from_batches(ss.decode(frame, PATH)(iter([batch.slice(0, 0), batch, batch.slice(3)])))
+    want = [None, *[str(sum(range(n))) for n in lengths]]
+    assert out.column("decoded").to_pylist() == want + want[3:]
+    assert all(len(x) <= 512 and (sum(x) <= 1 << 16 or len(x) == 1) for x in given)
